@@ -9,7 +9,7 @@ from ..schema import Graph
 from ..storage import cut_lineage
 from .edges import symmetrize
 from .placed import PlacedEdges
-from .skew import HOT_FLOOR, hot_keys, lookup_join
+from .skew import HOT_FLOOR, hot_counts, hot_keys, lookup_join
 
 #: Weights are added as exact decimals, so a vote does not depend on row order.
 _EXACT = "decimal(28,9)"
@@ -17,8 +17,9 @@ _EXACT = "decimal(28,9)"
 
 def _smallest_partner(edges: DataFrame, hot_floor: int) -> DataFrame:
     """Each ``(src, dst)`` with ``least``: the smallest id around ``src``, itself included."""
-    lows = edges.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("least"))
-    return lookup_join(edges, lows, ["src"], hot_keys(edges, "src", hot_floor), F.col("dst"))
+    lows = edges.groupBy("src").agg(
+        F.least(F.min("dst"), F.col("src")).alias("least"), F.count(F.lit(1)).alias("n"))
+    return lookup_join(edges, lows.drop("n"), ["src"], hot_counts(lows, "src", hot_floor), F.col("dst"))
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -66,7 +67,7 @@ def label_propagation(
     """
     vote = F.col("weight").cast(_EXACT) if weighted else F.lit(1).cast(_EXACT)
     links = symmetrize(graph.edges.where(F.col("src") != F.col("dst")).select("src", "dst", vote.alias("vote")))
-    placed = PlacedEdges(cut_lineage(links), [], hot_floor)
+    placed = PlacedEdges(links, [], hot_floor)
     vertices = cut_lineage(graph.vertices.select("id"))
     labels = vertices.withColumn("label", F.col("id"))
     for _ in range(rounds):

@@ -9,21 +9,14 @@ from pyspark.sql import functions as F
 
 from ..schema import Graph, graph_keys
 from ..storage import cut_lineage
+from .edges import symmetrize
+from .placed import PlacedEdges
 from .skew import HOT_FLOOR, hot_keys, lookup_join
 
 # Fixed value: how far a highlighted neighbourhood reaches.
 DEGREES = 2
 
 
-def _links(edges: DataFrame) -> DataFrame:
-    """Undirected view: ``(id, other)`` for both ends of every edge."""
-    both = F.array(
-        F.struct(F.col("src").alias("id"), F.col("dst").alias("other")),
-        F.struct(F.col("dst").alias("id"), F.col("src").alias("other")),
-    )
-    return edges.select(*graph_keys(edges), F.inline(both))
-
-
 def _ids(vertices: DataFrame, chosen: DataFrame | Sequence[str]) -> DataFrame:
     keys = graph_keys(vertices)
     if isinstance(chosen, DataFrame):
@@ -40,19 +33,15 @@ def neighborhood(
     Breadth first: a round follows only the vertices the last round found.
     """
     keys = graph_keys(graph.vertices)
-    links = _links(graph.edges).distinct()
-    hot = hot_keys(links, "id", hot_floor)
-    reached = _ids(graph.vertices, chosen).withColumn("hop", F.lit(0))
+    links = symmetrize(graph.edges.select(*keys, "src", "dst"))
+    placed = PlacedEdges(links, keys, hot_floor)
+    reached = cut_lineage(_ids(graph.vertices, chosen).withColumn("hop", F.lit(0)))
     for hop in range(1, degrees + 1):
         frontier = reached.where(F.col("hop") == hop - 1).select(*keys, "id")
-        touched = lookup_join(links, frontier, [*keys, "id"], hot, F.col("other"))
-        fresh = (
-            touched.select(*keys, F.col("other").alias("id")).distinct()
-            .join(reached, [*keys, "id"], "left_anti")
-        )
-        reached = reached.unionByName(fresh.withColumn("hop", F.lit(hop)))
-        if hop < degrees:
-            reached = cut_lineage(reached)
+        touched = placed.send(frontier).select(*keys, F.col("dst").alias("id")).distinct()
+        fresh = touched.join(reached, [*keys, "id"], "left_anti").withColumn("hop", F.lit(hop))
+        reached = cut_lineage(reached.unionByName(fresh))
+    placed.release()
     return graph.vertices.select(*keys, "id").join(reached, [*keys, "id"], "left")
 
 

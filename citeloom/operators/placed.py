@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import cut_lineage
 from .skew import HOT_FLOOR, hot_keys, salt_copies, salt_rows
 
 
@@ -23,9 +24,14 @@ def place(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 class PlacedEdges:
-    """Edges partitioned by source, with hot sources split over several tasks."""
+    """Edges partitioned by source, with hot sources split over several tasks.
+
+    The edges are written to the shared folder first, so neither the search
+    for hot sources nor the repair of a lost cache block computes them again.
+    """
 
     def __init__(self, edges: DataFrame, keys: list[str], hot_floor: int = HOT_FLOOR) -> None:
+        edges = cut_lineage(edges)
         # At most HOT_KEYS rows by construction, so they fit the driver.
         hot = hot_keys(edges, "src", hot_floor).collect()
         self._on = [*keys, "src"]
@@ -37,11 +43,15 @@ class PlacedEdges:
         self._edges = place(edges, self._on)
 
     def send(self, values: DataFrame) -> DataFrame:
-        """Each edge with the values of its source vertex ``id``."""
+        """Each edge with the values of its source vertex ``id``.
+
+        A merge join keeps the edges where they are and in order; a broadcast
+        would pass all values through the driver in every round.
+        """
         values = values.withColumnRenamed("id", "src")
         if self._hot is not None:
             values = salt_copies(values, self._hot, "src")
-        return self._edges.join(values, self._on)
+        return self._edges.join(values.hint("merge"), self._on)
 
     def release(self) -> None:
         self._edges.unpersist()

@@ -48,7 +48,7 @@ def pagerank(
     if normalize:
         edges = _out_normalized(edges, keys, hot_floor)
     nodes = place(graph.vertices.select(*keys, "id", *attributes), [*keys, "id"])
-    placed = PlacedEdges(cut_lineage(edges), keys, hot_floor) if max_iter > 0 else None
+    placed = PlacedEdges(edges, keys, hot_floor) if max_iter > 0 else None
 
     ranks = nodes.select(*keys, "id", F.lit(1.0).alias("rank"))
     for done in range(1, max_iter + 1):
@@ -58,12 +58,12 @@ def pagerank(
             .agg(F.sum(F.col("rank") * F.col("weight")).alias("inflow"))
         )
         received = F.coalesce("inflow", F.lit(0.0))
-        ranks = nodes.select(*keys, "id").join(inflow, [*keys, "id"], "left").select(
+        ranks = nodes.select(*keys, "id").join(inflow.hint("merge"), [*keys, "id"], "left").select(
             *keys, "id", (F.lit(reset_prob) + F.lit(1 - reset_prob) * received).alias("rank"))
         if done % checkpoint_every == 0 and done < max_iter:
             ranks = cut_lineage(ranks)
 
-    result = cut_lineage(ranks.join(nodes, [*keys, "id"]).select(*keys, "id", "rank", *attributes))
+    result = cut_lineage(ranks.hint("merge").join(nodes, [*keys, "id"]).select(*keys, "id", "rank", *attributes))
     nodes.unpersist()
     if placed is not None:
         placed.release()

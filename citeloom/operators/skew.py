@@ -20,15 +20,14 @@ def hot_keys(rows: DataFrame, key: str, floor: int = HOT_FLOOR) -> DataFrame:
     keys are listed, so the result may be broadcast whatever the input size;
     a key that misses the list holds less than ``1/HOT_KEYS`` of the rows.
     """
-    return (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > floor)
-        .orderBy(F.desc("n"), key)
-        .limit(HOT_KEYS)
-        .select(key, F.least(F.ceil(F.col("n") / floor), F.lit(HOT_KEYS)).cast("int").alias("fan"))
-    )
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return hot_counts(counts, key, floor)
+
+
+def hot_counts(counts: DataFrame, key: str, floor: int = HOT_FLOOR) -> DataFrame:
+    """:func:`hot_keys` from frequencies ``(key, n)`` that are known already."""
+    fan = F.least(F.ceil(F.col("n") / floor), F.lit(HOT_KEYS)).cast("int")
+    return counts.where(F.col("n") > floor).orderBy(F.desc("n"), key).limit(HOT_KEYS).select(key, fan.alias("fan"))
 
 
 def salt_rows(rows: DataFrame, hot: DataFrame, key: str, spread: Column) -> DataFrame:
@@ -51,9 +50,10 @@ def salt_copies(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
 
 
 def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], hot: DataFrame, spread: Column) -> DataFrame:
-    """Inner join of many ``facts`` to ``dims`` that are unique on ``on``.
+    """Inner join of many ``facts`` to few ``dims`` per key.
 
-    ``hot`` comes from :func:`hot_keys`, and its key is one of the ``on`` columns.
+    ``hot`` comes from :func:`hot_keys`, and its key is one of the ``on``
+    columns. ``spread`` tells the facts of one key apart.
     """
     key = hot.columns[0]
     left = salt_rows(facts, hot, key, spread)

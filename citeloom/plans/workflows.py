@@ -1,4 +1,8 @@
-"""The three graph workflows, for one request or for a table of requests."""
+"""The three graph workflows, for one request or for a table of requests.
+
+The vertices a search finds are written to the shared folder once: building
+the edges reads them several times, and the search must not run as often.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +17,7 @@ from ..operators.similarity import similarity_edges
 from ..operators.skew import hot_keys, lookup_join
 from ..schema import GRAPH_ID, Corpus, Graph
 from ..sources import search
+from ..storage import cut_lineage
 
 
 def keyword_vertices(papers: DataFrame) -> DataFrame:
@@ -80,7 +85,7 @@ def keyword_graph(
     if centre is not None:
         added = search.lookup_ids(corpus.papers, [centre])
         hits = hits.where(F.col("paperId") != centre).unionByName(added)
-    vertices = keyword_vertices(hits)
+    vertices = cut_lineage(keyword_vertices(hits))
     return Graph(vertices, star_or_citation(vertices, corpus.citations, centre, min_similarity))
 
 
@@ -88,7 +93,7 @@ def keyword_graphs(corpus: Corpus, queries: DataFrame, limit: int | None = searc
     """Citation graphs for ``queries(graph_id, keywords)``, comma-separated keywords."""
     asked = queries.select(GRAPH_ID, parse_terms(F.col("keywords")).alias("terms"))
     hits = search.keyword_hits_many(corpus.papers, asked, limit).drop("score")
-    vertices = keyword_vertices(corpus.papers.join(hits, "paperId"))
+    vertices = cut_lineage(keyword_vertices(corpus.papers.join(hits, "paperId")))
     return Graph(vertices, citation_edges(vertices, corpus.citations))
 
 
@@ -117,7 +122,7 @@ def paper_id_graph(
         found = lookup_join(members, papers, ["paperId"], hot_keys(members, "paperId"), F.col(GRAPH_ID))
     else:
         found = papers.join(members, "paperId", "left_semi")
-    vertices = citation_vertices(found)
+    vertices = cut_lineage(citation_vertices(found))
     return Graph(vertices, citation_edges(vertices, citations, min_similarity))
 
 
@@ -132,14 +137,15 @@ def publication_graph(
 
     ``limit`` is the search page; None takes every paper.
     """
-    vertices = publication_vertices(search.publication_search(corpus.papers, publication, year, limit))
+    hits = search.publication_search(corpus.papers, publication, year, limit)
+    vertices = cut_lineage(publication_vertices(hits))
     bound = None if limit is None else min(limit, search.MAX_PAGE)
     return Graph(vertices.drop("vector"), similarity_edges(vertices, min_similarity, max_rows=bound))
 
 
 def publication_graphs(corpus: Corpus, queries: DataFrame, min_similarity: float = 0.0) -> Graph:
     """Similarity graphs for ``queries(graph_id, publication, year)``, every matching paper."""
-    vertices = publication_vertices(search.publication_hits_many(corpus.papers, queries))
+    vertices = cut_lineage(publication_vertices(search.publication_hits_many(corpus.papers, queries)))
     return Graph(vertices.drop("vector"), similarity_edges(vertices, min_similarity))
 
 

@@ -59,7 +59,8 @@ def corpus_from_records(records: DataFrame, unique: bool = False) -> Corpus:
 
 def corpus_from_tables(papers: DataFrame, citations: DataFrame, authorships: DataFrame | None = None) -> Corpus:
     """Corpus from tables that are flat already; ``papers`` must be unique by ``paperId``."""
-    pairs = citations.select("src", "dst").dropna().distinct()
+    known = F.col("src").isNotNull() & F.col("dst").isNotNull()
+    pairs = citations.select("src", "dst").where(known).distinct()
     return Corpus(papers, pairs, authorships)
 
 

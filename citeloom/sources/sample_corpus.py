@@ -16,9 +16,19 @@ from .records import corpus_from_tables
 TITLE_CHARS = 80
 TLDR_CHARS = 40
 
+# The columns the corpus uses. A declared schema saves the job
+# that would look for it in the files.
+COLUMNS = {
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint",
+    "supplier": "s_suppkey bigint, s_name string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sample_papers(spark: SparkSession, sf_dir: str) -> DataFrame:

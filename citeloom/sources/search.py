@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import query_words, venue_matches, words
+from ..operators.skew import hot_keys, lookup_join
 from ..schema import GRAPH_ID
 
 # Fixed value: the largest page a search returns.
@@ -124,8 +125,6 @@ def publication_search(
 
 def publication_hits_many(papers: DataFrame, queries: DataFrame) -> DataFrame:
     """Papers with ``graph_id`` for a table ``queries(graph_id, publication, year)``."""
-    asked = queries.select(GRAPH_ID, "publication", F.col("year").alias("asked_year"))
-    return (
-        papers.join(asked, (F.col("year") == F.col("asked_year")) & venue_matches(F.col("venue"), F.col("publication")))
-        .drop("asked_year", "publication")
-    )
+    asked = queries.select(GRAPH_ID, "publication", "year")
+    met = lookup_join(papers, asked, ["year"], hot_keys(papers, "year"), F.col("paperId"))
+    return met.where(venue_matches(F.col("venue"), F.col("publication"))).drop("publication")

@@ -11,6 +11,9 @@ from ..operators.edges import citation_edges
 from ..schema import PAPER_SCHEMA
 from ..sources.records import explode_references
 
+#: Over how many tasks the copies of one paper are spread.
+SALTS = 32
+
 STREAM_SCHEMA = T.StructType([*PAPER_SCHEMA.fields, T.StructField("ingest_ts", T.TimestampType())])
 
 
@@ -23,9 +26,15 @@ def read_paper_stream(spark: SparkSession, path: str, max_files: int | None = No
 
 
 def first_arrivals(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Each ``paperId`` once within ``delay``; older state is dropped."""
-    named = stream.where(F.col("paperId").isNotNull())
-    return named.withWatermark("ingest_ts", delay).dropDuplicatesWithinWatermark(["paperId"])
+    """Each ``paperId`` once within ``delay``; older state is dropped.
+
+    Copies are first thinned out by id and salt, so a paper that is sent over
+    and over again does not pass whole through one task.
+    """
+    salt = F.pmod(F.xxhash64("ingest_ts"), F.lit(SALTS)).cast("int")
+    timed = stream.where(F.col("paperId").isNotNull()).withWatermark("ingest_ts", delay).withColumn("salt", salt)
+    thinned = timed.dropDuplicatesWithinWatermark(["paperId", "salt"])
+    return thinned.dropDuplicatesWithinWatermark(["paperId"]).drop("salt")
 
 
 def append_edges(
