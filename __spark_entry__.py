@@ -268,7 +268,7 @@ def q_mixed_graph_edges(spark, d):
 
 
 def q_coauthor_edges(spark, d):
-    return coauthor_edges(sample_corpus(spark, d))
+    return coauthor_edges(sample_corpus(spark, d, authors=True))
 
 
 def q_venue_edges(spark, d):
@@ -281,7 +281,7 @@ def q_venue_nodes(spark, d):
 
 def q_related_papers(spark, d):
     chosen = spark.createDataFrame([(CENTRAL,)], "id string")
-    return related_papers(coauthor_edges(sample_corpus(spark, d)), chosen)
+    return related_papers(coauthor_edges(sample_corpus(spark, d, authors=True)), chosen)
 
 
 def q_graph_stats(spark, d):

@@ -32,21 +32,14 @@ def hot_counts(counts: DataFrame, key: str, floor: int = HOT_FLOOR) -> DataFrame
 
 def salt_rows(rows: DataFrame, hot: DataFrame, key: str, spread: Column) -> DataFrame:
     """Add ``salt``: 0 for ordinary keys, a hash of ``spread`` for hot ones."""
-    return (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("salt", F.pmod(F.xxhash64(spread), F.coalesce("fan", F.lit(1))).cast("int"))
-        .drop("fan")
-    )
+    salt = F.pmod(F.xxhash64(spread), F.coalesce("fan", F.lit(1))).cast("int")
+    return rows.join(F.broadcast(hot), key, "left").select(*rows.columns, salt.alias("salt"))
 
 
 def salt_copies(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Repeat rows with a hot key once per salt, so every salted row finds its match."""
-    last = F.coalesce("fan", F.lit(1)) - 1
-    return (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), last)))
-        .drop("fan")
-    )
+    salts = F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1)
+    return rows.join(F.broadcast(hot), key, "left").select(*rows.columns, F.explode(salts).alias("salt"))
 
 
 def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], hot: DataFrame, spread: Column) -> DataFrame:

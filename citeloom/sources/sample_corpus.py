@@ -61,14 +61,17 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(ids, F.col("l_orderkey") == F.col("vec_id"), "left_semi")
 
 
-def sample_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
-    """The corpus in normal form; lists stay rows."""
-    lines = _lines(spark, sf_dir)
-    citations = lines.select(
+def sample_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(src, dst)`` rows, repeats included."""
+    return _lines(spark, sf_dir).select(
         F.col("l_orderkey").cast("string").alias("src"), F.col("l_partkey").cast("string").alias("dst"))
+
+
+def sample_authorships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(paperId, authorId, name)``, one row per paper and author."""
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("name"))
-    authorships = (
-        lines.select("l_orderkey", "l_suppkey").distinct()
+    return (
+        _lines(spark, sf_dir).select("l_orderkey", "l_suppkey").distinct()
         .join(suppliers, "l_suppkey", "left")
         .select(
             F.col("l_orderkey").cast("string").alias("paperId"),
@@ -76,7 +79,15 @@ def sample_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
             "name",
         )
     )
-    return corpus_from_tables(sample_papers(spark, sf_dir), citations, authorships)
+
+
+def sample_corpus(spark: SparkSession, sf_dir: str, authors: bool = False) -> Corpus:
+    """The corpus in normal form; lists stay rows."""
+    return corpus_from_tables(
+        sample_papers(spark, sf_dir),
+        sample_citations(spark, sf_dir),
+        sample_authorships(spark, sf_dir) if authors else None,
+    )
 
 
 def sample_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +96,7 @@ def sample_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     A list is one cell of a record, so its length is bounded by what one
     order holds; everything else works on the normal form.
     """
-    corpus = sample_corpus(spark, sf_dir)
+    corpus = sample_corpus(spark, sf_dir, authors=True)
     references = corpus.citations.groupBy(F.col("src").alias("paperId")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("dst").alias("paperId")))).alias("references"))
     citations = corpus.citations.groupBy(F.col("dst").alias("paperId")).agg(

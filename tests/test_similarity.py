@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from citeloom.operators.edges import citation_edges
-from citeloom.operators.similarity import similarity_edges, similarity_pairs
+from citeloom.operators.similarity import similarity_edges, similarity_pairs, tile_pairs
 
 MICRO = {"10": [1.0, 0.0], "2": [1.0, 1.0], "b": [-1.0, 0.0]}
 
@@ -29,6 +29,10 @@ def test_unusable_vectors_have_weight_zero(vertices):
     assert rounded(similarity_pairs(v, 0.1)) == []
 
 
+def test_large_graph_without_any_vector(vertices):
+    assert similarity_pairs(vertices({str(i): None for i in range(20)}), 0.5, tile_rows=5).count() == 0
+
+
 def test_unequal_lengths_use_the_common_prefix(vertices):
     assert rounded(similarity_pairs(vertices({"a": [1.0, 2.0, 3.0], "b": [1.0, 2.0]}), 0.0)) == [("a", "b", 0.597614)]
 
@@ -71,3 +75,23 @@ def test_many_graphs_of_uneven_size(spark):
     whole = sorted((r.graph_id, r.src, r.dst) for r in similarity_pairs(v, 0.2).collect())
     tiled = sorted((r.graph_id, r.src, r.dst) for r in similarity_pairs(v, 0.2, tile_rows=9).collect())
     assert whole == tiled and {g for g, _, _ in whole} == {"big"}
+
+
+def test_tiles_of_distant_cells_never_meet(vertices):
+    rng = np.random.default_rng(8)
+    centres = np.eye(6)
+    x = centres[np.arange(300) % 6] + 0.02 * rng.normal(size=(300, 6))
+    v = vertices({f"{i:03d}": row.tolist() for i, row in enumerate(x)})
+    pairs = tile_pairs(v, 0.9, tile_rows=10).select("tile_a", "tile_b").distinct().collect()
+    tiles = {t for pair in pairs for t in pair}
+    assert len(pairs) < len(tiles) * (len(tiles) + 1) / 2 / 3
+    assert similarity_pairs(v, 0.9, tile_rows=10).count() == 6 * 50 * 49 // 2
+
+
+def test_vectors_without_direction_meet_all_cells(vertices):
+    vectors = {f"{i:02d}": [float(i % 3 == k) for k in range(3)] for i in range(30)} | {"x": [1e200, 0.0, 0.0], "y": [1e200]}
+    rows = similarity_pairs(vertices(vectors), 0.5, tile_rows=5).collect()
+    small = similarity_pairs(vertices(vectors), 0.5).collect()
+    key = lambda r: (r.src, r.dst, repr(r.weight))
+    assert sorted(map(key, rows)) == sorted(map(key, small))
+    assert ("x", "y", "nan") in map(key, rows)
