@@ -163,6 +163,14 @@ def q_parse_json_column(spark, d):
     return parsed.select(F.col("paperId").alias("id"), "title", "year")
 
 
+def q_attach_embeddings(spark, d):
+    papers = sample_papers(spark, d).drop("embedding")
+    vectors = table(spark, d, "embeddings").where("label < 3").select(
+        F.col("vec_id").cast("string").alias("paperId"), F.col("embedding").alias("vector"))
+    joined = records.attach_embeddings(papers, vectors)
+    return joined.select(F.col("paperId").alias("id"), "venue", F.size("embedding.vector").alias("n_dims"))
+
+
 # --- functions ----------------------------------------------------------------
 
 
@@ -609,6 +617,9 @@ FROM papers p LEFT JOIN refs r ON r.src = p.id LEFT JOIN wrote w ON w.id = p.id"
         "parse_json_column": """
 SELECT CAST(vec_id AS VARCHAR) AS id, CAST(label AS VARCHAR) AS title, CAST(NULL AS INTEGER) AS year FROM embeddings
 UNION ALL SELECT NULL, NULL, NULL FROM embeddings""",
+        "attach_embeddings": f"""WITH {_PAPERS}
+SELECT p.id, p.venue, CASE WHEN e.label < 3 THEN CAST(len(p.vector) AS INTEGER) END AS n_dims
+FROM papers p JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = p.id""",
         "cosine_pairs": f"""WITH {_PAPERS}
 SELECT id, round(list_cosine_similarity(vector, list_reverse(vector)), 6) AS reversed,
        round(list_dot_product(vector[1:32], vector[1:32])

@@ -33,6 +33,15 @@ def words(text: Column) -> Column:
     return F.array_distinct(F.filter(split, lambda word: word != ""))
 
 
+def has_word(text: Column, word: str) -> Column:
+    """Whether lower-case ``text`` holds ``word`` (letters only) as a whole word.
+
+    The plain substring test rejects most texts before the pattern runs.
+    """
+    whole = F.lit(rf"(?<!\p{{L}}){word}(?!\p{{L}})")
+    return F.contains(text, F.lit(word)) & F.rlike(text, whole)
+
+
 def query_words(keywords: str | Sequence[str]) -> list[str]:
     """Distinct search words of a keyword list or comma-separated string.
 

@@ -15,16 +15,20 @@ from .skew import HOT_FLOOR, hot_counts, hot_keys, lookup_join
 _EXACT = "decimal(28,9)"
 
 
-def _smallest_partner(edges: DataFrame, hot_floor: int) -> DataFrame:
-    """Each ``(src, dst)`` with ``least``: the smallest id around ``src``, itself included."""
+def _smallest_partner(edges: DataFrame, rows: int, hot_floor: int) -> DataFrame:
+    """Each ``(src, dst)`` with ``least``: the smallest id around ``src``, itself included.
+
+    ``rows`` bounds the number of edges: below the floor no vertex can be hot.
+    """
     lows = edges.groupBy("src").agg(
         F.least(F.min("dst"), F.col("src")).alias("least"), F.count(F.lit(1)).alias("n"))
-    return lookup_join(edges, lows.drop("n"), ["src"], hot_counts(lows, "src", hot_floor), F.col("dst"))
+    hot = hot_counts(lows, "src", hot_floor) if rows > hot_floor else None
+    return lookup_join(edges, lows.drop("n"), ["src"], hot, F.col("dst"))
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("src", "dst"))).first()
-    return tuple(row)
+def _fingerprint(edges: DataFrame) -> tuple[int, int | None]:
+    """Number of edges and a hash of all of them."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("src", "dst"))).first())
 
 
 def connected_components(graph: Graph, max_rounds: int = 60, hot_floor: int = HOT_FLOOR) -> DataFrame:
@@ -39,10 +43,11 @@ def connected_components(graph: Graph, max_rounds: int = 60, hot_floor: int = HO
     edges = cut_lineage(edges)
     seen = _fingerprint(edges)
     for _ in range(max_rounds):
-        around = _smallest_partner(symmetrize(edges), hot_floor)
+        rows = 2 * seen[0]
+        around = _smallest_partner(symmetrize(edges), rows, hot_floor)
         larger = around.where(F.col("dst") > F.col("src"))
         edges = larger.select(F.col("dst").alias("src"), F.col("least").alias("dst")).distinct()
-        below = _smallest_partner(edges, hot_floor)
+        below = _smallest_partner(edges, rows, hot_floor)
         hung = below.select(F.inline(F.array(
             F.struct(F.col("dst").alias("src"), F.col("least").alias("dst")),
             F.struct(F.col("src"), F.col("least").alias("dst")),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine, norm
-from ..schema import graph_keys
+from ..schema import GRAPH_ID, graph_keys
 from .skew import HOT_FLOOR, hot_keys, lookup_join
 
 
@@ -24,6 +24,16 @@ def _weight() -> Column:
     return cosine(F.col("src_vector"), F.col("dst_vector"), F.col("src_norm"), F.col("dst_norm"))
 
 
+def _per_graph(pairs: DataFrame, vertices: DataFrame, hot_floor: int) -> DataFrame:
+    """Each pair once per graph that holds its source.
+
+    Going by source keeps this small: a paper in many graphs cites few others,
+    while it may be cited by very many.
+    """
+    members = vertices.select(*graph_keys(vertices), F.col("id").alias("src"))
+    return lookup_join(members, pairs, ["src"], hot_keys(members, "src", hot_floor), F.col(GRAPH_ID))
+
+
 def weigh(
     pairs: DataFrame, vertices: DataFrame, min_similarity: float | None = None, hot_floor: int = HOT_FLOOR
 ) -> DataFrame:
@@ -36,9 +46,12 @@ def weigh(
     """
     keys = graph_keys(vertices)
     extra = [c for c in pairs.columns if c not in ("src", "dst", *keys)]
-    dst_on = ["dst", *[k for k in keys if k in pairs.columns]]
-    half = lookup_join(pairs, _end(vertices, "dst"), dst_on, hot_keys(pairs, "dst", hot_floor), F.col("src"))
-    whole = lookup_join(half, _end(vertices, "src"), [*keys, "src"], hot_keys(pairs, "src", hot_floor), F.col("dst"))
+    # Within one graph a key is at most as frequent as among all pairs.
+    hot_dst, hot_src = hot_keys(pairs, "dst", hot_floor), hot_keys(pairs, "src", hot_floor)
+    if keys and GRAPH_ID not in pairs.columns:
+        pairs = _per_graph(pairs, vertices, hot_floor)
+    half = lookup_join(pairs, _end(vertices, "dst"), [*keys, "dst"], hot_dst, F.col("src"))
+    whole = lookup_join(half, _end(vertices, "src"), [*keys, "src"], hot_src, F.col("dst"))
     edges = whole.select(*keys, "src", "dst", _weight().alias("weight"), *extra)
     return edges if min_similarity is None else edges.where(F.col("weight") >= min_similarity)
 

@@ -32,8 +32,9 @@ class PlacedEdges:
 
     def __init__(self, edges: DataFrame, keys: list[str], hot_floor: int = HOT_FLOOR) -> None:
         edges = cut_lineage(edges)
-        # At most HOT_KEYS rows by construction, so they fit the driver.
-        hot = hot_keys(edges, "src", hot_floor).collect()
+        # Fewer rows than the floor cannot hold a hot source. The list of hot
+        # sources has at most HOT_KEYS rows, so it fits the driver.
+        hot = hot_keys(edges, "src", hot_floor).collect() if edges.count() > hot_floor else []
         self._on = [*keys, "src"]
         self._hot = None
         if hot:

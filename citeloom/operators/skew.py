@@ -42,12 +42,17 @@ def salt_copies(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(hot), key, "left").select(*rows.columns, F.explode(salts).alias("salt"))
 
 
-def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], hot: DataFrame, spread: Column) -> DataFrame:
+def lookup_join(
+    facts: DataFrame, dims: DataFrame, on: Sequence[str], hot: DataFrame | None, spread: Column
+) -> DataFrame:
     """Inner join of many ``facts`` to few ``dims`` per key.
 
     ``hot`` comes from :func:`hot_keys`, and its key is one of the ``on``
-    columns. ``spread`` tells the facts of one key apart.
+    columns; None states that no key can be hot. ``spread`` tells the facts
+    of one key apart.
     """
+    if hot is None:
+        return facts.join(dims, list(on))
     key = hot.columns[0]
     left = salt_rows(facts, hot, key, spread)
     return left.join(salt_copies(dims, hot, key), [*on, "salt"]).drop("salt")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import query_words, venue_matches, words
+from ..functions.text import has_word, query_words, venue_matches, words
 from ..operators.skew import hot_keys, lookup_join
 from ..schema import GRAPH_ID
 
@@ -16,6 +18,8 @@ MAX_PAGE = 100
 # How many hits a preview lists, and the page it is taken from.
 PREVIEW_ROWS = 5
 PREVIEW_PAGE = 50
+#: Up to this many request rows are broadcast.
+BROADCAST_REQUESTS = 100_000
 
 
 def page(hits: DataFrame, order: Sequence[Column], limit: int | None, offset: int = 0) -> DataFrame:
@@ -31,16 +35,12 @@ def _paper_text() -> Column:
 
 def keyword_hits(papers: DataFrame, keywords: str | Sequence[str]) -> DataFrame:
     """Papers holding any search word in title or abstract; ``score`` counts distinct words."""
-    wanted = query_words(keywords)
-    if not wanted:
-        return papers.withColumn("score", F.lit(0)).where(F.lit(False))
     text = F.lower(_paper_text())
-    # Cheap substring test first: only candidates are split into words.
-    candidate = F.lit(False)
-    for word in wanted:
-        candidate = candidate | F.contains(text, F.lit(word))
-    matched = F.array_intersect(words(_paper_text()), F.array(*[F.lit(w) for w in wanted]))
-    return papers.where(candidate).withColumn("score", F.size(matched)).where(F.col("score") > 0)
+    found = [has_word(text, word) for word in query_words(keywords)]
+    if not found:
+        return papers.withColumn("score", F.lit(0)).where(F.lit(False))
+    score = reduce(add, [F.when(hit, 1).otherwise(0) for hit in found])
+    return papers.where(reduce(or_, found)).withColumn("score", score)
 
 
 def keyword_search(
@@ -50,6 +50,13 @@ def keyword_search(
     return page(keyword_hits(papers, keywords), [F.desc("score"), F.asc("paperId")], limit, offset)
 
 
+def _meet(rows: DataFrame, requests: DataFrame, key: str) -> DataFrame:
+    """Rows joined to the requests for their key; few requests are broadcast, many are salted."""
+    if requests.limit(BROADCAST_REQUESTS + 1).count() <= BROADCAST_REQUESTS:
+        return rows.join(F.broadcast(requests), key)
+    return lookup_join(rows, requests, [key], hot_keys(rows, key), F.col("paperId"))
+
+
 def keyword_hits_many(papers: DataFrame, queries: DataFrame, limit: int | None = MAX_PAGE) -> DataFrame:
     """``(graph_id, paperId, score)`` for a table ``queries(graph_id, terms)``.
 
@@ -58,9 +65,9 @@ def keyword_hits_many(papers: DataFrame, queries: DataFrame, limit: int | None =
     corpus still sends only a page per task.
     """
     asked = queries.select(GRAPH_ID, F.explode(words(F.array_join("terms", " "))).alias("word")).distinct()
+    spoken = papers.select("paperId", F.explode(words(_paper_text())).alias("word"))
     found = (
-        papers.select("paperId", F.explode(words(_paper_text())).alias("word"))
-        .join(asked, "word")
+        _meet(spoken, asked, "word")
         .groupBy(GRAPH_ID, "paperId")
         .agg(F.count(F.lit(1)).cast("int").alias("score"))
     )
@@ -126,5 +133,4 @@ def publication_search(
 def publication_hits_many(papers: DataFrame, queries: DataFrame) -> DataFrame:
     """Papers with ``graph_id`` for a table ``queries(graph_id, publication, year)``."""
     asked = queries.select(GRAPH_ID, "publication", "year")
-    met = lookup_join(papers, asked, ["year"], hot_keys(papers, "year"), F.col("paperId"))
-    return met.where(venue_matches(F.col("venue"), F.col("publication"))).drop("publication")
+    return _meet(papers, asked, "year").where(venue_matches(F.col("venue"), F.col("publication"))).drop("publication")

@@ -64,8 +64,9 @@ def test_hot_keys_are_salted_without_changing_the_result(vertices, citations):
 def test_graphs_do_not_mix(spark, citations):
     rows = [("g", "a", [1.0]), ("g", "b", [1.0]), ("h", "b", [1.0]), ("h", "c", [1.0])]
     v = spark.createDataFrame(rows, "graph_id string, id string, vector array<double>")
-    edges = citation_edges(v, citations([("a", "b"), ("b", "c"), ("a", "c")]))
-    assert sorted((r.graph_id, r.src, r.dst) for r in edges.collect()) == [("g", "a", "b"), ("h", "b", "c")]
+    for floor in (10**6, 1):
+        edges = citation_edges(v, citations([("a", "b"), ("b", "c"), ("a", "c")]), hot_floor=floor)
+        assert sorted((r.graph_id, r.src, r.dst) for r in edges.collect()) == [("g", "a", "b"), ("h", "b", "c")]
 
 
 def test_hub(spark, vertices):

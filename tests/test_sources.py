@@ -162,3 +162,10 @@ def test_graph_round_trip(spark, tmp_path):
     pruned = files.read_vertices(spark, root, years=[2020])
     assert [r.id for r in pruned.collect()] == ["b"]
     assert "PartitionFilters: [isnotnull(year" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_requests_are_joined_without_broadcast(spark, papers, monkeypatch):
+    queries = spark.createDataFrame([("a", ["graph"]), ("b", ["rank"])], "graph_id string, terms array<string>")
+    few = sorted(map(tuple, search.keyword_hits_many(papers, queries).collect()))
+    monkeypatch.setattr(search, "BROADCAST_REQUESTS", 1)
+    assert sorted(map(tuple, search.keyword_hits_many(papers, queries).collect())) == few
