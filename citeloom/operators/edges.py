@@ -35,19 +35,26 @@ def _per_graph(pairs: DataFrame, vertices: DataFrame, hot_floor: int) -> DataFra
 
 
 def weigh(
-    pairs: DataFrame, vertices: DataFrame, min_similarity: float | None = None, hot_floor: int = HOT_FLOOR
+    pairs: DataFrame,
+    vertices: DataFrame,
+    min_similarity: float | None = None,
+    hot_floor: int = HOT_FLOOR,
+    max_pairs: int | None = None,
 ) -> DataFrame:
     """Pairs with both ends among ``vertices``, weighted by cosine.
 
     Each end needs one join, which restricts and attaches the vector at once.
     The narrow pairs are shuffled first; only pairs whose target exists carry
     a vector through the second shuffle. Often-cited targets and long
-    reference lists are salted.
+    reference lists are salted. ``max_pairs`` states a known bound on the
+    pairs; up to the floor no key can be hot and none is looked for.
     """
     keys = graph_keys(vertices)
     extra = [c for c in pairs.columns if c not in ("src", "dst", *keys)]
     # Within one graph a key is at most as frequent as among all pairs.
-    hot_dst, hot_src = hot_keys(pairs, "dst", hot_floor), hot_keys(pairs, "src", hot_floor)
+    hot_dst = hot_src = None
+    if max_pairs is None or max_pairs > hot_floor:
+        hot_dst, hot_src = hot_keys(pairs, "dst", hot_floor), hot_keys(pairs, "src", hot_floor)
     if keys and GRAPH_ID not in pairs.columns:
         pairs = _per_graph(pairs, vertices, hot_floor)
     half = lookup_join(pairs, _end(vertices, "dst"), [*keys, "dst"], hot_dst, F.col("src"))
@@ -57,10 +64,14 @@ def weigh(
 
 
 def citation_edges(
-    vertices: DataFrame, citations: DataFrame, min_similarity: float | None = None, hot_floor: int = HOT_FLOOR
+    vertices: DataFrame,
+    citations: DataFrame,
+    min_similarity: float | None = None,
+    hot_floor: int = HOT_FLOOR,
+    max_pairs: int | None = None,
 ) -> DataFrame:
     """Directed citations with both ends among ``vertices``."""
-    edges = weigh(citations.select("src", "dst"), vertices, min_similarity, hot_floor)
+    edges = weigh(citations.select("src", "dst"), vertices, min_similarity, hot_floor, max_pairs)
     return edges.withColumn("edge_type", F.lit("citation"))
 
 
@@ -95,6 +106,7 @@ def star_edges(
     central: str,
     min_similarity: float | None = None,
     hot_floor: int = HOT_FLOOR,
+    max_pairs: int | None = None,
 ) -> DataFrame:
     """Citations among the other vertices plus a star around ``central``.
 
@@ -102,7 +114,7 @@ def star_edges(
     broadcast and its edges never shuffle on it.
     """
     ordinary = citations.where((F.col("src") != central) & (F.col("dst") != central)).select("src", "dst")
-    among = weigh(ordinary, vertices, None, hot_floor).withColumn("edge_type", F.lit("seed_cite"))
+    among = weigh(ordinary, vertices, None, hot_floor, max_pairs).withColumn("edge_type", F.lit("seed_cite"))
 
     ends = _end(vertices, "dst")
     centre = _end(vertices.where(F.col("id") == central), "src")

@@ -27,14 +27,12 @@ from pyspark.sql import types as T
 from ..functions.vectors import norm
 from ..schema import GRAPH_ID, graph_keys
 from .edges import symmetrize
-from .skew import hot_keys, lookup_join
+from .skew import BROADCAST_ROWS, hot_keys, lookup_join
 
 #: Papers per tile.
 TILE_ROWS = 2048
 #: A graph has one cell per tile, up to this many.
 MAX_CELLS = 64
-#: Up to this many rows of per-graph facts are broadcast, more are joined.
-BROADCAST_ROWS = 100_000
 #: Rows of a tile scored at once; bounds the score matrix.
 _STRIP_ROWS = 512
 #: Scores this close to the threshold are summed again in element order.

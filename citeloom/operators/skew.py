@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1000
 #: A key with fewer rows than this is left to one task.
 HOT_FLOOR = 500_000
+#: Up to this many rows a side is broadcast after it has been counted.
+BROADCAST_ROWS = 100_000
 
 
 def hot_keys(rows: DataFrame, key: str, floor: int = HOT_FLOOR) -> DataFrame:
@@ -56,3 +58,19 @@ def lookup_join(
     key = hot.columns[0]
     left = salt_rows(facts, hot, key, spread)
     return left.join(salt_copies(dims, hot, key), [*on, "salt"]).drop("salt")
+
+
+def is_small(rows: DataFrame) -> bool:
+    """Whether ``rows`` may be broadcast; counts no further than the limit."""
+    return rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def join_requests(rows: DataFrame, requests: DataFrame, key: str, spread: Column) -> DataFrame:
+    """Rows joined to the requests for their ``key``.
+
+    Counted few requests are broadcast, so the rows are not shuffled for them;
+    many are joined with salting.
+    """
+    if is_small(requests):
+        return rows.join(F.broadcast(requests), key)
+    return lookup_join(rows, requests, [key], hot_keys(rows, key), spread)

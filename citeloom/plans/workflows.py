@@ -1,7 +1,8 @@
 """The three graph workflows, for one request or for a table of requests.
 
-The vertices a search finds are written to the shared folder once: building
-the edges reads them several times, and the search must not run as often.
+What a search finds is written to the shared folder once: building the edges
+reads it several times, and the search must not run as often. Few vertices are
+counted and broadcast, so a small graph is cut from a huge corpus by scans alone.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import parse_terms
 from ..operators.edges import citation_edges, star_edges
 from ..operators.similarity import similarity_edges
-from ..operators.skew import hot_keys, lookup_join
+from ..operators.skew import hot_keys, is_small, join_requests, lookup_join
 from ..schema import GRAPH_ID, Corpus, Graph
 from ..sources import search
 from ..storage import cut_lineage
@@ -60,12 +61,37 @@ def resolve_central(papers: DataFrame, central: str | None, aliases: DataFrame |
 
 
 def star_or_citation(
-    vertices: DataFrame, citations: DataFrame, central: str | None, min_similarity: float | None = None
+    vertices: DataFrame,
+    citations: DataFrame,
+    central: str | None,
+    min_similarity: float | None = None,
+    max_pairs: int | None = None,
 ) -> DataFrame:
     """Star edges when there is a central paper, citation edges otherwise."""
     if central is None:
-        return citation_edges(vertices, citations, min_similarity)
-    return star_edges(vertices, citations, central, min_similarity)
+        return citation_edges(vertices, citations, min_similarity, max_pairs=max_pairs)
+    return star_edges(vertices, citations, central, min_similarity, max_pairs=max_pairs)
+
+
+def _records_of(papers: DataFrame, members: DataFrame) -> DataFrame:
+    """Records of the papers listed in ``members(paperId[, graph_id])``."""
+    members = cut_lineage(members)
+    if is_small(members):
+        return papers.join(F.broadcast(members), "paperId")
+    spread = F.col(GRAPH_ID) if GRAPH_ID in members.columns else F.col("paperId")
+    return lookup_join(members, papers, ["paperId"], hot_keys(members, "paperId"), spread)
+
+
+def _citations_among(citations: DataFrame, vertices: DataFrame) -> tuple[DataFrame, int | None]:
+    """The citations that can become edges and their number, when the vertices are few."""
+    ids = vertices.select("id").distinct()
+    if not is_small(ids):
+        return citations, None
+    among = citations
+    for end in ("src", "dst"):
+        among = among.join(F.broadcast(ids.withColumnRenamed("id", end)), end, "left_semi")
+    among = cut_lineage(among.select("src", "dst"))
+    return among, among.count()
 
 
 def keyword_graph(
@@ -86,15 +112,17 @@ def keyword_graph(
         added = search.lookup_ids(corpus.papers, [centre])
         hits = hits.where(F.col("paperId") != centre).unionByName(added)
     vertices = cut_lineage(keyword_vertices(hits))
-    return Graph(vertices, star_or_citation(vertices, corpus.citations, centre, min_similarity))
+    citations, n = _citations_among(corpus.citations, vertices)
+    return Graph(vertices, star_or_citation(vertices, citations, centre, min_similarity, n))
 
 
 def keyword_graphs(corpus: Corpus, queries: DataFrame, limit: int | None = search.MAX_PAGE) -> Graph:
     """Citation graphs for ``queries(graph_id, keywords)``, comma-separated keywords."""
     asked = queries.select(GRAPH_ID, parse_terms(F.col("keywords")).alias("terms"))
     hits = search.keyword_hits_many(corpus.papers, asked, limit).drop("score")
-    vertices = cut_lineage(keyword_vertices(corpus.papers.join(hits, "paperId")))
-    return Graph(vertices, citation_edges(vertices, corpus.citations))
+    vertices = cut_lineage(keyword_vertices(_records_of(corpus.papers, hits)))
+    citations, n = _citations_among(corpus.citations, vertices)
+    return Graph(vertices, citation_edges(vertices, citations, max_pairs=n))
 
 
 def paper_id_graph(
@@ -114,16 +142,12 @@ def paper_id_graph(
         keys = []
         seeds = search.lookup_ids(papers, seed_ids).select("paperId")
         outgoing = citations.where(F.col("src").isin(sorted(set(seed_ids))))
-    cited = lookup_join(
-        outgoing, seeds.withColumnRenamed("paperId", "src"), ["src"], hot_keys(outgoing, "src"), F.col("dst"))
+    seeds = cut_lineage(seeds)
+    cited = join_requests(outgoing, seeds.withColumnRenamed("paperId", "src"), "src", F.col("dst"))
     members = seeds.unionByName(cited.select(*keys, F.col("dst").alias("paperId"))).distinct()
-    if keys:
-        # A much cited paper is a member of many graphs.
-        found = lookup_join(members, papers, ["paperId"], hot_keys(members, "paperId"), F.col(GRAPH_ID))
-    else:
-        found = papers.join(members, "paperId", "left_semi")
-    vertices = cut_lineage(citation_vertices(found))
-    return Graph(vertices, citation_edges(vertices, citations, min_similarity))
+    vertices = cut_lineage(citation_vertices(_records_of(papers, members)))
+    among, n = _citations_among(citations, vertices)
+    return Graph(vertices, citation_edges(vertices, among, min_similarity, max_pairs=n))
 
 
 def publication_graph(

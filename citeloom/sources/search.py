@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import has_word, query_words, venue_matches, words
-from ..operators.skew import hot_keys, lookup_join
+from ..operators.skew import join_requests
 from ..schema import GRAPH_ID
 
 # Fixed value: the largest page a search returns.
@@ -18,8 +18,6 @@ MAX_PAGE = 100
 # How many hits a preview lists, and the page it is taken from.
 PREVIEW_ROWS = 5
 PREVIEW_PAGE = 50
-#: Up to this many request rows are broadcast.
-BROADCAST_REQUESTS = 100_000
 
 
 def page(hits: DataFrame, order: Sequence[Column], limit: int | None, offset: int = 0) -> DataFrame:
@@ -50,13 +48,6 @@ def keyword_search(
     return page(keyword_hits(papers, keywords), [F.desc("score"), F.asc("paperId")], limit, offset)
 
 
-def _meet(rows: DataFrame, requests: DataFrame, key: str) -> DataFrame:
-    """Rows joined to the requests for their key; few requests are broadcast, many are salted."""
-    if requests.limit(BROADCAST_REQUESTS + 1).count() <= BROADCAST_REQUESTS:
-        return rows.join(F.broadcast(requests), key)
-    return lookup_join(rows, requests, [key], hot_keys(rows, key), F.col("paperId"))
-
-
 def keyword_hits_many(papers: DataFrame, queries: DataFrame, limit: int | None = MAX_PAGE) -> DataFrame:
     """``(graph_id, paperId, score)`` for a table ``queries(graph_id, terms)``.
 
@@ -67,7 +58,7 @@ def keyword_hits_many(papers: DataFrame, queries: DataFrame, limit: int | None =
     asked = queries.select(GRAPH_ID, F.explode(words(F.array_join("terms", " "))).alias("word")).distinct()
     spoken = papers.select("paperId", F.explode(words(_paper_text())).alias("word"))
     found = (
-        _meet(spoken, asked, "word")
+        join_requests(spoken, asked, "word", F.col("paperId"))
         .groupBy(GRAPH_ID, "paperId")
         .agg(F.count(F.lit(1)).cast("int").alias("score"))
     )
@@ -133,4 +124,5 @@ def publication_search(
 def publication_hits_many(papers: DataFrame, queries: DataFrame) -> DataFrame:
     """Papers with ``graph_id`` for a table ``queries(graph_id, publication, year)``."""
     asked = queries.select(GRAPH_ID, "publication", "year")
-    return _meet(papers, asked, "year").where(venue_matches(F.col("venue"), F.col("publication"))).drop("publication")
+    met = join_requests(papers, asked, "year", F.col("paperId"))
+    return met.where(venue_matches(F.col("venue"), F.col("publication"))).drop("publication")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citeloom import PAPER_SCHEMA, Graph
+from citeloom.operators import skew
 from citeloom.operators.dedup import dedup_papers
 from citeloom.sources import graph_files as files
 from citeloom.sources import records, search
@@ -167,5 +168,5 @@ def test_graph_round_trip(spark, tmp_path):
 def test_many_requests_are_joined_without_broadcast(spark, papers, monkeypatch):
     queries = spark.createDataFrame([("a", ["graph"]), ("b", ["rank"])], "graph_id string, terms array<string>")
     few = sorted(map(tuple, search.keyword_hits_many(papers, queries).collect()))
-    monkeypatch.setattr(search, "BROADCAST_REQUESTS", 1)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 1)
     assert sorted(map(tuple, search.keyword_hits_many(papers, queries).collect())) == few

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from citeloom.operators import skew
 from citeloom.operators.rank import pagerank
 from citeloom.operators.report import viz_edges, viz_nodes
 from citeloom.plans import workflows as flows
@@ -71,7 +72,10 @@ def test_nothing_found_gives_an_empty_graph(corpus):
     assert flows.publication_graph(corpus, "none", 1900).edges.count() == 0
 
 
-def test_one_hop_graph(spark, corpus):
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_one_hop_graph(spark, corpus, monkeypatch, limit):
+    """With few members that are broadcast, and with many that are joined."""
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
     g = flows.paper_id_graph(corpus, ["a", "zz"])
     assert ids(g.vertices) == ["a", "b", "c"]
     assert pairs(g.edges) == [("a", "b"), ("a", "c"), ("b", "a")]
