@@ -72,8 +72,8 @@ def label_propagation(
     """
     vote = F.col("weight").cast(_EXACT) if weighted else F.lit(1).cast(_EXACT)
     links = symmetrize(graph.edges.where(F.col("src") != F.col("dst")).select("src", "dst", vote.alias("vote")))
-    placed = PlacedEdges(links, [], hot_floor)
     vertices = cut_lineage(graph.vertices.select("id"))
+    placed = PlacedEdges(links, vertices, [], hot_floor)
     labels = vertices.withColumn("label", F.col("id"))
     for _ in range(rounds):
         votes = (

@@ -34,7 +34,7 @@ def neighborhood(
     """
     keys = graph_keys(graph.vertices)
     links = symmetrize(graph.edges.select(*keys, "src", "dst"))
-    placed = PlacedEdges(links, keys, hot_floor)
+    placed = PlacedEdges(links, graph.vertices, keys, hot_floor)
     reached = cut_lineage(_ids(graph.vertices, chosen).withColumn("hop", F.lit(0)))
     for hop in range(1, degrees + 1):
         frontier = reached.where(F.col("hop") == hop - 1).select(*keys, "id")

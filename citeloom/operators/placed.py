@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import cut_lineage
-from .skew import HOT_FLOOR, hot_keys, salt_copies, salt_rows
+from . import skew
 
 
 def place(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -24,35 +24,44 @@ def place(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 class PlacedEdges:
-    """Edges partitioned by source, with hot sources split over several tasks.
+    """Edges ready to carry vertex values to their targets again and again.
 
-    The edges are written to the shared folder first, so neither the search
-    for hot sources nor the repair of a lost cache block computes them again.
+    The edges are written to the shared folder first, so neither counting nor
+    the repair of a lost cache block computes them again. A counted small
+    graph is left as it is, and vertex values are broadcast to it. Otherwise
+    edges are partitioned by source, hot sources are split over several tasks,
+    and values come by merge join: the edges stay in place and in order, and
+    nothing passes through the driver.
     """
 
-    def __init__(self, edges: DataFrame, keys: list[str], hot_floor: int = HOT_FLOOR) -> None:
+    def __init__(
+        self, edges: DataFrame, vertices: DataFrame, keys: list[str], hot_floor: int = skew.HOT_FLOOR
+    ) -> None:
         edges = cut_lineage(edges)
-        # Fewer rows than the floor cannot hold a hot source. The list of hot
-        # sources has at most HOT_KEYS rows, so it fits the driver.
-        hot = hot_keys(edges, "src", hot_floor).collect() if edges.count() > hot_floor else []
+        rows = edges.count()
+        #: Whether vertices and edges are few enough to be broadcast.
+        self.small = max(rows, vertices.count()) <= min(skew.BROADCAST_ROWS, hot_floor)
+        #: How vertex values are joined.
+        self.strategy = "broadcast" if self.small else "merge"
         self._on = [*keys, "src"]
         self._hot = None
+        if self.small:
+            self._edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+            return
+        # The list of hot sources has at most HOT_KEYS rows, so it fits the driver.
+        hot = skew.hot_keys(edges, "src", hot_floor).collect() if rows > hot_floor else []
         if hot:
             self._hot = edges.sparkSession.createDataFrame(hot, "src string, fan int")
-            edges = salt_rows(edges, self._hot, "src", F.col("dst"))
+            edges = skew.salt_rows(edges, self._hot, "src", F.col("dst"))
             self._on.append("salt")
         self._edges = place(edges, self._on)
 
     def send(self, values: DataFrame) -> DataFrame:
-        """Each edge with the values of its source vertex ``id``.
-
-        A merge join keeps the edges where they are and in order; a broadcast
-        would pass all values through the driver in every round.
-        """
+        """Each edge with the values of its source vertex ``id``."""
         values = values.withColumnRenamed("id", "src")
         if self._hot is not None:
-            values = salt_copies(values, self._hot, "src")
-        return self._edges.join(values.hint("merge"), self._on)
+            values = skew.salt_copies(values, self._hot, "src")
+        return self._edges.join(values.hint(self.strategy), self._on)
 
     def release(self) -> None:
         self._edges.unpersist()

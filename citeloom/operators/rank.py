@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,17 +39,21 @@ def pagerank(
     over the incoming edges, starting from 1. Weights are used as they are
     unless ``normalize`` is set, so ranks may grow or become negative.
 
-    Vertices and edges are laid out by id once. A round then shuffles only
-    the sums per target, which are combined before the shuffle; an often-cited
-    paper costs one row per task. The result is written to the shared folder.
+    Vertices and edges of a large graph are laid out by id once. A round then
+    shuffles only the sums per target, which are combined before the shuffle;
+    an often-cited paper costs one row per task. The result is written to the
+    shared folder.
     """
     keys = graph_keys(graph.vertices)
     attributes = [c for c in _ATTRIBUTES if c in graph.vertices.columns]
     edges = graph.edges.select(*keys, "src", "dst", "weight")
     if normalize:
         edges = _out_normalized(edges, keys, hot_floor)
-    nodes = place(graph.vertices.select(*keys, "id", *attributes), [*keys, "id"])
-    placed = PlacedEdges(edges, keys, hot_floor) if max_iter > 0 else None
+    nodes = graph.vertices.select(*keys, "id", *attributes)
+    if max_iter == 0:
+        return nodes.select(*keys, "id", F.lit(1.0).alias("rank"), *attributes)
+    placed = PlacedEdges(edges, nodes, keys, hot_floor)
+    nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK) if placed.small else place(nodes, [*keys, "id"])
 
     ranks = nodes.select(*keys, "id", F.lit(1.0).alias("rank"))
     for done in range(1, max_iter + 1):
@@ -58,13 +63,13 @@ def pagerank(
             .agg(F.sum(F.col("rank") * F.col("weight")).alias("inflow"))
         )
         received = F.coalesce("inflow", F.lit(0.0))
-        ranks = nodes.select(*keys, "id").join(inflow.hint("merge"), [*keys, "id"], "left").select(
+        ranks = nodes.select(*keys, "id").join(inflow.hint(placed.strategy), [*keys, "id"], "left").select(
             *keys, "id", (F.lit(reset_prob) + F.lit(1 - reset_prob) * received).alias("rank"))
         if done % checkpoint_every == 0 and done < max_iter:
             ranks = cut_lineage(ranks)
 
-    result = cut_lineage(ranks.hint("merge").join(nodes, [*keys, "id"]).select(*keys, "id", "rank", *attributes))
+    ranked = nodes.join(ranks.hint(placed.strategy), [*keys, "id"])
+    result = cut_lineage(ranked.select(*keys, "id", "rank", *attributes))
     nodes.unpersist()
-    if placed is not None:
-        placed.release()
+    placed.release()
     return result

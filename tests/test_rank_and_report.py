@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from citeloom import Graph
+from citeloom.operators import skew
 from citeloom.operators.rank import pagerank
 from citeloom.operators.report import graph_stats, top_ranked, viz_edges, viz_nodes
 
@@ -45,9 +46,10 @@ def dense(ids, edges, rounds=10, alpha=0.15):
     return dict(zip(ids, rank))
 
 
-@pytest.mark.parametrize("hot_floor", [10**6, 4])
-@pytest.mark.parametrize("checkpoint_every", [3, 100])
-def test_against_a_dense_iteration(graph, hot_floor, checkpoint_every):
+@pytest.mark.parametrize("small,hot_floor,checkpoint_every", [(10**6, 10**6, 3), (0, 10**6, 100), (0, 4, 3)])
+def test_against_a_dense_iteration(graph, monkeypatch, small, hot_floor, checkpoint_every):
+    """Broadcast, placed, and placed with salted sources."""
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", small)
     rng = random.Random(7)
     ids = [f"p{i}" for i in range(30)]
     edges = [("p0", i, rng.uniform(-0.2, 0.2)) for i in ids] + [(i, "p1", 0.1) for i in ids]
@@ -83,6 +85,7 @@ def test_a_round_shuffles_only_the_sums(spark, graph, monkeypatch):
         return real(df)
 
     monkeypatch.setattr(module, "cut_lineage", spy)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
     module.pagerank(graph("abc", [("a", "b", 0.5)]), max_iter=3)
     assert plans[-1].count("ENSURE_REQUIREMENTS") == 3
     assert "Broadcast" not in plans[-1]
