@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -424,8 +425,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_pagerank_top10(spark, "/root/testdata/sf0.001")
 
 
+def _has_pipeline() -> bool:
+    """The subpackage ``llm`` and its pipeline can be taken out; the rest works without them."""
+    return all(importlib.util.find_spec(name) for name in ("citeloom.llm", "corpus_pipeline"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    own = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    if _has_pipeline():
+        import corpus_pipeline
+        from citeloom.llm.queries import QUERIES
+
+        own |= QUERIES | {"pipeline": corpus_pipeline.run}
+    return own
 
 
 # --- SQL ----------------------------------------------------------------------
@@ -560,7 +572,7 @@ def oracle_sql() -> dict[str, str]:
     one_hop = f"""{_EDGES},
 seeds AS (SELECT id FROM papers WHERE id IN ('{"', '".join(SEEDS)}')),
 member AS (SELECT id FROM seeds UNION SELECT c.dst FROM cits c JOIN seeds s ON s.id = c.src)"""
-    return {
+    own = {
         "explode_references": f"WITH {_CITS} SELECT src, dst FROM cits",
         "dedup_papers": f"""WITH {_CITS},
 refs AS (SELECT src, count(*) AS n FROM cits GROUP BY src),
@@ -773,3 +785,9 @@ SELECT round(sum(inside) / (sum(degree) / 2) - sum(degree * degree) / (sum(degre
         "streaming_dedup_edges": f"""WITH {_EDGES}
 SELECT src, dst, round(weight, 6) AS weight, 'citation' AS edge_type FROM cit_edges""",
     }
+    if _has_pipeline():
+        import corpus_pipeline
+        from citeloom.llm.queries import ORACLE_SQL
+
+        own |= ORACLE_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return own
