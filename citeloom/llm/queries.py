@@ -6,15 +6,71 @@ tables and derives the columns of its contract from the operator's result.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from citeloom.llm import curriculum, decontaminate, rule_ledger
+from citeloom.llm import chat_template, curriculum, decontaminate, rule_ledger, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Two capture records for each page: its response, and a later or earlier revisit of its url.
+
+    Times, statuses and validators are made from checksums of the page id, so that
+    every outcome occurs.
+    """
+    c = F.conv(F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), 1, 7), 16, 10).cast("long")
+    base = pages.select("page_id", "url", F.md5("html").alias("md5"), F.octet_length("html").alias("size"), c.alias("c"),
+                        F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 37).alias("at"))
+    tag = F.concat(F.lit('"'), F.substring("md5", 1, 12), F.lit('"'))
+    time = F.date_format("at", "yyyy-MM-dd HH:mm:ss")
+
+    def headers(values: dict) -> F.Column:
+        pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in values.items()])
+        return F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
+
+    response = base.select(
+        (F.col("page_id") * 2).alias("record_id"), "url", F.col("at").alias("captured_at"), F.lit("response").alias("kind"),
+        F.when(F.col("c") % 10 == 0, 206).otherwise(200).alias("status"), F.col("md5").alias("digest"),
+        headers({"content-type": F.lit("text/html"), "content-length": F.col("size"), "date": time,
+                 "etag": F.when(F.col("c") % 4 != 0, tag), "last-modified": F.when(F.col("c") % 3 != 0, time)}).alias("headers"))
+    hours = F.col("c") % 7 - 1
+    other = F.when(F.col("c") % 5 == 0, '"other"').when(F.col("c") % 6 == 1, F.concat(F.lit("W/"), tag)).otherwise(tag)
+    revisit = base.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"), F.concat("url", F.lit("#again")).alias("url"),
+        F.timestamp_seconds(F.unix_timestamp("at") + hours * 3600).alias("captured_at"), F.lit("revisit").alias("kind"),
+        F.lit(304).alias("status"), F.lit(None).cast("string").alias("digest"),
+        headers({"content-length": F.lit("0"), "date": F.date_format(F.timestamp_seconds(
+                     F.unix_timestamp("at") + hours * 3600), "yyyy-MM-dd HH:mm:ss"),
+                 "etag": F.when(F.col("c") % 8 != 0, other), "last-modified": F.when(F.col("c") % 9 != 0, time),
+                 "cache-control": F.lit("max-age=60"), "set-cookie": F.lit("a=1")}).alias("headers"))
+    return response.unionByName(revisit)
+
+
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve_revisits(captures(_table(spark, sf_dir, "pages")))
+    return resolved.select("record_id", "url_key", "ref_record_id", "outcome", "digest",
+                           warc.header_lines("headers").alias("header_lines"))
+
+
+#: The rules of the contract.
+URL_RULES = {
+    "com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block",
+}
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -24,6 +80,33 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digests of formatted conversations, from the formatted text and its loss spans only."""
+    for batch in batches:
+        rows = []
+        for formatted, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            turns = chat_template.read_turns(formatted)
+            loss = chat_template.read_loss(formatted, [(s["start"], s["stop"]) for s in spans])
+            said = "".join(f"{role}\n{text}\n" for role, text in turns)
+            rows.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss),
+                         hashlib.sha256(loss.encode()).hexdigest(), len(formatted)))
+        n, turns, chars, loss, length = zip(*rows, strict=True) if rows else [()] * 5
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(turns, pa.string()), pa.array(chars, pa.int64()),
+             pa.array(loss, pa.string()), pa.array(length, pa.int64())],
+            names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = spark.createDataFrame(
+        [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
+        "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
+    formatted = chat_template.format_conversations(rows)
+    return formatted.mapInArrow(
+        _read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
 def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rule_ledger.apply_policy(rule_ledger.ledger(_table(spark, sf_dir, "documents")))
     base = rule_ledger.mask(rule_ledger.POLICIES["base"])
@@ -32,6 +115,88 @@ def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         (rows["failed"].bitwiseAND(base) != 0).alias("base_failed"), "kept")
 
 
+def _url_sql() -> str:
+    """Each term as a pattern with the same boundaries."""
+    v = url_filter.VOCABULARY
+    hit = "CAST(regexp_matches(u, '(^|[^a-z0-9]){}([^a-z0-9]|$)') AS INTEGER)"
+    strict = " + ".join(hit.format(t) for t in v.strict)
+    soft = " + ".join(hit.format(t) for t, _ in v.soft)
+    weight = " + ".join(f"{w} * {hit.format(t)}" for t, w in v.soft)
+    rules = "\n".join(
+        f"WHEN (host = '{r[:r.index('/')]}' OR ends_with(host, '.{r[:r.index('/')]}')) "
+        f"AND starts_with(path, '{r[r.index('/'):]}') THEN '{r}'" for r in sorted(URL_RULES, key=len, reverse=True))
+    verdicts = " ".join(f"WHEN '{r}' THEN '{x}'" for r, x in URL_RULES.items())
+    return f"""
+WITH p AS (
+  SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS u,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+t AS (SELECT *, CASE {rules} END AS rule, CAST({strict} AS INTEGER) AS n_strict, CAST({soft} AS INTEGER) AS n_soft,
+             CAST({weight} AS INTEGER) AS soft_weight FROM p)
+SELECT page_id, host, path, rule, n_strict, n_soft, soft_weight,
+       CASE rule {verdicts} ELSE CASE WHEN n_strict > 0 OR (n_soft >= {v.min_soft} AND soft_weight >= {v.min_weight})
+         THEN 'block' ELSE 'allow' END END AS verdict
+FROM t"""
+
+
+def _formatted_chars_sql() -> str:
+    """Characters of an escaped text: itself, its backslashes, and one more for each control string."""
+    more = " + ".join(f"(length({{0}}) - length(replace({{0}}, '{c}', ''))) // {len(c)}" for c in chat_template.CONTROLS)
+    return "length({0}) + (length({0}) - length(replace({0}, '\\', ''))) + " + more
+
+
+OP1_SQL = r"""
+WITH base AS (
+  SELECT page_id, url, md5(html) AS md5, strlen(html) AS size, page_id * 37 + 1704067200 AS sec, crc AS c FROM (
+    SELECT *, ('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '')), 1, 7))::BIGINT AS crc FROM pages)),
+keyed AS (
+  SELECT *, regexp_replace(regexp_replace(url, '(?s)#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM base),
+canon AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS front,
+    array_to_string(list_sort([x FOR x IN string_split(regexp_replace(regexp_extract(rest, '(?s)\?(.*)$', 1),
+      '(^|&)(utm_[^=&]*|fbclid|gclid|ref)=[^&]*', '', 'g'), '&') IF x <> '']), '&') AS query FROM keyed),
+k AS (SELECT *, front || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS key,
+             '"' || substr(md5, 1, 12) || '"' AS tag FROM canon),
+resp AS (SELECT key, page_id * 2 AS ref, sec, md5 AS digest, size, strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %H:%M:%S') AS d,
+                CASE WHEN c % 4 <> 0 THEN tag END AS etag,
+                CASE WHEN c % 3 <> 0 THEN strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %H:%M:%S') END AS lm
+         FROM k WHERE c % 10 <> 0),
+rev AS (SELECT key, page_id * 2 + 1 AS record_id, sec + (c % 7 - 1) * 3600 AS sec,
+               strftime(make_timestamp((sec + (c % 7 - 1) * 3600) * 1000000), '%Y-%m-%d %H:%M:%S') AS d,
+               CASE WHEN c % 8 <> 0 THEN CASE WHEN c % 5 = 0 THEN '"other"' WHEN c % 6 = 1 THEN 'W/' || tag ELSE tag END END AS etag,
+               CASE WHEN c % 9 <> 0 THEN strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %H:%M:%S') END AS lm FROM k),
+found AS (
+  SELECT r.record_id, max(struct_pack(sec := s.sec, ref := s.ref)).ref AS ref
+  FROM rev r JOIN resp s ON s.key = r.key AND s.sec < r.sec GROUP BY 1),
+j AS (
+  SELECT r.*, f.ref, s.digest, s.size, s.etag AS s_etag, s.lm AS s_lm,
+         CASE WHEN f.ref IS NULL THEN 'unresolved' ELSE coalesce(
+           CASE WHEN r.etag IS NOT NULL AND s.etag IS NOT NULL THEN
+             CASE WHEN regexp_replace(r.etag, '^W/', '') = regexp_replace(s.etag, '^W/', '') THEN 'resolved' ELSE 'mismatch' END END,
+           CASE WHEN r.lm IS NOT NULL AND s.lm IS NOT NULL THEN
+             CASE WHEN r.lm = s.lm THEN 'resolved' ELSE 'mismatch' END END, 'unchecked') END AS outcome
+  FROM rev r LEFT JOIN found f USING (record_id) LEFT JOIN resp s ON s.ref = f.ref)
+SELECT record_id, key AS url_key, ref AS ref_record_id, outcome,
+       CASE WHEN outcome IN ('resolved', 'unchecked') THEN digest END AS digest,
+       CASE WHEN outcome IN ('resolved', 'unchecked') THEN array_to_string(list_sort([x FOR x IN [
+         'content-type: text/html', 'content-length: ' || size, 'date: ' || d, 'cache-control: max-age=60',
+         'etag: ' || coalesce(etag, s_etag), 'last-modified: ' || coalesce(lm, s_lm)] IF x IS NOT NULL]), chr(10)) END AS header_lines
+FROM j"""
+
+OP7_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+s AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+         CAST(3 + sum({role} + {text} + {frame}) AS BIGINT) AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM s"""
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -104,12 +269,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v"""
 
 QUERIES = {
+    "op1_warc_revisits": op1_warc_revisits,
+    "op2_url_filter": op2_url_filter,
     "op4_decontaminate": op4_decontaminate,
     "op6_mix_sources": op6_mix_sources,
+    "op7_chat_format": op7_chat_format,
     "op9_rule_ledger": op9_rule_ledger,
 }
 
 ORACLE_SQL = {
+    "op1_warc_revisits": OP1_SQL,
+    "op2_url_filter": _url_sql(),
+    "op7_chat_format": OP7_SQL.format(
+        role=_formatted_chars_sql().format("role"), text=_formatted_chars_sql().format("text"),
+        frame=len("<|im_start|><|im_sep|><|im_end|>\n")),
     "op4_decontaminate": OP4_SQL,
     "op6_mix_sources": "WITH " + _MIX_TARGETS.replace("{documents}", "documents") + _MIX_ROWS,
     "op9_rule_ledger": OP9_SQL,
