@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_template, curriculum, decontaminate, rule_ledger, url_filter, warc
+from citeloom.llm import chat_template, curriculum, decontaminate, quality_mil, rule_ledger, toxicity, url_filter, warc
+from citeloom.llm.labels import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,10 +72,24 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_hits", "n_words")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_mil.score(docs, quality_mil.train(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = curriculum.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -271,7 +286,9 @@ FROM v"""
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_url_filter": op2_url_filter,
+    "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
+    "op5_quality": op5_quality,
     "op6_mix_sources": op6_mix_sources,
     "op7_chat_format": op7_chat_format,
     "op9_rule_ledger": op9_rule_ledger,

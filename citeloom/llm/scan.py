@@ -44,20 +44,26 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_MULTIPLIER))
 
 
 class _Powers:
-    """Powers of an odd multiplier and of its inverse, made once in a worker."""
+    """Powers of an odd multiplier and of its inverse; made once in a worker, never sent."""
 
-    table: tuple[np.ndarray, np.ndarray] | None = None
+    def __init__(self) -> None:
+        self.tables: tuple[np.ndarray, np.ndarray] | None = None
 
-    @classmethod
-    def get(cls) -> tuple[np.ndarray, np.ndarray]:
-        if cls.table is None:
+    def __reduce__(self) -> tuple:
+        return _Powers, ()
+
+    def get(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.tables is None:
             def powers(base: int) -> np.ndarray:
                 out = np.ones(PIECE + 1, np.uint64)
                 out[1:] = np.uint64(base)
                 return np.multiply.accumulate(out)
 
-            cls.table = powers(_MULTIPLIER), powers(pow(_MULTIPLIER, -1, 1 << 64))
-        return cls.table
+            self.tables = powers(_MULTIPLIER), powers(pow(_MULTIPLIER, -1, 1 << 64))
+        return self.tables
+
+
+_POWERS = _Powers()
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +113,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One 64-bit hash per span of bytes; spans are in order and don't overlap."""
     out = np.empty(len(starts), np.uint64)
-    power, inverse = _Powers.get()
+    power, inverse = _POWERS.get()
     first = 0
     while first < len(starts):
         last = int(np.searchsorted(ends, starts[first] + PIECE, "right"))
@@ -126,7 +132,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 
 def _long_hash(data: np.ndarray) -> np.uint64:
     """The hash of one span above ``PIECE``; the same in every run."""
-    power, _ = _Powers.get()
+    power, _ = _POWERS.get()
     total = 0
     for k, low in enumerate(range(0, len(data), PIECE)):
         part = data[low : low + PIECE]
