@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_template, curriculum, decontaminate, quality_mil, rule_ledger, toxicity, url_filter, warc
+from citeloom.llm import chat_template, curriculum, dart_minhash, decontaminate, quality_mil, rule_ledger, toxicity, url_filter, warc
 from citeloom.llm.labels import held_out
 
 
@@ -122,6 +122,11 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         _read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = dart_minhash.near_classes(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id")
+
+
 def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rule_ledger.apply_policy(rule_ledger.ledger(_table(spark, sf_dir, "documents")))
     base = rule_ledger.mask(rule_ledger.POLICIES["base"])
@@ -291,6 +296,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_mix_sources": op6_mix_sources,
     "op7_chat_format": op7_chat_format,
+    "op8_dart_minhash": op8_dart_minhash,
     "op9_rule_ledger": op9_rule_ledger,
 }
 
