@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_template, curriculum, dart_minhash, decontaminate, quality_mil, rule_ledger, toxicity, url_filter, warc
+from citeloom.llm import chat_template, compact_windows, curriculum, dart_minhash, decontaminate, quality_mil, rule_ledger, toxicity, url_filter, warc
 from citeloom.llm.labels import held_out
 
 
@@ -135,6 +135,11 @@ def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         (rows["failed"].bitwiseAND(base) != 0).alias("base_failed"), "kept")
 
 
+def op10_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compact_windows.passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "first_doc_id", "start_word", "stop_word")
+
+
 def _url_sql() -> str:
     """Each term as a pattern with the same boundaries."""
     v = url_filter.VOCABULARY
@@ -298,6 +303,7 @@ QUERIES = {
     "op7_chat_format": op7_chat_format,
     "op8_dart_minhash": op8_dart_minhash,
     "op9_rule_ledger": op9_rule_ledger,
+    "op10_compact_windows": op10_compact_windows,
 }
 
 ORACLE_SQL = {
