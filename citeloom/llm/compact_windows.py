@@ -17,8 +17,10 @@ side of ``c``, so equal passages always share a key; similar ones share some of
 Units of one key are joined with one leader, the first document, which is a linear number
 of pairs; pairs are verified on whole segments: of the tokens in 46-token intervals, at
 least 41 must lie in the other segment, and the passage there must have a Jaccard similarity of
-0.8 or more. Where units fail with their leader, the units of that key are compared with each
-other in blocks of 128 inside tasks, so no candidate is left out and no pairs of a group are laid out.
+0.8 or more. A window of a unit that no verified passage covers is
+compared with the same key's windows of all earlier documents: in blocks of 512 windows, inside tasks,
+token by token around ``c``, where 41 of 46 must agree. So no candidate is left out, no pairs of a
+group are laid out as rows, and a task returns at most a row for each of its windows.
 
 The first document (by ``doc_id``) keeps a passage, later ones lose it. Equal texts of 50 words
 or more are whole repeats of their first document.
@@ -48,7 +50,7 @@ THRESHOLD = 0.8
 SEGMENT, OVERLAP = 1024, 128
 SIDE = 22
 FUNCTIONS, MORE = 2, 3
-BLOCK = 128
+BLOCK = 512
 
 _SEEDS = scan.mix(np.arange(101, 101 + FUNCTIONS + MORE + 4, dtype=np.uint64))
 
@@ -87,8 +89,8 @@ def segments(n: int) -> Iterator[tuple[int, int, int]]:
         number, start = number + 1, start + SEGMENT - OVERLAP
 
 
-def window_keys(tokens: np.ndarray, units: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """``(key, unit)`` of the windows of each unit ``(start, stop)``; each pair once."""
+def window_keys(tokens: np.ndarray, units: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(key, unit, place of c in the unit)`` of the windows of each unit ``(start, stop)``; each key of a unit once."""
     centres, owner, function, low, high = [], [], [], [], []
     for f in range(FUNCTIONS):
         hashed = scan.mix(tokens + _SEEDS[f])
@@ -100,10 +102,10 @@ def window_keys(tokens: np.ndarray, units: list[tuple[int, int]]) -> tuple[np.nd
             low += [start] * len(found)
             high += [stop] * len(found)
     if not centres:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
     c, u, f, low, high = (np.array(x, np.int64) for x in (centres, owner, function, low, high))
     more = [scan.mix(tokens + _SEEDS[FUNCTIONS + m]) for m in range(MORE)]
-    keys, units_of = [], []
+    keys, units_of, places = [], [], []
     for side, inside in ((1, c + SIDE < high), (-1, c - SIDE >= low)):
         at = c[inside]
         around = at[:, None] + side * np.arange(1, SIDE + 1)[None, :]
@@ -112,12 +114,13 @@ def window_keys(tokens: np.ndarray, units: list[tuple[int, int]]) -> tuple[np.nd
             key = scan.mix(key + values[around].min(1))
         keys.append(key)
         units_of.append(u[inside])
-    key, unit = np.concatenate(keys), np.concatenate(units_of)
-    order = np.lexsort((key, unit))
-    key, unit = key[order], unit[order]
+        places.append(at - low[inside])
+    key, unit, place = np.concatenate(keys), np.concatenate(units_of), np.concatenate(places)
+    order = np.lexsort((place, key, unit))
+    key, unit, place = key[order], unit[order], place[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (unit[1:] != unit[:-1])
-    return key[new], unit[new]
+    return key[new], unit[new], place[new].astype(np.int32)
 
 
 def _unit_names(nodes: list[bytes], numbers: list[int]) -> np.ndarray:
@@ -145,12 +148,13 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in scan.slices(batch, "text"):
             tokens, spans, rows, _, names = _units(part)
-            key, unit = window_keys(tokens, spans)
+            key, unit, place = window_keys(tokens, spans)
             ends = np.concatenate([[0], np.cumsum(np.bincount(unit, minlength=len(spans)))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)), pa.array(names.view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(key.view(np.int64)))],
-                names=["doc_id", "node", "unit", "keys"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(key.view(np.int64))),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(place))],
+                names=["doc_id", "node", "unit", "key", "place"])
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +180,7 @@ def shared_passages(x: np.ndarray, y: np.ndarray, threshold: float = THRESHOLD)
         if stop - start < TOKENS:
             continue
         shift = order[at[hit]] - hit
-        middle = int(np.median(shift))
+        middle = int(np.sort(shift)[len(shift) // 2])
         close = np.abs(shift - middle) <= max(8, (stop - start) // 5)
         there = order[at[hit]][close]
         own = np.unique(x[start:stop])
@@ -185,7 +189,9 @@ def shared_passages(x: np.ndarray, y: np.ndarray, threshold: float = THRESHOLD)
         if both >= threshold * (len(own) + len(other) - both) - 1e-9:
             out.append((start, stop))
             continue
-        for d in dict.fromkeys([middle, *_frequent(shift)]):
+        # Runs of one token lie on the offset of their first one, which is the largest there.
+        runs = [int(shift[k : k + TOKENS].max()) for k in range(0, len(shift), TOKENS // 2)]
+        for d in dict.fromkeys([middle, *_frequent(shift), *runs]):
             a, b = max(start, -d), min(stop, len(y) - d)
             if b - a >= TOKENS:
                 same = x[a:b] == y[a + d : b + d]
@@ -235,41 +241,56 @@ def _pairs_verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _block_verified(table: pa.Table) -> pa.Table:
-    """Passages of each unit of a block that an earlier document of the block has."""
-    ids, units, nodes, bases = (table.column(c).to_pylist() for c in ("doc_id", "unit", "node", "base"))
-    cells = [np.frombuffer(c.as_buffer(), np.uint64) for c in table.column("tokens")]
-    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0, nodes[i]))
-    distinct = [np.unique(c) for c in cells]
-    _, column = np.unique(np.concatenate(distinct), return_inverse=True)
-    owner = np.repeat(np.arange(len(cells)), [len(d) for d in distinct])
-    by = np.argsort(column, kind="stable")
-    column, owner = column[by], owner[by]
-    shared = np.zeros((len(cells), len(cells)), np.float32)
-    for low in range(0, int(column[-1]) + 1, 4096):
-        a, b = np.searchsorted(column, (low, low + 4096))
-        dense = np.zeros((len(cells), 4096), np.float32)
-        dense[owner[a:b], column[a:b] - low] = 1
-        shared += dense @ dense.T
+    """For each open window of a block, the passage it shares with the first earlier document that has one."""
+    ids, nodes = table.column("first").to_pylist(), table.column("node").to_pylist()
+    bare = table.column("open").to_numpy(zero_copy_only=False)
+    before = table.column("before").to_numpy()
+    hoods = [np.frombuffer(h.as_buffer(), np.uint64) for h in table.column("hood")]
+    n, width = len(hoods), 2 * TOKENS - 1
+    at = before * -1 + TOKENS - 1
+    grid = np.full((n, width), -1, np.int32)
+    _, numbers = np.unique(np.concatenate(hoods), return_inverse=True)
+    ends = np.cumsum([len(h) for h in hoods])
+    for i, h in enumerate(hoods):
+        grid[i, at[i] : at[i] + len(h)] = numbers[ends[i] - len(h) : ends[i]]
+    order = np.array(sorted(range(n), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0, nodes[i])))
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(n)
+    ranked = grid[order]
     rows = []
-    for place, i in enumerate(order):
-        covered = np.zeros(len(cells[i]), bool)
-        for j in order[:place]:
-            if nodes[j] == nodes[i] or shared[i, j] < min(SHARED, len(distinct[i])) or covered.all():
-                continue
-            for s, e in shared_passages(cells[i], cells[j]):
-                if not covered[s:e].all():
-                    covered[s:e] = True
-                    rows.append((units[i], units[j], nodes[i], bases[i], s, e, nodes[j]))
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-    names = ["unit", "source_unit", "node", "base", "start", "stop", "source"]
-    return pa.table({n: pa.array([r[k] for r in rows], t) for k, (n, t) in enumerate(zip(names, kinds, strict=True))})
+    wanted = np.flatnonzero(bare)
+    for low in range(0, len(wanted), 32):
+        some = wanted[low : low + 32]
+        same = (grid[some][:, None, :] == ranked[None, :, :]) & (grid[some] >= 0)[:, None, :]
+        total = np.cumsum(same, 2, dtype=np.int16)
+        best = total[:, :, TOKENS - 1 :].copy()
+        best[:, :, 1:] -= total[:, :, : -TOKENS]
+        good = best.max(2) >= SHARED
+        for k, i in enumerate(some):
+            for r in np.flatnonzero(good[k, : rank[i]]):
+                j = order[r]
+                if nodes[j] == nodes[i]:
+                    continue
+                places = [np.flatnonzero(same[k, r, a:b]) + a for a, b in _dense(same[k, r])]
+                spans = [(int(t[0]), int(t[-1]) + 1) for t in places if t[-1] + 1 - t[0] >= TOKENS]
+                if spans:
+                    rows += [(i, j, a, b) for a, b in spans]
+                    break
+    i, j, start, stop = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 4
+    shift = table.column("place").to_numpy()[i] - (TOKENS - 1)
+    own, other = table.take(pa.array(i)), table.take(pa.array(j))
+    return pa.table({
+        "unit": own.column("unit"), "source_unit": other.column("unit"), "node": own.column("node"), "base": own.column("base"),
+        "start": pa.array((start + shift).astype(np.int32)), "stop": pa.array((stop + shift).astype(np.int32)),
+        "source": other.column("node")})
 
 
 def _blocked(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` with a ``task`` for each pair of blocks of a key of which one has an open window."""
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
     spread = rows.join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("unit"), F.col("n")).cast("int"))
-    return spread.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "unit", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j")).alias("task"))
+    return spread.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn(
+        "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("i", "j", "n")
 
 
 def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -279,8 +300,8 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     noded = docs.select("doc_id", node_of(F.col("text")).alias("node"), "text")
-    keyed = written(noded.mapInArrow(_keyed, f"doc_id {kind}, node binary, unit long, keys array<bigint>"), "windows")
-    spread = keyed.select("unit", F.explode("keys").alias("key"))
+    keyed = written(noded.mapInArrow(_keyed, f"doc_id {kind}, node binary, unit long, key array<bigint>, place array<int>"), "windows")
+    spread = keyed.select("unit", F.inline(F.arrays_zip("key", "place")))
     several = spread.groupBy("key").agg(F.min("unit").alias("l"), F.max("unit").alias("h")).where("l <> h").select("key")
     company = written(spread.join(several, "key").distinct(), "company")
 
@@ -297,17 +318,24 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     owned = written(company.join(owners, "unit"), "owned")
     leaders = owned.groupBy("key").agg(F.min(rank).alias("r")).select(
         "key", F.col("r.unit").alias("leader"), F.col("r.node").alias("leader_node"))
-    led = written(owned.join(leaders, "key").where("node <> leader_node").select("key", "unit", "node", "leader"), "led")
+    led = written(owned.join(leaders, "key").where("node <> leader_node").select(
+        "key", "unit", "place", "node", "first", "leader"), "led")
     x = contents.select("unit", "node", "base", F.col("tokens").alias("x"))
     y = contents.select(F.col("unit").alias("leader"), F.col("node").alias("source"), F.col("tokens").alias("y"))
     pairs = led.select("unit", "leader").distinct().join(x, "unit").join(y, "leader").where("node <> source")
     found = written(pairs.select("unit", "leader", "node", "source", "base", "x", "y").mapInArrow(_pairs_verified, _FOUND), "found")
 
-    failed = led.join(found.select("unit", F.col("source_unit").alias("leader")).distinct(), ["unit", "leader"], "left_anti")
-    torn = led.join(failed.select("key").distinct(), "key", "left_semi").groupBy("key").agg(
-        F.min("node").alias("l"), F.max("node").alias("h")).where("l <> h").select("key")
-    tasks = _blocked(led.select("key", "unit").join(torn, "key").distinct(), block).distinct().join(contents, "unit")
-    rest = written(tasks.groupBy("task").applyInArrow(_block_verified, _FOUND), "rest")
+    covered = led.join(found.select("unit", "node", "start", "stop").distinct(), ["unit", "node"]).where(
+        "start <= place AND place < stop").select("key", "unit", "node").distinct().withColumn("done", F.lit(True))
+    marked = written(led.join(covered, ["key", "unit", "node"], "left").withColumn("open", F.col("done").isNull()).drop("done"), "marked")
+    torn = marked.groupBy("key").agg(F.min("node").alias("l"), F.max("node").alias("h"), F.max("open").alias("o")).where(
+        "l <> h AND o").select("key")
+    tasks = _blocked(marked.join(torn, "key").select("key", "unit", "place", "node", "first", "open"), block)
+    hood_start = F.greatest(F.col("place") - (TOKENS - 1), F.lit(0))
+    hoods = tasks.join(contents.select("unit", "node", "base", "tokens"), ["unit", "node"]).select(
+        "task", "unit", "node", "first", "base", "place", "open", (F.col("place") - hood_start).alias("before"),
+        F.substring("tokens", hood_start * 8 + 1, (F.col("place") + TOKENS - hood_start) * 8).alias("hood"))
+    rest = written(hoods.groupBy("task").applyInArrow(_block_verified, _FOUND), "rest")
 
     words = found.unionByName(rest).join(
         firsts.select(F.col("node").alias("source"), F.col("first").alias("source_id")), "source").select(
