@@ -394,10 +394,10 @@ def remove_passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     @F.udf("string", useArrow=True)
     def cut(text, spans):
-        return cut_words(text, [(s["start_word"], s["stop_word"]) for s in spans])
+        return cut_words(text, [(s["start_word"], s["stop_word"]) for s in spans or ()])
 
     touched = F.col("__spans").isNotNull()
-    cleaned = marked.withColumn("text", F.when(touched, cut("text", "__spans")).otherwise(F.col("text")))
+    cleaned = marked.withColumn("text", F.when(touched, cut(F.when(touched, F.col("text")), "__spans")).otherwise(F.col("text")))
     left = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), _GAP), "")) > 0
     kept = cleaned.where(~touched | left)
     if "n_chars" in docs.columns:

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from citeloom.llm import scan
 from citeloom.llm.labels import class_counts, training_sample
@@ -200,23 +201,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
     return fit(bags, y, shift)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score``, that replaces a column of this name."""
-    columns = [c for c in docs.columns if c.lower() != "score"]
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name`` of scores, that replaces one of this name."""
+    columns = [c for c in docs.columns if c.lower() != name.lower()]
     kept = docs.select(*columns)
     place = columns.index("text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in scan.slices(batch, "text"):
                 made = model.score(*encode(part.column(place)))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.float64())], names=[*columns, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.float64())], names=[*columns, name])
 
-    return kept.mapInArrow(scored, f"{schema}, score double")
+    return kept.mapInArrow(scored, StructType([*kept.schema.fields, StructField(name, DoubleType())]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents that score at least ``threshold``; columns as they came."""
-    scored = score(docs.select("doc_id", F.col("text"), F.struct(*docs.columns).alias("__row")), train(docs, labels))
-    return scored.where(F.col("score") >= threshold).select("__row.*")
+    return score(docs, train(docs, labels), "__score").where(F.col("__score") >= threshold).select(*docs.columns)

@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.llm import curriculum, decontaminate
+from citeloom.llm import compact_windows, curriculum, dart_minhash, decontaminate, quality_mil
 from citeloom.storage import scratch_path
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the passage classifier scores below 0.3 go."""
+    return quality_mil.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each class of near duplicates stays."""
+    return dart_minhash.keep_first(docs)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document has go."""
+    return compact_windows.remove_passages(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold much of a benchmark item go."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -19,11 +34,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", drop_low_quality),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("substring dedup", cut_repeated_passages),
     ("benchmark decontamination", drop_contaminated),
     ("mixing sources to target weights", mix_sources),
 ]
 
-#: Several stages have no SQL form; tests/llm holds them against brute force.
+#: A learnt model, similarity classes and their passages have no SQL form; tests/llm holds them against brute force.
 ORACLE_SQL = None
 
 
