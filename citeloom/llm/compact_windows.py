@@ -147,24 +147,27 @@ def _units(part: pa.RecordBatch) -> tuple[np.ndarray, list[tuple[int, int]], np.
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in scan.slices(batch, "text"):
-            tokens, spans, rows, _, names = _units(part)
+            tokens, spans, rows, bases, names = _units(part)
             key, unit, place = window_keys(tokens, spans)
             ends = np.concatenate([[0], np.cumsum(np.bincount(unit, minlength=len(spans)))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)), pa.array(names.view(np.int64)),
+                 pa.array([base + b - a for base, (a, b) in zip(bases, spans, strict=True)], pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(key.view(np.int64))),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(place))],
-                names=["doc_id", "node", "unit", "key", "place"])
+                names=["doc_id", "node", "unit", "stop", "key", "place"])
 
 
+#: Tokens are compared by 32 bits of their hashes: two that differ meet with a chance of 2e-10, and 41 must agree.
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in scan.slices(batch, "text"):
             tokens, spans, rows, bases, names = _units(part)
-            packed = [tokens[a:b].tobytes() for a, b in spans]
+            short = (tokens >> np.uint64(32)).astype(np.uint32)
+            packed = [short[a:b].tobytes() for a, b in spans]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)), pa.array(names.view(np.int64)),
-                 pa.array(bases, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "node", "unit", "base", "tokens"])
+                [part.column(1).take(pa.array(rows)), pa.array(names.view(np.int64)), pa.array(bases, pa.int64()),
+                 pa.array(packed, pa.binary())], names=["node", "unit", "base", "tokens"])
 
 
 def shared_passages(x: np.ndarray, y: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
@@ -231,7 +234,7 @@ def _pairs_verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         rows = []
         unit, leader, node, other, base, x, y = (batch.column(i) for i in range(7))
         for i in range(batch.num_rows):
-            a, b = (np.frombuffer(v[i].as_buffer(), np.uint64) for v in (x, y))
+            a, b = (np.frombuffer(v[i].as_buffer(), np.uint32) for v in (x, y))
             rows += [(i, s, e) for s, e in shared_passages(a, b)]
         at = pa.array([r[0] for r in rows], pa.int64())
         yield pa.RecordBatch.from_arrays(
@@ -245,7 +248,7 @@ def _block_verified(table: pa.Table) -> pa.Table:
     ids, nodes = table.column("first").to_pylist(), table.column("node").to_pylist()
     bare = table.column("open").to_numpy(zero_copy_only=False)
     before = table.column("before").to_numpy()
-    hoods = [np.frombuffer(h.as_buffer(), np.uint64) for h in table.column("hood")]
+    hoods = [np.frombuffer(h.as_buffer(), np.uint32) for h in table.column("hood")]
     n, width = len(hoods), 2 * TOKENS - 1
     at = before * -1 + TOKENS - 1
     grid = np.full((n, width), -1, np.int32)
@@ -293,6 +296,10 @@ def _blocked(rows: DataFrame, block: int) -> DataFrame:
         "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("i", "j", "n")
 
 
+def _row_key(doc_id: Column, node: Column) -> Column:
+    return F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), F.hex(node)))
+
+
 def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """``(doc_id, node, start_word, stop_word, first_doc_id)``: what each document repeats of an earlier one.
 
@@ -300,26 +307,28 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     noded = docs.select("doc_id", node_of(F.col("text")).alias("node"), "text")
-    keyed = written(noded.mapInArrow(_keyed, f"doc_id {kind}, node binary, unit long, key array<bigint>, place array<int>"), "windows")
+    keyed = written(noded.mapInArrow(
+        _keyed, f"doc_id {kind}, node binary, unit long, stop long, key array<bigint>, place array<int>"), "windows")
     spread = keyed.select("unit", F.inline(F.arrays_zip("key", "place")))
     several = spread.groupBy("key").agg(F.min("unit").alias("l"), F.max("unit").alias("h")).where("l <> h").select("key")
     company = written(spread.join(several, "key").distinct(), "company")
 
-    firsts = written(docs.select("doc_id", node_of(F.col("text")).alias("node")).groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.count("*").alias("copies")), "firsts")
+    firsts = written(keyed.groupBy("node").agg(
+        F.min("doc_id").alias("first"), (F.max("stop") + (SHINGLE - 1)).alias("n_words")), "firsts")
     owners = keyed.select("unit", "node").distinct().join(company.select("unit").distinct(), "unit").join(firsts, "node")
-    owners = written(owners.select("unit", "node", "first"), "owners")
-    met = owners.select(F.col("node").alias("__node"), F.col("first").alias("__first")).distinct()
-    texts = noded.join(met, (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__first")))
-    contents = written(texts.select("doc_id", "node", "text").mapInArrow(
-        _contents, f"doc_id {kind}, node binary, unit long, base long, tokens binary"), "contents").dropDuplicates(["unit", "node"])
-
+    owned = written(company.join(owners.select("unit", "node", "first"), "unit"), "owned")
     rank = F.struct(F.col("first").isNull(), "first", "node", "unit")
-    owned = written(company.join(owners, "unit"), "owned")
     leaders = owned.groupBy("key").agg(F.min(rank).alias("r")).select(
-        "key", F.col("r.unit").alias("leader"), F.col("r.node").alias("leader_node"))
-    led = written(owned.join(leaders, "key").where("node <> leader_node").select(
-        "key", "unit", "place", "node", "first", "leader"), "led")
+        "key", F.col("r.unit").alias("leader"), F.col("r.node").alias("leader_node"), F.col("r.first").alias("leader_first"))
+    led = written(owned.join(leaders, "key").where("node <> leader_node"), "led")
+    met = led.select(_row_key(F.col("first"), F.col("node")).alias("row_key")).union(
+        led.select(_row_key(F.col("leader_first"), F.col("leader_node")))).distinct()
+    texts = noded.select(_row_key(F.col("doc_id"), F.col("node")).alias("row_key"), "node", "text").join(
+        met, "row_key").dropDuplicates(["row_key"])
+    needed = led.select("unit").union(led.select("leader")).distinct()
+    contents = written(texts.select("row_key", "node", "text").mapInArrow(
+        _contents, "node binary, unit long, base long, tokens binary").join(needed, "unit"), "contents")
+
     x = contents.select("unit", "node", "base", F.col("tokens").alias("x"))
     y = contents.select(F.col("unit").alias("leader"), F.col("node").alias("source"), F.col("tokens").alias("y"))
     pairs = led.select("unit", "leader").distinct().join(x, "unit").join(y, "leader").where("node <> source")
@@ -334,7 +343,7 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     hood_start = F.greatest(F.col("place") - (TOKENS - 1), F.lit(0))
     hoods = tasks.join(contents.select("unit", "node", "base", "tokens"), ["unit", "node"]).select(
         "task", "unit", "node", "first", "base", "place", "open", (F.col("place") - hood_start).alias("before"),
-        F.substring("tokens", hood_start * 8 + 1, (F.col("place") + TOKENS - hood_start) * 8).alias("hood"))
+        F.substring("tokens", hood_start * 4 + 1, (F.col("place") + TOKENS - hood_start) * 4).alias("hood"))
     rest = written(hoods.groupBy("task").applyInArrow(_block_verified, _FOUND), "rest")
 
     words = found.unionByName(rest).join(
@@ -349,14 +358,11 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         F.min("start_word").alias("start_word"), F.max("stop_word").alias("stop_word"), F.min("source_id").alias("first_doc_id"))
     own = firsts.join(merged, "node").select(
         F.col("first").alias("doc_id"), "node", "start_word", "stop_word", "first_doc_id")
-    copied = firsts.where("copies > 1").select(F.col("node").alias("__node"), "first")
-    whole = noded.select("doc_id", "node", "text").join(copied, F.col("node") == F.col("__node"))
     place = F.row_number().over(Window.partitionBy("node", "doc_id").orderBy("node"))
-    n_words = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), _GAP), ""))
     copies = (
-        whole.select("doc_id", "node", "first", n_words.cast("long").alias("n")).where(F.col("n") >= TOKENS + SHINGLE - 1)
-        .withColumn("place", place).where(~F.col("doc_id").eqNullSafe(F.col("first")) | (F.col("place") > 1))
-        .select("doc_id", "node", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("stop_word"),
+        docs.select("doc_id", node_of(F.col("text")).alias("node")).join(firsts, "node").withColumn("place", place)
+        .where(~F.col("doc_id").eqNullSafe(F.col("first")) | (F.col("place") > 1))
+        .select("doc_id", "node", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("stop_word"),
                 F.col("first").alias("first_doc_id")))
     return own.unionByName(copies)
 
