@@ -26,7 +26,8 @@ The first document (by ``doc_id``) keeps a passage, later ones lose it. Equal te
 or more are whole repeats of their first document.
 
 Defined cases: null counts as the empty text; texts under 50 words have no passage; repeats
-inside one document aren't looked for; null ids come after all others.
+inside one document aren't looked for; null ids come after all others; rows of equal id and text are
+one document, of which :func:`remove_passages` leaves one row.
 """
 
 from __future__ import annotations
@@ -358,10 +359,9 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         F.min("start_word").alias("start_word"), F.max("stop_word").alias("stop_word"), F.min("source_id").alias("first_doc_id"))
     own = firsts.join(merged, "node").select(
         F.col("first").alias("doc_id"), "node", "start_word", "stop_word", "first_doc_id")
-    place = F.row_number().over(Window.partitionBy("node", "doc_id").orderBy("node"))
     copies = (
-        docs.select("doc_id", node_of(F.col("text")).alias("node")).join(firsts, "node").withColumn("place", place)
-        .where(~F.col("doc_id").eqNullSafe(F.col("first")) | (F.col("place") > 1))
+        docs.select("doc_id", node_of(F.col("text")).alias("node")).distinct().join(firsts, "node")
+        .where(~F.col("doc_id").eqNullSafe(F.col("first")))
         .select("doc_id", "node", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("stop_word"),
                 F.col("first").alias("first_doc_id")))
     return own.unionByName(copies)
@@ -392,11 +392,12 @@ def remove_passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     A text that has no word left goes with its document; ``n_chars``, where there is one, follows the text.
     """
     found = passages(docs, block)
-    spans = found.groupBy("doc_id", "node").agg(
-        F.collect_set(F.struct("start_word", "stop_word")).alias("__spans"), F.count("*").alias("__n")).select(
-        F.col("doc_id").alias("__doc"), F.col("node").alias("__node"), "__spans", "__n")
-    marked = docs.withColumn("__own", node_of(F.col("text"))).join(
-        spans, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__node")), "left")
+    spans = found.groupBy(_row_key(F.col("doc_id"), F.col("node")).alias("__key")).agg(
+        F.collect_set(F.struct("start_word", "stop_word")).alias("__spans"))
+    keyed = docs.withColumn("__key", _row_key(F.col("doc_id"), node_of(F.col("text"))))
+    # The window keeps the order that the join has made.
+    once = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    marked = keyed.join(spans, "__key", "left").withColumn("__once", once).where("__once = 1")
 
     @F.udf("string", useArrow=True)
     def cut(text, spans):
