@@ -11,14 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.storage import scratch_path
+from citeloom.storage import release, scratch_path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder; lost executors don't lose it."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    table.scratch = path
+    return table
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -44,7 +46,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(ordered, "edges")
     before, after = None, _print(now)
     while before != after and after[0]:
-        now = written(_small_star(_large_star(now)), "edges")
+        last, now = now, written(_small_star(_large_star(now)), "edges")
+        release(last)
         before, after = after, _print(now)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

@@ -78,8 +78,11 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
     stored = rows.where(full).groupBy(F.col("record_id").alias("ref")).agg(
         F.max_by(F.struct("digest", F.col("headers").alias("stored")), F.coalesce("digest", F.lit(""))).alias("s"))
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    # Rows without an earlier response all have a null key; the spread keeps them out of one task.
+    spread = F.when(F.col("ref").isNull(), F.pmod(F.xxhash64("record_id"), F.lit(4096))).otherwise(0)
     joined = (
-        revisits.join(latest, ["key", "captured_at"], "left").join(stored, "ref", "left")
+        revisits.join(latest, ["key", "captured_at"], "left").withColumn("spread", spread)
+        .join(stored.withColumn("spread", F.lit(0).cast("long")), ["ref", "spread"], "left")
         .withColumn("own", F.coalesce("own", none)).withColumn("stored", F.coalesce("s.stored", none))
         .withColumn("digest", F.col("s.digest")))
 
