@@ -13,7 +13,7 @@ from citeloom.functions.text import join_terms, parse_terms, publication_query
 from citeloom.functions.vectors import cosine
 from citeloom.operators.community import connected_components, label_propagation, modularity
 from citeloom.operators.dedup import dedup_papers
-from citeloom.operators.edges import citation_edges, hub_edges, mixed_edges, star_edges
+from citeloom.operators.edges import assert_unique, citation_edges, hub_edges, mixed_edges, star_edges
 from citeloom.operators.hetero import coauthor_edges, hub_nodes, related_papers, venue_edges
 from citeloom.operators.neighborhood import (
     induced_subgraph,
@@ -23,7 +23,7 @@ from citeloom.operators.neighborhood import (
 )
 from citeloom.operators.rank import pagerank
 from citeloom.operators.report import graph_stats, top_ranked, viz_edges, viz_nodes
-from citeloom.operators.similarity import similarity_edges, similarity_pairs
+from citeloom.operators.similarity import similarity_pairs
 from citeloom.plans import workflows as flows
 from citeloom.sources import graph_files as files
 from citeloom.sources import records, search
@@ -38,6 +38,7 @@ ABSENT = "999999"
 SEEDS = ["1", "2", "3"]
 PUBLICATION, YEAR = "SRC1", 1998
 MIN_SIMILARITY = 0.2
+CLOSE = 0.05
 
 
 def _r(column: str | Column, name: str) -> Column:
@@ -54,6 +55,18 @@ def _citation_graph(spark: SparkSession, d: str) -> Graph:
     return Graph(vertices, citation_edges(vertices, corpus.citations))
 
 
+def _year_vertices(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The papers of each year as a graph of its own."""
+    corpus = sample_corpus(spark, d)
+    papers = corpus.papers.where("year IS NOT NULL").withColumn(GRAPH_ID, F.col("year").cast("string"))
+    return flows.citation_vertices(papers), corpus.citations
+
+
+def _year_graphs(spark: SparkSession, d: str) -> Graph:
+    vertices, citations = _year_vertices(spark, d)
+    return Graph(vertices, citation_edges(vertices, citations))
+
+
 def _star_graph(spark: SparkSession, d: str) -> Graph:
     corpus = sample_corpus(spark, d)
     vertices = flows.publication_vertices(corpus.papers)
@@ -102,7 +115,7 @@ def q_keyword_search(spark, d):
 
 
 def q_search_page(spark, d):
-    hits = search.keyword_search(sample_corpus(spark, d).papers, "the", limit=200, offset=50)
+    hits = search.search_page(sample_corpus(spark, d).papers, "the", limit=200, offset=50)
     return hits.select(F.col("paperId").alias("id"), "score")
 
 
@@ -133,7 +146,8 @@ def q_lookup_ids(spark, d):
 
 
 def q_missing_ids(spark, d):
-    missing = search.missing_ids(sample_corpus(spark, d).papers, _cited_ids(spark, d))
+    spread = _cited_ids(spark, d).select((F.col("paperId").cast("long") * 10).cast("string").alias("paperId"))
+    missing = search.missing_ids(sample_corpus(spark, d).papers, spread)
     return missing.select(F.col("paperId").alias("id"))
 
 
@@ -155,6 +169,11 @@ def q_ingest_json(spark, d):
     )
 
 
+def q_lookup_ids_strict(spark, d):
+    found = search.lookup_ids_strict(sample_corpus(spark, d).papers, SEEDS)
+    return found.select(F.col("paperId").alias("id"), "title")
+
+
 def q_parse_json_column(spark, d):
     props = table(spark, d, "embeddings").select(
         F.to_json(F.struct(F.col("vec_id").alias("paperId"), F.col("label").cast("string").alias("year"),
@@ -200,6 +219,24 @@ def q_star_edges(spark, d):
     return _rounded(_star_graph(spark, d).edges, "weight")
 
 
+def q_star_edges_by_graph(spark, d):
+    vertices, citations = _year_vertices(spark, d)
+    centres = vertices.where("vector IS NOT NULL").groupBy(GRAPH_ID).agg(F.min("id").alias("id"))
+    return _rounded(star_edges(vertices, citations, centres), "weight")
+
+
+def q_star_of_known_paper(spark, d):
+    corpus = sample_corpus(spark, d)
+    vertices = flows.citation_vertices(corpus.papers)
+    aliases = corpus.papers.select(F.concat(F.lit("ARXIV:"), "paperId").alias("alias"), "paperId")
+    centre = flows.resolve_central(corpus.papers, f"ARXIV:{CENTRAL}", aliases)
+    return _rounded(flows.star_or_citation(vertices, corpus.citations, centre), "weight")
+
+
+def q_unique_vertices(spark, d):
+    return assert_unique(flows.citation_vertices(sample_papers(spark, d))).select("id", "year")
+
+
 def q_star_fallback(spark, d):
     return q_star_edges(spark, d).where("edge_type = 'fallback'").select("src", "dst", "weight")
 
@@ -236,6 +273,13 @@ def q_keyword_graphs(spark, d):
     return _rounded(flows.keyword_graphs(sample_corpus(spark, d), asked, limit=None).edges, "weight")
 
 
+def q_keyword_star_graphs(spark, d):
+    asked = spark.createDataFrame(
+        [("g1", "tion", CENTRAL), ("g2", ", ".join(KEYWORDS), ABSENT), ("g3", "the, tion", None)],
+        "graph_id string, keywords string, central string")
+    return _rounded(flows.keyword_graphs(sample_corpus(spark, d), asked).edges, "weight")
+
+
 def q_one_hop_vertices(spark, d):
     return flows.paper_id_graph(sample_corpus(spark, d), SEEDS).vertices.select("id", "title", "year")
 
@@ -251,12 +295,13 @@ def q_one_hop_graphs(spark, d):
 
 
 def q_similarity_pairs(spark, d):
-    vertices = flows.citation_vertices(sample_papers(spark, d))
-    return _rounded(similarity_pairs(vertices, MIN_SIMILARITY), "weight")
+    papers = sample_papers(spark, d).where("year IS NOT NULL").withColumn(
+        GRAPH_ID, F.concat_ws("|", F.coalesce("venue", F.lit("")), "year"))
+    return _rounded(similarity_pairs(flows.publication_vertices(papers), MIN_SIMILARITY), "weight")
 
 
 def q_similarity_edges(spark, d):
-    return _rounded(flows.venue_year_graphs(sample_corpus(spark, d)).edges, "weight")
+    return _rounded(flows.venue_year_graphs(sample_corpus(spark, d), MIN_SIMILARITY).edges, "weight")
 
 
 def q_publication_graph_edges(spark, d):
@@ -271,9 +316,9 @@ def q_publication_graphs(spark, d):
 
 
 def q_mixed_graph_edges(spark, d):
-    graph = _citation_graph(spark, d)
-    similar = similarity_edges(graph.vertices, MIN_SIMILARITY)
-    return _rounded(mixed_edges(graph.edges, similar), "weight")
+    corpus = sample_corpus(spark, d)
+    similar = flows.venue_year_graphs(corpus, MIN_SIMILARITY).edges.select("src", "dst", "weight")
+    return _rounded(mixed_edges(_citation_graph(spark, d).edges, similar), "weight")
 
 
 def q_coauthor_edges(spark, d):
@@ -317,6 +362,16 @@ def q_pagerank_normalized(spark, d):
     return _rounded(pagerank(g, normalize=True).select(GRAPH_ID, "id", "rank"), "rank")
 
 
+def q_pagerank_citation_normalized(spark, d):
+    g = _citation_graph(spark, d)
+    close = Graph(g.vertices, g.edges.where(F.col("weight") >= CLOSE))
+    return _rounded(pagerank(close, normalize=True).select("id", "rank"), "rank")
+
+
+def q_pagerank_salted(spark, d):
+    return _rounded(pagerank(_star_graph(spark, d), hot_floor=50).select("id", "rank"), "rank")
+
+
 def q_pagerank_top10(spark, d):
     return _rounded(top_ranked(pagerank(_citation_graph(spark, d))).select("position", "id", "rank", "title"), "rank")
 
@@ -385,6 +440,20 @@ def q_modularity(spark, d):
     return _rounded(modularity(g, labels), "modularity")
 
 
+def q_components_by_graph(spark, d):
+    return connected_components(_year_graphs(spark, d))
+
+
+def q_labels_by_graph(spark, d):
+    return label_propagation(_year_graphs(spark, d), rounds=4)
+
+
+def q_modularity_by_graph(spark, d):
+    g = _year_graphs(spark, d)
+    labels = g.vertices.select(GRAPH_ID, "id", (F.col("id").cast("long") % 3).cast("string").alias("label"))
+    return _rounded(modularity(g, labels), "modularity")
+
+
 # --- storage and streams ------------------------------------------------------
 
 
@@ -406,18 +475,30 @@ def q_load_year_pruned(spark, d):
     return files.read_vertices(spark, root, years=[YEAR])
 
 
-def q_streaming_dedup_edges(spark, d):
+def _streamed_edges(spark: SparkSession, d: str, arriving: DataFrame, known: DataFrame, citations: DataFrame) -> DataFrame:
+    """Edges that a stream of records, all sent twice in four files, adds to a graph."""
     start = F.lit("2024-01-01").cast("timestamp")
-    first = sample_records(spark, d).withColumn(
-        "ingest_ts", start + F.make_dt_interval(mins=F.col("paperId").cast("int")))
-    again = first.withColumn("ingest_ts", F.col("ingest_ts") + F.make_dt_interval(hours=F.lit(1)))
-    inbox = scratch_path(spark, "inbox")
+    first = arriving.withColumn("ingest_ts", start + F.make_dt_interval(mins=F.col("paperId").cast("int")))
+    again = first.withColumn("ingest_ts", F.col("ingest_ts") + F.make_dt_interval(days=F.lit(30)))
+    inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "stream")
     first.unionByName(again).repartitionByRange(4, "ingest_ts").write.json(inbox)
-    vertices = flows.citation_vertices(sample_papers(spark, d))
-    out = scratch_path(spark, "stream")
     stream = updates.read_paper_stream(spark, inbox, max_files=1)
-    updates.append_edges(stream, vertices, f"{out}/edges", f"{out}/progress", delay="7 days").awaitTermination()
-    return _rounded(updates.read_appended_edges(spark, f"{out}/edges"), "weight")
+    updates.append_papers(stream, known, out, f"{out}/progress", citations).awaitTermination()
+    return updates.read_appended_edges(spark, out)
+
+
+def q_streaming_dedup_edges(spark, d):
+    vertices = flows.citation_vertices(sample_papers(spark, d))
+    nothing = sample_corpus(spark, d).citations.limit(0)
+    return _rounded(_streamed_edges(spark, d, sample_records(spark, d), vertices.limit(0), nothing), "weight")
+
+
+def q_streaming_new_papers(spark, d):
+    later = F.col("paperId").cast("long") % 2 == 1
+    known = flows.citation_vertices(sample_papers(spark, d).where(~later))
+    citations = sample_corpus(spark, d).citations.where(F.col("src").cast("long") % 2 == 0)
+    added = _streamed_edges(spark, d, sample_records(spark, d).where(later), known, citations)
+    return _rounded(citation_edges(known, citations).unionByName(added), "weight")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -444,21 +525,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _PAPERS = """
 papers AS (
-  SELECT CAST(e.vec_id AS VARCHAR) AS id, substr(d.text, 1, 80) AS title, d.text AS abstract,
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS id, string_split(d.text, chr(10))[1] AS title, d.text AS abstract,
          d.source AS venue, CAST(year(o.o_orderdate) AS INTEGER) AS year,
-         CAST(e.embedding AS DOUBLE[]) AS vector, substr(d.text, 1, 40) AS tldr
-  FROM embeddings e
-  LEFT JOIN documents d ON d.doc_id = e.vec_id
-  LEFT JOIN orders o ON o.o_orderkey = e.vec_id)"""
+         CAST(e.embedding AS DOUBLE[]) AS vector, string_split(d.text, chr(10))[-1] AS tldr
+  FROM orders o
+  LEFT JOIN documents d ON d.doc_id = o.o_orderkey
+  LEFT JOIN embeddings e ON e.vec_id = o.o_orderkey)"""
 
 _CITS = _PAPERS + """,
 cits AS (
   SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS src, CAST(l_partkey AS VARCHAR) AS dst
-  FROM lineitem WHERE l_orderkey IN (SELECT vec_id FROM embeddings))"""
+  FROM lineitem)"""
 
 _EDGES = _CITS + """,
 cit_edges AS (
-  SELECT c.src, c.dst, list_cosine_similarity(a.vector, b.vector) AS weight
+  SELECT c.src, c.dst, coalesce(list_cosine_similarity(a.vector, b.vector), 0) AS weight
   FROM cits c JOIN papers a ON a.id = c.src JOIN papers b ON b.id = c.dst)"""
 
 
@@ -473,7 +554,7 @@ raw AS (
     AND id NOT IN (SELECT dst FROM cits WHERE src = '{CENTRAL}')
     AND id NOT IN (SELECT src FROM cits WHERE dst = '{CENTRAL}')),
 star AS (
-  SELECT r.src, r.dst, list_cosine_similarity(a.vector, b.vector) AS weight, r.edge_type
+  SELECT r.src, r.dst, coalesce(list_cosine_similarity(a.vector, b.vector), 0) AS weight, r.edge_type
   FROM raw r JOIN papers a ON a.id = r.src JOIN papers b ON b.id = r.dst
   WHERE r.src IN (SELECT id FROM seed) AND r.dst IN (SELECT id FROM seed))"""
 
@@ -489,8 +570,8 @@ grouped AS (
 def _venue_year_edges(threshold: float) -> str:
     return _VENUE_YEAR + f""",
 pairs AS (
-  SELECT a.graph_id, a.id AS src, b.id AS dst, list_cosine_similarity(a.vector, b.vector) AS weight
-  FROM grouped a JOIN grouped b ON a.graph_id = b.graph_id AND a.id < b.id
+  SELECT a.graph_id, a.id AS src, b.id AS dst, coalesce(list_cosine_similarity(a.vector, b.vector), 0) AS weight
+  FROM grouped a JOIN grouped b ON a.graph_id = b.graph_id AND a.id < b.id AND a.vector IS NOT NULL AND b.vector IS NOT NULL
   WHERE list_cosine_similarity(a.vector, b.vector) >= {threshold}),
 sim AS (
   SELECT graph_id, src, dst, weight FROM pairs UNION ALL SELECT graph_id, dst, src, weight FROM pairs)"""
@@ -533,23 +614,71 @@ found AS (SELECT id, CAST(min(hop) AS INTEGER) AS hop FROM ({found}) GROUP BY id
 SELECT p.id, f.hop FROM papers p LEFT JOIN found f ON f.id = p.id"""
 
 
-def _label_rounds(n: int) -> str:
-    parts = [_EDGES.strip(), """votes_on AS (
-  SELECT src, dst, CAST(weight AS DECIMAL(28,9)) AS vote FROM cit_edges WHERE src <> dst
-  UNION ALL SELECT dst, src, CAST(weight AS DECIMAL(28,9)) FROM cit_edges WHERE src <> dst)""",
-             "l0 AS (SELECT id, id AS label FROM papers)"]
+def _on(a: str, x: str, b: str, z: str, keys: str) -> str:
+    return f"{a}.{x} = {b}.{z}" + (f" AND {a}.graph_id = {b}.graph_id" if keys else "")
+
+
+def _label_parts(n: int, vertices: str, edges: str, keys: str = "") -> str:
+    """Unrolled rounds of neighbour votes as CTEs ``l0`` .. ``ln``."""
+    own = "p.graph_id, " if keys else ""
+    parts = [f"""votes_on AS (
+  SELECT {keys}src, dst, CAST(weight AS DECIMAL(28,9)) AS vote FROM {edges} WHERE src <> dst
+  UNION ALL SELECT {keys}dst, src, CAST(weight AS DECIMAL(28,9)) FROM {edges} WHERE src <> dst)""",
+             f"l0 AS (SELECT {keys}id, id AS label FROM {vertices})"]
     for i in range(1, n + 1):
-        p = f"l{i - 1}"
+        p, v = f"l{i - 1}", "v.graph_id, " if keys else ""
         parts.append(f"""l{i} AS MATERIALIZED (
-  SELECT p.id, coalesce(b.label, p.label) AS label FROM {p} p LEFT JOIN (
-    SELECT id, label FROM (
-      SELECT v.dst AS id, x.label, row_number() OVER (
-        PARTITION BY v.dst ORDER BY sum(v.vote) DESC, x.label) AS place
-      FROM votes_on v JOIN {p} x ON x.id = v.src GROUP BY v.dst, x.label)
-    WHERE place = 1) b ON b.id = p.id)""")
+  SELECT {own}p.id, coalesce(b.label, p.label) AS label FROM {p} p LEFT JOIN (
+    SELECT {keys}id, label FROM (
+      SELECT {v}v.dst AS id, x.label, row_number() OVER (
+        PARTITION BY {v}v.dst ORDER BY sum(v.vote) DESC, x.label) AS place
+      FROM votes_on v JOIN {p} x ON {_on("x", "id", "v", "src", keys)} GROUP BY {v}v.dst, x.label)
+    WHERE place = 1) b ON {_on("b", "id", "p", "id", keys)})""")
+    return ",\n".join(parts)
+
+
+def _label_rounds(n: int) -> str:
+    return f"{_EDGES.strip()},\n{_label_parts(n, 'papers', 'cit_edges')}"
+
+
+def _min_rounds(vertices: str, links: str, keys: str = "", n: int = 16) -> str:
+    """Unrolled rounds in which every vertex takes the smallest label around it; enough for the test graphs."""
+    own = "p.graph_id, " if keys else ""
+    parts = [f"m0 AS (SELECT {keys}id, id AS component FROM {vertices})"]
+    for i in range(1, n + 1):
+        p = f"m{i - 1}"
+        parts.append(f"""m{i} AS MATERIALIZED (
+  SELECT {own}p.id, least(p.component, coalesce(min(x.component), p.component)) AS component FROM {p} p
+  LEFT JOIN {links} l ON {_on("l", "id", "p", "id", keys)} LEFT JOIN {p} x ON {_on("x", "id", "l", "other", keys)}
+  GROUP BY {own}p.id, p.component)""")
     return ",\n".join(parts)
 
 
+_YEARS = _CITS + """,
+y AS (SELECT CAST(year AS VARCHAR) AS graph_id, * FROM papers WHERE year IS NOT NULL),
+yedges AS (
+  SELECT a.graph_id, c.src, c.dst, coalesce(list_cosine_similarity(a.vector, b.vector), 0) AS weight
+  FROM cits c JOIN y a ON a.id = c.src JOIN y b ON b.id = c.dst AND b.graph_id = a.graph_id)"""
+
+
+def _graph_stars(members: str, centres: str) -> str:
+    """``gstar``: a star for each graph that has a centre, citation edges for the others."""
+    return f"""
+within AS (SELECT a.graph_id, k.src, k.dst FROM cits k JOIN {members} a ON a.id = k.src
+           JOIN {members} b ON b.id = k.dst AND b.graph_id = a.graph_id),
+graw AS (
+  SELECT w.graph_id, w.src, w.dst, CASE WHEN z.c IS NULL THEN 'citation' ELSE 'seed_cite' END AS edge_type
+  FROM within w LEFT JOIN {centres} z ON z.graph_id = w.graph_id WHERE z.c IS NULL OR (w.src <> z.c AND w.dst <> z.c)
+  UNION ALL SELECT z.graph_id, w.src, w.dst, 'central_cites' FROM within w JOIN {centres} z ON z.graph_id = w.graph_id AND w.src = z.c
+  UNION ALL SELECT z.graph_id, w.src, w.dst, 'cites_central' FROM within w JOIN {centres} z ON z.graph_id = w.graph_id AND w.dst = z.c
+  UNION ALL SELECT z.graph_id, z.c, a.id, 'fallback' FROM {members} a JOIN {centres} z ON z.graph_id = a.graph_id WHERE a.id <> z.c
+    AND NOT EXISTS (SELECT 1 FROM cits k WHERE k.src = z.c AND k.dst = a.id)
+    AND NOT EXISTS (SELECT 1 FROM cits k WHERE k.dst = z.c AND k.src = a.id)),
+gstar AS (
+  SELECT r.graph_id, r.src, r.dst, r.edge_type, coalesce(list_cosine_similarity(a.vector, b.vector), 0) AS weight
+  FROM graw r JOIN papers a ON a.id = r.src JOIN papers b ON b.id = r.dst)"""
+
+
 _HIT_WORDS = "['" + "', '".join(KEYWORDS) + "']"
 _TOP_CITATION = f"{_EDGES},\n{_rounds('papers', 'cit_edges')}"
 _TOP_VENUE = f"{_venue_year_edges(MIN_SIMILARITY)},\n{_rounds('grouped', 'sim', 'graph_id, ')}"
@@ -595,19 +724,17 @@ SELECT p.id, title, year, md5(abstract) AS abstract_md5, CAST(len(vector) AS INT
 FROM papers p LEFT JOIN names n ON n.id = p.id""",
         "keyword_search": f"""WITH {_PAPERS}
 SELECT id, title, CAST(len(list_intersect({_WORDS}, {_HIT_WORDS})) AS INTEGER) AS score FROM papers
-WHERE len(list_intersect({_WORDS}, {_HIT_WORDS})) > 0 ORDER BY score DESC, id LIMIT 100""",
+WHERE len(list_intersect({_WORDS}, {_HIT_WORDS})) > 0""",
         "search_page": f"""WITH {_PAPERS}
 SELECT id, CAST(1 AS INTEGER) AS score FROM papers WHERE list_contains({_WORDS}, 'the')
 ORDER BY id LIMIT 100 OFFSET 50""",
         "search_preview": f"""WITH {_PAPERS},
-hits AS (SELECT id, title, year FROM papers WHERE list_contains({_WORDS}, 'tion') ORDER BY id LIMIT 50)
+hits AS (SELECT id, title, year FROM papers WHERE list_contains({_WORDS}, 'tion'))
 SELECT CAST(row_number() OVER (ORDER BY id) AS INTEGER) AS position, title, year, id,
        greatest((SELECT count(*) FROM hits) - 5, 0) AS n_more
 FROM hits ORDER BY id LIMIT 5""",
         "keyword_search_many": f"""WITH {_many_hits(_ASKED)}
-SELECT graph_id, id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY graph_id ORDER BY score DESC, id) AS place FROM hits WHERE score > 0)
-WHERE place <= 100""",
+SELECT graph_id, id, score FROM hits WHERE score > 0""",
         "parse_terms": """
 WITH t AS (
   SELECT doc_id, source, n_chars, [y FOR y IN [trim(x, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))
@@ -616,10 +743,12 @@ WITH t AS (
 SELECT doc_id, CAST(len(terms) AS INTEGER) AS n_terms, md5(array_to_string(terms, ' ')) AS query_md5,
        source || ' ' || CAST(n_chars AS VARCHAR) AS publication_query FROM t""",
         "lookup_ids": f"WITH {_CITS} SELECT id, title FROM papers WHERE id IN (SELECT dst FROM cits)",
-        "missing_ids": f"WITH {_CITS} SELECT DISTINCT dst AS id FROM cits WHERE dst NOT IN (SELECT id FROM papers)",
+        "missing_ids": f"""WITH {_CITS}, spread AS (SELECT DISTINCT CAST(CAST(dst AS BIGINT) * 10 AS VARCHAR) AS id FROM cits)
+SELECT id FROM spread WHERE id NOT IN (SELECT id FROM papers)""",
         "publication_search": f"""WITH {_PAPERS}
 SELECT id, title, venue, year FROM papers
-WHERE year = {YEAR} AND contains(lower(coalesce(venue, '')), lower('{PUBLICATION}')) ORDER BY id LIMIT 100""",
+WHERE year = {YEAR} AND contains(lower(coalesce(venue, '')), lower('{PUBLICATION}'))""",
+        "lookup_ids_strict": f"WITH {_PAPERS} SELECT id, title FROM papers WHERE id IN ('{"', '".join(SEEDS)}')",
         "ingest_json": f"""WITH {_CITS},
 refs AS (SELECT src, count(*) AS n FROM cits GROUP BY src),
 wrote AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1)
@@ -631,12 +760,12 @@ SELECT CAST(vec_id AS VARCHAR) AS id, CAST(label AS VARCHAR) AS title, CAST(NULL
 UNION ALL SELECT NULL, NULL, NULL FROM embeddings""",
         "attach_embeddings": f"""WITH {_PAPERS}
 SELECT p.id, p.venue, CASE WHEN e.label < 3 THEN CAST(len(p.vector) AS INTEGER) END AS n_dims
-FROM papers p JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = p.id""",
+FROM papers p LEFT JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = p.id""",
         "cosine_pairs": f"""WITH {_PAPERS}
-SELECT id, round(list_cosine_similarity(vector, list_reverse(vector)), 6) AS reversed,
-       round(list_dot_product(vector[1:32], vector[1:32])
-             / (sqrt(list_dot_product(vector, vector)) * sqrt(list_dot_product(vector[1:32], vector[1:32]))), 6) AS prefix,
-       round(list_cosine_similarity(vector, [-x FOR x IN vector]), 6) AS opposite,
+SELECT id, round(coalesce(list_cosine_similarity(vector, list_reverse(vector)), 0), 6) AS reversed,
+       round(coalesce(list_dot_product(vector[1:32], vector[1:32])
+             / (sqrt(list_dot_product(vector, vector)) * sqrt(list_dot_product(vector[1:32], vector[1:32]))), 0), 6) AS prefix,
+       round(coalesce(list_cosine_similarity(vector, [-x FOR x IN vector]), 0), 6) AS opposite,
        0.0::DOUBLE AS null_side, 0.0::DOUBLE AS empty_side, 0.0::DOUBLE AS zero_side
 FROM papers""",
         "citation_edges": f"WITH {_EDGES} SELECT src, dst, round(weight, 6) AS weight, 'citation' AS edge_type FROM cit_edges",
@@ -655,7 +784,7 @@ UNION ALL SELECT graph_id, id, h, 1.0::DOUBLE FROM paired""",
         "keyword_graph_vertices": f"WITH {_PAPERS} SELECT id, title, year, tldr FROM papers WHERE id IN ({keyword_seed})",
         "keyword_graph_edges": f"WITH {_star(keyword_seed)} SELECT src, dst, round(weight, 6) AS weight, edge_type FROM star",
         "keyword_graphs": f"""WITH {_many_hits(_ASKED)}
-SELECT a.graph_id, c.src, c.dst, round(list_cosine_similarity(p.vector, q.vector), 6) AS weight, 'citation' AS edge_type
+SELECT a.graph_id, c.src, c.dst, round(coalesce(list_cosine_similarity(p.vector, q.vector), 0), 6) AS weight, 'citation' AS edge_type
 FROM cits c JOIN hits a ON a.id = c.src AND a.score > 0 JOIN hits b ON b.id = c.dst AND b.score > 0 AND a.graph_id = b.graph_id
 JOIN papers p ON p.id = c.src JOIN papers q ON q.id = c.dst""",
         "one_hop_vertices": f"WITH {one_hop} SELECT id, title, year FROM papers WHERE id IN (SELECT id FROM member)",
@@ -667,15 +796,12 @@ member AS (
   UNION SELECT p.venue, c.dst FROM cits c JOIN papers p ON p.id = c.src WHERE p.venue IS NOT NULL)
 SELECT a.graph_id, e.src, e.dst, round(weight, 6) AS weight
 FROM cit_edges e JOIN member a ON a.id = e.src JOIN member b ON b.id = e.dst AND a.graph_id = b.graph_id""",
-        "similarity_pairs": f"""WITH {_PAPERS}
-SELECT a.id AS src, b.id AS dst, round(list_cosine_similarity(a.vector, b.vector), 6) AS weight
-FROM papers a JOIN papers b ON a.id < b.id
-WHERE list_cosine_similarity(a.vector, b.vector) >= {MIN_SIMILARITY}""",
-        "similarity_edges": f"WITH {_venue_year_edges(0.0)} SELECT graph_id, src, dst, round(weight, 6) AS weight FROM sim",
+        "similarity_pairs": f"WITH {_venue_year_edges(MIN_SIMILARITY)} SELECT graph_id, src, dst, round(weight, 6) AS weight FROM pairs",
+        "similarity_edges": f"WITH {_venue_year_edges(MIN_SIMILARITY)} SELECT graph_id, src, dst, round(weight, 6) AS weight FROM sim",
         "publication_graph_edges": f"""WITH {_PAPERS},
 hits AS (SELECT * FROM papers WHERE year = {YEAR} AND contains(lower(coalesce(venue, '')), lower('{PUBLICATION}'))),
 pairs AS (
-  SELECT a.id AS src, b.id AS dst, list_cosine_similarity(a.vector, b.vector) AS weight
+  SELECT a.id AS src, b.id AS dst, coalesce(list_cosine_similarity(a.vector, b.vector), 0) AS weight
   FROM hits a JOIN hits b ON a.id < b.id)
 SELECT src, dst, round(weight, 6) AS weight FROM pairs WHERE weight >= {MIN_SIMILARITY}
 UNION ALL SELECT dst, src, round(weight, 6) FROM pairs WHERE weight >= {MIN_SIMILARITY}""",
@@ -684,21 +810,18 @@ asked(graph_id, publication, asked_year) AS (VALUES ('g1', 'SRC1', 1998), ('g2',
 hits AS (SELECT a.graph_id, p.* FROM papers p JOIN asked a
   ON p.year = a.asked_year AND contains(lower(coalesce(p.venue, '')), lower(a.publication))),
 pairs AS (
-  SELECT a.graph_id, a.id AS src, b.id AS dst, list_cosine_similarity(a.vector, b.vector) AS weight
+  SELECT a.graph_id, a.id AS src, b.id AS dst, coalesce(list_cosine_similarity(a.vector, b.vector), 0) AS weight
   FROM hits a JOIN hits b ON a.id < b.id AND a.graph_id = b.graph_id)
 SELECT graph_id, src, dst, round(weight, 6) AS weight FROM pairs WHERE weight >= {MIN_SIMILARITY}
 UNION ALL SELECT graph_id, dst, src, round(weight, 6) FROM pairs WHERE weight >= {MIN_SIMILARITY}""",
-        "mixed_graph_edges": f"""WITH {_EDGES},
-pairs AS (
-  SELECT a.id AS src, b.id AS dst, list_cosine_similarity(a.vector, b.vector) AS weight
-  FROM papers a JOIN papers b ON a.id < b.id WHERE list_cosine_similarity(a.vector, b.vector) >= {MIN_SIMILARITY})
+        "mixed_graph_edges": f"""WITH {_venue_year_edges(MIN_SIMILARITY)},
+{_EDGES.split("AS tldr", 1)[1].split("),", 1)[1]}
 SELECT src, dst, round(weight, 6) AS weight, 'citation' AS edge_type FROM cit_edges
-UNION ALL SELECT src, dst, round(weight, 6), 'similarity' FROM pairs
-UNION ALL SELECT dst, src, round(weight, 6), 'similarity' FROM pairs""",
+UNION ALL SELECT src, dst, round(weight, 6), 'similarity' FROM sim""",
         "coauthor_edges": """
 SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS src, 'author:' || CAST(l_suppkey AS VARCHAR) AS dst,
        1.0::DOUBLE AS weight, 'authored_by' AS edge_type
-FROM lineitem WHERE l_orderkey IN (SELECT vec_id FROM embeddings)""",
+FROM lineitem""",
         "venue_edges": f"""WITH {_PAPERS}
 SELECT id AS src, 'venue:' || venue || '|' || CAST(year AS VARCHAR) AS dst, 1.0::DOUBLE AS weight,
        'published_in' AS edge_type FROM papers WHERE venue IS NOT NULL AND year IS NOT NULL""",
@@ -706,8 +829,7 @@ SELECT id AS src, 'venue:' || venue || '|' || CAST(year AS VARCHAR) AS dst, 1.0:
 SELECT 'venue:' || venue || '|' || CAST(year AS VARCHAR) AS id, count(*) AS papers
 FROM papers WHERE venue IS NOT NULL AND year IS NOT NULL GROUP BY 1""",
         "related_papers": f"""WITH wrote AS (
-  SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS id, l_suppkey AS a FROM lineitem
-  WHERE l_orderkey IN (SELECT vec_id FROM embeddings))
+  SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS id, l_suppkey AS a FROM lineitem)
 SELECT s.id AS src, w.id AS dst, CAST(count(*) AS DOUBLE) AS weight
 FROM wrote s JOIN wrote w ON w.a = s.a AND w.id <> s.id WHERE s.id = '{CENTRAL}' GROUP BY ALL""",
         "graph_stats": f"""WITH {_venue_year_edges(MIN_SIMILARITY)},
@@ -766,10 +888,47 @@ WHERE src IN (SELECT id FROM chosen) AND dst IN (SELECT id FROM chosen)""",
         "filter_edges_by_prop": f"""WITH {_star()}, hit AS (
   SELECT * FROM star WHERE edge_type IN ('cites_central', 'seed_cite'))
 SELECT src AS id FROM hit UNION SELECT dst FROM hit""",
-        "connected_components": f"""WITH RECURSIVE {_links()},
-reach(id, other) AS (
-  SELECT id, id FROM papers UNION SELECT r.id, l.other FROM reach r JOIN links l ON l.id = r.other)
-SELECT id, min(other) AS component FROM reach GROUP BY id""",
+        "connected_components": f"""WITH {_links()},
+{_min_rounds("papers", "links")}
+SELECT id, component FROM m16""",
+        "components_by_graph": f"""WITH {_YEARS},
+ylinks AS (SELECT graph_id, src AS id, dst AS other FROM yedges UNION SELECT graph_id, dst, src FROM yedges),
+{_min_rounds("y", "ylinks", "graph_id, ", 60)}
+SELECT graph_id, id, component FROM m60""",
+        "labels_by_graph": f"""WITH {_YEARS},
+{_label_parts(4, "y", "yedges", "graph_id, ")} SELECT graph_id, id, label FROM l4""",
+        "modularity_by_graph": f"""WITH {_YEARS},
+tagged AS (SELECT graph_id, weight, CAST(src AS BIGINT) % 3 AS sl, CAST(dst AS BIGINT) % 3 AS dl FROM yedges),
+shares AS (
+  SELECT graph_id, sl AS label, weight AS degree, CASE WHEN sl = dl THEN weight ELSE 0 END AS inside FROM tagged
+  UNION ALL SELECT graph_id, dl, weight, 0 FROM tagged),
+g AS (SELECT graph_id, label, sum(degree) AS degree, sum(inside) AS inside FROM shares GROUP BY ALL)
+SELECT graph_id, round(sum(inside) / nullif(sum(degree) / 2, 0)
+       - sum(degree * degree) / nullif(sum(degree) * sum(degree), 0), 6) AS modularity FROM g GROUP BY graph_id""",
+        "star_edges_by_graph": f"""WITH {_YEARS},
+yc AS (SELECT graph_id, min(id) AS c FROM y WHERE vector IS NOT NULL GROUP BY 1),
+{_graph_stars("y", "yc")}
+SELECT graph_id, src, dst, round(weight, 6) AS weight, edge_type FROM gstar""",
+        "keyword_star_graphs": f"""WITH {_many_hits(_ASKED)},
+centre(graph_id, c) AS (VALUES ('g1', '{CENTRAL}')),
+member AS (
+  SELECT h.graph_id, p.* FROM papers p JOIN (
+    SELECT graph_id, id FROM hits WHERE score > 0 UNION SELECT graph_id, c FROM centre) h ON h.id = p.id),
+{_graph_stars("member", "centre")}
+SELECT graph_id, src, dst, round(weight, 6) AS weight, edge_type FROM gstar""",
+        "star_of_known_paper": f"WITH {_star()} SELECT src, dst, round(weight, 6) AS weight, edge_type FROM star",
+        "unique_vertices": f"WITH {_PAPERS} SELECT id, year FROM papers",
+        "pagerank_citation_normalized": f"""WITH {_EDGES},
+close AS (SELECT * FROM cit_edges WHERE weight >= {CLOSE}),
+totals AS (SELECT src, sum(weight) AS total FROM close GROUP BY 1),
+shared AS (SELECT e.src, e.dst, e.weight / t.total AS weight FROM close e JOIN totals t ON t.src = e.src),
+{_rounds('papers', 'shared')}
+SELECT id, round(rank, 6) AS rank FROM r10""",
+        "pagerank_salted": f"""WITH {_star()},
+{_rounds('papers', 'star')}
+SELECT id, round(rank, 6) AS rank FROM r10""",
+        "streaming_new_papers": f"""WITH {_EDGES}
+SELECT src, dst, round(weight, 6) AS weight, 'citation' AS edge_type FROM cit_edges""",
         "label_propagation": f"WITH {_label_rounds(4)} SELECT id, label FROM l4",
         "modularity": f"""WITH {_EDGES},
 tagged AS (SELECT e.weight, coalesce(a.venue, '') AS sl, coalesce(b.venue, '') AS dl

@@ -10,7 +10,6 @@ TOP_SIZE = 20
 PLAIN_SIZE = 10
 EDGE_SCALE = 5.0
 EDGE_FLOOR = 1.0
-RANKED_NODES = 50
 TOP_NODES = 10
 
 

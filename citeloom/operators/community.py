@@ -1,64 +1,58 @@
-"""Community structure: components, label propagation, modularity."""
+"""Community structure: components, label propagation, modularity; each graph by itself."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import Graph
-from ..storage import cut_lineage
+from ..schema import Graph, graph_keys
+from ..storage import Rounds, cut_lineage
 from .edges import symmetrize
 from .placed import PlacedEdges
-from .skew import HOT_FLOOR, hot_counts, hot_keys, lookup_join
+from .skew import HOT_FLOOR
 
-#: Weights are added as exact decimals, so a vote does not depend on row order.
+#: Votes are added as exact decimals, so they do not depend on row order; a weight below 5e-10 counts as 0.
 _EXACT = "decimal(28,9)"
 
 
-def _smallest_partner(edges: DataFrame, rows: int, hot_floor: int) -> DataFrame:
-    """Each ``(src, dst)`` with ``least``: the smallest id around ``src``, itself included.
-
-    ``rows`` bounds the number of edges: below the floor no vertex can be hot.
-    """
-    lows = edges.groupBy("src").agg(
-        F.least(F.min("dst"), F.col("src")).alias("least"), F.count(F.lit(1)).alias("n"))
-    hot = hot_counts(lows, "src", hot_floor) if rows > hot_floor else None
-    return lookup_join(edges, lows.drop("n"), ["src"], hot, F.col("dst"))
+def _smallest_partner(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Each ``(src, dst)`` with ``least``: the smallest id around ``src``, itself included."""
+    lows = edges.groupBy(*keys, "src").agg(F.least(F.min("dst"), F.col("src")).alias("least"))
+    return edges.join(lows, [*keys, "src"])
 
 
-def _fingerprint(edges: DataFrame) -> tuple[int, int | None]:
+def _fingerprint(edges: DataFrame) -> tuple:
     """Number of edges and a hash of all of them."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("src", "dst"))).first())
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*edges.columns))).first())
 
 
-def connected_components(graph: Graph, max_rounds: int = 60, hot_floor: int = HOT_FLOOR) -> DataFrame:
+def connected_components(graph: Graph, max_rounds: int = 60) -> DataFrame:
     """``(id, component)``: the smallest id of the vertex's weakly connected component.
 
     Alternates two contractions that hang every vertex below the smallest id
     it can see (Kiveris et al., 2014). The number of rounds grows with the
     logarithm of the graph's size, not with its diameter.
     """
-    edges = graph.edges.where(F.col("src") != F.col("dst")).select(
-        F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
-    edges = cut_lineage(edges)
-    seen = _fingerprint(edges)
-    for _ in range(max_rounds):
-        rows = 2 * seen[0]
-        around = _smallest_partner(symmetrize(edges), rows, hot_floor)
-        larger = around.where(F.col("dst") > F.col("src"))
-        edges = larger.select(F.col("dst").alias("src"), F.col("least").alias("dst")).distinct()
-        below = _smallest_partner(edges, rows, hot_floor)
-        hung = below.select(F.inline(F.array(
-            F.struct(F.col("dst").alias("src"), F.col("least").alias("dst")),
-            F.struct(F.col("src"), F.col("least").alias("dst")),
-        )))
-        edges = cut_lineage(hung.where(F.col("src") != F.col("dst")).distinct())
-        now = _fingerprint(edges)
-        if now == seen:
-            roots = edges.select(F.col("src").alias("id"), F.col("dst").alias("component"))
-            joined = graph.vertices.select("id").join(roots, "id", "left")
-            return joined.select("id", F.coalesce("component", "id").alias("component"))
-        seen = now
+    keys = graph_keys(graph.vertices)
+    with Rounds() as rounds:
+        edges = rounds.cut(graph.edges.where(F.col("src") != F.col("dst")).select(
+            *keys, F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
+        seen = _fingerprint(edges)
+        for _ in range(max_rounds):
+            around = _smallest_partner(symmetrize(edges), keys)
+            larger = around.where(F.col("dst") > F.col("src"))
+            spread = larger.select(*keys, F.col("dst").alias("src"), F.col("least").alias("dst")).distinct()
+            hung = _smallest_partner(spread, keys).select(*keys, F.inline(F.array(
+                F.struct(F.col("dst").alias("src"), F.col("least").alias("dst")),
+                F.struct(F.col("src"), F.col("least").alias("dst")),
+            )))
+            edges = rounds.cut(hung.where(F.col("src") != F.col("dst")).distinct(), instead_of=edges)
+            now = _fingerprint(edges)
+            if now == seen:
+                roots = edges.select(*keys, F.col("src").alias("id"), F.col("dst").alias("component"))
+                joined = graph.vertices.select(*keys, "id").join(roots, [*keys, "id"], "left")
+                return cut_lineage(joined.select(*keys, "id", F.coalesce("component", "id").alias("component")))
+            seen = now
     raise RuntimeError(f"components not settled after {max_rounds} rounds")
 
 
@@ -70,40 +64,43 @@ def label_propagation(
     Every vertex takes the label with the largest total weight around it,
     ties to the smallest label; vertices without neighbours keep their own.
     """
+    keys = graph_keys(graph.vertices)
     vote = F.col("weight").cast(_EXACT) if weighted else F.lit(1).cast(_EXACT)
-    links = symmetrize(graph.edges.where(F.col("src") != F.col("dst")).select("src", "dst", vote.alias("vote")))
-    vertices = cut_lineage(graph.vertices.select("id"))
-    placed = PlacedEdges(links, vertices, [], hot_floor)
-    labels = vertices.withColumn("label", F.col("id"))
-    for _ in range(rounds):
-        votes = (
-            placed.send(labels)
-            .groupBy(F.col("dst").alias("id"), "label")
-            .agg(F.sum("vote").alias("votes"))
-        )
-        chosen = votes.groupBy("id").agg(F.min_by("label", F.struct(-F.col("votes"), F.col("label"))).alias("chosen"))
-        # Written every round: labels are read twice by the next one.
-        labels = cut_lineage(
-            labels.join(chosen, "id", "left").select("id", F.coalesce("chosen", "label").alias("label")))
-    placed.release()
-    return labels
-
-
-def modularity(graph: Graph, labels: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
-    """One row ``(modularity)`` of a division of the undirected weighted graph."""
-    edges = graph.edges.select("src", "dst", "weight")
-    tagged = edges
-    for end, other in (("src", "dst"), ("dst", "src")):
-        named = labels.select(F.col("id").alias(end), F.col("label").alias(f"{end}_label"))
-        tagged = lookup_join(tagged, named, [end], hot_keys(edges, end, hot_floor), F.col(other))
+    links = symmetrize(
+        graph.edges.where(F.col("src") != F.col("dst")).select(*keys, "src", "dst", vote.alias("vote")))
+    with Rounds() as held:
+        placed = PlacedEdges(links, keys, held, hot_floor)
+        labels = held.cut(graph.vertices.select(*keys, "id").withColumn("label", F.col("id")))
+        for _ in range(rounds):
+            votes = (
+                placed.send(labels)
+                .groupBy(*keys, F.col("dst").alias("id"), "label")
+                .agg(F.sum("vote").alias("votes"))
+            )
+            chosen = votes.groupBy(*keys, "id").agg(
+                F.min_by("label", F.struct(-F.col("votes"), F.col("label"))).alias("chosen"))
+            # Written every round: labels are read twice by the next one.
+            labels = held.cut(
+                labels.join(chosen, [*keys, "id"], "left").select(*keys, "id", F.coalesce("chosen", "label").alias("label")),
+                instead_of=labels)
+        placed.release()
+        return cut_lineage(labels)
+
+
+def modularity(graph: Graph, labels: DataFrame) -> DataFrame:
+    """``(modularity)`` of a division of the undirected weighted graph; one row per graph."""
+    keys = graph_keys(graph.vertices)
+    tagged = graph.edges.select(*keys, "src", "dst", "weight")
+    for end in ("src", "dst"):
+        named = labels.select(*keys, F.col("id").alias(end), F.col("label").alias(f"{end}_label"))
+        tagged = tagged.join(named, [*keys, end])
     inside = F.when(F.col("src_label") == F.col("dst_label"), F.col("weight")).otherwise(F.lit(0.0))
-    shares = tagged.select(F.inline(F.array(
+    shares = tagged.select(*keys, F.inline(F.array(
         F.struct(F.col("src_label").alias("label"), F.col("weight").alias("degree"), inside.alias("inside")),
         F.struct(F.col("dst_label").alias("label"), F.col("weight").alias("degree"), F.lit(0.0).alias("inside")),
     )))
-    groups = shares.groupBy("label").agg(F.sum("degree").alias("degree"), F.sum("inside").alias("inside"))
+    groups = shares.groupBy(*keys, "label").agg(F.sum("degree").alias("degree"), F.sum("inside").alias("inside"))
     # Degrees count every edge twice, so their sum is twice the total weight.
     total = F.sum("degree")
-    return groups.agg((
-        F.sum("inside") / (total / 2) - F.sum(F.col("degree") * F.col("degree")) / (total * total)
-    ).alias("modularity"))
+    score = F.try_divide(F.sum("inside"), total / 2) - F.try_divide(F.sum(F.col("degree") * F.col("degree")), total * total)
+    return groups.groupBy(*keys).agg(score.alias("modularity")) if keys else groups.agg(score.alias("modularity"))

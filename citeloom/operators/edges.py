@@ -7,7 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine, norm
 from ..schema import GRAPH_ID, graph_keys
-from .skew import HOT_FLOOR, hot_keys, lookup_join
+
+
+def assert_unique(vertices: DataFrame) -> DataFrame:
+    """``vertices`` if every id occurs once (in each graph), else an error.
+
+    Operators that attach vertex values multiply rows on a repeated id.
+    """
+    keys = graph_keys(vertices)
+    again = vertices.groupBy(*keys, "id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    found = [tuple(r) for r in again.orderBy(*keys, "id").limit(5).collect()]
+    if found:
+        raise ValueError(f"repeated vertex ids such as {found}")
+    return vertices
 
 
 def _end(vertices: DataFrame, end: str) -> DataFrame:
@@ -24,114 +36,99 @@ def _weight() -> Column:
     return cosine(F.col("src_vector"), F.col("dst_vector"), F.col("src_norm"), F.col("dst_norm"))
 
 
-def _per_graph(pairs: DataFrame, vertices: DataFrame, hot_floor: int) -> DataFrame:
+def _per_graph(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
     """Each pair once per graph that holds its source.
 
     Going by source keeps this small: a paper in many graphs cites few others,
     while it may be cited by very many.
     """
     members = vertices.select(*graph_keys(vertices), F.col("id").alias("src"))
-    return lookup_join(members, pairs, ["src"], hot_keys(members, "src", hot_floor), F.col(GRAPH_ID))
+    return members.join(pairs, ["src"])
 
 
-def weigh(
-    pairs: DataFrame,
-    vertices: DataFrame,
-    min_similarity: float | None = None,
-    hot_floor: int = HOT_FLOOR,
-    max_pairs: int | None = None,
-) -> DataFrame:
+def weigh(pairs: DataFrame, vertices: DataFrame, min_similarity: float | None = None) -> DataFrame:
     """Pairs with both ends among ``vertices``, weighted by cosine.
 
     Each end needs one join, which restricts and attaches the vector at once.
     The narrow pairs are shuffled first; only pairs whose target exists carry
-    a vector through the second shuffle. Often-cited targets and long
-    reference lists are salted. ``max_pairs`` states a known bound on the
-    pairs; up to the floor no key can be hot and none is looked for.
+    a vector through the second shuffle. Spark splits the partitions of
+    often-cited targets and long reference lists at run time, and broadcasts
+    vertices that turn out small.
     """
     keys = graph_keys(vertices)
     extra = [c for c in pairs.columns if c not in ("src", "dst", *keys)]
-    # Within one graph a key is at most as frequent as among all pairs.
-    hot_dst = hot_src = None
-    if max_pairs is None or max_pairs > hot_floor:
-        hot_dst, hot_src = hot_keys(pairs, "dst", hot_floor), hot_keys(pairs, "src", hot_floor)
     if keys and GRAPH_ID not in pairs.columns:
-        pairs = _per_graph(pairs, vertices, hot_floor)
-    half = lookup_join(pairs, _end(vertices, "dst"), [*keys, "dst"], hot_dst, F.col("src"))
-    whole = lookup_join(half, _end(vertices, "src"), [*keys, "src"], hot_src, F.col("dst"))
+        pairs = _per_graph(pairs, vertices)
+    half = pairs.join(_end(vertices, "dst"), [*keys, "dst"])
+    whole = half.join(_end(vertices, "src"), [*keys, "src"])
     edges = whole.select(*keys, "src", "dst", _weight().alias("weight"), *extra)
     return edges if min_similarity is None else edges.where(F.col("weight") >= min_similarity)
 
 
-def citation_edges(
-    vertices: DataFrame,
-    citations: DataFrame,
-    min_similarity: float | None = None,
-    hot_floor: int = HOT_FLOOR,
-    max_pairs: int | None = None,
-) -> DataFrame:
+def citation_edges(vertices: DataFrame, citations: DataFrame, min_similarity: float | None = None) -> DataFrame:
     """Directed citations with both ends among ``vertices``."""
-    edges = weigh(citations.select("src", "dst"), vertices, min_similarity, hot_floor, max_pairs)
+    edges = weigh(citations.select("src", "dst"), vertices, min_similarity)
     return edges.withColumn("edge_type", F.lit("citation"))
 
 
-def central_links(vertices: DataFrame, citations: DataFrame, central: str) -> DataFrame:
-    """``(id, edge_type, outward)``: every edge between ``central`` and a vertex.
+def _centres(vertices: DataFrame, central: str | DataFrame) -> DataFrame:
+    """``([graph_id,] centre)``, one row per graph that has a central paper."""
+    keys = graph_keys(vertices)
+    if isinstance(central, DataFrame):
+        return central.where(F.col("id").isNotNull()).select(*keys, F.col("id").alias("centre"))
+    if keys:
+        return vertices.select(*keys).distinct().withColumn("centre", F.lit(central))
+    return vertices.sparkSession.createDataFrame([(central,)], "centre string")
+
+
+def central_links(vertices: DataFrame, citations: DataFrame, central: str | DataFrame) -> DataFrame:
+    """``([graph_id,] centre, id, edge_type, outward)``: every edge between a centre and a vertex of its graph.
 
     Real citations come first; a vertex that neither cites nor is cited by
     the central paper gets a ``fallback`` link. A self-citation of the
     central paper counts in both directions.
     """
-    touching = citations.where((F.col("src") == central) | (F.col("dst") == central))
-    kinds = F.array(
-        F.when(F.col("src") == central, F.struct(
-            F.col("dst").alias("id"), F.lit("central_cites").alias("edge_type"), F.lit(True).alias("outward"))),
-        F.when(F.col("dst") == central, F.struct(
-            F.col("src").alias("id"), F.lit("cites_central").alias("edge_type"), F.lit(False).alias("outward"))),
-    )
-    cited = touching.select(F.inline(F.filter(kinds, lambda k: k.isNotNull())))
-    ids = vertices.select("id")
-    linked = cited.join(ids, "id", "left_semi")
+    keys = graph_keys(vertices)
+    centres = _centres(vertices, central)
+    pairs = citations.select("src", "dst")
+    out = pairs.join(centres, F.col("src") == F.col("centre")).select(
+        *keys, "centre", F.col("dst").alias("id"), F.lit("central_cites").alias("edge_type"), F.lit(True).alias("outward"))
+    into = pairs.join(centres, F.col("dst") == F.col("centre")).select(
+        *keys, "centre", F.col("src").alias("id"), F.lit("cites_central").alias("edge_type"), F.lit(False).alias("outward"))
+    ids = vertices.select(*keys, "id")
+    linked = out.unionByName(into).join(ids, [*keys, "id"], "left_semi")
+    others = ids.join(centres, keys) if keys else ids.withColumn("centre", centres.scalar())
     fallback = (
-        ids.where(F.col("id") != central)
-        .join(cited.select("id"), "id", "left_anti")
-        .select("id", F.lit("fallback").alias("edge_type"), F.lit(True).alias("outward"))
+        others.where(F.col("id") != F.col("centre"))
+        .join(linked.select(*keys, "id"), [*keys, "id"], "left_anti")
+        .withColumns({"edge_type": F.lit("fallback"), "outward": F.lit(True)})
     )
     return linked.unionByName(fallback)
 
 
 def star_edges(
-    vertices: DataFrame,
-    citations: DataFrame,
-    central: str,
-    min_similarity: float | None = None,
-    hot_floor: int = HOT_FLOOR,
-    max_pairs: int | None = None,
+    vertices: DataFrame, citations: DataFrame, central: str | DataFrame, min_similarity: float | None = None
 ) -> DataFrame:
-    """Citations among the other vertices plus a star around ``central``.
+    """Citations among the other vertices plus a star around the central paper of each graph.
 
-    The star's centre would be a hot join key, so its one vector row is
-    broadcast and its edges never shuffle on it.
+    ``central`` is one id for all graphs, or a frame ``([graph_id,] id)`` with
+    one row per graph; a graph without a row there has citation edges only.
     """
-    ordinary = citations.where((F.col("src") != central) & (F.col("dst") != central)).select("src", "dst")
-    among = weigh(ordinary, vertices, None, hot_floor, max_pairs).withColumn("edge_type", F.lit("seed_cite"))
-
-    ends = _end(vertices, "dst")
-    centre = _end(vertices.where(F.col("id") == central), "src")
-    links = central_links(vertices, citations, central).withColumnRenamed("id", "dst")
-    # One row: ids are unique, so this broadcast does not grow with the data.
-    rays = (
-        links.join(ends, "dst")
-        .withColumn("src", F.lit(central))
-        .join(F.broadcast(centre), "src")
-        .select(
-            F.when(F.col("outward"), F.col("src")).otherwise(F.col("dst")).alias("src"),
-            F.when(F.col("outward"), F.col("dst")).otherwise(F.col("src")).alias("dst"),
-            _weight().alias("weight"),
-            "edge_type",
-        )
-    )
-    edges = among.unionByName(rays)
+    keys = graph_keys(vertices)
+    centres = _centres(vertices, central)
+    among = weigh(citations.select("src", "dst"), vertices)
+    if keys:
+        among = among.join(centres, keys, "left")
+        kind = F.when(F.col("centre").isNull(), "citation").otherwise("seed_cite")
+    else:
+        among, kind = among.withColumn("centre", centres.scalar()), F.lit("seed_cite")
+    apart = F.col("centre").isNull() | ((F.col("src") != F.col("centre")) & (F.col("dst") != F.col("centre")))
+    ordinary = among.where(apart).select(*keys, "src", "dst", "weight", kind.alias("edge_type"))
+
+    links = central_links(vertices, citations, central).select(
+        *keys, F.when(F.col("outward"), F.col("centre")).otherwise(F.col("id")).alias("src"),
+        F.when(F.col("outward"), F.col("id")).otherwise(F.col("centre")).alias("dst"), "edge_type")
+    edges = ordinary.unionByName(weigh(links, vertices))
     return edges if min_similarity is None else edges.where(F.col("weight") >= min_similarity)
 
 
@@ -141,7 +138,7 @@ def hub_edges(vertices: DataFrame) -> DataFrame:
     if keys:
         ids = vertices.select(*keys, "id")
         hubs = ids.groupBy(*keys).agg(F.min("id").alias("hub"))
-        paired = lookup_join(ids, hubs, keys, hot_keys(ids, *keys), F.col("id"))
+        paired = ids.join(hubs, keys)
     else:
         paired = vertices.select("id").withColumn("hub", vertices.agg(F.min("id")).scalar())
     both = F.array(

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import Corpus
-from .skew import HOT_FLOOR, hot_keys, lookup_join
 
 AUTHOR_PREFIX = "author:"
 VENUE_PREFIX = "venue:"
@@ -44,12 +43,11 @@ def hub_nodes(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("papers"))
 
 
-def related_papers(edges: DataFrame, paper_ids: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
+def related_papers(edges: DataFrame, paper_ids: DataFrame) -> DataFrame:
     """``(src, dst, weight)``: papers that share a node with the given papers, and how many nodes."""
     seeds = edges.join(paper_ids.select(F.col("id").alias("src")), "src", "left_semi")
     seeds = seeds.select(F.col("src").alias("seed"), F.col("dst")).distinct()
-    shared = lookup_join(
-        edges.select("src", "dst"), seeds, ["dst"], hot_keys(edges, "dst", hot_floor), F.col("src"))
+    shared = edges.select("src", "dst").join(seeds, "dst")
     return (
         shared.where(F.col("src") != F.col("seed"))
         .groupBy(F.col("seed").alias("src"), F.col("src").alias("dst"))

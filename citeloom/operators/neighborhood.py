@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import Graph, graph_keys
-from ..storage import cut_lineage
+from ..storage import Rounds, cut_lineage
 from .edges import symmetrize
-from .placed import PlacedEdges
-from .skew import HOT_FLOOR, hot_keys, lookup_join
+
+#: Longer lists of chosen ids are joined, shorter ones become a filter.
+FILTER_IDS = 1000
 
 # Fixed value: how far a highlighted neighbourhood reaches.
 DEGREES = 2
@@ -19,46 +20,44 @@ DEGREES = 2
 
 def _ids(vertices: DataFrame, chosen: DataFrame | Sequence[str]) -> DataFrame:
     keys = graph_keys(vertices)
-    if isinstance(chosen, DataFrame):
-        shared = [*[k for k in keys if k in chosen.columns], "id"]
-        return vertices.select(*keys, "id").join(chosen.select(*shared), shared, "left_semi")
-    return vertices.select(*keys, "id").where(F.col("id").isin(list(chosen)))
+    if not isinstance(chosen, DataFrame):
+        listed = sorted(set(chosen))
+        if len(listed) <= FILTER_IDS:
+            return vertices.select(*keys, "id").where(F.col("id").isin(listed))
+        chosen = vertices.sparkSession.createDataFrame([(i,) for i in listed], "id string")
+    shared = [*[k for k in keys if k in chosen.columns], "id"]
+    return vertices.select(*keys, "id").join(chosen.select(*shared).distinct(), shared, "left_semi")
 
 
-def neighborhood(
-    graph: Graph, chosen: DataFrame | Sequence[str], degrees: int = DEGREES, hot_floor: int = HOT_FLOOR
-) -> DataFrame:
+def neighborhood(graph: Graph, chosen: DataFrame | Sequence[str], degrees: int = DEGREES) -> DataFrame:
     """Every vertex with ``hop``: distance to the chosen vertices, null beyond ``degrees``.
 
     Breadth first: a round follows only the vertices the last round found.
+    Links are written once; for the few rounds of a neighbourhood no layout is kept.
     """
     keys = graph_keys(graph.vertices)
-    links = symmetrize(graph.edges.select(*keys, "src", "dst"))
-    placed = PlacedEdges(links, graph.vertices, keys, hot_floor)
-    reached = cut_lineage(_ids(graph.vertices, chosen).withColumn("hop", F.lit(0)))
-    for hop in range(1, degrees + 1):
-        frontier = reached.where(F.col("hop") == hop - 1).select(*keys, "id")
-        touched = placed.send(frontier).select(*keys, F.col("dst").alias("id")).distinct()
-        fresh = touched.join(reached, [*keys, "id"], "left_anti").withColumn("hop", F.lit(hop))
-        reached = cut_lineage(reached.unionByName(fresh))
-    placed.release()
-    return graph.vertices.select(*keys, "id").join(reached, [*keys, "id"], "left")
-
-
-def induced_subgraph(
-    graph: Graph, chosen: DataFrame | Sequence[str], hot_floor: int = HOT_FLOOR
-) -> Graph:
+    with Rounds() as rounds:
+        links = rounds.cut(symmetrize(graph.edges.select(*keys, "src", "dst")))
+        reached = rounds.cut(_ids(graph.vertices, chosen).withColumn("hop", F.lit(0)))
+        for hop in range(1, degrees + 1):
+            frontier = reached.where(F.col("hop") == hop - 1).select(*keys, F.col("id").alias("src"))
+            touched = links.join(frontier, [*keys, "src"], "left_semi").select(*keys, F.col("dst").alias("id")).distinct()
+            fresh = touched.join(reached, [*keys, "id"], "left_anti").withColumn("hop", F.lit(hop))
+            reached = rounds.cut(reached.unionByName(fresh), instead_of=reached)
+        return cut_lineage(graph.vertices.select(*keys, "id").join(reached, [*keys, "id"], "left"))
+
+
+def induced_subgraph(graph: Graph, chosen: DataFrame | Sequence[str]) -> Graph:
     """The chosen vertices and the edges with both ends among them."""
     keys = graph_keys(graph.vertices)
     ids = _ids(graph.vertices, chosen)
     vertices = graph.vertices.join(ids, [*keys, "id"], "left_semi")
     edges = graph.edges
-    if not isinstance(chosen, DataFrame):
-        inside = F.col("src").isin(list(chosen)) & F.col("dst").isin(list(chosen))
-        return Graph(vertices, edges.where(inside))
-    for end, other in (("src", "dst"), ("dst", "src")):
-        members = ids.withColumnRenamed("id", end)
-        edges = lookup_join(edges, members, [*keys, end], hot_keys(graph.edges, end, hot_floor), F.col(other))
+    if not isinstance(chosen, DataFrame) and len(set(chosen)) <= FILTER_IDS:
+        listed = sorted(set(chosen))
+        return Graph(vertices, edges.where(F.col("src").isin(listed) & F.col("dst").isin(listed)))
+    for end in ("src", "dst"):
+        edges = edges.join(ids.withColumnRenamed("id", end), [*keys, end], "left_semi")
     return Graph(vertices, edges.select(*graph.edges.columns))
 
 

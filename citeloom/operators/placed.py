@@ -6,19 +6,27 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage
+from ..storage import Rounds, written_bytes
 from . import skew
 
+#: Written bytes that one partition of a kept layout should hold.
+PART_BYTES = 64 << 20
 
-def place(df: DataFrame, columns: list[str]) -> DataFrame:
+
+def parts_for(df: DataFrame) -> int:
+    """How many partitions a written table is laid out in, by its measured size."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-written_bytes(df) // PART_BYTES))
+
+
+def place(df: DataFrame, columns: list[str], parts: int) -> DataFrame:
     """Keep ``df`` partitioned and sorted by ``columns``.
 
     Filling the cache at once makes its layout known to the planner, so later
     joins on these columns neither shuffle nor sort this side. Lost cache
     blocks are recomputed from the lineage.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kept = df.repartition(n, *columns).sortWithinPartitions(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.repartition(parts, *columns).sortWithinPartitions(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
     return kept
 
@@ -26,42 +34,31 @@ def place(df: DataFrame, columns: list[str]) -> DataFrame:
 class PlacedEdges:
     """Edges ready to carry vertex values to their targets again and again.
 
-    The edges are written to the shared folder first, so neither counting nor
-    the repair of a lost cache block computes them again. A counted small
-    graph is left as it is, and vertex values are broadcast to it. Otherwise
-    edges are partitioned by source, hot sources are split over several tasks,
-    and values come by merge join: the edges stay in place and in order, and
-    nothing passes through the driver.
+    The edges are written to the shared folder first, so the repair of a lost
+    cache block does not compute them again, and their measured size gives the
+    number of partitions. They are partitioned by source, hot sources are split
+    over several tasks, and values come by join: the edges stay in place and
+    in order, and nothing passes through the driver.
     """
 
-    def __init__(
-        self, edges: DataFrame, vertices: DataFrame, keys: list[str], hot_floor: int = skew.HOT_FLOOR
-    ) -> None:
-        edges = cut_lineage(edges)
-        rows = edges.count()
-        #: Whether vertices and edges are few enough to be broadcast.
-        self.small = max(rows, vertices.count()) <= min(skew.BROADCAST_ROWS, hot_floor)
-        #: How vertex values are joined.
-        self.strategy = "broadcast" if self.small else "merge"
+    def __init__(self, edges: DataFrame, keys: list[str], rounds: Rounds, hot_floor: int = skew.HOT_FLOOR) -> None:
+        edges = rounds.cut(edges)
+        self.parts = parts_for(edges)
         self._on = [*keys, "src"]
         self._hot = None
-        if self.small:
-            self._edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
-            return
-        # The list of hot sources has at most HOT_KEYS rows, so it fits the driver.
-        hot = skew.hot_keys(edges, "src", hot_floor).collect() if rows > hot_floor else []
-        if hot:
-            self._hot = edges.sparkSession.createDataFrame(hot, "src string, fan int")
-            edges = skew.salt_rows(edges, self._hot, "src", F.col("dst"))
+        hot = rounds.cut(skew.hot_keys(edges, "src", hot_floor))
+        if not hot.isEmpty():
+            self._hot = hot
+            edges = skew.salt_rows(edges, hot, "src", F.col("dst"))
             self._on.append("salt")
-        self._edges = place(edges, self._on)
+        self._edges = place(edges, self._on, self.parts)
 
     def send(self, values: DataFrame) -> DataFrame:
         """Each edge with the values of its source vertex ``id``."""
         values = values.withColumnRenamed("id", "src")
         if self._hot is not None:
             values = skew.salt_copies(values, self._hot, "src")
-        return self._edges.join(values.hint(self.strategy), self._on)
+        return self._edges.join(values, self._on)
 
     def release(self) -> None:
         self._edges.unpersist()

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import Graph, graph_keys
-from ..storage import cut_lineage
+from ..storage import Rounds, cut_lineage
 from .placed import PlacedEdges, place
-from .skew import HOT_FLOOR, hot_keys, lookup_join
+from .skew import HOT_FLOOR
 
 # The ranking's default parameters.
 RESET_PROB = 0.15
@@ -18,10 +17,10 @@ MAX_ITER = 10
 _ATTRIBUTES = ("title", "venue", "year")
 
 
-def _out_normalized(edges: DataFrame, keys: list[str], hot_floor: int) -> DataFrame:
+def _out_normalized(edges: DataFrame, keys: list[str]) -> DataFrame:
     """Weights divided by the source's total weight."""
     totals = edges.groupBy(*keys, "src").agg(F.sum("weight").alias("total"))
-    joined = lookup_join(edges, totals, [*keys, "src"], hot_keys(edges, "src", hot_floor), F.col("dst"))
+    joined = edges.join(totals, [*keys, "src"])
     return joined.withColumn("weight", F.try_divide("weight", "total")).drop("total")
 
 
@@ -39,37 +38,36 @@ def pagerank(
     over the incoming edges, starting from 1. Weights are used as they are
     unless ``normalize`` is set, so ranks may grow or become negative.
 
-    Vertices and edges of a large graph are laid out by id once. A round then
-    shuffles only the sums per target, which are combined before the shuffle;
-    an often-cited paper costs one row per task. The result is written to the
-    shared folder.
+    Vertices and edges are laid out by id once. A round then shuffles only
+    the sums per target, which are combined before the shuffle; an often-cited
+    paper costs one row per task. The result is written to the shared folder.
     """
     keys = graph_keys(graph.vertices)
     attributes = [c for c in _ATTRIBUTES if c in graph.vertices.columns]
     edges = graph.edges.select(*keys, "src", "dst", "weight")
     if normalize:
-        edges = _out_normalized(edges, keys, hot_floor)
+        edges = _out_normalized(edges, keys)
     nodes = graph.vertices.select(*keys, "id", *attributes)
     if max_iter == 0:
         return nodes.select(*keys, "id", F.lit(1.0).alias("rank"), *attributes)
-    placed = PlacedEdges(edges, nodes, keys, hot_floor)
-    nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK) if placed.small else place(nodes, [*keys, "id"])
+    with Rounds() as rounds:
+        placed = PlacedEdges(edges, keys, rounds, hot_floor)
+        ids = place(nodes.select(*keys, "id"), [*keys, "id"], placed.parts)
 
-    ranks = nodes.select(*keys, "id", F.lit(1.0).alias("rank"))
-    for done in range(1, max_iter + 1):
-        inflow = (
-            placed.send(ranks)
-            .groupBy(*keys, F.col("dst").alias("id"))
-            .agg(F.sum(F.col("rank") * F.col("weight")).alias("inflow"))
-        )
-        received = F.coalesce("inflow", F.lit(0.0))
-        ranks = nodes.select(*keys, "id").join(inflow.hint(placed.strategy), [*keys, "id"], "left").select(
-            *keys, "id", (F.lit(reset_prob) + F.lit(1 - reset_prob) * received).alias("rank"))
-        if done % checkpoint_every == 0 and done < max_iter:
-            ranks = cut_lineage(ranks)
+        ranks = ids.withColumn("rank", F.lit(1.0))
+        for done in range(1, max_iter + 1):
+            inflow = (
+                placed.send(ranks)
+                .groupBy(*keys, F.col("dst").alias("id"))
+                .agg(F.sum(F.col("rank") * F.col("weight")).alias("inflow"))
+            )
+            received = F.coalesce("inflow", F.lit(0.0))
+            ranks = ids.join(inflow, [*keys, "id"], "left").select(
+                *keys, "id", (F.lit(reset_prob) + F.lit(1 - reset_prob) * received).alias("rank"))
+            if done % checkpoint_every == 0 and done < max_iter:
+                ranks = rounds.cut(ranks)
 
-    ranked = nodes.join(ranks.hint(placed.strategy), [*keys, "id"])
-    result = cut_lineage(ranked.select(*keys, "id", "rank", *attributes))
-    nodes.unpersist()
-    placed.release()
+        result = cut_lineage(nodes.join(ranks, [*keys, "id"]).select(*keys, "id", "rank", *attributes))
+        ids.unpersist()
+        placed.release()
     return result

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import display
 from ..schema import Graph, graph_keys
-from .skew import hot_keys, lookup_join
 
 
 def top_ranked(ranks: DataFrame, k: int = display.TOP_NODES) -> DataFrame:
@@ -33,7 +32,7 @@ def viz_nodes(ranks: DataFrame, blank: str = " ", with_venue: bool = False, top:
     if keys:
         flagged = ranks.join(best.drop("top_rank"), [*keys, "id"], "left")
         peak = best.groupBy(*keys).agg(F.max("top_rank").alias("peak"))
-        flagged = lookup_join(flagged, peak, keys, hot_keys(ranks, *keys), F.col("id"))
+        flagged = flagged.join(peak, keys)
     else:
         # ``top`` rows, whatever the size of the graph.
         flagged = ranks.join(F.broadcast(best.drop("top_rank")), "id", "left")

@@ -1,14 +1,9 @@
 """All pairs of papers with cosine similarity above a threshold, exactly.
 
 No pair becomes a row before it has passed the threshold. Each graph's
-papers are dealt into tiles of bounded size; a task gets two tiles, multiplies
+papers are dealt into tiles of bounded bytes; a task gets two tiles, multiplies
 them as matrices and returns only the pairs that pass. A graph of any size
 therefore spreads over many equal tasks, and no task holds more than two tiles.
-
-A graph of several tiles is first cut into cells of neighbouring vectors. By
-the triangle inequality for angles, two cells whose pivots are further apart
-than both radii and the threshold's angle allow hold no similar pair, and
-their tiles never meet.
 """
 
 from __future__ import annotations
@@ -20,44 +15,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import norm
-from ..schema import GRAPH_ID, graph_keys
+from ..schema import graph_keys
 from .edges import symmetrize
-from .skew import BROADCAST_ROWS, hot_keys, lookup_join
 
-#: Papers per tile.
-TILE_ROWS = 2048
-#: A graph has one cell per tile, up to this many.
-MAX_CELLS = 64
-#: Rows of a tile scored at once; bounds the score matrix.
-_STRIP_ROWS = 512
+#: Bytes of vectors per tile. Papers are copied once for each tile of their graph, so few large tiles shuffle least.
+TILE_BYTES = 16 << 20
+#: Scores held at once; bounds the score matrix.
+_SCORES = 4 << 20
 #: Scores this close to the threshold are summed again in element order.
 _DOUBT = 1e-9
-#: Slack in the comparison of angles, far above the error of ``arccos``.
-_ANGLE_SLACK = 1e-6
-
-
-def _with_tile_count(papers: DataFrame, tile_rows: int, max_rows: int | None) -> tuple[DataFrame, int]:
-    """Add ``tiles``: over how many tiles the row's graph is dealt; and the number of graphs with several."""
-    keys = graph_keys(papers)
-    single = papers.withColumn("tiles", F.lit(1))
-    if max_rows is not None and max_rows <= tile_rows:
-        return single, 0
-    if not keys:
-        tiles = -(-papers.count() // tile_rows)
-        return (papers.withColumn("tiles", F.lit(tiles)), 1) if tiles > 1 else (single, 0)
-    sizes = papers.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("tiles"))
-    split = sizes.where(F.col("tiles") > 1)
-    found = split.limit(BROADCAST_ROWS + 1).count()
-    if found == 0:
-        return single, 0
-    if found <= BROADCAST_ROWS:
-        return papers.join(F.broadcast(split), keys, "left").fillna(1, ["tiles"]), found
-    return lookup_join(papers, sizes, keys, hot_keys(papers, GRAPH_ID), F.col("id")), found
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -108,8 +79,9 @@ def _tile_scorer(keys: list[str], threshold: float) -> Callable:
         matrix = _matrix(table["vector"].combine_chunks())
         norms = table["norm"].to_numpy()
         left, right = np.flatnonzero(tile == first), np.flatnonzero(tile == second)
-        for start in range(0, len(left), _STRIP_ROWS):
-            strip = left[start:start + _STRIP_ROWS]
+        rows = max(1, _SCORES // max(len(right), 1))
+        for start in range(0, len(left), rows):
+            strip = left[start:start + rows]
             # Row numbers follow the id order. Inside one tile only later rows are partners.
             partners = right[start:] if first == second else right
             a, b, weight = _passing(matrix, norms, strip, partners, threshold)
@@ -123,136 +95,36 @@ def _tile_scorer(keys: list[str], threshold: float) -> Callable:
     return score
 
 
-def _cosines(matrix: np.ndarray, norms: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    width = min(matrix.shape[1], pivots.shape[1])
-    return (matrix[:, :width] @ pivots[:, :width].T) / norms[:, None]
-
-
-def _cell_finder(pivots: np.ndarray) -> Callable:
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            norms, tiles = batch["norm"].to_numpy(), batch["tiles"].to_numpy()
-            with np.errstate(all="ignore"):
-                near = np.clip(_cosines(_matrix(batch["vector"]), norms, pivots), -1.0, 1.0)
-                near[np.arange(len(pivots)) >= tiles[:, None]] = -2.0
-                cell = np.argmax(near, axis=1)
-                angle = np.arccos(near[np.arange(len(cell)), cell])
-            # Without a finite direction a vector may be similar to anything.
-            angle[~np.isfinite(angle) | ~np.isfinite(norms)] = np.pi
-            columns = [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(angle)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "cell", "angle"])
-
-    return find
-
-
 # Ship this module's task code with the job: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _pivots(papers: DataFrame) -> np.ndarray:
-    """Unit vectors of ``MAX_CELLS`` papers picked by hash; a bounded few rows."""
-    picked = papers.orderBy(F.xxhash64("id"), "id").limit(MAX_CELLS).select("vector", "norm").collect()
-    pivots = np.zeros((max(len(picked), 1), max((len(row.vector) for row in picked), default=1)))
-    for pivot, row in zip(pivots, picked):
-        if np.isfinite(row.norm):
-            pivot[:len(row.vector)] = np.asarray(row.vector) / row.norm
-    return pivots
-
-
-def _reachable_cells(cells: DataFrame, pivots: np.ndarray, threshold: float, tile_rows: int) -> DataFrame:
-    """Per graph and cell its ``subtiles`` and ``partners``: the cells that may hold similar papers.
-
-    A graph has at most ``MAX_CELLS`` cells, so lists and pairs of cells are short.
-    """
-    keys = graph_keys(cells)
-    spark = cells.sparkSession
-    gaps = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0))
-    gap = spark.createDataFrame(
-        [(a, b, float(gaps[a, b])) for a in range(len(pivots)) for b in range(len(pivots))],
-        "cell int, other int, gap double")
-    size = F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("subtiles")
-    known = cells.groupBy(*keys, "cell").agg(size, F.max("angle").alias("radius"))
-    other = known.select(
-        *keys, F.col("cell").alias("other"), F.col("subtiles").alias("other_subtiles"),
-        F.col("radius").alias("other_radius"))
-    # The gap table has MAX_CELLS squared rows.
-    met = known.join(F.broadcast(gap), "cell").join(other, [*keys, "other"])
-    limit = float(np.arccos(min(threshold, 1.0))) + _ANGLE_SLACK
-    open_pairs = met.where(F.col("gap") - F.col("radius") - F.col("other_radius") <= limit)
-    return open_pairs.groupBy(*keys, "cell").agg(
-        F.first("subtiles").alias("subtiles"),
-        F.collect_list(F.struct("other", "other_subtiles")).alias("partners"))
-
-
-def _tile_number(cell: Column, subtile: Column) -> Column:
-    return F.shiftleft(cell.cast("bigint"), 32) + subtile
-
-
-def _route_by_cell(papers: DataFrame, graphs: int, threshold: float, tile_rows: int) -> DataFrame:
-    """Tile pairs of graphs with several tiles, only between cells in reach of each other."""
-    keys = graph_keys(papers)
-    pivots = _pivots(papers)
-    schema = T.StructType([
-        *papers.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("angle", T.DoubleType())])
-    cells = papers.mapInArrow(_cell_finder(pivots), schema)
-    routes = _reachable_cells(cells, pivots, threshold, tile_rows)
-    if graphs * MAX_CELLS <= BROADCAST_ROWS:
-        routed = cells.join(F.broadcast(routes), [*keys, "cell"])
-    else:
-        routed = lookup_join(cells, routes, [*keys, "cell"], hot_keys(papers, GRAPH_ID), F.col("id"))
-    subtile = F.pmod(F.xxhash64("id"), F.col("subtiles"))
-    return (
-        routed.withColumn("tile", _tile_number(F.col("cell"), subtile))
-        .select("*", F.inline("partners"))
-        .withColumn("other_subtile", F.explode(F.sequence(F.lit(0), F.col("other_subtiles") - 1)))
-        .withColumn("other_tile", _tile_number(F.col("other"), F.col("other_subtile")))
-    )
-
-
-def _route_all(papers: DataFrame) -> DataFrame:
-    """Every pair of tiles of each graph."""
-    return (
-        papers.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("bigint"))
-        .withColumn("other_tile", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles").cast("bigint") - 1)))
-    )
-
-
-def tile_pairs(
-    vertices: DataFrame, min_similarity: float, tile_rows: int = TILE_ROWS, max_rows: int | None = None
-) -> DataFrame:
+def tile_pairs(vertices: DataFrame, min_similarity: float, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """Every paper once per pair of tiles it takes part in."""
     keys = graph_keys(vertices)
     length = norm(F.col("vector"))
     usable = F.when((length > 0) & ~F.isnan(length), length)
-    named = vertices.where(F.col("id").isNotNull()).select(*keys, "id", "vector")
-    counted, graphs = _with_tile_count(named, tile_rows, max_rows)
-    papers = counted.withColumn("norm", F.coalesce(usable, F.lit(0.0)))
-    columns = [*keys, "id", "vector", "norm", "tile", "other_tile"]
-    if min_similarity <= 0:
-        # Half of all pairs pass anyway, and unusable vectors with them.
-        routed = _route_all(papers).select(*columns)
-    else:
+    papers = vertices.where(F.col("id").isNotNull()).select(
+        *keys, "id", "vector", F.coalesce(usable, F.lit(0.0)).alias("norm"))
+    if min_similarity > 0:
         papers = papers.where(F.col("norm") > 0)
-        routed = _route_all(papers.where(F.col("tiles") == 1)).select(*columns)
-        if graphs:
-            large = _route_by_cell(papers.where(F.col("tiles") > 1), graphs, min_similarity, tile_rows)
-            routed = routed.unionByName(large.select(*columns))
+    held = F.sum(F.greatest(F.size("vector"), F.lit(0)).cast("long") * 8 + 64)
+    tiles = F.greatest(F.ceil(held / tile_bytes), F.lit(1)).cast("int").alias("tiles")
+    if keys:
+        sized = papers.join(papers.groupBy(*keys).agg(tiles), keys)
+    else:
+        sized = papers.withColumn("tiles", F.coalesce(papers.agg(tiles).scalar(), F.lit(1)))
+    routed = sized.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")).withColumn(
+        "other_tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     return routed.select(
-        *columns[:-1], F.least("tile", "other_tile").alias("tile_a"), F.greatest("tile", "other_tile").alias("tile_b"))
-
+        *keys, "id", "vector", "norm", "tile",
+        F.least("tile", "other_tile").alias("tile_a"), F.greatest("tile", "other_tile").alias("tile_b"))
 
-def similarity_pairs(
-    vertices: DataFrame, min_similarity: float = 0.0, tile_rows: int = TILE_ROWS, max_rows: int | None = None
-) -> DataFrame:
-    """Pairs ``src < dst`` of one graph with ``weight >= min_similarity``.
 
-    ``max_rows`` states a known bound on the vertices of a graph, such as a
-    search page; it saves counting them.
-    """
+def similarity_pairs(vertices: DataFrame, min_similarity: float = 0.0, tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """Pairs ``src < dst`` of one graph with ``weight >= min_similarity``."""
     keys = graph_keys(vertices)
-    dealt = tile_pairs(vertices, min_similarity, tile_rows, max_rows)
+    dealt = tile_pairs(vertices, min_similarity, tile_bytes)
     schema = T.StructType([
         *[vertices.schema[k] for k in keys],
         T.StructField("src", T.StringType()),
@@ -262,8 +134,6 @@ def similarity_pairs(
     return dealt.groupBy(*keys, "tile_a", "tile_b").applyInArrow(_tile_scorer(keys, float(min_similarity)), schema)
 
 
-def similarity_edges(
-    vertices: DataFrame, min_similarity: float = 0.0, tile_rows: int = TILE_ROWS, max_rows: int | None = None
-) -> DataFrame:
+def similarity_edges(vertices: DataFrame, min_similarity: float = 0.0, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """The similar pairs as edges in both directions."""
-    return symmetrize(similarity_pairs(vertices, min_similarity, tile_rows, max_rows))
+    return symmetrize(similarity_pairs(vertices, min_similarity, tile_bytes))

@@ -1,76 +1,35 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Salting for layouts that are kept over many joins.
 
-from __future__ import annotations
+Ordinary joins need none of this: Spark splits their skewed partitions at run
+time. It can't split a side that was laid out once and cached.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: At most this many keys are treated as hot, and each is spread this far at most.
-HOT_KEYS = 1000
 #: A key with fewer rows than this is left to one task.
 HOT_FLOOR = 500_000
-#: Up to this many rows a side is broadcast after it has been counted.
-BROADCAST_ROWS = 100_000
 
 
 def hot_keys(rows: DataFrame, key: str, floor: int = HOT_FLOOR) -> DataFrame:
-    """``(key, fan)``: keys too frequent for one task, and over how many to spread them.
+    """``(key, fan)``: all keys with more than ``floor`` rows, and over how many tasks to spread them.
 
-    Frequencies are counted with map-side combining. Only the most frequent
-    keys are listed, so the result may be broadcast whatever the input size;
-    a key that misses the list holds less than ``1/HOT_KEYS`` of the rows.
+    Frequencies are counted with map-side combining. There are at most
+    ``rows / floor`` such keys.
     """
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return hot_counts(counts, key, floor)
-
-
-def hot_counts(counts: DataFrame, key: str, floor: int = HOT_FLOOR) -> DataFrame:
-    """:func:`hot_keys` from frequencies ``(key, n)`` that are known already."""
-    fan = F.least(F.ceil(F.col("n") / floor), F.lit(HOT_KEYS)).cast("int")
-    return counts.where(F.col("n") > floor).orderBy(F.desc("n"), key).limit(HOT_KEYS).select(key, fan.alias("fan"))
+    return counts.where(F.col("n") > floor).select(key, F.ceil(F.col("n") / floor).cast("int").alias("fan"))
 
 
 def salt_rows(rows: DataFrame, hot: DataFrame, key: str, spread: Column) -> DataFrame:
     """Add ``salt``: 0 for ordinary keys, a hash of ``spread`` for hot ones."""
     salt = F.pmod(F.xxhash64(spread), F.coalesce("fan", F.lit(1))).cast("int")
-    return rows.join(F.broadcast(hot), key, "left").select(*rows.columns, salt.alias("salt"))
+    return rows.join(hot, key, "left").select(*rows.columns, salt.alias("salt"))
 
 
 def salt_copies(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Repeat rows with a hot key once per salt, so every salted row finds its match."""
     salts = F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1)
-    return rows.join(F.broadcast(hot), key, "left").select(*rows.columns, F.explode(salts).alias("salt"))
-
-
-def lookup_join(
-    facts: DataFrame, dims: DataFrame, on: Sequence[str], hot: DataFrame | None, spread: Column
-) -> DataFrame:
-    """Inner join of many ``facts`` to few ``dims`` per key.
-
-    ``hot`` comes from :func:`hot_keys`, and its key is one of the ``on``
-    columns; None states that no key can be hot. ``spread`` tells the facts
-    of one key apart.
-    """
-    if hot is None:
-        return facts.join(dims, list(on))
-    key = hot.columns[0]
-    left = salt_rows(facts, hot, key, spread)
-    return left.join(salt_copies(dims, hot, key), [*on, "salt"]).drop("salt")
-
-
-def is_small(rows: DataFrame) -> bool:
-    """Whether ``rows`` may be broadcast; counts no further than the limit."""
-    return rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-
-
-def join_requests(rows: DataFrame, requests: DataFrame, key: str, spread: Column) -> DataFrame:
-    """Rows joined to the requests for their ``key``.
-
-    Counted few requests are broadcast, so the rows are not shuffled for them;
-    many are joined with salting.
-    """
-    if is_small(requests):
-        return rows.join(F.broadcast(requests), key)
-    return lookup_join(rows, requests, [key], hot_keys(rows, key), spread)
+    return rows.join(hot, key, "left").select(*rows.columns, F.explode(salts).alias("salt"))

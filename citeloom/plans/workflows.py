@@ -1,8 +1,8 @@
 """The three graph workflows, for one request or for a table of requests.
 
 What a search finds is written to the shared folder once: building the edges
-reads it several times, and the search must not run as often. Few vertices are
-counted and broadcast, so a small graph is cut from a huge corpus by scans alone.
+reads it several times, and the search must not run as often. Whether a side is
+broadcast or merged is left to Spark, that measures it at run time.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.text import parse_terms
 from ..operators.edges import citation_edges, star_edges
 from ..operators.similarity import similarity_edges
-from ..operators.skew import hot_keys, is_small, join_requests, lookup_join
 from ..schema import GRAPH_ID, Corpus, Graph
 from ..sources import search
 from ..storage import cut_lineage
@@ -61,50 +60,30 @@ def resolve_central(papers: DataFrame, central: str | None, aliases: DataFrame |
 
 
 def star_or_citation(
-    vertices: DataFrame,
-    citations: DataFrame,
-    central: str | None,
-    min_similarity: float | None = None,
-    max_pairs: int | None = None,
+    vertices: DataFrame, citations: DataFrame, central: str | None, min_similarity: float | None = None
 ) -> DataFrame:
     """Star edges when there is a central paper, citation edges otherwise."""
     if central is None:
-        return citation_edges(vertices, citations, min_similarity, max_pairs=max_pairs)
-    return star_edges(vertices, citations, central, min_similarity, max_pairs=max_pairs)
+        return citation_edges(vertices, citations, min_similarity)
+    return star_edges(vertices, citations, central, min_similarity)
 
 
 def _records_of(papers: DataFrame, members: DataFrame) -> DataFrame:
     """Records of the papers listed in ``members(paperId[, graph_id])``."""
-    members = cut_lineage(members)
-    if is_small(members):
-        return papers.join(F.broadcast(members), "paperId")
-    spread = F.col(GRAPH_ID) if GRAPH_ID in members.columns else F.col("paperId")
-    return lookup_join(members, papers, ["paperId"], hot_keys(members, "paperId"), spread)
-
-
-def _citations_among(citations: DataFrame, vertices: DataFrame) -> tuple[DataFrame, int | None]:
-    """The citations that can become edges and their number, when the vertices are few."""
-    ids = vertices.select("id").distinct()
-    if not is_small(ids):
-        return citations, None
-    among = citations
-    for end in ("src", "dst"):
-        among = among.join(F.broadcast(ids.withColumnRenamed("id", end)), end, "left_semi")
-    among = cut_lineage(among.select("src", "dst"))
-    return among, among.count()
+    return papers.join(members, "paperId")
 
 
 def keyword_graph(
     corpus: Corpus,
     keywords: str | Sequence[str],
-    limit: int | None = search.MAX_PAGE,
+    limit: int | None = None,
     central: str | None = None,
     min_similarity: float | None = None,
     aliases: DataFrame | None = None,
 ) -> Graph:
     """Graph of the papers a keyword search finds, around ``central`` if given.
 
-    ``limit`` is the search page; None takes every hit.
+    ``limit`` takes only the best hits; None takes every hit.
     """
     hits = search.keyword_search(corpus.papers, keywords, limit).drop("score")
     centre = resolve_central(corpus.papers, central, aliases)
@@ -112,17 +91,26 @@ def keyword_graph(
         added = search.lookup_ids(corpus.papers, [centre])
         hits = hits.where(F.col("paperId") != centre).unionByName(added)
     vertices = cut_lineage(keyword_vertices(hits))
-    citations, n = _citations_among(corpus.citations, vertices)
-    return Graph(vertices, star_or_citation(vertices, citations, centre, min_similarity, n))
+    return Graph(vertices, star_or_citation(vertices, corpus.citations, centre, min_similarity))
 
 
-def keyword_graphs(corpus: Corpus, queries: DataFrame, limit: int | None = search.MAX_PAGE) -> Graph:
-    """Citation graphs for ``queries(graph_id, keywords)``, comma-separated keywords."""
+def keyword_graphs(corpus: Corpus, queries: DataFrame, limit: int | None = None) -> Graph:
+    """Graphs for ``queries(graph_id, keywords[, central])``, comma-separated keywords.
+
+    A request whose ``central`` is a known paper gets a star around it, the
+    others citation edges.
+    """
     asked = queries.select(GRAPH_ID, parse_terms(F.col("keywords")).alias("terms"))
-    hits = search.keyword_hits_many(corpus.papers, asked, limit).drop("score")
-    vertices = cut_lineage(keyword_vertices(_records_of(corpus.papers, hits)))
-    citations, n = _citations_among(corpus.citations, vertices)
-    return Graph(vertices, citation_edges(vertices, citations, max_pairs=n))
+    members = search.keyword_hits_many(corpus.papers, asked, limit).select(GRAPH_ID, "paperId")
+    centres = None
+    if "central" in queries.columns:
+        wanted = queries.select(GRAPH_ID, F.col("central").alias("paperId")).where(F.col("paperId").isNotNull())
+        centres = cut_lineage(search.lookup_ids(wanted, corpus.papers))
+        members = members.unionByName(centres).distinct()
+    vertices = cut_lineage(keyword_vertices(_records_of(corpus.papers, members)))
+    if centres is None:
+        return Graph(vertices, citation_edges(vertices, corpus.citations))
+    return Graph(vertices, star_edges(vertices, corpus.citations, centres.select(GRAPH_ID, F.col("paperId").alias("id"))))
 
 
 def paper_id_graph(
@@ -133,38 +121,33 @@ def paper_id_graph(
     ``seed_ids(paperId)`` may carry ``graph_id`` to build many graphs at once.
     """
     papers, citations = corpus.papers, corpus.citations
+    keys = []
     if isinstance(seed_ids, DataFrame):
         keys = [GRAPH_ID] if GRAPH_ID in seed_ids.columns else []
         seeds = search.lookup_ids(seed_ids.select(*keys, "paperId").distinct(), papers)
-        outgoing = citations
     else:
-        # Typed-in ids stay literals, so they reach the scans.
-        keys = []
         seeds = search.lookup_ids(papers, seed_ids).select("paperId")
-        outgoing = citations.where(F.col("src").isin(sorted(set(seed_ids))))
     seeds = cut_lineage(seeds)
-    cited = join_requests(outgoing, seeds.withColumnRenamed("paperId", "src"), "src", F.col("dst"))
+    cited = citations.join(seeds.withColumnRenamed("paperId", "src"), "src")
     members = seeds.unionByName(cited.select(*keys, F.col("dst").alias("paperId"))).distinct()
     vertices = cut_lineage(citation_vertices(_records_of(papers, members)))
-    among, n = _citations_among(citations, vertices)
-    return Graph(vertices, citation_edges(vertices, among, min_similarity, max_pairs=n))
+    return Graph(vertices, citation_edges(vertices, citations, min_similarity))
 
 
 def publication_graph(
     corpus: Corpus,
     publication: str,
     year: int,
-    limit: int | None = search.MAX_PAGE,
+    limit: int | None = None,
     min_similarity: float = 0.0,
 ) -> Graph:
     """Similarity graph of the papers of one venue and year.
 
-    ``limit`` is the search page; None takes every paper.
+    ``limit`` takes only the first papers by id; None takes every paper.
     """
     hits = search.publication_search(corpus.papers, publication, year, limit)
     vertices = cut_lineage(publication_vertices(hits))
-    bound = None if limit is None else min(limit, search.MAX_PAGE)
-    return Graph(vertices.drop("vector"), similarity_edges(vertices, min_similarity, max_rows=bound))
+    return Graph(vertices.drop("vector"), similarity_edges(vertices, min_similarity))
 
 
 def publication_graphs(corpus: Corpus, queries: DataFrame, min_similarity: float = 0.0) -> Graph:
@@ -180,5 +163,5 @@ def venue_year_graphs(corpus: Corpus, min_similarity: float = 0.0) -> Graph:
     """
     named = F.concat_ws("|", F.coalesce("venue", F.lit("")), "year")
     papers = corpus.papers.where(F.col("year").isNotNull()).withColumn(GRAPH_ID, named)
-    vertices = publication_vertices(papers)
+    vertices = cut_lineage(publication_vertices(papers))
     return Graph(vertices.drop("vector"), similarity_edges(vertices, min_similarity))

@@ -13,7 +13,6 @@ from ..schema import Graph, graph_keys
 VERTEX_DIR = "processed/vertices"
 EDGE_DIR = "processed/edges_weighted"
 VERTEX_COLUMNS = ["id", "title", "year"]
-EDGE_FILES = 32
 
 
 def write_vertices(vertices: DataFrame, root: str) -> str:
@@ -31,22 +30,24 @@ def write_vertices(vertices: DataFrame, root: str) -> str:
     return path
 
 
-def write_edges(edges: DataFrame, root: str, files: int = EDGE_FILES, by_source: bool = False) -> str:
-    """Edges below ``root`` in ``files`` parts; replaces what was there.
+def write_edges(edges: DataFrame, root: str, files: int | None = None, by_source: bool = False) -> str:
+    """Edges below ``root``; replaces what was there.
 
+    The number of files follows the measured size unless ``files`` is given.
     ``by_source`` sorts the parts by ``src``, so readers can skip files; a
     source with very many edges spans several parts.
     """
     path = f"{root}/{EDGE_DIR}"
     if by_source:
-        parted = edges.repartitionByRange(files, "src", "dst").sortWithinPartitions("src", "dst")
+        ranged = edges.repartitionByRange("src", "dst") if files is None else edges.repartitionByRange(files, "src", "dst")
+        parted = ranged.sortWithinPartitions("src", "dst")
     else:
-        parted = edges.repartition(files)
+        parted = edges.hint("rebalance") if files is None else edges.repartition(files)
     parted.write.mode("overwrite").parquet(path)
     return path
 
 
-def write_graph(graph: Graph, root: str, files: int = EDGE_FILES, by_source: bool = False) -> tuple[str, str]:
+def write_graph(graph: Graph, root: str, files: int | None = None, by_source: bool = False) -> tuple[str, str]:
     """Both tables; returns their paths."""
     return write_vertices(graph.vertices, root), write_edges(graph.edges, root, files, by_source)
 

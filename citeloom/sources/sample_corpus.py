@@ -1,7 +1,8 @@
 """Paper corpus over the star-schema test tables.
 
-A paper per ``embeddings`` row: text and venue from the document, year and
-references from the order with the same number.
+A paper per order: year and references from the order and its lines, text and venue from the
+document, vector from the embedding with the same number, where there is one. All rows of these
+tables are read, and texts stay whole: the title is the first line, the short summary the last one.
 """
 
 from __future__ import annotations
@@ -9,13 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import Corpus
+from ..schema import PAPER_SCHEMA, Corpus
 from .records import corpus_from_tables
 
-# Lengths of the title and of the short summary.
-TITLE_CHARS = 80
-TLDR_CHARS = 40
-
 # The columns the corpus uses. A declared schema saves the job
 # that would look for it in the files.
 COLUMNS = {
@@ -36,12 +33,13 @@ def sample_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    lines = F.split("text", "\n")
     return (
-        vectors.join(documents, F.col("doc_id") == F.col("vec_id"), "left")
-        .join(orders, F.col("o_orderkey") == F.col("vec_id"), "left")
+        orders.join(documents, F.col("doc_id") == F.col("o_orderkey"), "left")
+        .join(vectors, F.col("vec_id") == F.col("o_orderkey"), "left")
         .select(
-            F.col("vec_id").cast("string").alias("paperId"),
-            F.substring("text", 1, TITLE_CHARS).alias("title"),
+            F.col("o_orderkey").cast("string").alias("paperId"),
+            F.get(lines, 0).alias("title"),
             F.col("text").alias("abstract"),
             F.col("source").alias("venue"),
             F.year("o_orderdate").alias("year"),
@@ -49,16 +47,13 @@ def sample_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit("fixture").alias("model"),
                 F.col("embedding").cast("array<double>").alias("vector"),
             ).alias("embedding"),
-            F.struct(F.substring("text", 1, TLDR_CHARS).alias("text")).alias("tldr"),
+            F.struct(F.element_at(lines, -1).alias("text")).alias("tldr"),
         )
     )
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines of the orders that are papers."""
-    ids = table(spark, sf_dir, "embeddings").select("vec_id")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    return lines.join(ids, F.col("l_orderkey") == F.col("vec_id"), "left_semi")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
 
 
 def sample_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,19 +89,18 @@ def sample_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as nested records, for the operators that take those.
 
     A list is one cell of a record, so its length is bounded by what one
-    order holds; everything else works on the normal form.
+    order holds; everything else works on the normal form. The list of citing
+    papers has no such bound, no operator reads it, and it stays null.
     """
     corpus = sample_corpus(spark, sf_dir, authors=True)
     references = corpus.citations.groupBy(F.col("src").alias("paperId")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("dst").alias("paperId")))).alias("references"))
-    citations = corpus.citations.groupBy(F.col("dst").alias("paperId")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("src").alias("paperId")))).alias("citations"))
     authors = corpus.authorships.groupBy("paperId").agg(
         F.sort_array(F.collect_list(F.struct("authorId", "name"))).alias("authors"))
     return (
         corpus.papers.join(references, "paperId", "left")
-        .join(citations, "paperId", "left")
         .join(authors, "paperId", "left")
+        .withColumn("citations", F.lit(None).cast(PAPER_SCHEMA["citations"].dataType))
         .select("paperId", "title", "abstract", "venue", "year", "authors", "references", "citations",
                 "embedding", "tldr")
     )

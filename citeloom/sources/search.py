@@ -10,21 +10,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import has_word, query_words, venue_matches, words
-from ..operators.skew import join_requests
 from ..schema import GRAPH_ID
 
-# Fixed value: the largest page a search returns.
+# Fixed value: the largest page that :func:`search_page` returns.
 MAX_PAGE = 100
-# How many hits a preview lists, and the page it is taken from.
+# Fixed value: how many hits a preview lists.
 PREVIEW_ROWS = 5
-PREVIEW_PAGE = 50
+#: Longer lists of typed-in ids are joined, shorter ones become a filter of the scan.
+FILTER_IDS = 1000
 
 
 def page(hits: DataFrame, order: Sequence[Column], limit: int | None, offset: int = 0) -> DataFrame:
-    """One page of at most ``MAX_PAGE`` rows; ``limit=None`` keeps every row."""
-    if limit is None:
+    """``limit`` rows from ``offset`` on; without both every row, in no order."""
+    if limit is None and not offset:
         return hits
-    return hits.orderBy(*order).offset(offset).limit(min(limit, MAX_PAGE))
+    ordered = hits.orderBy(*order).offset(offset)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def _paper_text() -> Column:
@@ -42,13 +43,20 @@ def keyword_hits(papers: DataFrame, keywords: str | Sequence[str]) -> DataFrame:
 
 
 def keyword_search(
-    papers: DataFrame, keywords: str | Sequence[str], limit: int | None = MAX_PAGE, offset: int = 0
+    papers: DataFrame, keywords: str | Sequence[str], limit: int | None = None, offset: int = 0
 ) -> DataFrame:
-    """Best keyword hits first, ties by id."""
+    """Every keyword hit, or the best ``limit`` of them; ties go by id."""
     return page(keyword_hits(papers, keywords), [F.desc("score"), F.asc("paperId")], limit, offset)
 
 
-def keyword_hits_many(papers: DataFrame, queries: DataFrame, limit: int | None = MAX_PAGE) -> DataFrame:
+def search_page(
+    papers: DataFrame, keywords: str | Sequence[str], limit: int = MAX_PAGE, offset: int = 0
+) -> DataFrame:
+    """One page of a search, of ``MAX_PAGE`` rows at most."""
+    return keyword_search(papers, keywords, min(limit, MAX_PAGE), offset)
+
+
+def keyword_hits_many(papers: DataFrame, queries: DataFrame, limit: int | None = None) -> DataFrame:
     """``(graph_id, paperId, score)`` for a table ``queries(graph_id, terms)``.
 
     Words meet query words in one equi-join. Top-k per query filters on the
@@ -58,28 +66,29 @@ def keyword_hits_many(papers: DataFrame, queries: DataFrame, limit: int | None =
     asked = queries.select(GRAPH_ID, F.explode(words(F.array_join("terms", " "))).alias("word")).distinct()
     spoken = papers.select("paperId", F.explode(words(_paper_text())).alias("word"))
     found = (
-        join_requests(spoken, asked, "word", F.col("paperId"))
+        spoken.join(asked, "word")
         .groupBy(GRAPH_ID, "paperId")
         .agg(F.count(F.lit(1)).cast("int").alias("score"))
     )
     if limit is None:
         return found
     best = Window.partitionBy(GRAPH_ID).orderBy(F.desc("score"), F.asc("paperId"))
-    return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= min(limit, MAX_PAGE)).drop("place")
+    return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= limit).drop("place")
 
 
-def search_preview(papers: DataFrame, keywords: str | Sequence[str], limit: int = PREVIEW_PAGE) -> DataFrame:
-    """First five hits of a page ``(position, title, year, id)`` and how many follow.
+def search_preview(papers: DataFrame, keywords: str | Sequence[str]) -> DataFrame:
+    """First five hits ``(position, title, year, id)`` and how many follow.
 
-    Only one page is numbered, at most ``MAX_PAGE`` rows, so the single-task
-    window is bounded.
+    Hits are counted by a scalar aggregate; only the five are numbered.
     """
-    hits = keyword_search(papers.select("paperId", "title", "abstract", "year"), keywords, limit)
-    everything = Window.partitionBy(F.lit(0))
+    hits = keyword_hits(papers.select("paperId", "title", "abstract", "year"), keywords)
+    total = hits.agg(F.count(F.lit(1)))
+    best = [F.desc("score"), F.asc("paperId")]
+    position = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*best))
     return (
-        hits.withColumn("position", F.row_number().over(everything.orderBy(F.desc("score"), F.asc("paperId"))))
-        .withColumn("n_more", F.greatest(F.count(F.lit(1)).over(everything) - PREVIEW_ROWS, F.lit(0)))
-        .where(F.col("position") <= PREVIEW_ROWS)
+        hits.orderBy(*best).limit(PREVIEW_ROWS)
+        .withColumn("position", position)
+        .withColumn("n_more", F.greatest(total.scalar() - PREVIEW_ROWS, F.lit(0)))
         .select("position", "title", "year", F.col("paperId").alias("id"), "n_more")
     )
 
@@ -93,10 +102,11 @@ def _id_frame(papers: DataFrame, ids: DataFrame | Sequence[str]) -> DataFrame:
 def lookup_ids(papers: DataFrame, ids: DataFrame | Sequence[str]) -> DataFrame:
     """Papers with the given ids; ids without a paper are left out.
 
-    A typed-in list becomes an ``IN`` filter that reaches the Parquet scan.
+    A short typed-in list becomes an ``IN`` filter that reaches the Parquet
+    scan. Requested ids are made distinct on the map side before they shuffle.
     """
-    if isinstance(ids, DataFrame):
-        return papers.join(ids.select("paperId"), "paperId", "left_semi")
+    if isinstance(ids, DataFrame) or len(set(ids)) > FILTER_IDS:
+        return papers.join(_id_frame(papers, ids), "paperId", "left_semi")
     return papers.where(F.col("paperId").isin(sorted(set(ids))))
 
 
@@ -114,7 +124,7 @@ def lookup_ids_strict(papers: DataFrame, ids: DataFrame | Sequence[str]) -> Data
 
 
 def publication_search(
-    papers: DataFrame, publication: str, year: int, limit: int | None = MAX_PAGE, offset: int = 0
+    papers: DataFrame, publication: str, year: int, limit: int | None = None, offset: int = 0
 ) -> DataFrame:
     """Papers of one year whose venue contains ``publication`` in any case."""
     hits = papers.where((F.col("year") == year) & venue_matches(F.col("venue"), F.lit(publication)))
@@ -124,5 +134,9 @@ def publication_search(
 def publication_hits_many(papers: DataFrame, queries: DataFrame) -> DataFrame:
     """Papers with ``graph_id`` for a table ``queries(graph_id, publication, year)``."""
     asked = queries.select(GRAPH_ID, "publication", "year")
-    met = join_requests(papers, asked, "year", F.col("paperId"))
-    return met.where(venue_matches(F.col("venue"), F.col("publication"))).drop("publication")
+    # Requests are matched to the distinct venues of their year; papers then meet equal keys only.
+    venues = papers.select("venue", "year").distinct()
+    named = venues.join(asked, "year").where(venue_matches(F.col("venue"), F.col("publication")))
+    wanted = named.select(GRAPH_ID, F.col("venue").alias("asked_venue"), F.col("year").alias("asked_year")).distinct()
+    same = F.col("venue").eqNullSafe(F.col("asked_venue")) & (F.col("year") == F.col("asked_year"))
+    return papers.join(wanted, same).drop("asked_venue", "asked_year")

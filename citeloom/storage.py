@@ -1,4 +1,4 @@
-"""Shared-folder storage: lineage cuts and scratch tables."""
+"""Shared-folder storage: lineage cuts and scratch tables that are removed again."""
 
 from __future__ import annotations
 
@@ -32,7 +32,60 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from the written copy."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet to the shared folder and continue from the written copy.
+
+    Later readers get only the columns they select. :func:`release` removes
+    the copy when nothing reads it any more.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.parquet(path)
+    written = spark.read.parquet(path)
+    written.scratch = path
+    return written
+
+
+def release(df: DataFrame) -> None:
+    """Remove the stored copy behind a frame that :func:`cut_lineage` has returned."""
+    path = df.__dict__.pop("scratch", None)
+    if path is not None:
+        delete(df.sparkSession, path)
+
+
+def written_bytes(df: DataFrame) -> int:
+    """The size of a written copy in its folder."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(df.__dict__["scratch"])
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+class Rounds:
+    """Written intermediate tables of an iteration; all are removed at the end.
+
+    The result has to be written by :func:`cut_lineage` inside the block.
+    """
+
+    def __init__(self) -> None:
+        self._held: list[DataFrame] = []
+
+    def __enter__(self) -> Rounds:
+        return self
+
+    def __exit__(self, *error) -> None:
+        for df in self._held:
+            release(df)
+
+    def cut(self, df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
+        """Write ``df``; ``instead_of`` is an earlier round that only ``df`` has read."""
+        written = cut_lineage(df)
+        if instead_of is not None:
+            release(instead_of)
+        self._held.append(written)
+        return written

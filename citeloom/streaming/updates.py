@@ -1,4 +1,9 @@
-"""Incremental graph updates from a stream of paper records."""
+"""Incremental graph updates from a stream of paper records.
+
+Below ``path`` three tables grow, one folder per micro-batch: ``vertices``, the papers
+that were new, ``citations``, all their references, and ``edges``. A reference whose
+target is unknown waits in ``citations`` and is linked by the batch that brings the target.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.edges import citation_edges
+from ..operators.dedup import dedup_papers
+from ..operators.edges import weigh
 from ..schema import PAPER_SCHEMA
 from ..sources.records import explode_references
-
-#: Over how many tasks the copies of one paper are spread.
-SALTS = 32
+from ..storage import cut_lineage, release
 
 STREAM_SCHEMA = T.StructType([*PAPER_SCHEMA.fields, T.StructField("ingest_ts", T.TimestampType())])
 
+_VERTEX = "id string, title string, year int, vector array<double>"
+_CITATION = "src string, dst string"
+
 
 def read_paper_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """JSON-lines files of records with ``ingest_ts``, as they arrive."""
@@ -25,34 +32,53 @@ def read_paper_stream(spark: SparkSession, path: str, max_files: int | None = No
     return reader.json(path)
 
 
-def first_arrivals(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Each ``paperId`` once within ``delay``; older state is dropped.
+def _before(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """What earlier batches have stored; a retried batch does not see its own rows."""
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(f"{schema}, batch_id int").parquet(path).where(F.col("batch_id") < batch_id).drop("batch_id")
 
-    Copies are first thinned out by id and salt, so a paper that is sent over
-    and over again does not pass whole through one task.
-    """
-    salt = F.pmod(F.xxhash64("ingest_ts"), F.lit(SALTS)).cast("int")
-    timed = stream.where(F.col("paperId").isNotNull()).withWatermark("ingest_ts", delay).withColumn("salt", salt)
-    thinned = timed.dropDuplicatesWithinWatermark(["paperId", "salt"])
-    return thinned.dropDuplicatesWithinWatermark(["paperId"]).drop("salt")
 
+def store_batch(
+    batch: DataFrame, batch_id: int, path: str, vertices: DataFrame, citations: DataFrame | None = None
+) -> None:
+    """Store the new papers of one batch, their citations, and all edges they complete.
 
-def append_edges(
-    stream: DataFrame, vertices: DataFrame, path: str, checkpoint: str, delay: str = "1 day"
+    ``vertices`` and ``citations`` are what the graph held before the stream;
+    ``citations`` may name papers that only the stream brings. A paper that is
+    known already adds nothing, however late it is sent again, so an edge is
+    written once. Each batch owns one folder per table and replaces it when it
+    is retried.
+    """
+    spark = batch.sparkSession
+    known = vertices.select("id", "title", "year", "vector").unionByName(
+        _before(spark, f"{path}/vertices", _VERTEX, batch_id))
+    arrived = dedup_papers(batch.drop("ingest_ts"))
+    fresh = cut_lineage(arrived.join(known.select(F.col("id").alias("paperId")), "paperId", "left_anti"))
+    added = fresh.select(F.col("paperId").alias("id"), "title", "year", F.col("embedding.vector").alias("vector"))
+    cited = explode_references(fresh)
+    waiting = _before(spark, f"{path}/citations", _CITATION, batch_id)
+    if citations is not None:
+        waiting = waiting.unionByName(citations.select("src", "dst").distinct())
+    newly_linked = waiting.join(added.select(F.col("id").alias("dst")), "dst", "left_semi").select("src", "dst")
+    # A citation is completed by the later of its two papers, so it is in one batch only.
+    edges = weigh(cited.unionByName(newly_linked).distinct(), known.unionByName(added)).withColumn("edge_type", F.lit("citation"))
+    for name, table in (("vertices", added), ("citations", cited), ("edges", edges)):
+        table.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+    release(fresh)
+
+
+def append_papers(
+    stream: DataFrame, vertices: DataFrame, path: str, checkpoint: str, citations: DataFrame | None = None
 ) -> StreamingQuery:
-    """Weighted citation edges of newly arrived papers, appended below ``path``.
+    """Grow the graph below ``path`` by all available records, then stop.
 
-    Each micro-batch owns one folder and replaces it when it is retried, so a
-    lost executor or a restarted query leaves no edge twice. Stops when the
-    available files are read.
+    Records are told apart by the stored papers and not by a watermark, so
+    none is dropped for being late.
     """
-    def store(batch: DataFrame, batch_id: int) -> None:
-        edges = citation_edges(vertices, explode_references(batch))
-        edges.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
     return (
-        first_arrivals(stream, delay)
-        .writeStream.foreachBatch(store)
+        stream.writeStream
+        .foreachBatch(lambda batch, batch_id: store_batch(batch, batch_id, path, vertices, citations))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -61,4 +87,9 @@ def append_edges(
 
 def read_appended_edges(spark: SparkSession, path: str) -> DataFrame:
     """All edges appended so far."""
-    return spark.read.parquet(path).drop("batch_id")
+    return spark.read.parquet(f"{path}/edges").drop("batch_id")
+
+
+def read_appended_vertices(spark: SparkSession, path: str) -> DataFrame:
+    """All papers appended so far."""
+    return spark.read.parquet(f"{path}/vertices").drop("batch_id")

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from citeloom.operators.edges import citation_edges, hub_edges, mixed_edges, star_edges, symmetrize
+from citeloom.operators.edges import assert_unique, citation_edges, hub_edges, mixed_edges, star_edges, symmetrize
 
 STAR_CITES = [("c", "c"), ("c", "a"), ("c", "zz"), ("a", "c"), ("a", "a"), ("b", "a")]
 
@@ -49,24 +49,41 @@ def test_min_similarity_is_an_inclusive_filter(vertices, citations):
     assert {r.dst for r in citation_edges(v, pairs, 1.0).collect()} == {"b"}
 
 
-def test_hot_keys_are_salted_without_changing_the_result(vertices, citations):
+def test_skewed_keys_give_every_pair_once(vertices, citations):
     rng = random.Random(3)
     ids = [f"p{i}" for i in range(40)]
     vectors = {i: [rng.gauss(0, 1) for _ in range(4)] for i in ids}
     pairs = sorted({("p1", i) for i in ids} | {(i, "p2") for i in ids} | {(rng.choice(ids), rng.choice(ids)) for _ in range(80)})
-    v, c = vertices(vectors), citations([*pairs, ("p1", "nowhere"), ("nowhere", "p2")])
-    plain = sorted(map(tuple, citation_edges(v, c).collect()))
-    salted = sorted(map(tuple, citation_edges(v, c, hot_floor=3).collect()))
-    assert [e[:2] for e in plain] == pairs
-    assert plain == salted
+    found = citation_edges(vertices(vectors), citations([*pairs, ("p1", "nowhere"), ("nowhere", "p2")])).collect()
+    assert sorted((r.src, r.dst) for r in found) == pairs
 
 
 def test_graphs_do_not_mix(spark, citations):
     rows = [("g", "a", [1.0]), ("g", "b", [1.0]), ("h", "b", [1.0]), ("h", "c", [1.0])]
     v = spark.createDataFrame(rows, "graph_id string, id string, vector array<double>")
-    for floor in (10**6, 1):
-        edges = citation_edges(v, citations([("a", "b"), ("b", "c"), ("a", "c")]), hot_floor=floor)
-        assert sorted((r.graph_id, r.src, r.dst) for r in edges.collect()) == [("g", "a", "b"), ("h", "b", "c")]
+    pairs = citations([("a", "b"), ("b", "c"), ("a", "c")])
+    assert sorted((r.graph_id, r.src, r.dst) for r in citation_edges(v, pairs).collect()) == [("g", "a", "b"), ("h", "b", "c")]
+
+
+def test_a_star_in_each_graph(spark, citations):
+    rows = [("g", i, [1.0]) for i in "abc"] + [("h", i, [1.0]) for i in "abd"] + [("k", i, [1.0]) for i in "ab"]
+    v = spark.createDataFrame(rows, "graph_id string, id string, vector array<double>")
+    centres = spark.createDataFrame([("g", "a"), ("h", "b"), ("k", None)], "graph_id string, id string")
+    edges = star_edges(v, citations([("a", "b"), ("b", "c"), ("c", "d")]), centres).collect()
+    assert sorted((r.graph_id, r.src, r.dst, r.edge_type) for r in edges) == [
+        ("g", "a", "b", "central_cites"), ("g", "a", "c", "fallback"), ("g", "b", "c", "seed_cite"),
+        ("h", "a", "b", "cites_central"), ("h", "b", "d", "fallback"), ("k", "a", "b", "citation")]
+    one = star_edges(v, citations([("a", "b")]), "a").where("edge_type = 'central_cites'")
+    assert sorted(r.graph_id for r in one.collect()) == ["g", "h", "k"]
+
+
+def test_assert_unique(spark, vertices):
+    v = vertices({"a": None, "b": None})
+    assert assert_unique(v) is v
+    with pytest.raises(ValueError, match="'a'"):
+        assert_unique(v.union(v.where("id = 'a'")))
+    keyed = spark.createDataFrame([("g", "a"), ("h", "a")], "graph_id string, id string")
+    assert assert_unique(keyed).count() == 2
 
 
 def test_hub(spark, vertices):

@@ -43,11 +43,11 @@ def walk(pairs, start, degrees):
     return hop
 
 
-@pytest.mark.parametrize("degrees,hot_floor", [(2, 10**6), (3, 2)])
-def test_neighborhood_is_breadth_first(graph, degrees, hot_floor):
+@pytest.mark.parametrize("degrees", [2, 3])
+def test_neighborhood_is_breadth_first(graph, degrees):
     ids = [f"p{i}" for i in range(40)]
     pairs = random_pairs(3, ids, 45) + [("p0", i) for i in ids[1:6]]
-    rows = neighborhood(graph(ids, pairs), ["p0", "p7"], degrees, hot_floor).collect()
+    rows = neighborhood(graph(ids, pairs), ["p0", "p7"], degrees).collect()
     hop = walk(pairs, ["p0", "p7"], degrees)
     assert {r.id: r.hop for r in rows} == {i: hop.get(i) for i in ids}
 
@@ -77,8 +77,7 @@ def test_selection_by_property(spark):
     assert sorted(r.id for r in nodes_by_edge_property(e, "edge_type", ["k"]).collect()) == ["a", "b", "c"]
 
 
-@pytest.mark.parametrize("hot_floor", [10**6, 2])
-def test_components(graph, hot_floor):
+def test_components(graph):
     ids = [f"p{i:02d}" for i in range(50)]
     pairs = random_pairs(11, ids, 35) + [(ids[i], ids[i + 1]) for i in range(20, 32)]
     near, want = links(pairs), {}
@@ -90,7 +89,7 @@ def test_components(graph, hot_floor):
                 group |= fresh
                 todo += fresh
             want |= dict.fromkeys(group, min(group))
-    got = connected_components(graph(ids, pairs), hot_floor=hot_floor)
+    got = connected_components(graph(ids, pairs))
     assert {r.id: r.component for r in got.collect()} == want
 
 
@@ -121,6 +120,33 @@ def test_modularity(spark, graph):
     assert got == pytest.approx(6 / 7 - 2 * (7 / 14) ** 2)
 
 
+@pytest.fixture
+def two_graphs(spark):
+    """One id, ``b``, in two graphs."""
+    v = spark.createDataFrame([("g1", "a"), ("g1", "b"), ("g2", "b"), ("g2", "c"), ("g3", "d")], "graph_id string, id string")
+    e = spark.createDataFrame([("g1", "a", "b", 1.0), ("g2", "b", "c", 2.0)], "graph_id string, src string, dst string, weight double")
+    return Graph(v, e)
+
+
+def test_communities_keep_graphs_apart(spark, two_graphs):
+    found = connected_components(two_graphs)
+    assert sorted(map(tuple, found.collect())) == [
+        ("g1", "a", "a"), ("g1", "b", "a"), ("g2", "b", "b"), ("g2", "c", "b"), ("g3", "d", "d")]
+    found = label_propagation(two_graphs, rounds=1)
+    assert sorted(map(tuple, found.collect())) == [
+        ("g1", "a", "b"), ("g1", "b", "a"), ("g2", "b", "c"), ("g2", "c", "b"), ("g3", "d", "d")]
+    labels = two_graphs.vertices.withColumn("label", two_graphs.vertices["graph_id"] == "g1")
+    score = {r.graph_id: r.modularity for r in modularity(two_graphs, labels).collect()}
+    assert score == pytest.approx({"g1": 0.0, "g2": 0.0})
+
+
+def test_long_lists_of_ids_are_joined(graph):
+    g = graph("abc", [("a", "b"), ("b", "c")])
+    many = ["a", "b", *map(str, range(2000))]
+    assert [(r.src, r.dst) for r in induced_subgraph(g, many).edges.collect()] == [("a", "b")]
+    assert {r.id: r.hop for r in neighborhood(g, many, 1).collect()} == {"a": 0, "b": 0, "c": 1}
+
+
 def test_author_and_venue_edges(spark):
     papers = spark.createDataFrame([("p", "V", 2020), ("q", "V", 2020), ("r", None, 2020)],
                                    "paperId string, venue string, year int")

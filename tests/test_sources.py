@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from citeloom import PAPER_SCHEMA, Graph
-from citeloom.operators import skew
 from citeloom.operators.dedup import dedup_papers
 from citeloom.sources import graph_files as files
 from citeloom.sources import records, search
@@ -90,7 +89,7 @@ def test_dedup_prefers_complete_records(spark):
 def test_dedup_combines_before_the_shuffle(spark):
     df = records.parse_json(spark.createDataFrame([('{"paperId":"a"}',)], "value string"))
     plan = dedup_papers(df)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and plan.count("Exchange") == 1
+    assert "partial_min(__order" in plan
 
 
 def test_keyword_search_matches_whole_words(papers):
@@ -101,14 +100,17 @@ def test_keyword_search_matches_whole_words(papers):
     assert search.keyword_search(papers, "absent").count() == 0
 
 
-def test_page_is_clamped(spark):
+def test_only_pages_are_clamped(spark):
     many = spark.range(300).select(F.format_string("%03d", "id").alias("paperId"), F.lit("word").alias("title"),
                                    F.lit("").alias("abstract"), F.lit(1).alias("year"))
-    assert search.keyword_search(many, "word", limit=250).count() == 100
-    assert search.keyword_search(many, "word", limit=None).count() == 300
+    assert search.keyword_search(many, "word").count() == 300
+    assert search.keyword_search(many, "word", limit=250).count() == 250
+    assert search.keyword_search(many, "word", offset=250).count() == 50
     assert search.keyword_search(many, "word", limit=100, offset=250).count() == 50
-    preview = search.search_preview(many, "word", limit=20).orderBy("position").collect()
-    assert [(r.position, r.id, r.n_more) for r in preview] == [(i + 1, f"{i:03d}", 15) for i in range(5)]
+    assert search.search_page(many, "word", limit=250).count() == 100
+    preview = search.search_preview(many, "word").orderBy("position").collect()
+    assert [(r.position, r.id, r.n_more) for r in preview] == [(i + 1, f"{i:03d}", 295) for i in range(5)]
+    assert search.search_preview(many, "absent").count() == 0
 
 
 def test_many_keyword_queries_agree_with_single_ones(spark, papers):
@@ -128,6 +130,7 @@ def test_lookup_and_missing_ids(spark, papers):
         with pytest.raises(LookupError):
             search.lookup_ids_strict(papers, ids)
     assert search.lookup_ids_strict(papers, ["p2"]).count() == 1
+    assert [r.paperId for r in search.lookup_ids(papers, ["p1", *map(str, range(2000))]).collect()] == ["p1"]
 
 
 def test_publication_search(spark, papers):
@@ -163,10 +166,3 @@ def test_graph_round_trip(spark, tmp_path):
     pruned = files.read_vertices(spark, root, years=[2020])
     assert [r.id for r in pruned.collect()] == ["b"]
     assert "PartitionFilters: [isnotnull(year" in pruned._jdf.queryExecution().executedPlan().toString()
-
-
-def test_many_requests_are_joined_without_broadcast(spark, papers, monkeypatch):
-    queries = spark.createDataFrame([("a", ["graph"]), ("b", ["rank"])], "graph_id string, terms array<string>")
-    few = sorted(map(tuple, search.keyword_hits_many(papers, queries).collect()))
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 1)
-    assert sorted(map(tuple, search.keyword_hits_many(papers, queries).collect())) == few

@@ -4,7 +4,6 @@ import json
 
 import pytest
 
-from citeloom.operators import skew
 from citeloom.operators.rank import pagerank
 from citeloom.operators.report import viz_edges, viz_nodes
 from citeloom.plans import workflows as flows
@@ -72,10 +71,7 @@ def test_nothing_found_gives_an_empty_graph(corpus):
     assert flows.publication_graph(corpus, "none", 1900).edges.count() == 0
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_one_hop_graph(spark, corpus, monkeypatch, limit):
-    """With few members that are broadcast, and with many that are joined."""
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+def test_one_hop_graph(spark, corpus):
     g = flows.paper_id_graph(corpus, ["a", "zz"])
     assert ids(g.vertices) == ["a", "b", "c"]
     assert pairs(g.edges) == [("a", "b"), ("a", "c"), ("b", "a")]
@@ -109,20 +105,40 @@ def test_whole_workflow_to_display_tables(corpus):
     assert viz_edges(g.edges).count() == g.edges.count()
 
 
-def test_stream_equals_batch(spark, tmp_path, corpus):
+def test_keyword_star_graphs(spark, corpus):
+    asked = spark.createDataFrame([("g", "graph", "c"), ("h", "graph", "nowhere"), ("k", "other", None)],
+                                  "graph_id string, keywords string, central string")
+    g = flows.keyword_graphs(corpus, asked)
+    alone = flows.keyword_graph(corpus, "graph", central="c")
+    kinds = {}
+    for r in g.edges.collect():
+        kinds.setdefault(r.graph_id, []).append((r.src, r.dst, r.edge_type))
+    assert sorted(kinds["g"]) == sorted((r.src, r.dst, r.edge_type) for r in alone.edges.collect())
+    assert {k for _, _, k in kinds["h"]} == {"citation"} and "k" not in kinds
+
+
+@pytest.mark.parametrize("known", [[], ["a", "c"], ["a", "b", "c", "d"]])
+def test_stream_equals_batch(spark, tmp_path, corpus, known):
+    """From an empty graph, from half of the papers, and from all of them; everything is sent twice."""
     inbox = tmp_path / "inbox"
     inbox.mkdir()
-    stamp = "2024-01-01T00:0{}:00Z"
+    stamp = "2024-0{}-01T00:00:00Z"
     for n, row in enumerate(RECORDS):
         again = RECORDS[max(0, n - 1)]
         (inbox / f"{n}.json").write_text("\n".join(
-            [as_json(row, ingest_ts=stamp.format(n)), as_json(again, ingest_ts=stamp.format(n + 1)), "null"]))
+            [as_json(row, ingest_ts=stamp.format(9 - n)), as_json(again, ingest_ts=stamp.format(n + 1)), "null"]))
     vertices = flows.citation_vertices(corpus.papers)
-    stream = updates.read_paper_stream(spark, str(inbox), max_files=2)
-    updates.append_edges(stream, vertices, f"{tmp_path}/edges", f"{tmp_path}/progress").awaitTermination()
-    got = updates.read_appended_edges(spark, f"{tmp_path}/edges")
+    base = vertices.where(vertices["id"].isin(known))
+    cited = corpus.citations.where(corpus.citations["src"].isin(known))
+    for _ in range(2):
+        stream = updates.read_paper_stream(spark, str(inbox), max_files=1)
+        updates.append_papers(stream, base, f"{tmp_path}/out", f"{tmp_path}/progress", cited).awaitTermination()
+    added = updates.read_appended_edges(spark, f"{tmp_path}/out")
+    got = flows.citation_edges(base, cited).unionByName(added)
     batch = flows.citation_edges(vertices, corpus.citations)
-    assert pairs(got) == pairs(batch) and got.columns == batch.columns
+    key = lambda r: (r.src, r.dst, r.weight)
+    assert sorted(map(key, got.collect())) == sorted(map(key, batch.collect())) and got.columns == batch.columns
+    assert ids(updates.read_appended_vertices(spark, f"{tmp_path}/out")) == sorted({"a", "b", "c", "d"} - set(known))
 
 
 def test_shared_folder(spark):
