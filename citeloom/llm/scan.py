@@ -13,9 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at once; a longer text is hashed in pieces cut between words.
-PIECE = 1 << 20
+PIECE = 1 << 17
 #: Bytes of text handed to an operator at once; one longer text comes alone.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
