@@ -289,7 +289,7 @@ m AS (
   FROM w LEFT JOIN r USING (doc_id)),
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR n_symbols * 100 > n_words * 60 OR n_dup_lines * 100 > n_lines * 60
+       NOT (base_failed OR n_symbols * 100 > n_words * 40 OR n_dup_lines * 100 > n_lines * 60
             OR (n_words > 0 AND (word_chars > greatest(n_words, 1) * 25 OR word_chars < greatest(n_words, 1) * 2))) AS kept
 FROM v"""
 

@@ -39,7 +39,7 @@ def rules() -> list[tuple[str, Column]]:
     return [
         ("few_words", n < 50),
         ("repeated_windows", F.col("n_repeat_words") * 100 > n * 50),
-        ("symbols", F.col("n_symbols") * 100 > n * 60),
+        ("symbols", F.col("n_symbols") * 100 > n * 40),
         ("repeated_lines", F.col("n_dup_lines") * 100 > F.col("n_lines") * 60),
         ("word_length", (n > 0) & ((F.col("word_chars") > words * 25) | (F.col("word_chars") < words * 2))),
     ]
