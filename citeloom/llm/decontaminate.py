@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.storage import scratch_path
+from citeloom.llm.graphs import written
 
 WINDOW = 13
 #: Words hit out of all words, from which a document counts as contaminated.
@@ -97,7 +97,6 @@ def _candidates(words: str, length: int, anchors: Column, grams: Column, bits: i
 
 def _scan(docs: DataFrame, windows: DataFrame, lengths: list[int], count: int) -> DataFrame:
     """``(doc_id, row_key, n_words, found)``, written out: candidate windows with their words."""
-    spark = docs.sparkSession
     bits = 1 << max(12, (32 * count).bit_length())
     split = docs.select(
         "doc_id", F.col("text"), words_of(F.lower("text")).alias("w"),
@@ -109,18 +108,13 @@ def _scan(docs: DataFrame, windows: DataFrame, lengths: list[int], count: int) -
     marked = split.select("doc_id", "text", "row_key", F.size("w").cast("long").alias("n_words"), places.alias("places"))
     with_words = F.transform(F.array(words_of(F.col("text"))), lambda w: F.transform(
         "places", lambda c: F.struct(c["p"].alias("p"), c["l"].alias("l"), _exact(F.slice(w, c["p"], c["l"])).alias("gram"))))[0]
-    path = scratch_path(spark, "windows")
-    marked.select(
-        "doc_id", "row_key", "n_words", F.when(F.size("places") > 0, with_words).alias("found")).write.parquet(path)
-    return spark.read.parquet(path)
+    return written(marked.select(
+        "doc_id", "row_key", "n_words", F.when(F.size("places") > 0, with_words).alias("found")), "windows", narrow=False)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
     """``(rows, hits)``: ``(doc_id, row_key, n_words)`` of each document, ``(row_key, spans, passages)`` of those hit."""
-    windows = benchmark_windows(benchmark)
-    path = scratch_path(docs.sparkSession, "benchmark")
-    windows.write.parquet(path)
-    windows = docs.sparkSession.read.parquet(path)
+    windows = written(benchmark_windows(benchmark), "benchmark")
     # At most WINDOW rows.
     sized = windows.groupBy("l").agg(F.sum(F.length("gram") + 96).alias("bytes"), F.count("*").alias("n")).collect()
     lengths = sorted(r["l"] for r in sized)

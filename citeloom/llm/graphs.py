@@ -14,11 +14,28 @@ from pyspark.sql import functions as F
 from citeloom.storage import release, scratch_path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder; lost executors don't lose it."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    table = df.sparkSession.read.parquet(path)
+#: A narrow table is written by at most so many tasks per core of the cluster, so small partitions don't become small files.
+TASKS_PER_CORE = 4
+#: Bytes of an Arrow batch that goes to a Python worker while a table is written.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def written(df: DataFrame, label: str, narrow: bool = True) -> DataFrame:
+    """``df`` as a table in the shared folder; lost executors don't lose it.
+
+    ``narrow`` tables hold ids and numbers only; tables made from texts keep their own tasks.
+    Batches to Python workers are kept small meanwhile, as long texts make rows large.
+    """
+    spark = df.sparkSession
+    path, before = scratch_path(spark, label), spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        few = df.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism) if narrow else df
+        few.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    table = spark.read.parquet(path)
     table.scratch = path
     return table
 
