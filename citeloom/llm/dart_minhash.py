@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm import scan
@@ -120,6 +120,11 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
+def row_key(doc_id: Column, node: Column) -> Column:
+    """One name for a document, that is an id and a text."""
+    return F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), F.hex(node)))
+
+
 def _banded(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,28 +222,28 @@ def _blocked(rows: DataFrame, block: int) -> DataFrame:
         "-", "band", F.least("i", "j"), F.greatest("i", "j")).alias("task"))
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                 block: int = BLOCK) -> DataFrame:
-    """``(doc_id, node, class_id, class_node)``, one row per row of ``docs``.
-
-    ``node`` names the text; ``class_id`` and ``class_node`` name the class by its first document.
-    """
+def _classes(docs: DataFrame, threshold: float, bands: int, rows: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, node)`` of all rows, and ``(node, class_id, class_node)`` of all texts."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     noded = docs.select("doc_id", node_of(F.col("text")).alias("node"), "text")
-    sketched = written(noded.mapInArrow(_banded(bands, rows), f"doc_id {kind}, node binary, bands array<bigint>"), "sketch")
+    sketched = written(noded.mapInArrow(_banded(bands, rows), f"doc_id {kind}, node binary, bands array<bigint>"), "sketch", narrow=False)
     firsts = written(sketched.groupBy("node").agg(F.min("doc_id").alias("first")), "firsts")
     spread = sketched.select("node", F.explode("bands").alias("band"))
-    several = spread.groupBy("band").agg(F.min("node").alias("l"), F.max("node").alias("h"), F.count("*").alias("n")).where("l <> h")
-    company = written(spread.join(several.select("band", "n"), "band").distinct(), "company")
+    # Sides of joins on hot keys are written, so that Spark can split those joins. Sides that grow with
+    # the documents are merged at every size.
+    several = written(spread.groupBy("band").agg(
+        F.min("node").alias("l"), F.max("node").alias("h"), F.count("*").alias("n")).where("l <> h").select("band", "n"), "several")
+    company = written(spread.join(several.hint("merge"), "band").distinct(), "company")
     popular = company.groupBy("node").agg(F.sum("n").alias("weight"))
     placed = company.join(popular, "node").select("band", "node", "weight")
-    leaders = placed.groupBy("band").agg(F.max(F.struct("weight", "node"))["node"].alias("leader"))
+    leaders = written(placed.groupBy("band").agg(F.max(F.struct("weight", "node"))["node"].alias("leader")), "leaders")
     led = written(company.select("band", "node").join(leaders, "band").where("node <> leader"), "led")
     pairs = led.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
 
-    met = company.select("node").distinct().join(firsts, "node").select(F.col("node").alias("__node"), F.col("first").alias("__first"))
-    texts = noded.join(met, (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__first"))).select("node", "text")
-    cells = written(texts.mapInArrow(_cells_of, "node binary, cells binary"), "cells").dropDuplicates(["node"])
+    met = company.select("node").distinct().join(firsts, "node").select(row_key(F.col("first"), F.col("node")).alias("row_key"))
+    texts = noded.select(row_key(F.col("doc_id"), F.col("node")).alias("row_key"), "node", "text").join(
+        met.hint("merge"), "row_key").dropDuplicates(["row_key"])
+    cells = written(texts.select("node", "text").mapInArrow(_cells_of, "node binary, cells binary"), "cells", narrow=False)
     sides = [cells.select(F.col("node").alias(s), F.col("cells").alias(f"c{s}")) for s in "ab"]
     joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "ca", "cb")
     links = written(joined.mapInArrow(_verified(threshold), "a binary, b binary"), "links")
@@ -255,14 +260,24 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     named = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = named.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("head"))
     classes = named.join(heads, "root").select("node", F.col("head.first").alias("class_id"), F.col("head.node").alias("class_node"))
-    return sketched.select("doc_id", "node").join(classes, "node").select("doc_id", "node", "class_id", "class_node")
+    return sketched.select("doc_id", "node"), classes
+
+
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
+                 block: int = BLOCK) -> DataFrame:
+    """``(doc_id, node, class_id, class_node)``, one row per row of ``docs``.
+
+    ``node`` names the text; ``class_id`` and ``class_node`` name the class by its first document.
+    """
+    documents, classes = _classes(docs, threshold, bands, rows, block)
+    return documents.join(written(classes, "classes"), "node").select("doc_id", "node", "class_id", "class_node")
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, the one with the smallest id; columns as they came."""
-    kept = near_classes(docs, threshold).where(
-        (F.col("node") == F.col("class_node")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("node").alias("__node"), F.col("doc_id").alias("__doc")).distinct()
-    marked = docs.withColumn("__own", node_of(F.col("text"))).join(
-        kept, (F.col("__own") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__doc")), "left_semi")
-    return marked.dropDuplicates(["doc_id", "__own"]).select(*docs.columns)
+    _, classes = _classes(docs, threshold, BANDS, ROWS, BLOCK)
+    kept = classes.select(row_key(F.col("class_id"), F.col("class_node")).alias("__key")).distinct()
+    # The window keeps the order that the join has made; it takes one of rows of equal id and text.
+    once = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    keyed = docs.withColumn("__key", row_key(F.col("doc_id"), node_of(F.col("text"))))
+    return keyed.join(kept, "__key", "left_semi").withColumn("__once", once).where("__once = 1").select(*docs.columns)
