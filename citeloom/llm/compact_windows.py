@@ -18,7 +18,7 @@ Units of one key are joined with one leader, the first document, which is a line
 of pairs; pairs are verified on whole segments: of the tokens in 46-token intervals, at
 least 41 must lie in the other segment, and the passage there must have a Jaccard similarity of
 0.8 or more. A window of a unit that no verified passage covers is
-compared with the same key's windows of all earlier documents: in blocks of 512 windows, inside tasks,
+compared with the same key's windows of all earlier documents: in blocks of 384 windows, inside tasks,
 token by token around ``c``, where 41 of 46 must agree. So no candidate is left out, no pairs of a
 group are laid out as rows, and a task returns at most a row for each of its windows.
 
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm import scan
-from citeloom.llm.dart_minhash import node_of
+from citeloom.llm.dart_minhash import node_of, row_key
 from citeloom.llm.graphs import written
 
 SHINGLE = 5
@@ -51,7 +51,7 @@ THRESHOLD = 0.8
 SEGMENT, OVERLAP = 1024, 128
 SIDE = 22
 FUNCTIONS, MORE = 2, 3
-BLOCK = 512
+BLOCK = 384
 
 _SEEDS = scan.mix(np.arange(101, 101 + FUNCTIONS + MORE + 4, dtype=np.uint64))
 
@@ -297,10 +297,6 @@ def _blocked(rows: DataFrame, block: int) -> DataFrame:
         "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("i", "j", "n")
 
 
-def _row_key(doc_id: Column, node: Column) -> Column:
-    return F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), F.hex(node)))
-
-
 def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """``(doc_id, node, start_word, stop_word, first_doc_id)``: what each document repeats of an earlier one.
 
@@ -309,26 +305,29 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     noded = docs.select("doc_id", node_of(F.col("text")).alias("node"), "text")
     keyed = written(noded.mapInArrow(
-        _keyed, f"doc_id {kind}, node binary, unit long, stop long, key array<bigint>, place array<int>"), "windows")
+        _keyed, f"doc_id {kind}, node binary, unit long, stop long, key array<bigint>, place array<int>"), "windows", narrow=False)
     spread = keyed.select("unit", F.inline(F.arrays_zip("key", "place")))
-    several = spread.groupBy("key").agg(F.min("unit").alias("l"), F.max("unit").alias("h")).where("l <> h").select("key")
-    company = written(spread.join(several, "key").distinct(), "company")
+    # Sides of joins on hot keys are written, so that Spark can split those joins. Sides that grow with
+    # the documents are merged at every size.
+    several = written(spread.groupBy("key").agg(
+        F.min("unit").alias("l"), F.max("unit").alias("h")).where("l <> h").select("key"), "several")
+    company = written(spread.join(several.hint("merge"), "key").distinct(), "company")
 
     firsts = written(keyed.groupBy("node").agg(
         F.min("doc_id").alias("first"), (F.max("stop") + (SHINGLE - 1)).alias("n_words")), "firsts")
     owners = keyed.select("unit", "node").distinct().join(company.select("unit").distinct(), "unit").join(firsts, "node")
     owned = written(company.join(owners.select("unit", "node", "first"), "unit"), "owned")
     rank = F.struct(F.col("first").isNull(), "first", "node", "unit")
-    leaders = owned.groupBy("key").agg(F.min(rank).alias("r")).select(
-        "key", F.col("r.unit").alias("leader"), F.col("r.node").alias("leader_node"), F.col("r.first").alias("leader_first"))
+    leaders = written(owned.groupBy("key").agg(F.min(rank).alias("r")).select(
+        "key", F.col("r.unit").alias("leader"), F.col("r.node").alias("leader_node"), F.col("r.first").alias("leader_first")), "leaders")
     led = written(owned.join(leaders, "key").where("node <> leader_node"), "led")
-    met = led.select(_row_key(F.col("first"), F.col("node")).alias("row_key")).union(
-        led.select(_row_key(F.col("leader_first"), F.col("leader_node")))).distinct()
-    texts = noded.select(_row_key(F.col("doc_id"), F.col("node")).alias("row_key"), "node", "text").join(
-        met, "row_key").dropDuplicates(["row_key"])
+    met = led.select(row_key(F.col("first"), F.col("node")).alias("row_key")).union(
+        led.select(row_key(F.col("leader_first"), F.col("leader_node")))).distinct()
+    texts = noded.select(row_key(F.col("doc_id"), F.col("node")).alias("row_key"), "node", "text").join(
+        met.hint("merge"), "row_key").dropDuplicates(["row_key"])
     needed = led.select("unit").union(led.select("leader")).distinct()
     contents = written(texts.select("row_key", "node", "text").mapInArrow(
-        _contents, "node binary, unit long, base long, tokens binary").join(needed, "unit"), "contents")
+        _contents, "node binary, unit long, base long, tokens binary").join(needed, "unit"), "contents", narrow=False)
 
     x = contents.select("unit", "node", "base", F.col("tokens").alias("x"))
     y = contents.select(F.col("unit").alias("leader"), F.col("node").alias("source"), F.col("tokens").alias("y"))
@@ -338,8 +337,8 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     covered = led.join(found.select("unit", "node", "start", "stop").distinct(), ["unit", "node"]).where(
         "start <= place AND place < stop").select("key", "unit", "node").distinct().withColumn("done", F.lit(True))
     marked = written(led.join(covered, ["key", "unit", "node"], "left").withColumn("open", F.col("done").isNull()).drop("done"), "marked")
-    torn = marked.groupBy("key").agg(F.min("node").alias("l"), F.max("node").alias("h"), F.max("open").alias("o")).where(
-        "l <> h AND o").select("key")
+    torn = written(marked.groupBy("key").agg(F.min("node").alias("l"), F.max("node").alias("h"), F.max("open").alias("o")).where(
+        "l <> h AND o").select("key"), "torn")
     tasks = _blocked(marked.join(torn, "key").select("key", "unit", "place", "node", "first", "open"), block)
     hood_start = F.greatest(F.col("place") - (TOKENS - 1), F.lit(0))
     hoods = tasks.join(contents.select("unit", "node", "base", "tokens"), ["unit", "node"]).select(
@@ -392,9 +391,9 @@ def remove_passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     A text that has no word left goes with its document; ``n_chars``, where there is one, follows the text.
     """
     found = passages(docs, block)
-    spans = found.groupBy(_row_key(F.col("doc_id"), F.col("node")).alias("__key")).agg(
+    spans = found.groupBy(row_key(F.col("doc_id"), F.col("node")).alias("__key")).agg(
         F.collect_set(F.struct("start_word", "stop_word")).alias("__spans"))
-    keyed = docs.withColumn("__key", _row_key(F.col("doc_id"), node_of(F.col("text"))))
+    keyed = docs.withColumn("__key", row_key(F.col("doc_id"), node_of(F.col("text"))))
     # The window keeps the order that the join has made.
     once = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
     marked = keyed.join(spans, "__key", "left").withColumn("__once", once).where("__once = 1")
