@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeloom.llm.graphs import written
+
 #: What a 304 response may update in the stored headers.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Query parameters that don't tell pages apart.
@@ -75,8 +77,9 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
         events.where("key IS NOT NULL AND captured_at IS NOT NULL AND (full OR revisit)"), bucket_seconds)
     revisits = rows.where("kind = 'revisit'").select(
         "record_id", "key", "captured_at", F.col("digest").alias("own_digest"), F.col("headers").alias("own"))
-    stored = rows.where(full).groupBy(F.col("record_id").alias("ref")).agg(
-        F.max_by(F.struct("digest", F.col("headers").alias("stored")), F.coalesce("digest", F.lit(""))).alias("s"))
+    # Written, so that Spark can split its join where very many revisits have one response.
+    stored = written(rows.where(full).groupBy(F.col("record_id").alias("ref")).agg(
+        F.max_by(F.struct("digest", F.col("headers").alias("stored")), F.coalesce("digest", F.lit(""))).alias("s")), "stored", narrow=False)
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     # Rows without an earlier response all have a null key; the spread keeps them out of one task.
     spread = F.when(F.col("ref").isNull(), F.pmod(F.xxhash64("record_id"), F.lit(4096))).otherwise(0)
