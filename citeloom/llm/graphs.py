@@ -15,7 +15,7 @@ from citeloom.storage import release, scratch_path
 
 
 #: A narrow table is written by at most so many tasks per core of the cluster, so small partitions don't become small files.
-TASKS_PER_CORE = 4
+TASKS_PER_CORE = 8
 #: Bytes of an Arrow batch that goes to a Python worker while a table is written.
 BATCH_BYTES = 8 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
