@@ -4,15 +4,16 @@ Tokens are shingles of five words (A–Z lower-cased; letters, digits, non-ASCII
 worked on in segments of 1024 shingles that overlap by 128, so a very long text is many bounded
 units and every passage of up to 128 shingles lies whole in one.
 
-For each of two hash functions the Cartesian tree of a segment's token hashes is built from the
-top, as far as its nodes span 46 tokens (50 words). A node is a compact window ``(a, c, b)``: all
-subsequences that start in ``a..c`` and end in ``c..b`` have token ``c`` as their min-hash. So the
-tree groups all long subsequences by signature, with about ``2 n / 46`` windows.
+A node of the Cartesian tree of a sequence of hashes is a compact window ``(a, c, b)``: all
+subsequences that start in ``a..c`` and end in ``c..b`` have ``c`` as their min-hash. The sequence
+here is a segment's runs of 12 tokens (16 words), and windows span 10 runs, so that every 21 tokens
+in a row hold the ``c`` of a window, and there are about ``2 n / 11`` windows. The key of a window is its min-hash.
 
-A shared min-hash alone would bring all texts with one common line together. A window's
-key is its min-hash with the min-hashes under three more functions of the 22 tokens on one
-side of ``c``, one key for each side. A passage of 46 equal tokens always has 22 on one
-side of ``c``, so equal passages always share a key; similar ones share some of their keys.
+Two texts that share 21 tokens in a row share that window's key, whatever is around it. Of
+46 tokens with 41 in the other text, 21 are in a row: an edit inside costs at least four tokens, so
+there is one at most, and it leaves two runs. So every pair that the verification accepts is a
+candidate, by one hash function and without chance. Only where phrases of four words or more
+repeat on the spot can lost tokens lie in more than one place.
 
 Units of one key are joined with one leader, the first document, which is a linear number
 of pairs; pairs are verified on whole segments: of the tokens in 46-token intervals, at
@@ -49,11 +50,11 @@ TOKENS = 46
 SHARED = 41
 THRESHOLD = 0.8
 SEGMENT, OVERLAP = 1024, 128
-SIDE = 22
-FUNCTIONS, MORE = 2, 3
+#: Tokens of a key, and runs of a window: RUN + REACH - 1 tokens in a row, half of SHARED, always hold a key.
+RUN, REACH = 12, 10
 BLOCK = 384
 
-_SEEDS = scan.mix(np.arange(101, 101 + FUNCTIONS + MORE + 4, dtype=np.uint64))
+_SEEDS = scan.mix(np.arange(101, 110, dtype=np.uint64))
 
 
 def compact_windows(values: np.ndarray, least: int = TOKENS) -> list[tuple[int, int, int]]:
@@ -90,32 +91,26 @@ def segments(n: int) -> Iterator[tuple[int, int, int]]:
         number, start = number + 1, start + SEGMENT - OVERLAP
 
 
+def centres(values: np.ndarray, least: int = REACH) -> np.ndarray:
+    """Every ``c`` of :func:`compact_windows`; of equal values in reach, all."""
+    if len(values) < least:
+        return np.zeros(0, np.int64)
+    lows = np.lib.stride_tricks.sliding_window_view(values, least).min(1)
+    padded = np.zeros(len(lows) + 2 * (least - 1), values.dtype)
+    padded[least - 1 : least - 1 + len(lows)] = lows
+    # The minima of the subsequences that hold a place are at most its value.
+    return np.flatnonzero(np.lib.stride_tricks.sliding_window_view(padded, least).max(1) == values)
+
+
 def window_keys(tokens: np.ndarray, units: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(key, unit, place of c in the unit)`` of the windows of each unit ``(start, stop)``; each key of a unit once."""
-    centres, owner, function, low, high = [], [], [], [], []
-    for f in range(FUNCTIONS):
-        hashed = scan.mix(tokens + _SEEDS[f])
-        for u, (start, stop) in enumerate(units):
-            found = [start + c for _, c, _ in compact_windows(hashed[start:stop])]
-            centres += found
-            owner += [u] * len(found)
-            function += [f] * len(found)
-            low += [start] * len(found)
-            high += [stop] * len(found)
-    if not centres:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-    c, u, f, low, high = (np.array(x, np.int64) for x in (centres, owner, function, low, high))
-    more = [scan.mix(tokens + _SEEDS[FUNCTIONS + m]) for m in range(MORE)]
-    keys, units_of, places = [], [], []
-    for side, inside in ((1, c + SIDE < high), (-1, c - SIDE >= low)):
-        at = c[inside]
-        around = at[:, None] + side * np.arange(1, SIDE + 1)[None, :]
-        key = scan.mix(tokens[at] + _SEEDS[f[inside]] + _SEEDS[FUNCTIONS + MORE + (side > 0)])
-        for values in more:
-            key = scan.mix(key + values[around].min(1))
-        keys.append(key)
-        units_of.append(u[inside])
-        places.append(at - low[inside])
+    keys, units_of, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    runs = scan.mix(scan.runs_of(tokens, RUN) + _SEEDS[0])
+    for u, (start, stop) in enumerate(units):
+        found = centres(runs[start : stop - RUN + 1])
+        keys.append(runs[start + found])
+        units_of.append(np.full(len(found), u, np.int64))
+        places.append(found)
     key, unit, place = np.concatenate(keys), np.concatenate(units_of), np.concatenate(places)
     order = np.lexsort((place, key, unit))
     key, unit, place = key[order], unit[order], place[order]

@@ -216,3 +216,27 @@ def test_cut_words_keeps_the_rest():
     assert compact_windows.cut_words(None, [(0, 1)]) is None
     assert compact_windows.cut_words("a b", []) == "a b"
     assert pa.array([compact_windows.cut_words("a b", [(0, 2)])]).to_pylist() == [""]
+
+
+def test_centres_are_those_of_the_windows():
+    rng = np.random.default_rng(1)
+    for n in (5, 10, 35, 400):
+        values = rng.permutation(n).astype(np.uint64) + np.uint64(1)
+        want = sorted(c for _, c, _ in compact_windows.compact_windows(values, 10))
+        assert compact_windows.centres(values, 10).tolist() == want
+    assert len(compact_windows.centres(np.full(30, 7, np.uint64), 10)) == 30
+
+
+def test_every_passage_with_one_edit_is_found(spark):
+    """One word changed or inserted anywhere near the middle of 50, 60 or 80 words."""
+    rng = random.Random(12)
+    rows, want = [], set()
+    for k, (n, change) in enumerate((n, change) for n in (50, 60, 80) for change in (0, 1) for _ in range(40)):
+        w = text_of(rng, n).split(" ")
+        at = n // 2 + rng.randrange(-3, 4)
+        other = [*w[:at], f"e{rng.randrange(10**6)}", *w[at + change :]]
+        for i, x in ((2 * k, w), (2 * k + 1, other)):
+            rows.append((i, f"{text_of(rng, rng.randrange(5, 90))} {' '.join(x)} {text_of(rng, rng.randrange(5, 90))}"))
+        want.add((2 * k + 1, 2 * k))
+    found = compact_windows.passages(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.first_doc_id) for r in found} == want
