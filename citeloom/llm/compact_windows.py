@@ -19,9 +19,10 @@ Units of one key are joined with one leader, the first document, which is a line
 of pairs; pairs are verified on whole segments: of the tokens in 46-token intervals, at
 least 41 must lie in the other segment, and the passage there must have a Jaccard similarity of
 0.8 or more. A window of a unit that no verified passage covers is
-compared with the same key's windows of all earlier documents: in blocks of 384 windows, inside tasks,
-token by token around ``c``, where 41 of 46 must agree. So no candidate is left out, no pairs of a
-group are laid out as rows, and a task returns at most a row for each of its windows.
+compared with the same key's windows of all earlier documents by the same rule: in blocks of 384
+windows, inside tasks, the 45 tokens on each side of ``c`` with 68 on each side in the other text, which
+leaves room for inserted words. So no candidate is left out, no pairs of a group are laid out as
+rows, and a task returns at most the passages of one source for each of its windows.
 
 The first document (by ``doc_id``) keeps a passage, later ones lose it. Equal texts of 50 words
 or more are whole repeats of their first document.
@@ -52,6 +53,8 @@ THRESHOLD = 0.8
 SEGMENT, OVERLAP = 1024, 128
 #: Tokens of a key, and runs of a window: RUN + REACH - 1 tokens in a row, half of SHARED, always hold a key.
 RUN, REACH = 12, 10
+#: Tokens around c: those a passage of TOKENS can reach, and in the other text up to a quarter of both sides more.
+NEAR, WIDE = TOKENS - 1, TOKENS - 1 + 23
 BLOCK = 384
 
 _SEEDS = scan.mix(np.arange(101, 110, dtype=np.uint64))
@@ -239,44 +242,66 @@ def _pairs_verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             names=["unit", "source_unit", "node", "base", "start", "stop", "source"])
 
 
+def _aligned(x: np.ndarray, y: np.ndarray, d: int) -> list[tuple[int, int]]:
+    """Token intervals of ``x`` that agree with ``y`` at one offset."""
+    a, b = max(0, -d), min(len(x), len(y) - d)
+    same = x[a:b] == y[a + d : b + d]
+    trimmed = (np.flatnonzero(same[s:e]) + a + s for s, e in _dense(same))
+    return [(int(t[0]), int(t[-1]) + 1) for t in trimmed if t[-1] + 1 - t[0] >= TOKENS]
+
+
+def _contained(near: np.ndarray, wide: list[np.ndarray], n_tokens: int) -> np.ndarray:
+    """For each row of ``near`` (-1 is none) and each hood: has the hood SHARED tokens of TOKENS in a row?"""
+    good = np.zeros((len(near), len(wide)), bool)
+    for left in range(0, len(wide), 64):
+        held = np.zeros((len(wide[left : left + 64]), n_tokens + 1), bool)
+        for k, h in enumerate(wide[left : left + 64]):
+            held[k, h] = True
+        for low in range(0, len(near), 32):
+            inside = held[:, near[low : low + 32]]
+            other, own = np.nonzero(inside.sum(2, dtype=np.uint8) >= SHARED)
+            total = np.cumsum(inside[other, own], 1, dtype=np.int16)
+            best = total[:, TOKENS - 1 :].copy()
+            best[:, 1:] -= total[:, :-TOKENS]
+            good[own + low, other + left] = best.max(1, initial=0) >= SHARED
+    return good
+
+
 def _block_verified(table: pa.Table) -> pa.Table:
-    """For each open window of a block, the passage it shares with the first earlier document that has one."""
+    """For each open window of a block, the passages it shares with the first earlier document that has one."""
     ids, nodes = table.column("first").to_pylist(), table.column("node").to_pylist()
     bare = table.column("open").to_numpy(zero_copy_only=False)
     before = table.column("before").to_numpy()
     hoods = [np.frombuffer(h.as_buffer(), np.uint32) for h in table.column("hood")]
-    n, width = len(hoods), 2 * TOKENS - 1
-    at = before * -1 + TOKENS - 1
-    grid = np.full((n, width), -1, np.int32)
-    _, numbers = np.unique(np.concatenate(hoods), return_inverse=True)
-    ends = np.cumsum([len(h) for h in hoods])
-    for i, h in enumerate(hoods):
-        grid[i, at[i] : at[i] + len(h)] = numbers[ends[i] - len(h) : ends[i]]
+    n, ends = len(hoods), np.cumsum([len(h) for h in hoods])
+    _, numbers, counts = np.unique(np.concatenate(hoods), return_inverse=True, return_counts=True)
+    # Tokens that occur once can't be shared.
+    several = counts > 1
+    numbers = np.where(several[numbers], (np.cumsum(several) - 1)[numbers], -1)
+    wide = [numbers[e - len(h) : e] for h, e in zip(hoods, ends, strict=True)]
+    skip = np.maximum(before - NEAR, 0)
     order = np.array(sorted(range(n), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0, nodes[i])))
     rank = np.empty(n, np.int64)
     rank[order] = np.arange(n)
-    ranked = grid[order]
     rows = []
     wanted = np.flatnonzero(bare)
-    for low in range(0, len(wanted), 32):
-        some = wanted[low : low + 32]
-        same = (grid[some][:, None, :] == ranked[None, :, :]) & (grid[some] >= 0)[:, None, :]
-        total = np.cumsum(same, 2, dtype=np.int16)
-        best = total[:, :, TOKENS - 1 :].copy()
-        best[:, :, 1:] -= total[:, :, : -TOKENS]
-        good = best.max(2) >= SHARED
-        for k, i in enumerate(some):
-            for r in np.flatnonzero(good[k, : rank[i]]):
-                j = order[r]
-                if nodes[j] == nodes[i]:
-                    continue
-                places = [np.flatnonzero(same[k, r, a:b]) + a for a, b in _dense(same[k, r])]
-                spans = [(int(t[0]), int(t[-1]) + 1) for t in places if t[-1] + 1 - t[0] >= TOKENS]
-                if spans:
-                    rows += [(i, j, a, b) for a, b in spans]
-                    break
+    grid = np.full((len(wanted), 2 * NEAR + 1), -1, np.int64)
+    for k, i in enumerate(wanted):
+        own = wide[i][skip[i] : before[i] + NEAR + 1]
+        grid[k, : len(own)] = own
+    good = _contained(grid, [h[h >= 0] for h in (wide[j] for j in order)], int(several.sum()))
+    for k, i in enumerate(wanted):
+        x = hoods[i][skip[i] : before[i] + NEAR + 1]
+        for r in np.flatnonzero(good[k, : rank[i]]):
+            j = order[r]
+            if nodes[j] == nodes[i]:
+                continue
+            spans = {*shared_passages(x, hoods[j]), *_aligned(x, hoods[j], int(before[j] - before[i] + skip[i]))}
+            if spans:
+                rows += [(i, j, a, b) for a, b in sorted(spans)]
+                break
     i, j, start, stop = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 4
-    shift = table.column("place").to_numpy()[i] - (TOKENS - 1)
+    shift = table.column("place").to_numpy()[i] - before[i] + skip[i]
     own, other = table.take(pa.array(i)), table.take(pa.array(j))
     return pa.table({
         "unit": own.column("unit"), "source_unit": other.column("unit"), "node": own.column("node"), "base": own.column("base"),
@@ -335,10 +360,10 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     torn = written(marked.groupBy("key").agg(F.min("node").alias("l"), F.max("node").alias("h"), F.max("open").alias("o")).where(
         "l <> h AND o").select("key"), "torn")
     tasks = _blocked(marked.join(torn, "key").select("key", "unit", "place", "node", "first", "open"), block)
-    hood_start = F.greatest(F.col("place") - (TOKENS - 1), F.lit(0))
+    hood_start = F.greatest(F.col("place") - WIDE, F.lit(0))
     hoods = tasks.join(contents.select("unit", "node", "base", "tokens"), ["unit", "node"]).select(
         "task", "unit", "node", "first", "base", "place", "open", (F.col("place") - hood_start).alias("before"),
-        F.substring("tokens", hood_start * 4 + 1, (F.col("place") + TOKENS - hood_start) * 4).alias("hood"))
+        F.substring("tokens", hood_start * 4 + 1, (F.col("place") + WIDE + 1 - hood_start) * 4).alias("hood"))
     rest = written(hoods.groupBy("task").applyInArrow(_block_verified, _FOUND), "rest")
 
     words = found.unionByName(rest).join(

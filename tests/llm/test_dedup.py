@@ -240,3 +240,27 @@ def test_every_passage_with_one_edit_is_found(spark):
         want.add((2 * k + 1, 2 * k))
     found = compact_windows.passages(frame(spark, rows)).collect()
     assert {(r.doc_id, r.first_doc_id) for r in found} == want
+
+
+def test_inserted_word_is_found_behind_a_leader_with_the_line_only(spark):
+    rng = random.Random(21)
+    for n in (60, 80):
+        # The line is short of a passage, and document 1 leads all its keys.
+        line, rest = text_of(rng, 28), text_of(rng, n - 28).split(" ")
+        put = [*rest[:2], "inserted", *rest[2:]]
+        rows = [(1, f"{text_of(rng, 40)} {line} {text_of(rng, 40)}"), (2, f"{text_of(rng, 30)} {line} {' '.join(rest)} {text_of(rng, 50)}"),
+                (3, f"{text_of(rng, 70)} {line} {' '.join(put)} {text_of(rng, 20)}")]
+        texts = compact_windows._contents(iter([pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows]), pa.array([bytes([r[0]] * 8) for r in rows]), pa.array([r[1] for r in rows])],
+            names=["doc_id", "node", "text"])]))
+        tokens = [np.frombuffer(t.as_py(), np.uint32) for b in texts for t in b.column("tokens")]
+        first = np.intersect1d(np.intersect1d(tokens[0], tokens[1]), tokens[2])
+        places = [int(np.flatnonzero(np.isin(t, first))[10]) for t in tokens]
+        low = [max(p - compact_windows.WIDE, 0) for p in places]
+        block = pa.table({
+            "first": [1, 2, 3], "node": [b"1", b"2", b"3"], "unit": [1, 2, 3], "base": [0, 0, 0], "place": pa.array(places, pa.int32()),
+            "open": [True] * 3, "before": pa.array([p - q for p, q in zip(places, low, strict=True)], pa.int32()),
+            "hood": [t[q : p + compact_windows.WIDE + 1].tobytes() for t, p, q in zip(tokens, places, low, strict=True)]})
+        found = compact_windows._block_verified(block).to_pylist()
+        assert {(r["unit"], r["source_unit"]) for r in found} == {(3, 2)}
+        assert all(66 <= r["start"] + 4 and r["stop"] <= 70 + n + 1 for r in found)
