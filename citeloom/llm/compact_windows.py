@@ -106,7 +106,7 @@ def centres(values: np.ndarray, least: int = REACH) -> np.ndarray:
 
 
 def window_keys(tokens: np.ndarray, units: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(key, unit, place of c in the unit)`` of the windows of each unit ``(start, stop)``; each key of a unit once."""
+    """``(key, unit, place of c in the unit)`` of the windows of each unit ``(start, stop)``, by unit and place."""
     keys, units_of, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     runs = scan.mix(scan.runs_of(tokens, RUN) + _SEEDS[0])
     for u, (start, stop) in enumerate(units):
@@ -115,11 +115,7 @@ def window_keys(tokens: np.ndarray, units: list[tuple[int, int]]) -> tuple[np.nd
         units_of.append(np.full(len(found), u, np.int64))
         places.append(found)
     key, unit, place = np.concatenate(keys), np.concatenate(units_of), np.concatenate(places)
-    order = np.lexsort((place, key, unit))
-    key, unit, place = key[order], unit[order], place[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (unit[1:] != unit[:-1])
-    return key[new], unit[new], place[new].astype(np.int32)
+    return key, unit, place.astype(np.int32)
 
 
 def _unit_names(nodes: list[bytes], numbers: list[int]) -> np.ndarray:
@@ -312,7 +308,7 @@ def _block_verified(table: pa.Table) -> pa.Table:
 def _blocked(rows: DataFrame, block: int) -> DataFrame:
     """``rows`` with a ``task`` for each pair of blocks of a key of which one has an open window."""
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
-    spread = rows.join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("unit"), F.col("n")).cast("int"))
+    spread = rows.join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("unit", "place"), F.col("n")).cast("int"))
     return spread.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn(
         "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("i", "j", "n")
 
@@ -355,8 +351,8 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     found = written(pairs.select("unit", "leader", "node", "source", "base", "x", "y").mapInArrow(_pairs_verified, _FOUND), "found")
 
     covered = led.join(found.select("unit", "node", "start", "stop").distinct(), ["unit", "node"]).where(
-        "start <= place AND place < stop").select("key", "unit", "node").distinct().withColumn("done", F.lit(True))
-    marked = written(led.join(covered, ["key", "unit", "node"], "left").withColumn("open", F.col("done").isNull()).drop("done"), "marked")
+        "start <= place AND place < stop").select("key", "unit", "node", "place").distinct().withColumn("done", F.lit(True))
+    marked = written(led.join(covered, ["key", "unit", "node", "place"], "left").withColumn("open", F.col("done").isNull()).drop("done"), "marked")
     torn = written(marked.groupBy("key").agg(F.min("node").alias("l"), F.max("node").alias("h"), F.max("open").alias("o")).where(
         "l <> h AND o").select("key"), "torn")
     tasks = _blocked(marked.join(torn, "key").select("key", "unit", "place", "node", "first", "open"), block)

@@ -264,3 +264,22 @@ def test_inserted_word_is_found_behind_a_leader_with_the_line_only(spark):
         found = compact_windows._block_verified(block).to_pylist()
         assert {(r["unit"], r["source_unit"]) for r in found} == {(3, 2)}
         assert all(66 <= r["start"] + 4 and r["stop"] <= 70 + n + 1 for r in found)
+
+
+def test_every_place_of_a_key_is_a_window(spark):
+    """A line twice in a document; the second begins a passage that a document after the leader has."""
+    rng = random.Random(33)
+    rows, want = [], set()
+    for k in range(12):
+        line, rest = text_of(rng, 30 + k), text_of(rng, 40)
+        a, b, c, d, e, f, g = (text_of(rng, 60) for _ in range(7))
+        rows += [(100 * k, f"{a} {line} {b}"), (100 * k + 1, f"{c} {line} {rest} {d}"), (100 * k + 2, f"{e} {line} {f} {line} {rest} {g}")]
+        want.add((100 * k + 2, 100 * k + 1))
+    found = compact_windows.passages(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.first_doc_id) for r in found} == want
+    for r in found:
+        size = 30 + r.doc_id // 100
+        assert r.start_word <= 120 + size and r.stop_word >= 120 + 2 * size + 40
+    tokens = np.tile(np.arange(30, dtype=np.uint64) + np.uint64(9), 4)
+    key, _, _ = compact_windows.window_keys(tokens, [(0, 120)])
+    assert max(Counter(key.tolist()).values()) > 2
