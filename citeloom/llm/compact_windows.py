@@ -18,14 +18,15 @@ repeat on the spot can lost tokens lie in more than one place.
 Units of one key are joined with one leader, the first document, which is a linear number
 of pairs; pairs are verified on whole segments: of the tokens in 46-token intervals, at
 least 41 must lie in the other segment, and the passage there must have a Jaccard similarity of
-0.8 or more. A window of a unit that no verified passage covers is
+0.8 or more. A window whose 12 tokens no verified passage covers whole is
 compared with the same key's windows of all earlier documents by the same rule: in blocks of 384
 windows, inside tasks, the 45 tokens on each side of ``c`` with 68 on each side in the other text, which
 leaves room for inserted words. So no candidate is left out, no pairs of a group are laid out as
 rows, and a task returns at most the passages of one source for each of its windows.
 
 The first document (by ``doc_id``) keeps a passage, later ones lose it. Equal texts of 50 words
-or more are whole repeats of their first document.
+or more are whole repeats of their first document. An edge stays at most nine words short of the longest passage that
+an earlier document has: ten more tokens hold a key that reaches over the edge, and its window is open.
 
 Defined cases: null counts as the empty text; texts under 50 words have no passage; repeats
 inside one document aren't looked for; null ids come after all others; rows of equal id and text are
@@ -351,7 +352,7 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     found = written(pairs.select("unit", "leader", "node", "source", "base", "x", "y").mapInArrow(_pairs_verified, _FOUND), "found")
 
     covered = led.join(found.select("unit", "node", "start", "stop").distinct(), ["unit", "node"]).where(
-        "start <= place AND place < stop").select("key", "unit", "node", "place").distinct().withColumn("done", F.lit(True))
+        F.expr(f"start <= place AND place + {RUN} <= stop")).select("key", "unit", "node", "place").distinct().withColumn("done", F.lit(True))
     marked = written(led.join(covered, ["key", "unit", "node", "place"], "left").withColumn("open", F.col("done").isNull()).drop("done"), "marked")
     torn = written(marked.groupBy("key").agg(F.min("node").alias("l"), F.max("node").alias("h"), F.max("open").alias("o")).where(
         "l <> h AND o").select("key"), "torn")

@@ -283,3 +283,19 @@ def test_every_place_of_a_key_is_a_window(spark):
     tokens = np.tile(np.arange(30, dtype=np.uint64) + np.uint64(9), 4)
     key, _, _ = compact_windows.window_keys(tokens, [(0, 120)])
     assert max(Counter(key.tolist()).values()) > 2
+
+
+def test_longer_passage_of_another_document_is_cut_to_its_edges(spark):
+    rng = random.Random(51)
+    rows, want = [], {}
+    for k in range(60):
+        passage, more, front = text_of(rng, 60), text_of(rng, 10 + k % 20), k % 2
+        longer = f"{more} {passage}" if front else f"{passage} {more}"
+        lead = rng.randrange(5, 90)
+        rows += [(100 * k, f"{text_of(rng, 40)} {passage} {text_of(rng, 40)}"), (100 * k + 1, f"{text_of(rng, 50)} {longer} {text_of(rng, 30)}"),
+                 (100 * k + 2, f"{text_of(rng, lead)} {longer} {text_of(rng, 70)}")]
+        want[100 * k + 2] = range(lead, lead + 60 + 10 + k % 20)
+    left = {i: set(w) for i, w in want.items()}
+    for r in compact_windows.passages(frame(spark, rows)).collect():
+        left.get(r.doc_id, set()).difference_update(range(r.start_word, r.stop_word))
+    assert max(map(len, left.values())) < 10
