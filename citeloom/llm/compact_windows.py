@@ -267,7 +267,7 @@ def _contained(near: np.ndarray, wide: list[np.ndarray], n_tokens: int) -> np.nd
 def _block_verified(table: pa.Table) -> pa.Table:
     """For each open window of a block, the passages it shares with the first earlier document that has one."""
     ids, nodes = table.column("first").to_pylist(), table.column("node").to_pylist()
-    bare = table.column("open").to_numpy(zero_copy_only=False)
+    places = table.column("places").to_pylist()
     before = table.column("before").to_numpy()
     hoods = [np.frombuffer(h.as_buffer(), np.uint32) for h in table.column("hood")]
     n, ends = len(hoods), np.cumsum([len(h) for h in hoods])
@@ -280,8 +280,11 @@ def _block_verified(table: pa.Table) -> pa.Table:
     order = np.array(sorted(range(n), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0, nodes[i])))
     rank = np.empty(n, np.int64)
     rank[order] = np.arange(n)
+    # Equal neighbourhoods are compared once.
+    _, alike = np.unique(np.array([h.tobytes() for h in hoods], object), return_inverse=True)
+    known: dict[tuple[int, int, int, int], list[tuple[int, int]]] = {}
     rows = []
-    wanted = np.flatnonzero(bare)
+    wanted = np.flatnonzero([len(p) > 0 for p in places])
     grid = np.full((len(wanted), 2 * NEAR + 1), -1, np.int64)
     for k, i in enumerate(wanted):
         own = wide[i][skip[i] : before[i] + NEAR + 1]
@@ -293,12 +296,14 @@ def _block_verified(table: pa.Table) -> pa.Table:
             j = order[r]
             if nodes[j] == nodes[i]:
                 continue
-            spans = {*shared_passages(x, hoods[j]), *_aligned(x, hoods[j], int(before[j] - before[i] + skip[i]))}
-            if spans:
-                rows += [(i, j, a, b) for a, b in sorted(spans)]
+            pair = int(alike[i]), int(alike[j]), int(before[i]), int(before[j])
+            if pair not in known:
+                known[pair] = sorted({*shared_passages(x, hoods[j]), *_aligned(x, hoods[j], pair[3] - pair[2] + int(skip[i]))})
+            if known[pair]:
+                rows += [(i, j, a + p, b + p) for a, b in known[pair] for p in places[i]]
                 break
     i, j, start, stop = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 4
-    shift = table.column("place").to_numpy()[i] - before[i] + skip[i]
+    shift = skip[i] - before[i]
     own, other = table.take(pa.array(i)), table.take(pa.array(j))
     return pa.table({
         "unit": own.column("unit"), "source_unit": other.column("unit"), "node": own.column("node"), "base": own.column("base"),
@@ -309,7 +314,7 @@ def _block_verified(table: pa.Table) -> pa.Table:
 def _blocked(rows: DataFrame, block: int) -> DataFrame:
     """``rows`` with a ``task`` for each pair of blocks of a key of which one has an open window."""
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
-    spread = rows.join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("unit", "place"), F.col("n")).cast("int"))
+    spread = rows.join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("unit", "before", "hood"), F.col("n")).cast("int"))
     return spread.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn(
         "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("i", "j", "n")
 
@@ -356,12 +361,13 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     marked = written(led.join(covered, ["key", "unit", "node", "place"], "left").withColumn("open", F.col("done").isNull()).drop("done"), "marked")
     torn = written(marked.groupBy("key").agg(F.min("node").alias("l"), F.max("node").alias("h"), F.max("open").alias("o")).where(
         "l <> h AND o").select("key"), "torn")
-    tasks = _blocked(marked.join(torn, "key").select("key", "unit", "place", "node", "first", "open"), block)
+    # Places of a unit with equal neighbourhoods are one row.
     hood_start = F.greatest(F.col("place") - WIDE, F.lit(0))
-    hoods = tasks.join(contents.select("unit", "node", "base", "tokens"), ["unit", "node"]).select(
-        "task", "unit", "node", "first", "base", "place", "open", (F.col("place") - hood_start).alias("before"),
-        F.substring("tokens", hood_start * 4 + 1, (F.col("place") + WIDE + 1 - hood_start) * 4).alias("hood"))
-    rest = written(hoods.groupBy("task").applyInArrow(_block_verified, _FOUND), "rest")
+    hoods = written(marked.join(torn, "key").join(contents.select("unit", "node", "base", "tokens"), ["unit", "node"]).select(
+        "key", "unit", "node", "first", "base", F.when(F.col("open"), F.col("place")).alias("place"), (F.col("place") - hood_start).alias("before"),
+        F.substring("tokens", hood_start * 4 + 1, (F.col("place") + WIDE + 1 - hood_start) * 4).alias("hood")).groupBy(
+        "key", "unit", "node", "first", "base", "before", "hood").agg(F.collect_set("place").alias("places")), "hoods", narrow=False)
+    rest = written(_blocked(hoods, block).drop("key").groupBy("task").applyInArrow(_block_verified, _FOUND), "rest")
 
     words = found.unionByName(rest).join(
         firsts.select(F.col("node").alias("source"), F.col("first").alias("source_id")), "source").select(

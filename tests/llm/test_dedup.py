@@ -258,8 +258,8 @@ def test_inserted_word_is_found_behind_a_leader_with_the_line_only(spark):
         places = [int(np.flatnonzero(np.isin(t, first))[10]) for t in tokens]
         low = [max(p - compact_windows.WIDE, 0) for p in places]
         block = pa.table({
-            "first": [1, 2, 3], "node": [b"1", b"2", b"3"], "unit": [1, 2, 3], "base": [0, 0, 0], "place": pa.array(places, pa.int32()),
-            "open": [True] * 3, "before": pa.array([p - q for p, q in zip(places, low, strict=True)], pa.int32()),
+            "first": [1, 2, 3], "node": [b"1", b"2", b"3"], "unit": [1, 2, 3], "base": [0, 0, 0], "places": [[p] for p in places],
+            "before": pa.array([p - q for p, q in zip(places, low, strict=True)], pa.int32()),
             "hood": [t[q : p + compact_windows.WIDE + 1].tobytes() for t, p, q in zip(tokens, places, low, strict=True)]})
         found = compact_windows._block_verified(block).to_pylist()
         assert {(r["unit"], r["source_unit"]) for r in found} == {(3, 2)}
