@@ -43,6 +43,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), _GAP), "")
 
 
+def _folded(words: Column) -> Column:
+    """Lower case word by word: that of a sigma depends on what stands beside it, also behind a separator."""
+    return F.transform(words, lambda w: F.lower(w))
+
+
 def _exact(words: Column) -> Column:
     return F.translate(F.array_join(words, " "), _UPPER, _LOWER)
 
@@ -60,7 +65,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         "passage", length.alias("l"),
         F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - length + 1), lambda i: F.slice("w", i, length))).alias("g"))
     folded = grams.select("passage", "l", F.array_join("g", " ").alias("gram")).distinct().withColumn(
-        "f", F.split(F.lower("gram"), " "))
+        "f", _folded(F.split("gram", " ")))
     longest = F.array_max(F.transform("f", lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
     return folded.select("l", "gram", "passage", F.xxhash64("f").alias("h"), F.xxhash64(longest).alias("anchor"))
 
@@ -99,7 +104,7 @@ def _scan(docs: DataFrame, windows: DataFrame, lengths: list[int], count: int) -
     """``(doc_id, row_key, n_words, found)``, written out: candidate windows with their words."""
     bits = 1 << max(12, (32 * count).bit_length())
     split = docs.select(
-        "doc_id", F.col("text"), words_of(F.lower("text")).alias("w"),
+        "doc_id", F.col("text"), _folded(words_of(F.col("text"))).alias("w"),
         _row_key(F.col("doc_id"), F.col("text")).alias("row_key"))
     parts = [
         _candidates("w", n, _bit_set(windows.where(F.col("l") == n).select("anchor"), bits),

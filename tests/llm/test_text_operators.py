@@ -65,6 +65,13 @@ def test_contamination(contaminated, block_bytes):
     assert sorted(found, key=str) == brute_contamination(docs, items)
 
 
+def test_final_sigma_before_a_separator(spark):
+    rest = " ".join(f"w{k}" for k in range(11))
+    benchmark = spark.createDataFrame([(1, f"ΟΔΟΣ ΑΒ {rest}")], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"ΟΔΟΣ{sign}ΑΒ {rest}") for k, sign in enumerate(" .:'")], "doc_id long, text string")
+    assert [r.n_hit for r in decontaminate.contamination(docs, benchmark).collect()] == [13] * 4
+
+
 def test_decontaminate(contaminated):
     docs, items, df, benchmark = contaminated
     kept = decontaminate.decontaminate(df, benchmark)
