@@ -13,7 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_template, compact_windows, curriculum, dart_minhash, decontaminate, quality_mil, rule_ledger, toxicity, url_filter, warc
+from citeloom.llm import (
+    chat_template, compact_windows, curriculum, dart_minhash, decontaminate, license_scan, quality_mil, rule_ledger, toxicity,
+    url_filter, warc)
 from citeloom.llm.labels import held_out
 
 
@@ -140,6 +142,11 @@ def op10_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "first_doc_id", "start_word", "stop_word")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.withColumn("base_labels", F.concat_ws(",", "base_labels")).withColumn("labels", F.concat_ws(",", "labels"))
+
+
 def _url_sql() -> str:
     """Each term as a pattern with the same boundaries."""
     v = url_filter.VOCABULARY
@@ -304,6 +311,7 @@ QUERIES = {
     "op8_dart_minhash": op8_dart_minhash,
     "op9_rule_ledger": op9_rule_ledger,
     "op10_compact_windows": op10_compact_windows,
+    "op12_license_scan": op12_license_scan,
 }
 
 ORACLE_SQL = {
