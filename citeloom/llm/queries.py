@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm import (
-    chat_template, compact_windows, curriculum, dart_minhash, decontaminate, license_scan, quality_mil, rule_ledger, toxicity,
-    url_filter, warc)
+    chat_template, compact_windows, curriculum, dart_minhash, decontaminate, license_scan, quality_mil, rule_ledger, token_align,
+    toxicity, url_filter, warc)
 from citeloom.llm.labels import held_out
 
 
@@ -147,6 +147,17 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("base_labels", F.concat_ws(",", "base_labels")).withColumn("labels", F.concat_ws(",", "labels"))
 
 
+#: The folder of the tokenizers' files, on the driver.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    pair = token_align.Pair(spark, tokenizers)
+    aligned = token_align.written_alignment(_table(spark, sf_dir, "documents"), pair)
+    scored = token_align.score_links(aligned, token_align.link_counts(aligned, pair), pair)
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def _url_sql() -> str:
     """Each term as a pattern with the same boundaries."""
     v = url_filter.VOCABULARY
@@ -312,6 +323,7 @@ QUERIES = {
     "op9_rule_ledger": op9_rule_ledger,
     "op10_compact_windows": op10_compact_windows,
     "op12_license_scan": op12_license_scan,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE_SQL = {
