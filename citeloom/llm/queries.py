@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm import (
-    chat_template, compact_windows, curriculum, dart_minhash, decontaminate, license_scan, quality_mil, rule_ledger, token_align,
+    chat_template, compact_windows, conversation_repair, curriculum, dart_minhash, decontaminate, license_scan, quality_mil, rule_ledger, token_align,
     toxicity, url_filter, warc)
+from citeloom.llm.graphs import written
 from citeloom.llm.labels import held_out
 
 
@@ -142,6 +144,57 @@ def op10_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "first_doc_id", "start_word", "stop_word")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated or given to the user, by checksums of their place."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    k = F.crc32(F.concat_ws(":", text[0], text[1])) % 20
+    rows = conversations.select("conv_id", "turn", text[2].alias("role"), text[3].alias("text"), k.alias("k")).where("k <> 0")
+    copies = F.when(F.col("k") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("copy", F.explode(copies)).select(
+        "conv_id", "turn", F.when(F.col("k") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("k") == 1, "").when(F.col("k") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"))
+
+
+def _conversation_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of ``role:text`` of rows ``(conv_id, role, text)`` that are in order."""
+    kind = None
+
+    def rows() -> Iterator[tuple]:
+        nonlocal kind
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+    done = []
+    for conv, group in groupby(rows(), key=lambda r: r[0]):
+        digest, first = hashlib.sha256(), True
+        for _, role, text in group:
+            digest.update(f"{role}:{text}".encode() if first else f"\n{role}:{text}".encode())
+            first = False
+        done.append((conv, digest.hexdigest()))
+        if len(done) == 20_000:
+            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], kind), pa.array([d[1] for d in done])], names=["conv_id", "digest"])
+            done = []
+    if done:
+        yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], kind), pa.array([d[1] for d in done])], names=["conv_id", "digest"])
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = damaged(conversations)
+    repairs = written(conversation_repair.repair(rows), "repairs")
+    kind = conversations.schema["conv_id"].dataType.simpleString()
+    digests = conversation_repair.repaired(rows, repairs).select("conv_id", "role", "text").mapInArrow(
+        _conversation_digests, f"conv_id {kind}, digest string")
+    ids = conversations.select("conv_id").distinct()
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return (
+        ids.alias("i").join(repairs.alias("r"), F.expr("i.conv_id <=> r.conv_id"), "left")
+        .join(digests.alias("d"), F.expr("i.conv_id <=> d.conv_id"), "left")
+        .select("i.conv_id", *zero, F.coalesce("audit", F.lit("")).alias("audit"),
+                F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
     return found.withColumn("base_labels", F.concat_ws(",", "base_labels")).withColumn("labels", F.concat_ws(",", "labels"))
@@ -262,6 +315,64 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)"""
 
+OP11_SQL = r"""
+WITH RECURSIVE
+crc_table AS (SELECT [list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                      FOR x IN range(256)] AS t),
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations),
+k AS (SELECT o.*, xor(list_reduce(list_concat([4294967295::BIGINT], [CAST(ascii(x) AS BIGINT) FOR x IN string_split(place, '')]),
+                                  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS k FROM o, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE k <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+             md5(length(role) || ':' || role || ':' || text), copy) AS n,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM damaged),
+judged AS (
+  SELECT *, said = '' AS blank, said <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS duplicate,
+         left(role, 1) AS x, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM numbered),
+r AS (SELECT *, blank OR duplicate AS gone, NOT blank AND NOT duplicate AND right(said, 1) NOT IN ('.', '!', '?') AS truncated FROM judged),
+facts AS (
+  SELECT conv_id, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || x NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY 1),
+follows(p, q) AS (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+inserted(p, q, cost, audit) AS (VALUES ('', '', 0, ''), ('s', 's', 0, ''), ('u', 'u', 0, ''), ('a', 'a', 0, ''),
+  ('', 'u', 3, 'I'), ('', 'a', 6, 'II'), ('s', 'u', 3, 'I'), ('s', 'a', 6, 'II'), ('u', 'a', 3, 'I'), ('a', 'u', 3, 'I')),
+steps AS (
+  SELECT conv_id, n, p, p AS q, 4 AS cost, 'D' AS audit FROM r, (VALUES (''), ('s'), ('u'), ('a')) s(p)
+  UNION ALL SELECT conv_id, n, p, q, CASE WHEN truncated THEN 3 ELSE 0 END, 'K' FROM r JOIN follows ON q = x WHERE NOT gone
+  UNION ALL SELECT conv_id, n, p, q, CASE WHEN truncated THEN 6 ELSE 3 END, 'R' FROM r, follows WHERE q <> 's' AND NOT gone),
+closed AS (
+  SELECT conv_id, n, s.p, i.q, min({'cost': s.cost + i.cost, 'audit': s.audit || i.audit}) AS e
+  FROM steps s JOIN inserted i ON i.p = s.q GROUP BY ALL),
+best AS (
+  SELECT conv_id, 0::BIGINT AS n, i.q, {'cost': i.cost, 'audit': i.audit} AS e FROM facts, inserted i WHERE i.p = ''
+  UNION ALL
+  SELECT b.conv_id, b.n + 1, c.q, min({'cost': b.e.cost + c.e.cost, 'audit': b.e.audit || c.e.audit})
+  FROM best b JOIN closed c ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND c.n = b.n + 1 AND c.p = b.q GROUP BY b.conv_id, b.n, c.q),
+won AS (
+  SELECT b.conv_id, min(b.e) AS e FROM best b JOIN facts f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.n = b.n
+  WHERE b.q IN ('', 'a') GROUP BY 1),
+letters AS (
+  SELECT conv_id, i, substr(e.audit, i, 1) AS edit, i - (length(substr(e.audit, 1, i)) - length(replace(substr(e.audit, 1, i), 'I', ''))) AS n,
+         length(replace(substr(e.audit, 1, i), 'D', '')) - 1 AS place, length(replace(e.audit, 'D', '')) AS size
+  FROM (SELECT conv_id, e, unnest(range(1, length(e.audit) + 1)) AS i FROM won)),
+said AS (
+  SELECT l.conv_id, string_agg(CASE WHEN edit = 'K' THEN r.role WHEN (place - size % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END
+           || ':' || CASE WHEN edit = 'I' THEN '' ELSE r.text END, chr(10) ORDER BY i) AS t
+  FROM letters l LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.n = l.n AND edit <> 'I' WHERE edit <> 'D' GROUP BY 1)
+SELECT i.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w.e.cost, 0) AS BIGINT) AS cost,
+       coalesce(w.e.audit, '') AS audit, sha256(coalesce(s.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN won w ON w.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN said s ON s.conv_id IS NOT DISTINCT FROM i.conv_id"""
+
 _MIX_TARGETS = r"""
 sizes AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
           FROM {documents}),
@@ -322,6 +433,7 @@ QUERIES = {
     "op8_dart_minhash": op8_dart_minhash,
     "op9_rule_ledger": op9_rule_ledger,
     "op10_compact_windows": op10_compact_windows,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_license_scan": op12_license_scan,
     "op13_token_alignment": op13_token_alignment,
 }
@@ -335,4 +447,5 @@ ORACLE_SQL = {
     "op4_decontaminate": OP4_SQL,
     "op6_mix_sources": "WITH " + _MIX_TARGETS.replace("{documents}", "documents") + _MIX_ROWS,
     "op9_rule_ledger": OP9_SQL,
+    "op11_conversation_repair": OP11_SQL,
 }
