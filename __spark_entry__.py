@@ -27,6 +27,7 @@ from citeloom.operators.similarity import similarity_pairs
 from citeloom.plans import workflows as flows
 from citeloom.sources import graph_files as files
 from citeloom.sources import records, search
+from citeloom.sources.keyword_index import KeywordIndex
 from citeloom.sources.sample_corpus import sample_corpus, sample_papers, sample_records, table
 from citeloom.storage import scratch_path
 from citeloom.streaming import updates
@@ -130,6 +131,36 @@ def q_keyword_search_many(spark, d):
     return hits.select(GRAPH_ID, F.col("paperId").alias("id"), "score")
 
 
+def _index(spark: SparkSession, d: str) -> KeywordIndex:
+    return KeywordIndex(spark, scratch_path(spark, "keyword-index")).build(sample_corpus(spark, d).papers)
+
+
+def q_keyword_index_search(spark, d):
+    return _index(spark, d).search(KEYWORDS).select(F.col("paperId").alias("id"), "score")
+
+
+def q_keyword_index_top(spark, d):
+    return _index(spark, d).search(["the", "tion", *KEYWORDS], limit=40, offset=10).select(F.col("paperId").alias("id"), "score")
+
+
+def q_keyword_index_many(spark, d):
+    asked = spark.createDataFrame(
+        [("g1", ["tion"]), ("g2", KEYWORDS), ("g3", ["the", "tion"])], "graph_id string, terms array<string>")
+    return _index(spark, d).search_many(asked, limit=30).select(GRAPH_ID, F.col("paperId").alias("id"), "score")
+
+
+def q_keyword_index_update(spark, d):
+    """Papers come in three batches; those of the second are sent again with their texts in the third."""
+    papers = sample_corpus(spark, d).papers
+    part = F.pmod(F.col("paperId").cast("long"), F.lit(3))
+    index = KeywordIndex(spark, scratch_path(spark, "keyword-index")).build(papers.where(part == 0))
+    later = papers.where(part == 1)
+    index.update(later.withColumn("title", F.lit("thtion ering the")).withColumn("abstract", F.lit("tion")), 1)
+    index.update(papers.where(part != 0), 2)
+    merged = index.merge(scratch_path(spark, "keyword-index"))
+    return merged.search(["the", *KEYWORDS], limit=100).select(F.col("paperId").alias("id"), "score")
+
+
 def q_parse_terms(spark, d):
     docs = table(spark, d, "documents").withColumn("terms", parse_terms(F.col("text")))
     return docs.select(
@@ -695,6 +726,12 @@ hits AS (
 _ASKED = f"('g1', ['tion']), ('g2', {_HIT_WORDS}), ('g3', ['the', 'tion'])"
 
 
+def _top_hits(terms: list[str], limit: int, offset: int) -> str:
+    return f"""WITH {_PAPERS},
+hits AS (SELECT id, CAST(len(list_intersect({_WORDS}, {terms})) AS INTEGER) AS score FROM papers)
+SELECT id, score FROM hits WHERE score > 0 ORDER BY score DESC, id LIMIT {limit} OFFSET {offset}"""
+
+
 def oracle_sql() -> dict[str, str]:
     keyword_seed = (
         f"SELECT id FROM papers WHERE len(list_intersect({_WORDS}, {_HIT_WORDS})) > 0 OR id = '{CENTRAL}'")
@@ -735,6 +772,14 @@ SELECT CAST(row_number() OVER (ORDER BY id) AS INTEGER) AS position, title, year
 FROM hits ORDER BY id LIMIT 5""",
         "keyword_search_many": f"""WITH {_many_hits(_ASKED)}
 SELECT graph_id, id, score FROM hits WHERE score > 0""",
+        "keyword_index_search": f"""WITH {_PAPERS}
+SELECT id, CAST(len(list_intersect({_WORDS}, {_HIT_WORDS})) AS INTEGER) AS score FROM papers
+WHERE len(list_intersect({_WORDS}, {_HIT_WORDS})) > 0""",
+        "keyword_index_top": _top_hits(["the", "tion", *KEYWORDS], 40, 10),
+        "keyword_index_many": f"""WITH {_many_hits(_ASKED)}
+SELECT graph_id, id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY graph_id ORDER BY score DESC, id) AS place FROM hits WHERE score > 0) WHERE place <= 30""",
+        "keyword_index_update": _top_hits(["the", *KEYWORDS], 100, 0),
         "parse_terms": """
 WITH t AS (
   SELECT doc_id, source, n_chars, [y FOR y IN [trim(x, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))
