@@ -16,8 +16,8 @@ prefixes and suffixes are really open.
 
 **Tokens.** No merge of either tokenizer crosses a blank between two characters that aren't white space: A's
 pattern ends there, and no piece of B has a blank behind another character (checked when it is loaded). So
-a text is cut there, and of each such unit the tokens are kept in a bounded memory of the worker. A's merges are in the order
-of their ids (checked), so its vocabulary is used as ranks.
+ranges that are cut there have the tokens of the whole text. A's merges are in the order of their ids (checked), so its
+vocabulary is used as ranks.
 
 **Counts.** Two linked tokens spell the same last bytes, so the shorter is a suffix of the longer, and the id pairs that can
 be linked are bounded by the vocabularies, 324,300 for those of 50,256 and 32,000 tokens. Tasks count links in numbers per pair,
@@ -36,7 +36,6 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +50,6 @@ from citeloom.llm.graphs import written
 CHUNK = 1 << 16
 #: Fragments composed in one task of the tree.
 FAN = 32
-#: Units of text whose tokens a worker remembers, and the longest one.
-KEPT_UNITS, KEPT_CHARS = 200_000, 64
 #: The file names of the two tokenizers in their folder.
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -60,11 +57,9 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _PLAIN_BYTES = (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))
 
-_UNITS = re.compile(r"(?<=\S)(?= \S)")
 #: Where each tokenizer surely starts anew. A's pattern also ends between a letter or digit and a sign.
 _A_CUT = re.compile(r"(?<=\S)(?= \S)|(?<=[A-Za-z0-9ぁ-ゖァ-ヺ一-鿿])(?=[!-/:-@、。！，？])")
-_B_CUT = _UNITS
-_BAD = (-1,)
+_B_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 def per_worker(key: object, make: Callable[[], object]) -> object:
@@ -76,34 +71,23 @@ def per_worker(key: object, make: Callable[[], object]) -> object:
 
 
 class _Tokens:
-    """Tokens of texts by units; ``spelled`` has the bytes of each id."""
+    """Tokens of texts; ``spelled`` has the bytes of each id."""
 
     spelled: list[bytes]
 
     def _ready(self) -> None:
         self.length = np.array([len(s) for s in self.spelled], np.int64)
-        self._kept: dict[str, tuple[int, ...]] = {}
 
-    def _encode(self, unit: str) -> list[int]:
+    def _encode(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def _fresh(self, unit: str) -> tuple[int, ...]:
-        ids = tuple(self._encode(unit))
-        if b"".join([self.spelled[i] for i in ids]) != unit.encode():
-            ids = _BAD
-        if len(unit) <= KEPT_CHARS:
-            if len(self._kept) >= KEPT_UNITS:
-                self._kept.clear()
-            self._kept[unit] = ids
-        return ids
-
-    def ids(self, text: str) -> np.ndarray | None:
-        """The ids of a text; None if they don't spell it."""
-        if not text:
-            return np.zeros(0, np.int32)
-        kept, fresh = self._kept.get, self._fresh
-        found = np.fromiter(chain.from_iterable([kept(u) or fresh(u) for u in _UNITS.split(text)]), np.int32)
-        return None if len(found) and found.min() < 0 else found
+    def _spells(self, ids: list[int], text: str) -> bool:
+        return b"".join([self.spelled[i] for i in ids]) == text.encode()
+
+    def ids(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The ids of each text; None if they don't spell it."""
+        return [np.array(ids, np.int32) if self._spells(ids, text) else None
+                for text, ids in zip(texts, self._encode(texts), strict=True)]
 
 
 class ByteBpe(_Tokens):
@@ -131,8 +115,11 @@ class ByteBpe(_Tokens):
         self._bpe = tiktoken.Encoding("byte-bpe", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._ready()
 
-    def _encode(self, unit: str) -> list[int]:
-        return self._bpe.encode_ordinary(unit)
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [self._bpe.encode_ordinary(t) for t in texts]
+
+    def _spells(self, ids: list[int], text: str) -> bool:
+        return True  # without a normalizer, a byte-level BPE spells what it reads
 
 
 class PieceBpe(_Tokens):
@@ -148,8 +135,8 @@ class PieceBpe(_Tokens):
         self.spelled = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode() for p in pieces]
         self._ready()
 
-    def _encode(self, unit: str) -> list[int]:
-        return self._pieces.encode(unit[1:])
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return self._pieces.encode([t[1:] for t in texts], num_threads=1)
 
 
 @dataclass
@@ -207,12 +194,13 @@ class Aligner:
         """The fragment in front of a document."""
         return Fragment(cut=True)
 
-    def fragment(self, a_text: str, a_start: int, b_text: str, b_start: int) -> Fragment:
+    def fragments(self, a_texts: list[str], a_starts: list[int], b_texts: list[str], b_starts: list[int]) -> Iterator[Fragment]:
         """Of A's tokens of one range and B's of another; both start at byte offsets of one document."""
-        a, b = self.a.ids(a_text), self.b.ids(b_text)
-        if a is None or b is None:
-            return Fragment(bad=True)
-        return self._close(Stretch(a, a_start + np.cumsum(self.a.length[a]), b, b_start + np.cumsum(self.b.length[b])))
+        for a, a_start, b, b_start in zip(self.a.ids(a_texts), a_starts, self.b.ids(b_texts), b_starts, strict=True):
+            if a is None or b is None:
+                yield Fragment(bad=True)
+            else:
+                yield self._close(Stretch(a, a_start + np.cumsum(self.a.length[a]), b, b_start + np.cumsum(self.b.length[b])))
 
     def _close(self, s: Stretch) -> Fragment:
         """The fragment of a stretch, cut at its common ends."""
@@ -240,7 +228,7 @@ class Aligner:
         codes[starts + n_a - 1] += self.n_ids
         codes[starts + n_a + n_b - 1] += 2 * self.n_ids
         links = a[a_stops - 1].astype(self.link_type) * len(self.b.spelled) + b[b_stops - 1]
-        return Groups((b"".join([self._signs[c] for c in codes.tolist()])[:-1],), (links,), len(a), len(b), len(a_stops))
+        return Groups((b"".join(map(self._signs.__getitem__, codes.tolist()))[:-1],), (links,), len(a), len(b), len(a_stops))
 
     def compose(self, left: Fragment, right: Fragment) -> Fragment:
         """The fragment of two neighbouring ranges."""
@@ -358,10 +346,9 @@ def _short_texts(pair: Pair):
         aligner = pair.aligner()
         for batch in batches:
             for part in scan.slices(batch, "text"):
-                done = []
-                for text in part.column(1).to_pylist():
-                    s = f" {text}" if text else ""
-                    done.append(aligner.finish(aligner.fragment(s, 0, s, 0)))
+                texts = [f" {text}" if text else "" for text in part.column(1).to_pylist()]
+                starts = [0] * len(texts)
+                done = [aligner.finish(f) for f in aligner.fragments(texts, starts, texts, starts)]
                 yield _results(part.column(0), "doc_id", done, aligner.link_type)
 
     return run
@@ -401,12 +388,10 @@ def _fragments(pair: Pair):
         aligner = pair.aligner()
         for batch in batches:
             for part in scan.slices(batch, "part"):
-                rows = []
-                for r in part.to_pylist():
-                    text = r["part"]
-                    fragment = aligner.fragment(text[r["a0"] : r["a1"]], r["a_start"], text[r["b0"] : r["b1"]], r["b_start"])
-                    rows.append((r["node"], r["chunk"], fragment))
-                yield _pack(rows, aligner.link_type)
+                rows = part.to_pylist()
+                a, b = ([r["part"][r[f"{s}0"] : r[f"{s}1"]] for r in rows] for s in "ab")
+                made = aligner.fragments(a, [r["a_start"] for r in rows], b, [r["b_start"] for r in rows])
+                yield _pack([(r["node"], r["chunk"], f) for r, f in zip(rows, made, strict=True)], aligner.link_type)
 
     return run
 

@@ -107,8 +107,8 @@ def test_composition_is_associative():
     for text in [t for t in random_texts(4, 150) if t and "▁" not in t]:
         s = " " + text
         at = lambda k: len(s[:k].encode())
-        parts = [aligner.fragment(s[a0:a1], at(a0), s[b0:b1], at(b0)) for a0, a1, b0, b1 in ta.ranges(s, 7)]
-        whole = aligner.finish(aligner.fragment(s, 0, s, 0))
+        parts = [next(aligner.fragments([s[a0:a1]], [at(a0)], [s[b0:b1]], [at(b0)])) for a0, a1, b0, b1 in ta.ranges(s, 7)]
+        whole = aligner.finish(next(aligner.fragments([s], [0], [s], [0])))
         assert any(len(p.suffix.a) or len(p.suffix.b) or not p.cut for p in parts[:-1]) or len(parts) < 5
         while len(parts) > 1:
             k = rng.randrange(len(parts) - 1)
