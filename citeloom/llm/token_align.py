@@ -181,27 +181,18 @@ class Fragment:
     bad: bool = False
 
 
-class Aligner:
-    """Fragments of texts and their composition, for one pair of tokenizers."""
+class Composer:
+    """The composition of fragments, for vocabularies of two sizes."""
 
-    def __init__(self, a: _Tokens, b: _Tokens):
-        self.a, self.b = a, b
-        self.n_ids = max(len(a.spelled), len(b.spelled))
-        self.link_type = link_type(len(a.spelled), len(b.spelled))
+    def __init__(self, n_a: int, n_b: int):
+        self.n_b, self.n_ids = n_b, max(n_a, n_b)
+        self.link_type = link_type(n_a, n_b)
         self._signs = [f"{i}{sign}".encode() for sign in ",|;" for i in range(self.n_ids)]
 
     def start(self) -> Fragment:
         """The fragment in front of a document."""
         return Fragment(cut=True)
 
-    def fragments(self, a_texts: list[str], a_starts: list[int], b_texts: list[str], b_starts: list[int]) -> Iterator[Fragment]:
-        """Of A's tokens of one range and B's of another; both start at byte offsets of one document."""
-        for a, a_start, b, b_start in zip(self.a.ids(a_texts), a_starts, self.b.ids(b_texts), b_starts, strict=True):
-            if a is None or b is None:
-                yield Fragment(bad=True)
-            else:
-                yield self._close(Stretch(a, a_start + np.cumsum(self.a.length[a]), b, b_start + np.cumsum(self.b.length[b])))
-
     def _close(self, s: Stretch) -> Fragment:
         """The fragment of a stretch, cut at its common ends."""
         if not len(s.a) or not len(s.b):
@@ -227,7 +218,7 @@ class Aligner:
         codes[np.arange(len(b)) + np.repeat(starts + n_a - (b_stops - n_b), n_b)] = b
         codes[starts + n_a - 1] += self.n_ids
         codes[starts + n_a + n_b - 1] += 2 * self.n_ids
-        links = a[a_stops - 1].astype(self.link_type) * len(self.b.spelled) + b[b_stops - 1]
+        links = a[a_stops - 1].astype(self.link_type) * self.n_b + b[b_stops - 1]
         return Groups((b"".join(map(self._signs.__getitem__, codes.tolist()))[:-1],), (links,), len(a), len(b), len(a_stops))
 
     def compose(self, left: Fragment, right: Fragment) -> Fragment:
@@ -254,6 +245,22 @@ class Aligner:
         return g.n_a, g.n_b, g.n, b";".join(g.text), np.concatenate([np.zeros(0, self.link_type), *g.links])
 
 
+class Aligner(Composer):
+    """Fragments of texts by one pair of tokenizers, and their composition."""
+
+    def __init__(self, a: _Tokens, b: _Tokens):
+        super().__init__(len(a.spelled), len(b.spelled))
+        self.a, self.b = a, b
+
+    def fragments(self, a_texts: list[str], a_starts: list[int], b_texts: list[str], b_starts: list[int]) -> Iterator[Fragment]:
+        """Of A's tokens of one range and B's of another; both start at byte offsets of one document."""
+        for a, a_start, b, b_start in zip(self.a.ids(a_texts), a_starts, self.b.ids(b_texts), b_starts, strict=True):
+            if a is None or b is None:
+                yield Fragment(bad=True)
+            else:
+                yield self._close(Stretch(a, a_start + np.cumsum(self.a.length[a]), b, b_start + np.cumsum(self.b.length[b])))
+
+
 def link_type(n_a: int, n_b: int) -> type:
     """A link is one number, the id of A times the size of B plus the id of B."""
     return np.int32 if n_a * n_b < 1 << 31 else np.int64
@@ -279,6 +286,8 @@ def ranges(text: str, chunk: int = CHUNK) -> list[tuple[int, int, int, int]]:
 
 _STRETCH = ("a", "a_ends", "b", "b_ends")
 _OUT_BYTES = 8 << 20
+#: Documents whose links are looked up at once.
+_SCORED = 256
 
 
 def _fragment_schema(link: str) -> str:
@@ -327,12 +336,16 @@ class Pair:
         self.link = "int" if made.link_type is np.int32 else "long"
 
     def __getstate__(self) -> dict:
-        return {"_files": self._files}
+        return {"_files": self._files, "n_a": self.n_a, "n_b": self.n_b}
 
     def aligner(self) -> Aligner:
         files = self._files.value
         return per_worker((hash(files[0]), hash(files[1])), lambda: Aligner(ByteBpe(files[0]), PieceBpe(files[1])))
 
+    def composer(self) -> Composer:
+        """Without the tokenizers."""
+        return per_worker((self.n_a, self.n_b), lambda: Composer(self.n_a, self.n_b))
+
 
 def _results(ids: pa.Array, name: str, done: list[tuple], link: type) -> pa.RecordBatch:
     n_a, n_b, n_groups, groups, links = zip(*done, strict=True) if done else [()] * 5
@@ -396,25 +409,20 @@ def _fragments(pair: Pair):
     return run
 
 
-def _composed(pair: Pair):
+def _composed(pair: Pair, last: bool):
+    """Neighbouring fragments of a document to one, or to the document's result."""
+
     def run(table: pa.Table) -> pa.Table:
-        aligner = pair.aligner()
+        composer = pair.composer()
         rows = sorted((r for batch in table.to_batches() for r in _unpack(batch)), key=lambda r: r[1])
-        done = rows[0][2]
+        node, chunk, done = rows[0]
         for _, _, fragment in rows[1:]:
-            done = aligner.compose(done, fragment)
-        return pa.Table.from_batches([_pack([(rows[0][0], rows[0][1] // FAN, done)], aligner.link_type)])
-
-    return run
-
-
-def _finished(pair: Pair):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = pair.aligner()
-        for batch in batches:
-            rows = _unpack(batch)
-            done = [aligner.finish(fragment) for _, _, fragment in rows]
-            yield _results(pa.array([r[0] for r in rows], pa.binary()), "node", done, aligner.link_type)
+            done = composer.compose(done, fragment)
+        if last:
+            made = _results(pa.array([node], pa.binary()), "node", [composer.finish(done)], composer.link_type)
+        else:
+            made = _pack([(node, chunk // FAN, done)], composer.link_type)
+        return pa.Table.from_batches([made])
 
     return run
 
@@ -438,11 +446,10 @@ def align(docs: DataFrame, pair: Pair, chunk: int = CHUNK) -> DataFrame:
     fragments = parts.mapInArrow(_fragments(pair), _fragment_schema(pair.link))
     n = -(-(longest + 1) // chunk)
     while n > 1:
-        above = fragments.withColumn("above", F.floor(F.col("chunk") / FAN))
-        fragments = above.groupBy("node", "above").applyInArrow(_composed(pair), _fragment_schema(pair.link))
         n = -(-n // FAN)
-    done = fragments.mapInArrow(_finished(pair), f"node binary, {found}")
-    return short.unionByName(long.select("doc_id", "node").join(done, "node").drop("node"))
+        above = fragments.withColumn("above", F.floor(F.col("chunk") / FAN)).groupBy("node", "above")
+        fragments = above.applyInArrow(_composed(pair, n == 1), f"node binary, {found}" if n == 1 else _fragment_schema(pair.link))
+    return short.unionByName(long.select("doc_id", "node").join(fragments, "node").drop("node"))
 
 
 def _count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,7 +482,7 @@ def score_links(aligned: DataFrame, counts: DataFrame, pair: Pair) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n, best = known.value
-        for batch in batches:
+        for batch in (whole.slice(k, _SCORED) for whole in batches for k in range(0, whole.num_rows, _SCORED)):
             column = batch.column(batch.schema.get_field_index("links"))
             sizes = column.value_lengths().to_numpy()
             at = np.searchsorted(keys, column.flatten().to_numpy())
