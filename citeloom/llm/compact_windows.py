@@ -19,9 +19,11 @@ Units of one key are joined with one leader, the first document, which is a line
 of pairs; pairs are verified on whole segments: of the tokens in 46-token intervals, at
 least 41 must lie in the other segment, and the passage there must have a Jaccard similarity of
 0.8 or more. A window whose 12 tokens no verified passage covers whole is
-compared with the same key's windows of all earlier documents by the same rule: in blocks of 384
-windows, inside tasks, the 45 tokens on each side of ``c`` with 68 on each side in the other text, which
-leaves room for inserted words. So no candidate is left out, no pairs of a group are laid out as
+compared with the same key's windows of all earlier documents by the same rule: in blocks of 64 units, inside tasks, the 45
+tokens on each side of ``c`` with 68 and more on each side in the other text, which leaves room for inserted words. Of 46 tokens five may be
+missing in the other text, so it has one of any six; the six that fewest documents of the task have are
+looked up, so a frequent line between unlike texts is compared with nothing, and places of one unit are compared together.
+So no candidate is left out, no pairs of a group are laid out as
 rows, and a task returns at most the passages of one source for each of its windows.
 
 The first document (by ``doc_id``) keeps a passage, later ones lose it. Equal texts of 50 words
@@ -56,7 +58,8 @@ SEGMENT, OVERLAP = 1024, 128
 RUN, REACH = 12, 10
 #: Tokens around c: those a passage of TOKENS can reach, and in the other text up to a quarter of both sides more.
 NEAR, WIDE = TOKENS - 1, TOKENS - 1 + 23
-BLOCK = 384
+#: Units of one key in a block.
+BLOCK = 64
 
 _SEEDS = scan.mix(np.arange(101, 110, dtype=np.uint64))
 
@@ -247,76 +250,125 @@ def _aligned(x: np.ndarray, y: np.ndarray, d: int) -> list[tuple[int, int]]:
     return [(int(t[0]), int(t[-1]) + 1) for t in trimmed if t[-1] + 1 - t[0] >= TOKENS]
 
 
-def _contained(near: np.ndarray, wide: list[np.ndarray], n_tokens: int) -> np.ndarray:
-    """For each row of ``near`` (-1 is none) and each hood: has the hood SHARED tokens of TOKENS in a row?"""
-    good = np.zeros((len(near), len(wide)), bool)
-    for left in range(0, len(wide), 64):
-        held = np.zeros((len(wide[left : left + 64]), n_tokens + 1), bool)
-        for k, h in enumerate(wide[left : left + 64]):
-            held[k, h] = True
-        for low in range(0, len(near), 32):
-            inside = held[:, near[low : low + 32]]
-            other, own = np.nonzero(inside.sum(2, dtype=np.uint8) >= SHARED)
-            total = np.cumsum(inside[other, own], 1, dtype=np.int16)
-            best = total[:, TOKENS - 1 :].copy()
-            best[:, 1:] -= total[:, :-TOKENS]
-            good[own + low, other + left] = best.max(1, initial=0) >= SHARED
-    return good
+def _rare_places(df: np.ndarray) -> np.ndarray:
+    """Places of tokens of which every possible passage shares one, by ``df``, in how many documents a token is.
+
+    A passage is TOKENS in a row of which at most TOKENS - SHARED are missing in the other text, so of one more
+    than that any choice has a shared token; the rarest are chosen. Tokens that no other text has can't be.
+    """
+    missing = TOKENS - SHARED
+    if len(df) < TOKENS:
+        return np.zeros(0, np.int64)
+    total = np.concatenate([[0], np.cumsum(df < 2)])
+    possible = np.flatnonzero(total[TOKENS:] - total[:-TOKENS] <= missing)
+    if not len(possible):
+        return possible
+    rows = df[possible[:, None] + np.arange(TOKENS)]
+    rarest = np.argpartition(rows, missing, 1)[:, : missing + 1] + possible[:, None]
+    return np.unique(rarest[df[rarest] > 1])
+
+
+def _near_regions(places: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """The unions of NEAR tokens on each side of the places."""
+    out: list[tuple[int, int]] = []
+    for p in places.tolist():
+        low, high = max(p - NEAR, 0), min(p + NEAR + 1, size)
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], high)
+        else:
+            out.append((low, high))
+    return out
+
+
+def _reaches(intervals: list[tuple[int, int]], place: int) -> bool:
+    """Does an interval have TOKENS of those around a place?"""
+    return any(min(stop, place + NEAR + 1) - max(start, place - NEAR) >= TOKENS for start, stop in intervals)
+
+
+def _at_offsets(x: np.ndarray, y: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+    """The passages of ``x`` that agree with ``y`` place by place, at any of the offsets."""
+    out: list[tuple[int, int]] = []
+    for d in offsets.tolist():
+        out += _aligned(x, y, d)
+    return out
 
 
 def _block_verified(table: pa.Table) -> pa.Table:
-    """For each open window of a block, the passages it shares with the first earlier document that has one."""
+    """For the open windows of one or two blocks of units, the passages each shares with the first earlier document that has one.
+
+    With two blocks, only units of different blocks are compared.
+    """
     ids, nodes = table.column("first").to_pylist(), table.column("node").to_pylist()
-    places = table.column("places").to_pylist()
-    before = table.column("before").to_numpy()
-    hoods = [np.frombuffer(h.as_buffer(), np.uint32) for h in table.column("hood")]
-    n, ends = len(hoods), np.cumsum([len(h) for h in hoods])
-    _, numbers, counts = np.unique(np.concatenate(hoods), return_inverse=True, return_counts=True)
-    # Tokens that occur once can't be shared.
-    several = counts > 1
-    numbers = np.where(several[numbers], (np.cumsum(several) - 1)[numbers], -1)
-    wide = [numbers[e - len(h) : e] for h, e in zip(hoods, ends, strict=True)]
-    skip = np.maximum(before - NEAR, 0)
+    low, block = table.column("low").to_numpy(), table.column("i").to_numpy()
+    places, opened = ([np.sort(np.array(v, np.int64)) - q for v, q in zip(table.column(c).to_pylist(), low, strict=True)] for c in ("places", "open"))
+    two = len(np.unique(block)) > 1
+    texts = [np.frombuffer(t.as_buffer(), np.uint32) for t in table.column("tokens")]
+    n, ends = len(texts), np.cumsum([len(t) for t in texts])
+    owner = np.repeat(np.arange(n), [len(t) for t in texts])
+    _, numbers = np.unique(np.concatenate(texts), return_inverse=True)
+    # In which units a token is, each once, and in how many documents.
+    held = np.unique(numbers.astype(np.int64) * n + owner)
+    starts = np.concatenate([[0], np.cumsum(np.bincount(held // n))])
+    holders = held % n
+    names, document = np.unique(np.array(nodes, object), return_inverse=True)
+    df = np.bincount(np.unique(held // n * len(names) + document[holders]) // len(names))
+    known = np.zeros(len(df), bool)
     order = np.array(sorted(range(n), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0, nodes[i])))
     rank = np.empty(n, np.int64)
     rank[order] = np.arange(n)
-    # Equal neighbourhoods are compared once.
-    _, alike = np.unique(np.array([h.tobytes() for h in hoods], object), return_inverse=True)
-    known: dict[tuple[int, int, int, int], list[tuple[int, int]]] = {}
     rows = []
-    wanted = np.flatnonzero([len(p) > 0 for p in places])
-    grid = np.full((len(wanted), 2 * NEAR + 1), -1, np.int64)
-    for k, i in enumerate(wanted):
-        own = wide[i][skip[i] : before[i] + NEAR + 1]
-        grid[k, : len(own)] = own
-    good = _contained(grid, [h[h >= 0] for h in (wide[j] for j in order)], int(several.sum()))
-    for k, i in enumerate(wanted):
-        x = hoods[i][skip[i] : before[i] + NEAR + 1]
-        for r in np.flatnonzero(good[k, : rank[i]]):
-            j = order[r]
-            if nodes[j] == nodes[i]:
+    for i in np.flatnonzero([len(p) > 0 for p in opened]):
+        x, own = texts[i], numbers[ends[i] - len(texts[i]) : ends[i]]
+        regions = _near_regions(opened[i], len(x))
+        rare = np.concatenate([a + _rare_places(df[own[a:b]]) for a, b in regions]).astype(np.int64)
+        tokens = np.unique(own[rare])
+        if not len(tokens):
+            continue
+        others = np.unique(np.concatenate([holders[starts[t] : starts[t + 1]] for t in tokens]))
+        others = others[(rank[others] < rank[i]) & (document[others] != document[i])]
+        if two:
+            others = others[block[others] != block[i]]
+        left = opened[i].tolist()
+        for j in others[np.argsort(rank[others])]:
+            y, theirs = texts[j], numbers[ends[j] - len(texts[j]) : ends[j]]
+            known[theirs] = True
+            inside = known[own]
+            known[theirs] = False
+            dense = [(a + s, a + e) for a, b in regions for s, e in _dense(inside[a:b])]
+            hot = [p for p in left if _reaches(dense, p)]
+            if not hot:
                 continue
-            pair = int(alike[i]), int(alike[j]), int(before[i]), int(before[j])
-            if pair not in known:
-                known[pair] = sorted({*shared_passages(x, hoods[j]), *_aligned(x, hoods[j], pair[3] - pair[2] + int(skip[i]))})
-            if known[pair]:
-                rows += [(i, j, a + p, b + p) for a, b in known[pair] for p in places[i]]
+            found = {(a + s, a + e) for a, b in _near_regions(np.array(hot), len(x)) for s, e in shared_passages(x[a:b], y)}
+            if not all(_reaches(list(found), p) for p in hot):
+                # Passages that agree place by place have one of the rare tokens at their offset.
+                by_token = np.argsort(theirs, kind="stable")
+                first, last = (np.searchsorted(theirs, own[rare], side, sorter=by_token) for side in ("left", "right"))
+                at = np.arange((last - first).sum()) + np.repeat(first - np.cumsum(last - first) + (last - first), last - first)
+                found.update(_at_offsets(x, y, np.unique(by_token[at] - np.repeat(rare, last - first))))
+            left = [p for p in left if p not in hot or not _reaches(list(found), p)]
+            rows += [(i, j, s, e) for s, e in sorted(found)]
+            if not left:
                 break
     i, j, start, stop = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 4
-    shift = skip[i] - before[i]
     own, other = table.take(pa.array(i)), table.take(pa.array(j))
     return pa.table({
         "unit": own.column("unit"), "source_unit": other.column("unit"), "node": own.column("node"), "base": own.column("base"),
-        "start": pa.array((start + shift).astype(np.int32)), "stop": pa.array((stop + shift).astype(np.int32)),
+        "start": pa.array((start + low[i]).astype(np.int32)), "stop": pa.array((stop + low[i]).astype(np.int32)),
         "source": other.column("node")})
 
 
+#: Units that a task of the last comparison gets, about.
+_TASK_ROWS = 2 * BLOCK
+
+
 def _blocked(rows: DataFrame, block: int) -> DataFrame:
-    """``rows`` with a ``task`` for each pair of blocks of a key of which one has an open window."""
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
-    spread = rows.join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("unit", "before", "hood"), F.col("n")).cast("int"))
-    return spread.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn(
-        "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("i", "j", "n")
+    """``rows`` with a ``task`` for each pair of blocks of a key, in about as many partitions as their number asks for."""
+    sizes = written(rows.groupBy("key").agg(F.count("*").alias("m")).withColumn("n", F.ceil(F.col("m") / block).cast("int")), "sizes")
+    copies = sizes.agg(F.sum(F.col("m") * F.col("n"))).first()[0] or 0
+    spread = rows.join(sizes.drop("m"), "key").withColumn("i", F.pmod(F.xxhash64("unit"), F.col("n")).cast("int"))
+    tasks = spread.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn(
+        "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("j", "n")
+    return tasks.repartition(max(1, -(-copies // _TASK_ROWS)), "task")
 
 
 def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -356,18 +408,21 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     pairs = led.select("unit", "leader").distinct().join(x, "unit").join(y, "leader").where("node <> source")
     found = written(pairs.select("unit", "leader", "node", "source", "base", "x", "y").mapInArrow(_pairs_verified, _FOUND), "found")
 
-    covered = led.join(found.select("unit", "node", "start", "stop").distinct(), ["unit", "node"]).where(
-        F.expr(f"start <= place AND place + {RUN} <= stop")).select("key", "unit", "node", "place").distinct().withColumn("done", F.lit(True))
-    marked = written(led.join(covered, ["key", "unit", "node", "place"], "left").withColumn("open", F.col("done").isNull()).drop("done"), "marked")
+    # A row per unit, of one interval per start, so the join below has a row per window.
+    longest = found.groupBy("unit", "node", "start").agg(F.max("stop").alias("stop"))
+    covered = longest.groupBy("unit", "node").agg(F.collect_list(F.struct("start", "stop")).alias("covered"))
+    inside = F.exists("covered", lambda c: (c["start"] <= F.col("place")) & (F.col("place") + RUN <= c["stop"]))
+    marked = written(led.join(covered, ["unit", "node"], "left").withColumn(
+        "open", ~F.coalesce(inside, F.lit(False))).drop("covered"), "marked")
     torn = written(marked.groupBy("key").agg(F.min("node").alias("l"), F.max("node").alias("h"), F.max("open").alias("o")).where(
         "l <> h AND o").select("key"), "torn")
-    # Places of a unit with equal neighbourhoods are one row.
-    hood_start = F.greatest(F.col("place") - WIDE, F.lit(0))
-    hoods = written(marked.join(torn, "key").join(contents.select("unit", "node", "base", "tokens"), ["unit", "node"]).select(
-        "key", "unit", "node", "first", "base", F.when(F.col("open"), F.col("place")).alias("place"), (F.col("place") - hood_start).alias("before"),
-        F.substring("tokens", hood_start * 4 + 1, (F.col("place") + WIDE + 1 - hood_start) * 4).alias("hood")).groupBy(
-        "key", "unit", "node", "first", "base", "before", "hood").agg(F.collect_set("place").alias("places")), "hoods", narrow=False)
-    rest = written(_blocked(hoods, block).drop("key").groupBy("task").applyInArrow(_block_verified, _FOUND), "rest")
+    # A row per unit of a key, with the tokens around its places.
+    low = F.greatest(F.array_min("places") - WIDE, F.lit(0))
+    placed = marked.join(torn, "key").groupBy("key", "unit", "node", "first").agg(
+        F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("open"), F.col("place"))).alias("open")).withColumn("low", low)
+    hoods = written(placed.join(contents.select("unit", "node", "base", "tokens"), ["unit", "node"]).withColumn(
+        "tokens", F.substring("tokens", F.col("low") * 4 + 1, (F.array_max("places") + WIDE + 1 - F.col("low")) * 4)), "hoods", narrow=False)
+    rest = written(_blocked(hoods, block).drop("key").groupBy("task").applyInArrow(_block_verified, _FOUND), "rest", narrow=False)
 
     words = found.unionByName(rest).join(
         firsts.select(F.col("node").alias("source"), F.col("first").alias("source_id")), "source").select(

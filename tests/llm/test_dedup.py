@@ -258,9 +258,9 @@ def test_inserted_word_is_found_behind_a_leader_with_the_line_only(spark):
         places = [int(np.flatnonzero(np.isin(t, first))[10]) for t in tokens]
         low = [max(p - compact_windows.WIDE, 0) for p in places]
         block = pa.table({
-            "first": [1, 2, 3], "node": [b"1", b"2", b"3"], "unit": [1, 2, 3], "base": [0, 0, 0], "places": [[p] for p in places],
-            "before": pa.array([p - q for p, q in zip(places, low, strict=True)], pa.int32()),
-            "hood": [t[q : p + compact_windows.WIDE + 1].tobytes() for t, p, q in zip(tokens, places, low, strict=True)]})
+            "first": [1, 2, 3], "node": [b"1", b"2", b"3"], "unit": [1, 2, 3], "base": [0, 0, 0], "i": [0, 0, 0], "places": [[p] for p in places],
+            "open": [[p] for p in places], "low": low,
+            "tokens": [t[q : p + compact_windows.WIDE + 1].tobytes() for t, p, q in zip(tokens, places, low, strict=True)]})
         found = compact_windows._block_verified(block).to_pylist()
         assert {(r["unit"], r["source_unit"]) for r in found} == {(3, 2)}
         assert all(66 <= r["start"] + 4 and r["stop"] <= 70 + n + 1 for r in found)
@@ -299,3 +299,57 @@ def test_longer_passage_of_another_document_is_cut_to_its_edges(spark):
     for r in compact_windows.passages(frame(spark, rows)).collect():
         left.get(r.doc_id, set()).difference_update(range(r.start_word, r.stop_word))
     assert max(map(len, left.values())) < 10
+
+
+def test_rare_places_lose_no_passage():
+    """Against a comparison with every text, on texts that share lines, with passages that have missing words."""
+    rng = np.random.default_rng(3)
+    line = rng.integers(0, 1 << 32, 38, np.uint32)
+    texts = []
+    for k in range(60):
+        body = rng.integers(0, 1 << 32, 160, np.uint32)
+        at = rng.integers(0, 100)
+        body[at : at + 38] = line
+        if k and rng.random() < 0.5:
+            source = texts[rng.integers(0, k)]
+            start, to, n = rng.integers(0, 100), rng.integers(0, 100), rng.integers(40, 60)
+            body[to : to + n] = source[start : start + n]
+            body[to + rng.integers(0, n, rng.integers(0, 8))] = rng.integers(0, 1 << 32)
+        texts.append(body)
+    tokens, counts = np.unique(np.concatenate([np.unique(t) for t in texts]), return_counts=True)
+    found = 0
+    for i, x in enumerate(texts):
+        rare = compact_windows._rare_places(counts[np.searchsorted(tokens, x)])
+        for j, y in enumerate(texts):
+            if i != j and compact_windows._dense(np.isin(x, y)):
+                found += 1
+                assert np.isin(x[rare], y).any()
+    assert found > 20
+    # Nothing but the line is shared: nothing is looked up.
+    assert not len(compact_windows._rare_places(np.where(np.isin(np.arange(160), np.arange(60, 98)), 50, 1)))
+
+
+def test_two_blocks_compare_only_windows_of_different_blocks():
+    tokens = np.arange(137, dtype=np.uint32).tobytes()
+    block = pa.table({
+        "first": [1, 2, 3], "node": [b"1", b"2", b"3"], "unit": [1, 2, 3], "base": [0, 0, 0], "i": [0, 1, 1], "places": [[70], [70], [70]],
+        "open": [[70], [70], [70]], "low": [2, 2, 2], "tokens": [tokens[:-4] + bytes([k, 0, 0, 9]) for k in range(3)]})
+    found = compact_windows._block_verified(block).to_pylist()
+    assert {(r["unit"], r["source_unit"]) for r in found} == {(2, 1), (3, 1)}
+    alone = compact_windows._block_verified(block.slice(1)).to_pylist()
+    assert {(r["unit"], r["source_unit"]) for r in alone} == {(3, 2)}
+
+
+def test_a_line_many_times_in_each_text(spark):
+    """Texts that repeat lines between their own words, some with a passage of an earlier one; every place is a window."""
+    rng = random.Random(71)
+    line, rows, want = text_of(rng, 24), [], {}
+    for i in range(24):
+        parts = [f"{text_of(rng, rng.randrange(8, 20))} {line}" for _ in range(30)]
+        if i % 3 == 2:
+            # Own words and lines of an earlier text, in a row.
+            parts[10:10] = rows[i - 2][2][5:8]
+            want[i] = i - 2
+        rows.append((i, " ".join(parts), parts))
+    found = compact_windows.passages(frame(spark, [r[:2] for r in rows]), block=4).collect()
+    assert {(r.doc_id, r.first_doc_id) for r in found} == set(want.items())
