@@ -4,6 +4,8 @@ No pair becomes a row before it has passed the threshold. Each graph's
 papers are dealt into tiles of bounded bytes; a task gets two tiles, multiplies
 them as matrices and returns only the pairs that pass. A graph of any size
 therefore spreads over many equal tasks, and no task holds more than two tiles.
+Tiles hold papers of similar direction, and two tiles that are too far apart for
+the threshold never meet (see ``tiles``).
 """
 
 from __future__ import annotations
@@ -13,15 +15,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import norm
 from ..schema import graph_keys
+from ..storage import Rounds, cut_lineage
 from .edges import symmetrize
+from .tiles import deal, padded, routed, usable_papers
 
 #: Bytes of vectors per tile. Papers are copied once for each tile of their graph, so few large tiles shuffle least.
 TILE_BYTES = 16 << 20
@@ -31,18 +33,6 @@ _SCORES = 4 << 20
 _DOUBT = 1e-9
 
 
-def _matrix(vectors: pa.Array) -> np.ndarray:
-    """A list column as a zero-padded matrix; padding adds nothing to a dot product."""
-    lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
-    values = pc.fill_null(vectors.flatten(), 0.0).to_numpy(zero_copy_only=False)
-    width = int(lengths.max())
-    if (lengths == width).all():
-        return values.reshape(len(lengths), width)
-    matrix = np.zeros((len(lengths), width))
-    matrix[np.arange(width) < lengths[:, None]] = values
-    return matrix
-
-
 def _ordered_dots(matrix: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Dot products added up in element order, as the native expression does."""
     total = np.zeros(len(left))
@@ -76,7 +66,7 @@ def _tile_scorer(keys: list[str], threshold: float) -> Callable:
         ids = table["id"].combine_chunks()
         tile = table["tile"].to_numpy()
         first, second = table["tile_a"][0].as_py(), table["tile_b"][0].as_py()
-        matrix = _matrix(table["vector"].combine_chunks())
+        matrix = padded(table["vector"].combine_chunks())
         norms = table["norm"].to_numpy()
         left, right = np.flatnonzero(tile == first), np.flatnonzero(tile == second)
         rows = max(1, _SCORES // max(len(right), 1))
@@ -100,14 +90,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def tile_pairs(vertices: DataFrame, min_similarity: float, tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """Every paper once per pair of tiles it takes part in."""
+    """Every paper once per pair of tiles, which are dealt by a hash: all tiles of a graph meet."""
     keys = graph_keys(vertices)
-    length = norm(F.col("vector"))
-    usable = F.when((length > 0) & ~F.isnan(length), length)
-    papers = vertices.where(F.col("id").isNotNull()).select(
-        *keys, "id", "vector", F.coalesce(usable, F.lit(0.0)).alias("norm"))
-    if min_similarity > 0:
-        papers = papers.where(F.col("norm") > 0)
+    papers = usable_papers(vertices, min_similarity)
     held = F.sum(F.greatest(F.size("vector"), F.lit(0)).cast("long") * 8 + 64)
     tiles = F.greatest(F.ceil(held / tile_bytes), F.lit(1)).cast("int").alias("tiles")
     if keys:
@@ -121,10 +106,22 @@ def tile_pairs(vertices: DataFrame, min_similarity: float, tile_bytes: int = TIL
         F.least("tile", "other_tile").alias("tile_a"), F.greatest("tile", "other_tile").alias("tile_b"))
 
 
-def similarity_pairs(vertices: DataFrame, min_similarity: float = 0.0, tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """Pairs ``src < dst`` of one graph with ``weight >= min_similarity``."""
+def similarity_pairs(
+    vertices: DataFrame, min_similarity: float = 0.0, tile_bytes: int = TILE_BYTES, prune: bool = True
+) -> DataFrame:
+    """Pairs ``src < dst`` of one graph with ``weight >= min_similarity``.
+
+    ``prune=False`` compares all tiles; that saves the pass that finds the papers' nearest centres,
+    and the pairs are the same. The pruned result is a written table.
+    """
+    if not prune:
+        return _scored(tile_pairs(vertices, min_similarity, tile_bytes), vertices, min_similarity)
+    with Rounds() as held:
+        return cut_lineage(_scored(routed(deal(vertices, min_similarity, tile_bytes, held)), vertices, min_similarity))
+
+
+def _scored(dealt: DataFrame, vertices: DataFrame, min_similarity: float) -> DataFrame:
     keys = graph_keys(vertices)
-    dealt = tile_pairs(vertices, min_similarity, tile_bytes)
     schema = T.StructType([
         *[vertices.schema[k] for k in keys],
         T.StructField("src", T.StringType()),

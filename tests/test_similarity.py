@@ -7,6 +7,8 @@ import pytest
 
 from citeloom.operators.edges import citation_edges
 from citeloom.operators.similarity import similarity_edges, similarity_pairs, tile_pairs
+from citeloom.operators.tiles import deal, routed, routing_report
+from citeloom.storage import Rounds
 
 MICRO = {"10": [1.0, 0.0], "2": [1.0, 1.0], "b": [-1.0, 0.0]}
 
@@ -94,3 +96,50 @@ def test_vectors_without_direction_are_compared(vertices):
     key = lambda r: (r.src, r.dst, repr(r.weight))
     assert sorted(map(key, rows)) == sorted(map(key, small))
     assert ("x", "y", "nan") in map(key, rows)
+
+
+def clustered(rng, groups, each, dims=12):
+    centres = rng.normal(size=(groups, dims))
+    return {f"{g:02d}-{i:03d}": (centres[g] + 0.05 * rng.normal(size=dims)).tolist() for g in range(groups) for i in range(each)}
+
+
+@pytest.mark.parametrize("threshold", [-1.0, 0.0, 0.4, 0.9, 1.0])
+def test_pruned_tiles_give_the_pairs_of_all_tiles(vertices, threshold):
+    rng = np.random.default_rng(7)
+    odd = {"x": [1e200, 0.0], "y": [1e200], "z": [1e-160, 1e-160], "n": None, "e": [], "w": [float("inf"), 1.0], "o": [0.0, 0.0]}
+    v = vertices(clustered(rng, 6, 15) | {f"r{i}": rng.normal(size=12).tolist() for i in range(20)} | odd)
+    key = lambda r: (r.src, r.dst, repr(round(r.weight, 9)))
+    whole = sorted(map(key, similarity_pairs(v, threshold, 900, prune=False).collect()))
+    assert sorted(map(key, similarity_pairs(v, threshold, 900).collect())) == whole
+
+
+def test_far_tiles_never_meet(spark, vertices):
+    rng = np.random.default_rng(8)
+    v = vertices(clustered(rng, 20, 60))
+    with Rounds() as held:
+        tiles = deal(v, 0.9, 6_000, held)
+        report = routing_report(tiles).first()
+        dealt = routed(tiles)
+        print(report)
+        assert report.papers == 1200 and report.copies_kept == dealt.count()
+        assert report.tile_pairs_kept >= dealt.select("tile_a", "tile_b").distinct().count()
+        assert report.copies_kept < report.copies / 2 and report.tile_pairs_kept < report.tile_pairs / 2
+
+
+def test_one_direction_for_all_papers_is_split(vertices):
+    v = vertices({f"{i:03d}": [1.0, 2.0, float(i % 2) / 1e6] for i in range(200)})
+    with Rounds() as held:
+        tiles = deal(v, 0.5, 2_000, held)
+        sizes = [r["count"] for r in routed(tiles).select("id", "tile").distinct().groupBy("tile").count().collect()]
+        assert sum(sizes) == 200 and max(sizes) < 60
+    assert similarity_pairs(v, 0.5, 2_000).count() == 200 * 199 // 2
+
+
+def test_pruning_keeps_graphs_apart(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"g{g}", i, x) for g in range(4) for i, x in clustered(rng, g + 1, 12).items()] + [(None, "a", [1.0]), (None, "b", [1.0])]
+    v = spark.createDataFrame(rows, "graph_id string, id string, vector array<double>")
+    key = lambda r: (r.graph_id or "", r.src, r.dst)
+    named = v.where("graph_id IS NOT NULL")
+    assert sorted(map(key, similarity_pairs(named, 0.8, 900).collect())) == sorted(map(key, similarity_pairs(named, 0.8, prune=False).collect()))
+    assert similarity_pairs(v.where("id = 'none'"), 0.5).count() == 0
