@@ -8,7 +8,13 @@ import pytest
 from citeloom import Corpus, Graph
 from citeloom.operators.community import connected_components, label_propagation, modularity
 from citeloom.operators.hetero import coauthor_edges, hub_nodes, related_papers, venue_edges
-from citeloom.operators.neighborhood import induced_subgraph, neighborhood, nodes_by_edge_property, nodes_by_property
+from citeloom.operators.neighborhood import (
+    induced_subgraph,
+    neighborhood,
+    neighborhood_many,
+    nodes_by_edge_property,
+    nodes_by_property,
+)
 
 
 @pytest.fixture
@@ -158,3 +164,35 @@ def test_author_and_venue_edges(spark):
     assert sorted((r.id, r.papers) for r in hub_nodes(venue_edges(corpus)).collect()) == [("venue:V|2020", 2)]
     chosen = spark.createDataFrame([("p",)], "id string")
     assert [tuple(r) for r in related_papers(edges, chosen).collect()] == [("p", "q", 2.0)]
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_many_neighbourhoods_in_one_traversal(spark, keyed):
+    """More requests than one mask has bits, several chosen vertices each, some unknown or null."""
+    rng = random.Random(4)
+    graphs = ["g", "h"] if keyed else [None]
+    prefix = "graph_id string, " if keyed else ""
+    row = lambda g, *x: (g, *x) if keyed else x
+    vertices = spark.createDataFrame([row(g, f"v{i}") for g in graphs for i in range(40)], prefix + "id string")
+    edges = spark.createDataFrame(
+        [row(g, f"v{rng.randrange(40)}", f"v{rng.randrange(42)}", 1.0) for g in graphs for _ in range(45)], prefix + "src string, dst string, weight double")
+    graph = Graph(vertices, edges)
+    wanted = {f"r{k}": sorted({f"v{rng.randrange(41)}" for _ in range(rng.randint(1, 3))}) for k in range(150)}
+    rows = [(r, v) for r, chosen in wanted.items() for v in chosen] + [(None, "v1"), ("r0", None), ("r1", wanted["r1"][0])]
+    found = {}
+    for r in neighborhood_many(graph, spark.createDataFrame(rows, "request string, id string"), degrees=2).collect():
+        found.setdefault(r.request, {})[(r.graph_id if keyed else None, r.id)] = r.hop
+    around = {}
+    for e in edges.collect():
+        a, b, g = e.src, e.dst, e.graph_id if keyed else None
+        around.setdefault((g, a), set()).add((g, b))
+        around.setdefault((g, b), set()).add((g, a))
+    known = {(g, f"v{i}") for g in graphs for i in range(40)}
+    for request, chosen in wanted.items():
+        hops = {(g, v): 0 for g in graphs for v in chosen if (g, v) in known}
+        edge = set(hops)
+        for hop in (1, 2):
+            edge = {y for x in edge for y in around.get(x, ()) if y in known and y not in hops}
+            hops |= dict.fromkeys(edge, hop)
+        assert found.get(request, {}) == hops
+    assert set(found) <= set(wanted)
