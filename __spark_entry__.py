@@ -15,12 +15,15 @@ from citeloom.operators.community import connected_components, label_propagation
 from citeloom.operators.dedup import dedup_papers
 from citeloom.operators.edges import assert_unique, citation_edges, hub_edges, mixed_edges, star_edges
 from citeloom.operators.hetero import coauthor_edges, hub_nodes, related_papers, venue_edges
+from citeloom.operators.moving import best_moves, modularity_communities, undirected
 from citeloom.operators.neighborhood import (
     induced_subgraph,
     neighborhood,
+    neighborhood_many,
     nodes_by_edge_property,
     nodes_by_property,
 )
+from citeloom.operators.push import push_pagerank
 from citeloom.operators.rank import pagerank
 from citeloom.operators.report import graph_stats, top_ranked, viz_edges, viz_nodes
 from citeloom.operators.similarity import similarity_pairs
@@ -30,7 +33,7 @@ from citeloom.sources import records, search
 from citeloom.sources.keyword_index import KeywordIndex
 from citeloom.sources.sample_corpus import sample_corpus, sample_papers, sample_records, table
 from citeloom.storage import scratch_path
-from citeloom.streaming import updates
+from citeloom.streaming import stateful, updates
 
 # Query parameters; the SQL below uses the same ones.
 KEYWORDS = ["thtion", "ering"]
@@ -532,6 +535,58 @@ def q_streaming_new_papers(spark, d):
     return _rounded(citation_edges(known, citations).unionByName(added), "weight")
 
 
+def q_streaming_state_edges(spark, d):
+    """Half of the papers come by a stream with keyed state, all sent twice, in two calls."""
+    later = F.col("paperId").cast("long") % 2 == 1
+    known = flows.citation_vertices(sample_papers(spark, d).where(~later))
+    citations = sample_corpus(spark, d).citations.where(F.col("src").cast("long") % 2 == 0)
+    records = sample_records(spark, d).where(later).withColumn("ingest_ts", F.lit("2024-01-01").cast("timestamp"))
+    inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "stream")
+    first = F.col("paperId").cast("long") % 4 == 1
+    for sent in (records.where(first), records):
+        sent.write.mode("append").json(inbox)
+        stateful.grow_graph(updates.read_paper_stream(spark, inbox), known, out, f"{out}/progress", citations)
+    return _rounded(citation_edges(known, citations).unionByName(stateful.read_edges(spark, out)), "weight")
+
+
+def q_neighborhood_many(spark, d):
+    g = _citation_graph(spark, d)
+    asked = g.vertices.where(F.col("id").cast("long") % 50 == 0).select(F.col("id").alias("request"), "id")
+    return neighborhood_many(g, asked).select("request", "id", "hop")
+
+
+def q_best_moves(spark, d):
+    links = undirected(_citation_graph(spark, d))
+    placed = links.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("degree")).withColumn("community", F.col("id"))
+    return best_moves(links, placed, []).select("id", "best")
+
+
+def q_modularity_communities(spark, d):
+    """Communities of each year's papers; whether their modularity is at least that of single papers."""
+    g = _year_graphs(spark, d)
+    positive = Graph(g.vertices, g.edges.where("weight > 0"))
+    found = modularity_communities(g, max_levels=2, max_rounds=3).withColumnRenamed("community", "label")
+    own = g.vertices.select(GRAPH_ID, "id", F.col("id").alias("label"))
+    risen = modularity(positive, found).alias("a").join(
+        modularity(positive, own).withColumnRenamed("modularity", "single").alias("b"), GRAPH_ID).select(
+        GRAPH_ID, (F.col("modularity") >= F.col("single") - 1e-9).alias("risen"))
+    sizes = found.groupBy(GRAPH_ID).agg(F.count(F.lit(1)).alias("n_papers"))
+    return sizes.join(risen, GRAPH_ID, "left").select(GRAPH_ID, "n_papers", "risen")
+
+
+def q_pagerank_push(spark, d):
+    """Ranks pushed to a tolerance; whether each fulfils its equation."""
+    g = _citation_graph(spark, d)
+    positive = Graph(g.vertices, g.edges.where("weight > 0"))
+    ranks = push_pagerank(positive, tolerance=1e-3).state
+    once = ranks.select(F.col("id").alias("src"), "rank")
+    totals = positive.edges.groupBy("src").agg(F.sum("weight").alias("total"))
+    inflow = positive.edges.join(totals, "src").join(once, "src").groupBy(F.col("dst").alias("id")).agg(
+        F.sum(F.col("rank") * F.col("weight") / F.col("total")).alias("inflow"))
+    missing = F.abs(0.15 + 0.85 * F.coalesce("inflow", F.lit(0.0)) - F.col("rank"))
+    return ranks.join(inflow, "id", "left").select("id", (missing <= 1e-3 + 1e-9).alias("settled"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """PageRank of the citation graph, the ten best papers."""
     return q_pagerank_top10(spark, "/root/testdata/sf0.001")
@@ -974,6 +1029,35 @@ SELECT id, round(rank, 6) AS rank FROM r10""",
 SELECT id, round(rank, 6) AS rank FROM r10""",
         "streaming_new_papers": f"""WITH {_EDGES}
 SELECT src, dst, round(weight, 6) AS weight, 'citation' AS edge_type FROM cit_edges""",
+        "streaming_state_edges": f"""WITH {_EDGES}
+SELECT src, dst, round(weight, 6) AS weight, 'citation' AS edge_type FROM cit_edges""",
+        "neighborhood_many": f"""WITH {_CITS},
+known AS (SELECT src, dst FROM cits WHERE src IN (SELECT id FROM papers) AND dst IN (SELECT id FROM papers)),
+links AS (SELECT src, dst FROM known UNION SELECT dst, src FROM known),
+r0 AS (SELECT id AS request, id, 0 AS hop FROM papers WHERE CAST(id AS BIGINT) % 50 = 0),
+r1 AS (SELECT DISTINCT request, l.dst AS id, 1 AS hop FROM r0 JOIN links l ON l.src = r0.id),
+r2 AS (SELECT DISTINCT request, l.dst AS id, 2 AS hop FROM r1 JOIN links l ON l.src = r1.id)
+SELECT request, id, CAST(min(hop) AS INTEGER) AS hop
+FROM (SELECT * FROM r0 UNION ALL SELECT * FROM r1 UNION ALL SELECT * FROM r2) GROUP BY request, id""",
+        "best_moves": f"""WITH {_EDGES},
+pos AS (SELECT src, dst, CAST(weight AS DECIMAL(28, 9)) AS weight FROM cit_edges WHERE weight > 0),
+links AS (SELECT src, dst, sum(weight) AS weight FROM (
+  SELECT src, dst, weight FROM pos UNION ALL SELECT dst, src, weight FROM pos) GROUP BY src, dst),
+deg AS (SELECT src AS id, CAST(sum(weight) AS DOUBLE) AS degree FROM links GROUP BY src),
+m AS (SELECT CAST(sum(weight) AS DOUBLE) AS m2 FROM links),
+options AS (SELECT src AS id, dst AS target, CAST(weight AS DOUBLE) AS inside FROM links WHERE src <> dst
+            UNION ALL SELECT id, id, 0.0 FROM deg),
+worth AS (
+  SELECT o.id, o.target, o.id = o.target AS stays,
+         round(o.inside - a.degree * CASE WHEN o.id = o.target THEN 0.0 ELSE b.degree END / m2, 9) AS worth
+  FROM options o JOIN deg a ON a.id = o.id JOIN deg b ON b.id = o.target, m)
+SELECT id, target AS best FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY worth DESC, stays DESC, target) AS place FROM worth) WHERE place = 1""",
+        "modularity_communities": f"""WITH {_YEARS},
+linked AS (SELECT DISTINCT graph_id FROM yedges WHERE weight > 0)
+SELECT p.graph_id, count(*) AS n_papers, CASE WHEN max(l.graph_id) IS NOT NULL THEN true END AS risen
+FROM y p LEFT JOIN linked l ON l.graph_id = p.graph_id GROUP BY p.graph_id""",
+        "pagerank_push": f"WITH {_PAPERS} SELECT id, true AS settled FROM papers",
         "label_propagation": f"WITH {_label_rounds(4)} SELECT id, label FROM l4",
         "modularity": f"""WITH {_EDGES},
 tagged AS (SELECT e.weight, coalesce(a.venue, '') AS sl, coalesce(b.venue, '') AS dl

@@ -17,6 +17,7 @@ from ..operators.edges import citation_edges, star_edges
 from ..operators.similarity import similarity_edges
 from ..schema import GRAPH_ID, Corpus, Graph
 from ..sources import search
+from ..sources.keyword_index import KeywordIndex
 from ..storage import cut_lineage
 
 
@@ -80,12 +81,16 @@ def keyword_graph(
     central: str | None = None,
     min_similarity: float | None = None,
     aliases: DataFrame | None = None,
+    index: KeywordIndex | None = None,
 ) -> Graph:
     """Graph of the papers a keyword search finds, around ``central`` if given.
 
-    ``limit`` takes only the best hits; None takes every hit.
+    ``limit`` takes only the best hits; None takes every hit. With an ``index`` of the corpus no text is searched.
     """
-    hits = search.keyword_search(corpus.papers, keywords, limit).drop("score")
+    if index is None:
+        hits = search.keyword_search(corpus.papers, keywords, limit).drop("score")
+    else:
+        hits = corpus.papers.join(index.search(keywords, limit).select("paperId"), "paperId", "left_semi")
     centre = resolve_central(corpus.papers, central, aliases)
     if centre is not None:
         added = search.lookup_ids(corpus.papers, [centre])
@@ -94,14 +99,17 @@ def keyword_graph(
     return Graph(vertices, star_or_citation(vertices, corpus.citations, centre, min_similarity))
 
 
-def keyword_graphs(corpus: Corpus, queries: DataFrame, limit: int | None = None) -> Graph:
+def keyword_graphs(
+    corpus: Corpus, queries: DataFrame, limit: int | None = None, index: KeywordIndex | None = None
+) -> Graph:
     """Graphs for ``queries(graph_id, keywords[, central])``, comma-separated keywords.
 
     A request whose ``central`` is a known paper gets a star around it, the
-    others citation edges.
+    others citation edges. With an ``index`` of the corpus no text is searched.
     """
     asked = queries.select(GRAPH_ID, parse_terms(F.col("keywords")).alias("terms"))
-    members = search.keyword_hits_many(corpus.papers, asked, limit).select(GRAPH_ID, "paperId")
+    found = search.keyword_hits_many(corpus.papers, asked, limit) if index is None else index.search_many(asked, limit)
+    members = found.select(GRAPH_ID, "paperId")
     centres = None
     if "central" in queries.columns:
         wanted = queries.select(GRAPH_ID, F.col("central").alias("paperId")).where(F.col("paperId").isNotNull())

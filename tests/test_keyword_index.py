@@ -7,6 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from citeloom.plans import workflows as flows
+from citeloom.schema import Corpus
 from citeloom.sources import search
 from citeloom.sources.keyword_index import KeywordIndex
 
@@ -98,3 +100,22 @@ def test_empty_corpus(spark, tmp_path):
     assert index.search("graph").count() == 0 and index.search("graph", 5).count() == 0
     with pytest.raises(ValueError):
         index.update(spark.createDataFrame([], SCHEMA), 0)
+
+
+def test_workflows_by_index(spark, tmp_path):
+    papers = spark.createDataFrame(random_papers(8, 40), SCHEMA)
+    none = "year int, venue string, embedding struct<model:string,vector:array<double>>, tldr struct<text:string>"
+    for field in none.split(", "):
+        name, kind = field.split(" ", 1)
+        papers = papers.withColumn(name, F.lit(None).cast(kind))
+    cited = spark.createDataFrame([(f"p{i:04d}", f"p{(i * 7) % 40:04d}") for i in range(40)], "src string, dst string")
+    corpus, index = Corpus(papers, cited), KeywordIndex(spark, str(tmp_path / "i")).build(papers)
+    key = lambda r: tuple(map(str, r))
+    asked = spark.createDataFrame([("g", "graph, the", "p0003"), ("h", "of", None)], "graph_id string, keywords string, central string")
+    for limit in (None, 6):
+        for plain, quick in (
+                (flows.keyword_graph(corpus, "graph, the", limit, "p0003"), flows.keyword_graph(corpus, "graph, the", limit, "p0003", index=index)),
+                (flows.keyword_graphs(corpus, asked, limit), flows.keyword_graphs(corpus, asked, limit, index))):
+            assert sorted(map(key, quick.edges.collect())) == sorted(map(key, plain.edges.collect()))
+            columns = plain.vertices.columns
+            assert sorted(map(key, quick.vertices.select(columns).collect())) == sorted(map(key, plain.vertices.collect()))
