@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import importlib.util
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -594,7 +594,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _has_pipeline() -> bool:
     """The subpackage ``llm`` and its pipeline can be taken out; the rest works without them."""
-    return all(importlib.util.find_spec(name) for name in ("citeloom.llm", "corpus_pipeline"))
+    try:
+        importlib.import_module("citeloom.llm.queries")
+        importlib.import_module("corpus_pipeline")
+    except ImportError:
+        return False
+    return True
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
