@@ -85,3 +85,14 @@ def test_a_batch_does_not_read_the_graph(spark, tmp_path):
     assert sum(p["numInputRows"] for p in query.recentProgress) == 1
     assert sum(p["numInputRows"] for p in edges.recentProgress) == 1
     assert [o["numRowsTotal"] for o in query.recentProgress[-1]["stateOperators"]] == [3]
+
+
+def test_edges_are_written_by_a_join_of_streams(spark, tmp_path):
+    """Every new paper is read once, all edges are there on return, and a known paper held twice completes an edge once."""
+    inbox, out = f"{tmp_path}/inbox", f"{tmp_path}/out"
+    base = spark.createDataFrame([("p0", "t", 2000, [1.0, 1.0])] * 2, "id string, title string, year int, vector array<double>")
+    send(spark, [record(random.Random(i), i, 1) for i in (1, 2, 3)], inbox)
+    stateful.store_new_papers(updates.read_paper_stream(spark, inbox), base, out, f"{tmp_path}/progress").awaitTermination()
+    read = stateful.store_completed_edges(spark, base, out, f"{tmp_path}/progress")
+    assert not read.isActive and sum(p["numInputRows"] for p in read.recentProgress) == 3
+    assert sorted((r.src, r.dst) for r in stateful.read_edges(spark, out).collect()) == [("p1", "p0"), ("p2", "p0"), ("p3", "p0")]
