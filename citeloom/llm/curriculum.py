@@ -23,6 +23,8 @@ each by themselves; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,11 +134,11 @@ def _time(segments: str, share: Column) -> Column:
     return F.when(y <= 0, piece["t0"]).otherwise(F.least(piece["t0"] + piece["dt"], piece["t0"] + y * 2 / (piece["w0"] + root)))
 
 
-def training_sequence(mixed: DataFrame) -> DataFrame:
+def training_sequence(mixed: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """One row per document copy taken, range-sorted by its training time.
 
-    ``mixed`` is the result of :func:`mix`. A copy is ``n_words`` words of the
-    document from its start; only the last copy of a source can be partial.
+    ``mixed`` is the result of :func:`mix`; its ``carried`` columns are kept. A copy is
+    ``n_words`` words of the document from its start; only the last copy of a source can be partial.
     """
     size, taken = F.col("size"), F.col("taken")
     copies = F.when(taken > 0, F.ceil(taken / size)).otherwise(0).cast("int")
@@ -146,5 +148,5 @@ def training_sequence(mixed: DataFrame) -> DataFrame:
         "*", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
     return rows.select(
         "doc_id", "source", "size", "copy", n_words.alias("n_words"),
-        _time("segments", F.least(middle / F.col("target"), F.lit(1.0))).alias("position"),
+        _time("segments", F.least(middle / F.col("target"), F.lit(1.0))).alias("position"), *carried,
     ).orderBy("position", "source", "doc_id", "copy")

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import groupby
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -95,8 +97,15 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = curriculum.mix(_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    """``taken`` is read off the training sequence: the words of all copies of a document in it."""
+    mixed = written(curriculum.mix(_table(spark, sf_dir, "documents")), "mixed")
+    sequence = written(curriculum.training_sequence(mixed, carried=["before"]), "sequence", narrow=False)
+    # Rows with words differ in their place in their source.
+    row = ["source", "doc_id", "size", "before"]
+    taken = sequence.groupBy(*row).agg(F.sum("n_words").alias("n_taken"))
+    same = reduce(and_, [F.col(f"m.{c}").eqNullSafe(F.col(f"t.{c}")) for c in row])
+    return mixed.alias("m").join(taken.alias("t"), same, "left").select(
+        "m.doc_id", "m.size", "source_size", "target", F.coalesce("n_taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from citeloom.llm import curriculum
 from citeloom.llm.queries import ORACLE_SQL, QUERIES
 from tests.oracle import connect, spark_rows, sql_rows
 
@@ -31,6 +32,15 @@ def test_query_without_sql(spark, name):
         assert found.count() == documents.count()
 
 
+def test_taken_words_come_from_the_training_sequence(spark, monkeypatch):
+    whole = {r.doc_id: r.taken for r in QUERIES["op6_mix_sources"](spark, SF_DIR).collect()}
+    sequence = curriculum.training_sequence
+    monkeypatch.setattr(curriculum, "training_sequence", lambda *a, **k: sequence(*a, **k).where("doc_id % 2 = 0"))
+    half = {r.doc_id: r.taken for r in QUERIES["op6_mix_sources"](spark, SF_DIR).collect()}
+    assert any(whole[d] for d in whole if d % 2)
+    assert half == {d: 0 if d % 2 else n for d, n in whole.items()}
+
+
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     places = [r.position for r in rows]
