@@ -54,7 +54,9 @@ def store_batch(
     known = vertices.select("id", "title", "year", "vector").unionByName(
         _before(spark, f"{path}/vertices", _VERTEX, batch_id))
     arrived = dedup_papers(batch.drop("ingest_ts"))
-    fresh = cut_lineage(arrived.join(known.select(F.col("id").alias("paperId")), "paperId", "left_anti"))
+    # Only what the graph keeps is shuffled and written, not the texts.
+    fresh = cut_lineage(arrived.select("paperId", "title", "year", "embedding", "references").join(
+        known.select(F.col("id").alias("paperId")), "paperId", "left_anti"))
     added = fresh.select(F.col("paperId").alias("id"), "title", "year", F.col("embedding.vector").alias("vector"))
     cited = explode_references(fresh)
     waiting = _before(spark, f"{path}/citations", _CITATION, batch_id)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from tests.oracle import connect, spark_rows, sql_rows
@@ -36,3 +37,15 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() == 10
+
+
+def test_arriving_files_are_bounded(spark, monkeypatch):
+    """No file that the streamed queries send grows with the input, and the stream still takes several batches."""
+    sent = []
+    read = driver.updates.read_paper_stream
+    monkeypatch.setattr(driver, "RECORDS_PER_FILE", 100, raising=False)
+    monkeypatch.setattr(driver.updates, "read_paper_stream", lambda s, path, max_files=None: sent.append((path, max_files)) or read(s, path, max_files))
+    driver.queries()["streaming_new_papers"](spark, SF_DIR)
+    (path, max_files), = sent
+    sizes = [r["count"] for r in spark.read.json(path).groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 100 and len(sizes) // max_files >= 4
