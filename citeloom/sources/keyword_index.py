@@ -47,11 +47,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def _bucket(paper_id: Column, bounds: list[str]) -> Column:
-    """How many bounds are not above the id."""
+def _bucket(paper_id: Column, bounds: list[str], first: int = 0) -> Column:
+    """How many bounds are not above the id, by halving."""
     if not bounds:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= paper_id))
+        return F.lit(first)
+    half = len(bounds) // 2
+    return F.when(paper_id < bounds[half], _bucket(paper_id, bounds[:half], first)).otherwise(
+        _bucket(paper_id, bounds[half + 1:], first + half + 1))
 
 
 def _words_of(column: str, bit: int) -> Column:
@@ -59,6 +61,12 @@ def _words_of(column: str, bit: int) -> Column:
     return F.transform(found, lambda word: F.struct(word.alias("word"), F.lit(bit).alias("fields")))
 
 
+def _dealt(postings: DataFrame) -> DataFrame:
+    """A row for each word of each paper, in ranges of both: rows that repeat meet there, without another shuffle."""
+    return postings.repartitionByRange("word", "paperId").groupBy("word", "paperId").agg(
+        F.min("bucket").alias("bucket"), F.bit_or("fields").alias("fields"))
+
+
 class KeywordIndex:
     """The index below ``path``; :meth:`build` makes it, :meth:`update` adds to it."""
 
@@ -102,13 +110,15 @@ class KeywordIndex:
 
     def _write(self, papers: DataFrame, segment: int) -> None:
         bounds = sorted(r.bound for r in self.spark.read.schema("bound string").parquet(f"{self.path}/bounds").collect())
-        named = papers.where(F.col("paperId").isNotNull()).select("paperId", _bucket(F.col("paperId"), bounds).alias("bucket"), "title", "abstract")
+        named = papers.where("paperId IS NOT NULL AND (title IS NOT NULL OR abstract IS NOT NULL)").select(
+            "paperId", _bucket(F.col("paperId"), bounds).alias("bucket"), "title", "abstract")
         spoken = named.select("paperId", "bucket", F.inline(F.concat(_words_of("title", TITLE), _words_of("abstract", ABSTRACT))))
-        self._store(spoken.groupBy("word", "paperId", "bucket").agg(F.bit_or("fields").alias("fields")), segment)
+        self._store(spoken, segment)
 
     def _store(self, postings: DataFrame, segment: int) -> None:
+        """Store rows ``(word, paperId, bucket, fields)`` as a segment, one for each word of each paper."""
         target = f"{self.path}/postings/segment={segment}"
-        postings.repartitionByRange("word", "paperId").sortWithinPartitions("word", "paperId").write.mode("overwrite").parquet(target)
+        _dealt(postings).sortWithinPartitions("word", "paperId").write.mode("overwrite").parquet(target)
         stored = self.spark.read.schema(_POSTINGS).parquet(target)
         blocks = stored.groupBy("word", "bucket").agg(
             F.count(F.lit(1)).alias("n"), F.min("paperId").alias("first_id"), F.lit(1).alias("top"))

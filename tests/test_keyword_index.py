@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citeloom.plans import workflows as flows
 from citeloom.schema import Corpus
-from citeloom.sources import search
+from citeloom.sources import keyword_index, search
 from citeloom.sources.keyword_index import KeywordIndex
 
 WORDS = ["graph", "neural", "ranking", "Über", "the", "the", "of", "x", "größe", "graphs", "日本"]
@@ -119,3 +119,15 @@ def test_workflows_by_index(spark, tmp_path):
             assert sorted(map(key, quick.edges.collect())) == sorted(map(key, plain.edges.collect()))
             columns = plain.vertices.columns
             assert sorted(map(key, quick.vertices.select(columns).collect())) == sorted(map(key, plain.vertices.collect()))
+
+
+def test_postings_are_shuffled_once(spark):
+    """Repeated rows become one by the shuffle that makes the ranges, and a bucket is found by halving."""
+    rows_ = spark.createDataFrame([("a", "p1", 0, 1), ("a", "p1", 0, 2), ("b", "p1", 0, 2)], "word string, paperId string, bucket int, fields int")
+    dealt = keyword_index._dealt(rows_)
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert sorted(map(tuple, dealt.collect())) == [("a", "p1", 0, 3), ("b", "p1", 0, 2)]
+    bounds = ["b", "d", "d1", "f", "x"]
+    ids = spark.createDataFrame([(x,) for x in "abcdefxyz"] + [("d1",), ("d2",), ("",)], "id string")
+    found = ids.select("id", keyword_index._bucket(F.col("id"), bounds).alias("n")).collect()
+    assert {r.id: r.n for r in found} == {r.id: sum(b <= r.id for b in bounds) for r in found}
