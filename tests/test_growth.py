@@ -31,3 +31,29 @@ def test_components_split_a_hot_root(spark):
         edges = rounds.cut(g.edges.select("src", "dst"))
         salts = community._least_at(edges, "dst", [], rounds, 10).where("dst = 'a'").select("salt").distinct()
         assert salts.count() == 6
+
+
+def test_star_joins_the_centre_without_a_shuffle(spark):
+    """All links of a star share the centre, which no shuffle may gather in one task."""
+    v = spark.createDataFrame([(i, [1.0, float(n)]) for n, i in enumerate("abcd")], "id string, vector array<double>")
+    c = spark.createDataFrame([("a", "b"), ("c", "a"), ("b", "c"), ("a", "a")], "src string, dst string")
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {n: spark.conf.get(n) for n in names}
+    for n, value in names.items():
+        spark.conf.set(n, value)
+    try:
+        edges = star_edges(v, c, "a")
+        assert "BroadcastHashJoin [centre" in _plan(edges)
+        kinds = sorted(map(tuple, edges.select("src", "dst", "edge_type").collect()))
+    finally:
+        for n, value in old.items():
+            spark.conf.set(n, value)
+    assert kinds == [("a", "a", "central_cites"), ("a", "a", "cites_central"), ("a", "b", "central_cites"),
+                     ("a", "d", "fallback"), ("b", "c", "seed_cite"), ("c", "a", "cites_central")]
+
+
+def _plain_ranks(pairs, ids, rounds):
+    ranks = dict.fromkeys(ids, 1.0)
+    for _ in range(rounds):
+        ranks = {i: 0.15 + 0.85 * sum(ranks[a] * 0.5 for a, b in pairs if b == i and a in ranks) for i in ids}
+    return ranks
