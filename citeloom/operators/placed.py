@@ -31,27 +31,22 @@ def place(df: DataFrame, columns: list[str], parts: int) -> DataFrame:
     return kept
 
 
-class PlacedEdges:
-    """Edges ready to carry vertex values to their targets again and again.
+class WrittenEdges:
+    """Edges in the shared folder, ready to carry vertex values to their targets.
 
-    The edges are written to the shared folder first, so the repair of a lost
-    cache block does not compute them again, and their measured size gives the
-    number of partitions. They are partitioned by source, hot sources are split
-    over several tasks, and values come by join: the edges stay in place and
-    in order, and nothing passes through the driver.
+    Values come by join on the source; hot sources are split over several tasks, and nothing passes through the driver.
     """
 
     def __init__(self, edges: DataFrame, keys: list[str], rounds: Rounds, hot_floor: int = skew.HOT_FLOOR) -> None:
-        edges = rounds.cut(edges)
-        self.parts = parts_for(edges)
+        self.written = rounds.cut(edges)
+        self._edges = self.written
         self._on = [*keys, "src"]
         self._hot = None
-        hot = rounds.cut(skew.hot_keys(edges, "src", hot_floor))
+        hot = rounds.cut(skew.hot_keys(self.written, "src", hot_floor))
         if not hot.isEmpty():
             self._hot = hot
-            edges = skew.salt_rows(edges, hot, "src", F.col("dst"))
+            self._edges = skew.salt_rows(self.written, hot, "src", F.col("dst"))
             self._on.append("salt")
-        self._edges = place(edges, self._on, self.parts)
 
     def send(self, values: DataFrame) -> DataFrame:
         """Each edge with the values of its source vertex ``id``."""
@@ -60,5 +55,20 @@ class PlacedEdges:
             values = skew.salt_copies(values, self._hot, "src")
         return self._edges.join(values, self._on)
 
+
+class PlacedEdges(WrittenEdges):
+    """Edges that carry vertex values again and again.
+
+    They are written to the shared folder first, so the repair of a lost
+    cache block does not compute them again, and their measured size gives the
+    number of partitions. They are partitioned and sorted by source and kept:
+    the edges stay in place and in order, only the values move.
+    """
+
+    def __init__(self, edges: DataFrame, keys: list[str], rounds: Rounds, hot_floor: int = skew.HOT_FLOOR) -> None:
+        super().__init__(edges, keys, rounds, hot_floor)
+        self.parts = parts_for(self.written)
+        self._edges = place(self._edges, self._on, self.parts)
+
     def release(self) -> None:
         self._edges.unpersist()

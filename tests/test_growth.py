@@ -57,3 +57,28 @@ def _plain_ranks(pairs, ids, rounds):
     for _ in range(rounds):
         ranks = {i: 0.15 + 0.85 * sum(ranks[a] * 0.5 for a, b in pairs if b == i and a in ranks) for i in ids}
     return ranks
+
+
+@pytest.mark.parametrize("max_iter", [1, 2, 7])
+def test_rank_rounds_run_on_vertices_that_send_and_receive(spark, monkeypatch, max_iter):
+    kept = []
+
+    class Seen(rank.PlacedEdges):
+        def __init__(self, *args):
+            super().__init__(*args)
+            kept.append(self.written.count())
+
+    monkeypatch.setattr(rank, "PlacedEdges", Seen)
+    pairs = [("s1", "a"), ("s2", "a"), ("s2", "t1"), ("a", "b"), ("b", "a"), ("b", "t2"), ("gone", "a"), ("a", "gone")]
+    ids = ["s1", "s2", "a", "b", "t1", "t2", "alone"]
+    found = {r["id"]: r["rank"] for r in rank.pagerank(_graph(spark, pairs, ids), max_iter=max_iter, hot_floor=1).collect()}
+    assert found == pytest.approx(_plain_ranks(pairs, ids, max_iter))
+    assert kept == [2]
+
+
+def test_ranks_of_repeated_vertices_count_each(spark):
+    g = _graph(spark, [("a", "b"), ("b", "a"), ("s", "a")], ["a", "a", "b", "s", "s"])
+    found = sorted((r["id"], round(r["rank"], 9)) for r in rank.pagerank(g, max_iter=2).collect())
+    a, b = 0.15 + 0.85 * (0.5 + 1.0), 0.15 + 0.85 * 1.0
+    a, b = 0.15 + 0.85 * (b * 0.5 + 0.15), 0.15 + 0.85 * a
+    assert found == [("a", round(a, 9))] * 4 + [("b", round(b, 9))] + [("s", 0.15)] * 4
