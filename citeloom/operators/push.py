@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..schema import Graph, graph_keys
 from ..storage import Rounds, cut_lineage, release
+from .placed import PlacedEdges
 from .rank import RESET_PROB
 
 TOLERANCE = 1e-6
@@ -57,7 +58,11 @@ def push_pagerank(
         edges = graph.edges.select(*keys, "src", "dst", "weight")
         if not edges.where("weight < 0").isEmpty():
             raise ValueError("negative weights")
-        shares = held.cut(_shares(edges, keys))
+        shares = _shares(edges, keys)
+        if before is not None:
+            shares = held.cut(shares)
+        # Laid out by source once: a round shuffles what it sends, not the edges.
+        placed = PlacedEdges(shares, keys, held)
         ids = graph.vertices.where("id IS NOT NULL").select(*on).distinct()
         fresh = ids.withColumn("rank", F.lit(0.0)).withColumn("residual", F.lit(reset_prob))
         messages: list[int] = []
@@ -67,7 +72,7 @@ def push_pagerank(
             state = held.cut(_carried(ids, before, shares, keys, reset_prob, messages))
         for _ in range(max_rounds):
             active = state.where(F.abs("residual") > tolerance)
-            sent = shares.join(active.select(*keys, F.col("id").alias("src"), "residual"), [*keys, "src"])
+            sent = placed.send(active.select(*on, "residual"))
             inflow = sent.groupBy(*keys, F.col("dst").alias("id")).agg(
                 F.sum(F.col("residual") * F.col("share") * (1 - reset_prob)).alias("inflow"), F.count(F.lit(1)).alias("n"))
             taken = F.when(F.abs("residual") > tolerance, F.col("residual")).otherwise(0.0)
@@ -78,7 +83,10 @@ def push_pagerank(
             facts = state.agg(F.sum("n").alias("n"), F.max(F.abs("residual")).alias("most")).first()
             messages.append(facts.n or 0)
             if (facts.most or 0.0) <= tolerance:
-                return Pushed(cut_lineage(state.select(*on, "rank", "residual")), messages)
+                settled = cut_lineage(state.select(*on, "rank", "residual"))
+                placed.release()
+                return Pushed(settled, messages)
+        placed.release()
     raise RuntimeError(f"ranks not settled after {max_rounds} rounds")
 
 

@@ -82,3 +82,23 @@ def test_ranks_of_repeated_vertices_count_each(spark):
     a, b = 0.15 + 0.85 * (0.5 + 1.0), 0.15 + 0.85 * 1.0
     a, b = 0.15 + 0.85 * (b * 0.5 + 0.15), 0.15 + 0.85 * a
     assert found == [("a", round(a, 9))] * 4 + [("b", round(b, 9))] + [("s", 0.15)] * 4
+
+
+def test_push_sends_along_edges_that_stay(spark, monkeypatch):
+    class Seen(push.PlacedEdges):
+        def send(self, values):
+            sent = super().send(values)
+            assert "InMemoryTableScan" in _plan(sent)
+            return sent
+
+    monkeypatch.setattr(push, "PlacedEdges", Seen)
+    found = {r["id"]: r["rank"] for r in push.push_pagerank(_graph(spark, [("a", "b"), ("b", "a"), ("a", "c")]), tolerance=1e-9).state.collect()}
+    a, b, c = found["a"], found["b"], found["c"]
+    assert (a, b, c) == pytest.approx((0.15 + 0.85 * b, 0.15 + 0.425 * a, 0.15 + 0.425 * a), abs=1e-7)
+
+
+def test_dedup_reads_and_shuffles_records_once(spark):
+    rows = [("p", "t2", 1), ("p", "t1", 2), (None, "t", 3), ("q", None, 4), ("q", None, 4)]
+    kept = dedup_papers(spark.createDataFrame(rows, "paperId string, title string, n int").withColumn("embedding", F.lit(None).cast("string")))
+    assert _plan(kept).count("Exchange hashpartitioning") == 1 and "Join" not in _plan(kept)
+    assert sorted(map(tuple, kept.select("paperId", "n").collect())) == [("p", 2), ("q", 4)]
