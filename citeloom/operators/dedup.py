@@ -10,17 +10,16 @@ def dedup_papers(records: DataFrame) -> DataFrame:
     """One record per ``paperId``, the same one on every run; null ids go.
 
     Preferred are records with an embedding, then with references, then the
-    smallest title. Only narrow keys are ranked, combined on the map side, so
-    thousands of copies of one id never meet in one task; the records
-    themselves are then matched to the winning key. Equal copies of the winner
-    are told apart by nothing and one of them stays.
+    smallest title. Records are combined on the map side, so thousands of
+    copies of one id never meet in one task, and every record passes through
+    one shuffle at most. Equal copies of the winner are told apart by nothing
+    and one of them stays.
     """
     others = [c for c in records.columns if c != "paperId"]
     flags = [F.col(c).isNull().cast("tinyint") for c in ("embedding", "references") if c in others]
     title = F.col("title") if "title" in others else F.lit(None).cast("string")
     digest = F.xxhash64(title, F.xxhash64(*others))
-    ranked = records.where(F.col("paperId").isNotNull()).withColumn(
-        "__order", F.struct(*[f.alias(f"no_{i}") for i, f in enumerate(flags)], title.alias("title"), digest.alias("tie")))
-    best = ranked.groupBy("paperId").agg(F.min("__order").alias("__best"))
-    kept = ranked.join(best, (ranked["paperId"] == best["paperId"]) & (ranked["__order"] == best["__best"]), "left_semi")
-    return kept.dropDuplicates(["paperId"]).select(*records.columns)
+    order = F.struct(*[f.alias(f"no_{i}") for i, f in enumerate(flags)], title.alias("title"), digest.alias("tie"))
+    best = records.where(F.col("paperId").isNotNull()).groupBy("paperId").agg(
+        F.min_by(F.struct(*others), order).alias("__best"))
+    return best.select("paperId", "__best.*").select(*records.columns)
