@@ -357,8 +357,9 @@ def _block_verified(table: pa.Table) -> pa.Table:
         "source": other.column("node")})
 
 
-#: Units that a task of the last comparison gets, about.
-_TASK_ROWS = 2 * BLOCK
+#: Units that a task of the last comparison gets, about. Each task leaves memory outside the heap of its executor, which
+#: returns it late, so that there are no more tasks than large inputs need; small ones get a few per core, of two blocks at least.
+_TASK_ROWS, _LEAST_ROWS, _TASKS_PER_CORE = 32 * BLOCK, 2 * BLOCK, 4
 
 
 def _blocked(rows: DataFrame, block: int) -> DataFrame:
@@ -368,7 +369,8 @@ def _blocked(rows: DataFrame, block: int) -> DataFrame:
     spread = rows.join(sizes.drop("m"), "key").withColumn("i", F.pmod(F.xxhash64("unit"), F.col("n")).cast("int"))
     tasks = spread.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn(
         "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("j", "n")
-    return tasks.repartition(max(1, -(-copies // _TASK_ROWS)), "task")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return tasks.repartition(max(1, -(-copies // _TASK_ROWS), min(-(-copies // _LEAST_ROWS), _TASKS_PER_CORE * cores)), "task")
 
 
 def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:

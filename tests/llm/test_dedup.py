@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from citeloom.llm import compact_windows, dart_minhash
 from citeloom.llm.graphs import components
@@ -353,3 +354,11 @@ def test_a_line_many_times_in_each_text(spark):
         rows.append((i, " ".join(parts), parts))
     found = compact_windows.passages(frame(spark, [r[:2] for r in rows]), block=4).collect()
     assert {(r.doc_id, r.first_doc_id) for r in found} == set(want.items())
+
+
+def test_last_comparison_has_few_tasks(spark):
+    """A task per two blocks filled the executors outside their heap."""
+    rows = spark.range(9000).select((F.col("id") % 3000).alias("key"), F.col("id").alias("unit"))
+    tasks = compact_windows._blocked(rows, 64)
+    assert tasks.count() == 9000
+    assert tasks.rdd.getNumPartitions() <= compact_windows._TASKS_PER_CORE * spark.sparkContext.defaultParallelism
