@@ -35,24 +35,25 @@ class WrittenEdges:
     """Edges in the shared folder, ready to carry vertex values to their targets.
 
     Values come by join on the source; hot sources are split over several tasks, and nothing passes through the driver.
+    ``hot`` lists them as ``(src, fan)``, None if there are none.
     """
 
     def __init__(self, edges: DataFrame, keys: list[str], rounds: Rounds, hot_floor: int = skew.HOT_FLOOR) -> None:
         self.written = rounds.cut(edges)
         self._edges = self.written
         self._on = [*keys, "src"]
-        self._hot = None
+        self.hot = None
         hot = rounds.cut(skew.hot_keys(self.written, "src", hot_floor))
         if not hot.isEmpty():
-            self._hot = hot
+            self.hot = hot
             self._edges = skew.salt_rows(self.written, hot, "src", F.col("dst"))
             self._on.append("salt")
 
     def send(self, values: DataFrame) -> DataFrame:
         """Each edge with the values of its source vertex ``id``."""
         values = values.withColumnRenamed("id", "src")
-        if self._hot is not None:
-            values = skew.salt_copies(values, self._hot, "src")
+        if self.hot is not None:
+            values = skew.salt_copies(values, self.hot, "src")
         return self._edges.join(values, self._on)
 
 
