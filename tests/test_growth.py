@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.operators import community, push, rank
+from citeloom.operators import community, moving, push, rank
 from citeloom.operators.dedup import dedup_papers
 from citeloom.operators.edges import star_edges
 from citeloom.schema import Graph
@@ -102,3 +102,29 @@ def test_dedup_reads_and_shuffles_records_once(spark):
     kept = dedup_papers(spark.createDataFrame(rows, "paperId string, title string, n int").withColumn("embedding", F.lit(None).cast("string")))
     assert _plan(kept).count("Exchange hashpartitioning") == 1 and "Join" not in _plan(kept)
     assert sorted(map(tuple, kept.select("paperId", "n").collect())) == [("p", 2), ("q", 4)]
+
+
+def test_votes_are_shuffled_once(spark):
+    rows = [("a", "x", "0.5"), ("a", "y", "0.2"), ("a", "y", "0.3"), ("a", "z", "-1"), ("b", "z", "-1"), ("b", "y", None)]
+    votes = spark.createDataFrame(rows, "id string, label string, vote string").withColumn("vote", F.col("vote").cast("decimal(28,9)"))
+    once = community._elected(votes, None, [])
+    assert _plan(once).count("Exchange hashpartitioning") == 1
+    hot = spark.createDataFrame([("a", 3)], "src string, fan int")
+    for found in (once, community._elected(votes, hot, [])):
+        assert sorted(map(tuple, found.collect())) == [("a", "x"), ("b", "y")]
+
+
+def test_half_rounds_follow_links_of_vertices_that_may_move(spark, monkeypatch):
+    seen, plain = [], moving.best_moves
+
+    def best_moves(links, placed, keys, half=None):
+        seen.append((links.select("src").distinct().count(), placed.where(half).count(), placed.count()))
+        found = plain(links, placed, keys, half)
+        assert _plan(found).count("Exchange hashpartitioning(target") == 0
+        return found
+
+    monkeypatch.setattr(moving, "best_moves", best_moves)
+    ids = [f"v{i:02}" for i in range(12)]
+    pairs = [(a, b) for i, a in enumerate(ids) for j, b in enumerate(ids) if i < j and i // 4 == j // 4]
+    moving.modularity_communities(_graph(spark, [*pairs, ("v00", "v11")], ids), max_levels=1, max_rounds=1)
+    assert len(seen) == 2 and all(of_links == movers < every for of_links, movers, every in seen)
