@@ -19,10 +19,12 @@ Units of one key are joined with one leader, the first document, which is a line
 of pairs; pairs are verified on whole segments: of the tokens in 46-token intervals, at
 least 41 must lie in the other segment, and the passage there must have a Jaccard similarity of
 0.8 or more. A window whose 12 tokens no verified passage covers whole is
-compared with the same key's windows of all earlier documents by the same rule: in blocks of 64 units, inside tasks, the 45
+compared with the same key's windows of all earlier documents by the same rule: inside tasks, the 45
 tokens on each side of ``c`` with 68 and more on each side in the other text, which leaves room for inserted words. Of 46 tokens five may be
 missing in the other text, so it has one of any six; the six that fewest documents of the task have are
 looked up, so a frequent line between unlike texts is compared with nothing, and places of one unit are compared together.
+A key of up to 2048 units is one group of a task. One of more is dealt by the tokens looked up, a group for each, which is a
+linear number of rows; only where more than 2048 units of such a group are open, pairs of blocks are compared.
 So no candidate is left out, no pairs of a group are laid out as
 rows, and a task returns at most the passages of one source for each of its windows.
 
@@ -58,8 +60,8 @@ SEGMENT, OVERLAP = 1024, 128
 RUN, REACH = 12, 10
 #: Tokens around c: those a passage of TOKENS can reach, and in the other text up to a quarter of both sides more.
 NEAR, WIDE = TOKENS - 1, TOKENS - 1 + 23
-#: Units of one key in a block.
-BLOCK = 64
+#: Units of one key that are compared in one group.
+BLOCK = 2048
 
 _SEEDS = scan.mix(np.arange(101, 110, dtype=np.uint64))
 
@@ -250,11 +252,12 @@ def _aligned(x: np.ndarray, y: np.ndarray, d: int) -> list[tuple[int, int]]:
     return [(int(t[0]), int(t[-1]) + 1) for t in trimmed if t[-1] + 1 - t[0] >= TOKENS]
 
 
-def _rare_places(df: np.ndarray) -> np.ndarray:
+def _rare_places(df: np.ndarray, ties: np.ndarray | None = None) -> np.ndarray:
     """Places of tokens of which every possible passage shares one, by ``df``, in how many documents a token is.
 
     A passage is TOKENS in a row of which at most TOKENS - SHARED are missing in the other text, so of one more
-    than that any choice has a shared token; the rarest are chosen. Tokens that no other text has can't be.
+    than that any choice has a shared token; the rarest are chosen, of equal ones the least in ``ties``, numbers below 2 ** 32,
+    so that overlapping passages choose the same. Tokens that no other text has can't be.
     """
     missing = TOKENS - SHARED
     if len(df) < TOKENS:
@@ -263,7 +266,7 @@ def _rare_places(df: np.ndarray) -> np.ndarray:
     possible = np.flatnonzero(total[TOKENS:] - total[:-TOKENS] <= missing)
     if not len(possible):
         return possible
-    rows = df[possible[:, None] + np.arange(TOKENS)]
+    rows = (df if ties is None else (df << 32) + ties)[possible[:, None] + np.arange(TOKENS)]
     rarest = np.argpartition(rows, missing, 1)[:, : missing + 1] + possible[:, None]
     return np.unique(rarest[df[rarest] > 1])
 
@@ -288,11 +291,31 @@ def _reaches(intervals: list[tuple[int, int]], place: int) -> bool:
 def _at_offsets(x: np.ndarray, y: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
     """The passages of ``x`` that agree with ``y`` place by place, at any of the offsets."""
     out: list[tuple[int, int]] = []
-    for d in offsets.tolist():
+    for d in _agreeing(x, y, offsets).tolist():
         out += _aligned(x, y, d)
     return out
 
 
+def _long_enough(hit: np.ndarray) -> bool:
+    """Are there TOKENS places or more from a hit to a hit, dense as in a passage?"""
+    for start, stop in _dense(hit):
+        own = np.flatnonzero(hit[start:stop])
+        if own[-1] + 1 - own[0] >= TOKENS:
+            return True
+    return False
+
+
+def _agreeing(x: np.ndarray, y: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Those of the offsets at which SHARED places agree or more; fewer are no passage."""
+    order = np.argsort(y, kind="stable")
+    ranked = y[order]
+    first, last = np.searchsorted(ranked, x, "left"), np.searchsorted(ranked, x, "right")
+    n = last - first
+    at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+    agree = np.bincount(order[at] - np.repeat(np.arange(len(x)), n) + len(x) - 1, minlength=len(x) + len(y) - 1)
+    return offsets[agree[offsets + len(x) - 1] >= SHARED]
+
+
 def _block_verified(table: pa.Table) -> pa.Table:
     """For the open windows of one or two blocks of units, the passages each shares with the first earlier document that has one.
 
@@ -339,8 +362,9 @@ def _block_verified(table: pa.Table) -> pa.Table:
             if not hot:
                 continue
             found = {(a + s, a + e) for a, b in _near_regions(np.array(hot), len(x)) for s, e in shared_passages(x[a:b], y)}
-            if not all(_reaches(list(found), p) for p in hot):
-                # Passages that agree place by place have one of the rare tokens at their offset.
+            # A passage that agrees place by place is as long among all tokens that one text has of the other.
+            if not all(_reaches(list(found), p) for p in hot) and _long_enough(inside) and _long_enough(np.isin(y, x)):
+                # It has one of the rare tokens at its offset.
                 by_token = np.argsort(theirs, kind="stable")
                 first, last = (np.searchsorted(theirs, own[rare], side, sorter=by_token) for side in ("left", "right"))
                 at = np.arange((last - first).sum()) + np.repeat(first - np.cumsum(last - first) + (last - first), last - first)
@@ -357,18 +381,81 @@ def _block_verified(table: pa.Table) -> pa.Table:
         "source": other.column("node")})
 
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(key, unit, token)``, one per token of a unit."""
+    for batch in batches:
+        held = [np.unique(np.frombuffer(t.as_buffer(), np.uint32)) for t in batch.column(2)]
+        at = pa.array(np.repeat(np.arange(len(held)), [len(t) for t in held]))
+        token = np.concatenate([np.zeros(0, np.uint32), *held]).view(np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(token)], names=["key", "unit", "token"])
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(key, unit, token)``, the tokens to look up for the open windows of a unit, from those it shares within its key."""
+    for batch in batches:
+        rare = []
+        for opened, low, tokens, shared, df in zip(*(batch.column(c) for c in ("open", "low", "tokens", "shared", "df")), strict=True):
+            x = np.frombuffer(tokens.as_buffer(), np.uint32)
+            shared, df = np.array(shared.as_py(), np.int32).view(np.uint32), np.array(df.as_py(), np.int64)
+            order = np.argsort(shared)
+            at = order[np.minimum(np.searchsorted(shared, x, sorter=order), len(shared) - 1)]
+            counts = np.where(shared[at] == x, df[at], 1)
+            regions = _near_regions(np.sort(np.array(opened.as_py(), np.int64)) - low.as_py(), len(x))
+            rare.append(np.unique(np.concatenate([x[a:b][_rare_places(counts[a:b], x[a:b].astype(np.int64))] for a, b in regions])))
+        at = pa.array(np.repeat(np.arange(len(rare)), [len(t) for t in rare]))
+        token = np.concatenate([np.zeros(0, np.uint32), *rare]).view(np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column("key").take(at), batch.column("unit").take(at), pa.array(token)], names=["key", "unit", "token"])
+
+
+def _by_token(hot: DataFrame) -> DataFrame:
+    """``hot`` with a key for each token that a unit looks up: the units of its key that have it.
+
+    Whoever shares a passage with a unit has one of its rare tokens, so no pair is lost. Only units that look the token up
+    are open there. Rows are at most a unit's tokens; tokens of one text only, which are most, give none.
+    """
+    held = hot.select("key", "unit", "tokens").mapInArrow(_held, "key long, unit long, token int")
+    shared = written(held.groupBy("key", "token").agg(F.count("*").alias("df")).where("df > 1"), "shared")
+    own = held.join(shared, ["key", "token"]).groupBy("key", "unit").agg(F.collect_list("token").alias("shared"), F.collect_list("df").alias("df"))
+    opened = hot.where(F.size("open") > 0).select("key", "unit", "open", "low", "tokens").join(own, ["key", "unit"])
+    asked = written(opened.mapInArrow(_asked, "key long, unit long, token int"), "asked")
+    members = held.join(asked.select("key", "token").distinct(), ["key", "token"]).withColumn("asks", F.lit(False)).unionByName(
+        asked.withColumn("asks", F.lit(True))).groupBy("key", "token", "unit").agg(F.max("asks").alias("asks"))
+    return hot.join(written(members, "members"), ["key", "unit"]).withColumn(
+        "open", F.when(F.col("asks"), F.col("open")).otherwise(F.array().cast("array<int>"))).withColumn(
+        "key", F.concat_ws("-", "key", "token")).drop("asks", "token")
+
+
+def _grouped(hoods: DataFrame, block: int) -> DataFrame:
+    """Units to compare by ``key``: those of a key, or where they are more than a block, those of a key and a token."""
+    sizes = written(hoods.groupBy("key").agg(F.count("*").alias("m")), "keys")
+    hot = written(hoods.join(sizes.where(F.col("m") > block).select("key"), "key"), "hot", narrow=False)
+    cold = hoods.join(sizes.where(F.col("m") <= block).select("key"), "key")
+    return cold.withColumn("key", F.col("key").cast("string")).unionByName(_by_token(hot))
+
+
 #: Units that a task of the last comparison gets, about. Each task leaves memory outside the heap of its executor, which
 #: returns it late, so that there are no more tasks than large inputs need; small ones get a few per core, of two blocks at least.
-_TASK_ROWS, _LEAST_ROWS, _TASKS_PER_CORE = 32 * BLOCK, 2 * BLOCK, 4
+_TASK_ROWS, _LEAST_ROWS, _TASKS_PER_CORE = 2048, 128, 4
 
 
 def _blocked(rows: DataFrame, block: int) -> DataFrame:
-    """``rows`` with a ``task`` for each pair of blocks of a key, in about as many partitions as their number asks for."""
-    sizes = written(rows.groupBy("key").agg(F.count("*").alias("m")).withColumn("n", F.ceil(F.col("m") / block).cast("int")), "sizes")
-    copies = sizes.agg(F.sum(F.col("m") * F.col("n"))).first()[0] or 0
-    spread = rows.join(sizes.drop("m"), "key").withColumn("i", F.pmod(F.xxhash64("unit"), F.col("n")).cast("int"))
-    tasks = spread.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn(
-        "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("j", "n")
+    """``rows`` with a ``task`` for each pair of blocks of a key to compare, in about as many partitions as their number asks for.
+
+    A key of one block is one task. Of larger ones, units with open windows meet all blocks, the others only those of open units.
+    """
+    asks = F.size("open") > 0 if "open" in rows.columns else F.lit(True)
+    n_open, n_rest = F.count_if(asks), F.count_if(~asks)
+    one = n_open + n_rest <= block
+    sizes = written(rows.groupBy("key").agg(
+        n_open.alias("a"), n_rest.alias("h"), F.when(one, 1).otherwise(F.ceil(n_open / block)).cast("int").alias("na"),
+        F.when(one, 0).otherwise(F.ceil(n_rest / block)).cast("int").alias("nh")).where("a > 0"), "sizes")
+    copies = sizes.agg(F.sum(F.expr("a * (na + nh) + h * na"))).first()[0] or 0
+    opened, place = asks | (F.col("nh") == 0), F.xxhash64("unit")
+    spread = rows.join(sizes.drop("a", "h"), "key").withColumn("i", F.when(opened, F.pmod(place, F.col("na"))).otherwise(
+        F.col("na") + F.pmod(place, F.col("nh"))).cast("int"))
+    others = F.sequence(F.lit(0), F.when(opened, F.col("na") + F.col("nh")).otherwise(F.col("na")) - 1)
+    tasks = spread.withColumn("j", F.explode(others)).withColumn(
+        "task", F.concat_ws("-", "key", F.least("i", "j"), F.greatest("i", "j"))).drop("j", "na", "nh")
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return tasks.repartition(max(1, -(-copies // _TASK_ROWS), min(-(-copies // _LEAST_ROWS), _TASKS_PER_CORE * cores)), "task")
 
@@ -424,7 +511,8 @@ def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("open"), F.col("place"))).alias("open")).withColumn("low", low)
     hoods = written(placed.join(contents.select("unit", "node", "base", "tokens"), ["unit", "node"]).withColumn(
         "tokens", F.substring("tokens", F.col("low") * 4 + 1, (F.array_max("places") + WIDE + 1 - F.col("low")) * 4)), "hoods", narrow=False)
-    rest = written(_blocked(hoods, block).drop("key").groupBy("task").applyInArrow(_block_verified, _FOUND), "rest", narrow=False)
+    grouped = written(_grouped(hoods, block), "grouped", narrow=False)
+    rest = written(_blocked(grouped, block).drop("key").groupBy("task").applyInArrow(_block_verified, _FOUND), "rest", narrow=False)
 
     words = found.unionByName(rest).join(
         firsts.select(F.col("node").alias("source"), F.col("first").alias("source_id")), "source").select(

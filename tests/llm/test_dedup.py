@@ -362,3 +362,75 @@ def test_last_comparison_has_few_tasks(spark):
     tasks = compact_windows._blocked(rows, 64)
     assert tasks.count() == 9000
     assert tasks.rdd.getNumPartitions() <= compact_windows._TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_rows_of_the_last_comparison_grow_with_the_units(spark):
+    """A line in very many unlike texts: dealt by rare tokens, none of them is compared; each pair of blocks was before."""
+    rng = np.random.default_rng(8)
+    line, copies = rng.integers(0, 1 << 32, 30, np.uint32), {}
+    for m in (40, 160):
+        rows = []
+        for i in range(m):
+            body = rng.integers(0, 1 << 32, 150, np.uint32)
+            body[60:90] = line
+            if i % 10 == 9:
+                body[50:110] = np.frombuffer(rows[i - 3][-1], np.uint32)[50:110]
+            rows.append((7, i, str(i).encode(), i, 0, [70], [70], 0, body.tobytes()))
+        hoods = spark.createDataFrame(
+            rows, "key long, unit long, node binary, first long, base long, places array<int>, open array<int>, low int, tokens binary")
+        tasks = compact_windows._blocked(compact_windows._grouped(hoods, 8), 8).drop("key").cache()
+        found = tasks.groupBy("task").applyInArrow(compact_windows._block_verified, compact_windows._FOUND).collect()
+        assert {(r.unit, r.source_unit) for r in found} == {(i, i - 3) for i in range(9, m, 10)}
+        copies[m] = tasks.count()
+    assert copies[160] <= 4.5 * copies[40]
+
+
+def test_few_open_units_of_a_large_group_meet_all_others_once(spark):
+    rows = spark.range(1000).select(F.lit("k").alias("key"), F.col("id").alias("unit"), F.expr(
+        "if(id % 100 = 0, array(1), cast(array() as array<int>))").alias("open"))
+    tasks = compact_windows._blocked(rows, 50).select("task", "unit", "i", F.size("open").alias("o")).collect()
+    # Each of the 990 once; the ten open ones with each of their 20 blocks and with themselves.
+    assert len(tasks) == 990 + 10 * 21
+    by_task = {}
+    for r in tasks:
+        by_task.setdefault(r.task, []).append(r)
+    met = {(a.unit, b.unit) for rs in by_task.values() for a in rs if a.o for b in rs if a.unit != b.unit}
+    assert len(met) == 10 * 999
+
+
+def test_runs_of_one_word_are_compared_without_trying_every_offset(monkeypatch):
+    """43 times one token is short of a passage, whatever the offset."""
+    calls, aligned = [], compact_windows._aligned
+    monkeypatch.setattr(compact_windows, "_aligned", lambda x, y, d: calls.append(d) or aligned(x, y, d))
+    rng = np.random.default_rng(5)
+    texts = []
+    for i, n in enumerate((120, 127, 43)):
+        body = rng.integers(0, 1 << 32, 160, np.uint32)
+        body[:n] = 5
+        texts.append(body)
+    block = pa.table({
+        "first": [1, 2, 3], "node": [b"1", b"2", b"3"], "unit": [1, 2, 3], "base": [0, 0, 0], "i": [0, 0, 0], "places": [[10], [10], [10]],
+        "open": [[], [], [10]], "low": [0, 0, 0], "tokens": [t.tobytes() for t in texts]})
+    assert compact_windows._block_verified(block).num_rows == 0
+    assert not calls
+
+
+def test_offsets_that_agree_are_kept():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        x, y = (rng.integers(0, 3, n).astype(np.uint32) * np.uint32(9) for n in (90, 140))
+        a, b = rng.integers(0, 30), rng.integers(0, 80)
+        y[b : b + 50] = x[a : a + 50]
+        offsets = np.unique(rng.integers(-80, 130, 60).tolist() + [b - a])
+        offsets = offsets[(offsets > -len(x)) & (offsets < len(y))]
+        want = [p for d in offsets.tolist() for p in compact_windows._aligned(x, y, d)]
+        assert want and compact_windows._at_offsets(x, y, offsets) == want
+
+
+def test_rare_places_of_overlapping_passages_are_the_same_on_ties():
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 1 << 32, 160, np.int64)
+    df = np.full(160, 2)
+    rare = compact_windows._rare_places(df, x)
+    assert all(len(np.intersect1d(rare, np.arange(s, s + 46))) >= 6 for s in range(115))
+    assert len(rare) < 45
