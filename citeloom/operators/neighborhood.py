@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import Graph, graph_keys
-from ..storage import Rounds, cut_lineage
+from ..storage import Rounds, cut_lineage, shuffled_rows
 from .edges import symmetrize
 
 #: Longer lists of chosen ids are joined, shorter ones become a filter.
@@ -49,19 +49,26 @@ def neighborhood(graph: Graph, chosen: DataFrame | Sequence[str], degrees: int =
 
 #: Requests that share one traversal of the links, one bit of a long each.
 _BITS = 64
+#: Links of a vertex, about, before they are counted.
+_LINKS = 8
 
 
 def neighborhood_many(graph: Graph, requests: DataFrame, degrees: int = DEGREES) -> DataFrame:
     """``(request, id, hop)`` for ``requests(request, id)``, the vertices around each request's chosen ones, in one traversal.
 
     A round sends one mask per vertex and block of 64 requests, whatever the number of requests in it: each has
-    a bit, masks that meet are or-ed, on the map side first, and only new bits go on. Vertices beyond ``degrees`` have no row.
+    a bit, masks that meet are or-ed, on the map side first, and only new bits go on. Shuffles get more partitions
+    with the rows there are. Vertices beyond ``degrees`` have no row.
     """
     keys = graph_keys(graph.vertices)
     asked = [k for k in keys if k in requests.columns]
     at = [*keys, "block", "id"]
+    spark = graph.vertices.sparkSession
     with Rounds() as rounds:
-        links = rounds.cut(symmetrize(graph.edges.select(*keys, "src", "dst")).distinct())
+        n_vertices = graph.vertices.count()
+        with shuffled_rows(spark, n_vertices * _LINKS):
+            links = rounds.cut(symmetrize(graph.edges.select(*keys, "src", "dst")).distinct())
+        n_links = links.count()
         # Names are spread over blocks by a hash, and numbered inside their block.
         names = requests.where(F.col("request").isNotNull()).select("request").distinct()
         blocks = F.greatest(F.ceil(names.agg(F.count(F.lit(1))).scalar() / _BITS), F.lit(1))
@@ -72,7 +79,8 @@ def neighborhood_many(graph: Graph, requests: DataFrame, degrees: int = DEGREES)
             F.expr(f"shiftleft(1L, cast(place % {_BITS} as int))").alias("bit")))
         chosen = requests.join(numbered, "request").select(*asked, "block", "id", "bit")
         start = graph.vertices.select(*keys, "id").join(chosen, [*asked, "id"]).groupBy(*at).agg(F.bit_or("bit").alias("new"))
-        reached = rounds.cut(start.withColumn("seen", F.col("new")).withColumn("hop", F.lit(0)))
+        with shuffled_rows(spark, n_vertices):
+            reached = rounds.cut(start.withColumn("seen", F.col("new")).withColumn("hop", F.lit(0)))
         found = [reached]
         for hop in range(1, degrees + 1):
             frontier = reached.where("new <> 0").select(*keys, "block", F.col("id").alias("src"), "new")
@@ -80,14 +88,18 @@ def neighborhood_many(graph: Graph, requests: DataFrame, degrees: int = DEGREES)
             inside = arrived.join(graph.vertices.select(*keys, "id"), [*keys, "id"], "left_semi")
             met = reached.select(*at, "seen").join(inside, at, "full")
             seen, came = F.coalesce("seen", F.lit(0)), F.coalesce("came", F.lit(0))
-            reached = rounds.cut(met.select(*at, came.bitwiseAND(F.bitwise_not(seen)).alias("new"),
-                                            seen.bitwiseOR(came).alias("seen"), F.lit(hop).alias("hop")))
+            # What the frontier sends, at the links of an average vertex.
+            sent = reached.count() * -(-n_links // max(n_vertices, 1))
+            with shuffled_rows(spark, n_vertices + n_links + sent):
+                reached = rounds.cut(met.select(*at, came.bitwiseAND(F.bitwise_not(seen)).alias("new"),
+                                                seen.bitwiseOR(came).alias("seen"), F.lit(hop).alias("hop")))
             found.append(reached)
         every = found[0].select(*at, "new", "hop")
         for later in found[1:]:
             every = every.unionByName(later.select(*at, "new", "hop"))
         told = every.where("new <> 0").join(numbered, "block").where(F.col("new").bitwiseAND(F.col("bit")) != 0)
-        return cut_lineage(told.select(*keys, "request", "id", "hop"))
+        with shuffled_rows(spark, sum(r.count() for r in found)):
+            return cut_lineage(told.select(*keys, "request", "id", "hop"))
 
 
 def induced_subgraph(graph: Graph, chosen: DataFrame | Sequence[str]) -> Graph:

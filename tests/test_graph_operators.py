@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from citeloom import Corpus, Graph
+from citeloom import Corpus, Graph, storage
 from citeloom.operators.community import connected_components, label_propagation, modularity
 from citeloom.operators.hetero import coauthor_edges, hub_nodes, related_papers, venue_edges
 from citeloom.operators.neighborhood import (
@@ -196,3 +196,22 @@ def test_many_neighbourhoods_in_one_traversal(spark, keyed):
             hops |= dict.fromkeys(edge, hop)
         assert found.get(request, {}) == hops
     assert set(found) <= set(wanted)
+
+
+def test_many_neighbourhoods_shuffle_into_more_tasks_with_the_rows(spark, graph, monkeypatch):
+    """The session's number of partitions, whatever the input, made tasks that grew with it."""
+    name, used, cut = "spark.sql.shuffle.partitions", [], storage.cut_lineage
+    before = spark.conf.get(name)
+    monkeypatch.setattr(storage, "ROWS_PER_TASK", 10)
+    monkeypatch.setattr(storage, "cut_lineage", lambda df: used.append(int(spark.conf.get(name))) or cut(df))
+    ids = [f"v{i}" for i in range(200)]
+    asked = spark.createDataFrame([("r", "v0")], "request string, id string")
+    found = neighborhood_many(graph(ids, list(zip(ids, ids[1:], strict=False))), asked, degrees=2).collect()
+    assert {(r.id, r.hop) for r in found} == {("v0", 0), ("v1", 1), ("v2", 2)}
+    # The links, and two rounds that join them; numbering the request is small.
+    assert sum(n >= 20 for n in used) >= 4
+    assert spark.conf.get(name) == before
+    with pytest.raises(ZeroDivisionError), storage.shuffled_rows(spark, 1000):
+        assert spark.conf.get(name) == "100"
+        1 / 0
+    assert spark.conf.get(name) == before
