@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from citeloom import PAPER_SCHEMA, Graph
 from citeloom.operators.dedup import dedup_papers
 from citeloom.sources import graph_files as files
 from citeloom.sources import records, search
+from citeloom.sources.sample_corpus import sample_records
+from citeloom.storage import cut_lineage
 
 JSON_LINES = [
     'null',
@@ -166,3 +170,44 @@ def test_graph_round_trip(spark, tmp_path):
     pruned = files.read_vertices(spark, root, years=[2020])
     assert [r.id for r in pruned.collect()] == ["b"]
     assert "PartitionFilters: [isnotnull(year" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_shuffles_only_what_is_kept(spark):
+    """The other columns still decide which record stays."""
+    rows = [("a", "t", "x", [1.0]), ("a", "t", "y", [1.0]), ("b", None, "z", None), ("b", None, None, None), ("a", "u", "x", [1.0])]
+    df = spark.createDataFrame(rows, "paperId string, title string, abstract string, embedding array<double>")
+    whole, kept = dedup_papers(df), dedup_papers(df, keep=["title"])
+    assert kept.columns == ["paperId", "title"]
+    assert sorted(kept.collect(), key=str) == sorted(whole.select("paperId", "title").collect(), key=str)
+    assert dedup_papers(df.select("paperId", "title")).count() == 2
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = held()
+    cut = cut_lineage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.1)
+    assert held() <= before and cut.count() == 7
+
+
+def test_records_of_tables_with_repeats_and_nulls(spark, tmp_path):
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    day = dt.datetime(1997, 3, 1)
+    put("orders", [(1, day), (2, day), (None, day), (2, day)], "o_orderkey long, o_orderdate timestamp_ntz")
+    put("lineitem", [(1, 30, 5), (1, 4, 5), (1, 30, None), (None, 4, 5), (2, None, 6)], "l_orderkey long, l_partkey long, l_suppkey long")
+    put("supplier", [(5, "S5"), (5, "S5"), (None, "none")], "s_suppkey long, s_name string")
+    put("documents", [(1, "first\nlast", "en", "web", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    put("embeddings", [(2, [1.0], 0)], "vec_id long, embedding array<float>, label int")
+    found = [(r.paperId, r.title, r.references and [x.paperId for x in r.references], r.authors and [tuple(x) for x in r.authors])
+             for r in sample_records(spark, str(tmp_path)).collect()]
+    two = ("2", None, None, [("6", None)])
+    assert sorted(found, key=str) == sorted(
+        [("1", "first", ["30", "4"], [(None, None), ("5", "S5"), ("5", "S5")]), two, two, (None, None, None, None)], key=str)
