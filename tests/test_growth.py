@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import PACKED
 from citeloom.operators import community, moving, push, rank
 from citeloom.operators.dedup import dedup_papers
 from citeloom.operators.edges import star_edges
 from citeloom.schema import Graph
-from citeloom.storage import Rounds
+from citeloom.storage import Rounds, n_files
+from citeloom.streaming import updates
 
 
 def _graph(spark, pairs, ids=None):
@@ -128,3 +133,16 @@ def test_half_rounds_follow_links_of_vertices_that_may_move(spark, monkeypatch):
     pairs = [(a, b) for i, a in enumerate(ids) for j, b in enumerate(ids) if i < j and i // 4 == j // 4]
     moving.modularity_communities(_graph(spark, [*pairs, ("v00", "v11")], ids), max_levels=1, max_rounds=1)
     assert len(seen) == 2 and all(of_links == movers < every for of_links, movers, every in seen)
+
+
+def test_packed_records_are_streamed(spark, tmp_path):
+    """What the streaming queries send is packed, and read like plain files."""
+    rows = spark.createDataFrame([(f"p{i}", "t") for i in range(9)], "paperId string, title string").withColumns(
+        {"references": F.array(F.struct(F.lit("p1").alias("paperId"))), "ingest_ts": F.current_timestamp()})
+    rows.coalesce(1).write.options(maxRecordsPerFile=4, **PACKED).json(f"{tmp_path}/inbox")
+    assert all(f.endswith(".json.gz") for f in os.listdir(f"{tmp_path}/inbox") if f.startswith("part-"))
+    assert n_files(spark, f"{tmp_path}/inbox") == 3
+    nothing = spark.createDataFrame([], "id string, title string, year int, vector array<double>")
+    stream = updates.read_paper_stream(spark, f"{tmp_path}/inbox", max_files=1)
+    updates.append_papers(stream, nothing, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
+    assert updates.read_appended_edges(spark, f"{tmp_path}/out").count() == 9
