@@ -16,7 +16,7 @@ from ..operators.dedup import dedup_papers
 from ..operators.edges import weigh
 from ..schema import PAPER_SCHEMA
 from ..sources.records import explode_references
-from ..storage import cut_lineage, release
+from ..storage import cut_lineage, release, shuffles_removed
 
 STREAM_SCHEMA = T.StructType([*PAPER_SCHEMA.fields, T.StructField("ingest_ts", T.TimestampType())])
 
@@ -53,10 +53,9 @@ def store_batch(
     spark = batch.sparkSession
     known = vertices.select("id", "title", "year", "vector").unionByName(
         _before(spark, f"{path}/vertices", _VERTEX, batch_id))
-    arrived = dedup_papers(batch.drop("ingest_ts"))
     # Only what the graph keeps is shuffled and written, not the texts.
-    fresh = cut_lineage(arrived.select("paperId", "title", "year", "embedding", "references").join(
-        known.select(F.col("id").alias("paperId")), "paperId", "left_anti"))
+    arrived = dedup_papers(batch.drop("ingest_ts"), keep=["title", "year", "embedding", "references"])
+    fresh = cut_lineage(arrived.join(known.select(F.col("id").alias("paperId")), "paperId", "left_anti"))
     added = fresh.select(F.col("paperId").alias("id"), "title", "year", F.col("embedding.vector").alias("vector"))
     cited = explode_references(fresh)
     waiting = _before(spark, f"{path}/citations", _CITATION, batch_id)
@@ -65,8 +64,9 @@ def store_batch(
     newly_linked = waiting.join(added.select(F.col("id").alias("dst")), "dst", "left_semi").select("src", "dst")
     # A citation is completed by the later of its two papers, so it is in one batch only.
     edges = weigh(cited.unionByName(newly_linked).distinct(), known.unionByName(added)).withColumn("edge_type", F.lit("citation"))
-    for name, table in (("vertices", added), ("citations", cited), ("edges", edges)):
-        table.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+    with shuffles_removed(spark):
+        for name, table in (("vertices", added), ("citations", cited), ("edges", edges)):
+            table.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
     release(fresh)
 
 

@@ -135,6 +135,28 @@ def test_half_rounds_follow_links_of_vertices_that_may_move(spark, monkeypatch):
     assert len(seen) == 2 and all(of_links == movers < every for of_links, movers, every in seen)
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_batch_leaves_no_shuffle_files(spark, tmp_path):
+    records = spark.createDataFrame(
+        [(f"p{i}", "t", "text", [(f"p{i - 1}",)]) for i in range(9)] * 2,
+        "paperId string, title string, abstract string, references array<struct<paperId string>>").withColumns({
+            "year": F.lit(2000), "embedding": F.lit(None).cast("struct<model string, vector array<double>>"),
+            "ingest_ts": F.current_timestamp()})
+    nothing = spark.createDataFrame([], "id string, title string, year int, vector array<double>")
+    before = _shuffle_files(spark)
+    updates.store_batch(records, 0, str(tmp_path), nothing)
+    for _ in range(50):
+        if _shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= before
+    assert updates.read_appended_edges(spark, str(tmp_path)).count() == 8
+
+
 def test_packed_records_are_streamed(spark, tmp_path):
     """What the streaming queries send is packed, and read like plain files."""
     rows = spark.createDataFrame([(f"p{i}", "t") for i in range(9)], "paperId string, title string").withColumns(
