@@ -79,8 +79,8 @@ def pagerank(
         inward = rounds.cut(whole.written.join(core.select(*keys, F.col("id").alias("dst")), [*keys, "dst"], "left_semi"))
         placed = PlacedEdges(
             inward.join(core.select(*keys, F.col("id").alias("src")), [*keys, "src"], "left_semi"), keys, rounds, hot_floor)
-        steady = inward.join(givers.select(*keys, F.col("id").alias("src"), "n"), [*keys, "src"]).groupBy(
-            *keys, F.col("dst").alias("id")).agg(F.sum(F.col("n") * F.col("weight")).alias("steady"))
+        steady = rounds.cut(inward.join(givers.select(*keys, F.col("id").alias("src"), "n"), [*keys, "src"]).groupBy(
+            *keys, F.col("dst").alias("id")).agg(F.sum(F.col("n") * F.col("weight")).alias("steady")), instead_of=inward)
         movers = place(core.join(steady, on, "left").select(*on, "n", "steady"), on, placed.parts)
 
         ranks = movers.select(*on, "n", F.lit(1.0).alias("rank"))

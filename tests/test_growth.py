@@ -13,7 +13,7 @@ from citeloom.operators import community, moving, push, rank
 from citeloom.operators.dedup import dedup_papers
 from citeloom.operators.edges import star_edges
 from citeloom.schema import Graph
-from citeloom.storage import Rounds, n_files
+from citeloom.storage import Rounds, n_files, shared_dir
 from citeloom.streaming import updates
 
 
@@ -168,3 +168,22 @@ def test_packed_records_are_streamed(spark, tmp_path):
     stream = updates.read_paper_stream(spark, f"{tmp_path}/inbox", max_files=1)
     updates.append_papers(stream, nothing, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
     assert updates.read_appended_edges(spark, f"{tmp_path}/out").count() == 9
+
+
+def test_rank_rounds_hold_two_copies_of_the_edges(spark, monkeypatch):
+    """All edges, and those that the rounds run on; edges towards the core go before the rounds begin."""
+    held, place = [], rank.place
+
+    def spy(df, *args):
+        folder = shared_dir(spark).removeprefix("file:")
+        tables = [f"{folder}/{x}" for x in os.listdir(folder) if x.startswith("cut-")]
+        held.append(sum({"src", "dst", "weight"} <= set(spark.read.parquet(t).columns) for t in tables if t not in before))
+        return place(df, *args)
+
+    folder = shared_dir(spark).removeprefix("file:")
+    before = {f"{folder}/{x}" for x in os.listdir(folder)}
+    monkeypatch.setattr(rank, "place", spy)
+    pairs = [("a", "b"), ("b", "a"), ("c", "a"), ("a", "d")]
+    found = {r.id: r["rank"] for r in rank.pagerank(_graph(spark, pairs), max_iter=7).collect()}
+    assert held == [2]
+    assert found == pytest.approx(_plain_ranks(pairs, "abcd", 7))
