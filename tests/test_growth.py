@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import time
 
@@ -13,6 +14,7 @@ from citeloom.operators import community, moving, push, rank
 from citeloom.operators.dedup import dedup_papers
 from citeloom.operators.edges import star_edges
 from citeloom.schema import Graph
+from citeloom.sources.sample_corpus import COLUMNS, sample_papers
 from citeloom.storage import Rounds, n_files, shared_dir
 from citeloom.streaming import updates
 
@@ -187,3 +189,18 @@ def test_rank_rounds_hold_two_copies_of_the_edges(spark, monkeypatch):
     found = {r.id: r["rank"] for r in rank.pagerank(_graph(spark, pairs), max_iter=7).collect()}
     assert held == [2]
     assert found == pytest.approx(_plain_ranks(pairs, "abcd", 7))
+
+
+def test_titles_are_shuffled_without_their_texts(spark, tmp_path):
+    for name, columns in COLUMNS.items():
+        spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    text = spark.createDataFrame([(1, "first\nlast", "en", "web", 9), (2, None, "en", None, 9)], COLUMNS["documents"])
+    text.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    orders = [(1, dt.datetime(1997, 1, 1)), (2, None), (3, None)]
+    spark.createDataFrame(orders, COLUMNS["orders"]).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    whole, slim = (sample_papers(spark, str(tmp_path), texts) for texts in (True, False))
+    read = ["paperId", "title", "venue", "year", "embedding"]
+    assert sorted(slim.select(read).collect(), key=str) == sorted(whole.select(read).collect(), key=str)
+    assert [r.title for r in slim.orderBy("paperId").collect()] == ["first", None, None]
+    plan = _plan(slim.select("paperId", "title"))
+    assert "split(text" in plan[plan.index("Exchange"):]
