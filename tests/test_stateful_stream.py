@@ -96,3 +96,19 @@ def test_edges_are_written_by_a_join_of_streams(spark, tmp_path):
     read = stateful.store_completed_edges(spark, base, out, f"{tmp_path}/progress")
     assert not read.isActive and sum(p["numInputRows"] for p in read.recentProgress) == 3
     assert sorted((r.src, r.dst) for r in stateful.read_edges(spark, out).collect()) == [("p1", "p0"), ("p2", "p0"), ("p3", "p0")]
+
+
+def test_citations_of_a_paper_are_blocks_in_the_state(spark, tmp_path, monkeypatch):
+    """The join keeps a row per block, not per citation; a hot paper has several, and all edges come once."""
+    monkeypatch.setattr(stateful, "BLOCK", 8)
+    inbox, out = f"{tmp_path}/inbox", f"{tmp_path}/out"
+    nothing = spark.createDataFrame([], "id string, title string, year int, vector array<double>")
+    hot = {"title": "t", "year": 2000, "embedding": {"model": "m", "vector": [1.0]}}
+    first = [hot | {"paperId": f"p{i}", "references": [{"paperId": "hub"}, {"paperId": None}, {"paperId": "none"}]} for i in range(40)]
+    for rows in (first, [hot | {"paperId": "hub", "references": [{"paperId": "hub"}]}]):
+        send(spark, rows, inbox)
+        stateful.grow_graph(updates.read_paper_stream(spark, inbox), nothing, out, f"{tmp_path}/progress")
+    waiting = [r for r in spark.read.option("recursiveFileLookup", True).parquet(f"{out}/arrived").collect() if r.citing]
+    assert 2 < len([r for r in waiting if r.id == "hub"]) < 20
+    assert sorted((r.src, r.dst, round(r.weight, 9)) for r in stateful.read_edges(spark, out).collect()) == sorted(
+        [("hub", "hub", 1.0), *[(f"p{i}", "hub", 1.0) for i in range(40)]])
