@@ -2,7 +2,7 @@
 
 ``postings`` has a row for each word of each paper, ``(word, paperId, bucket, fields)``, sorted by word and
 id, so a search for some words skips all row groups of others by their statistics. No text is
-stored or read. ``blocks`` sums it up: for each word and bucket the number of papers, the smallest id and
+stored or read. ``papers`` lists the ids of each segment. ``blocks`` sums the postings up: for each word and bucket the number of papers, the smallest id and
 the largest score one paper can get there. Buckets are ranges of ids, fixed when the index is
 made, and ordered like them.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import query_words, words
 from ..schema import GRAPH_ID
-from ..storage import cut_lineage, delete, release
+from ..storage import cut_lineage, delete, release, shuffles_removed, sorted_groups
 from .search import page
 
 #: Ranges of ids that are read or skipped as a whole, and how many ids their bounds are drawn from.
@@ -40,6 +40,7 @@ TITLE, ABSTRACT = 1, 2
 _POSTINGS = "word string, paperId string, bucket int, fields int"
 _BLOCKS = "word string, bucket int, n long, first_id string, top int"
 _SUPERSEDED = "paperId string"
+_PAPERS = "paperId string"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -62,9 +63,14 @@ def _words_of(column: str, bit: int) -> Column:
 
 
 def _dealt(postings: DataFrame) -> DataFrame:
-    """A row for each word of each paper, in ranges of both: rows that repeat meet there, without another shuffle."""
-    return postings.repartitionByRange("word", "paperId").groupBy("word", "paperId").agg(
-        F.min("bucket").alias("bucket"), F.bit_or("fields").alias("fields"))
+    """A row for each word of each paper, in ranges of both: rows that repeat meet there, without another shuffle.
+
+    They are sorted once and meet as neighbours; a hash table would hold every row. ``first`` keeps the order relevant to the
+    optimizer, an id has one bucket.
+    """
+    by = ["word", "paperId"]
+    return postings.repartitionByRange(*by).sortWithinPartitions(*by).groupBy(*by).agg(
+        F.first("bucket").alias("bucket"), F.bit_or("fields").alias("fields"))
 
 
 class KeywordIndex:
@@ -97,14 +103,17 @@ class KeywordIndex:
         if batch < 1:
             raise ValueError("batches are numbered from 1 on")
         sent = papers.where(F.col("paperId").isNotNull()).select("paperId").distinct()
-        known = self._table("postings", _POSTINGS).where(F.col("segment") < batch).select("paperId")
-        sent.join(known, "paperId", "left_semi").write.mode("overwrite").parquet(f"{self.path}/superseded/segment={batch}")
+        known = self._table("papers", _PAPERS).where(F.col("segment") < batch).select("paperId")
+        with shuffles_removed(self.spark):
+            sent.join(known, "paperId", "left_semi").write.mode("overwrite").parquet(f"{self.path}/superseded/segment={batch}")
         self._write(papers, batch)
 
     def merge(self, path: str) -> KeywordIndex:
         """The same index with one segment, below another path."""
         merged = KeywordIndex(self.spark, path)
         self.spark.read.schema("bound string").parquet(f"{self.path}/bounds").coalesce(1).write.mode("overwrite").parquet(f"{path}/bounds")
+        with shuffles_removed(self.spark):
+            self._table("papers", _PAPERS).select("paperId").distinct().write.mode("overwrite").parquet(f"{path}/papers/segment=0")
         merged._store(self._live().select("word", "paperId", "bucket", "fields"), 0)
         return merged
 
@@ -112,18 +121,22 @@ class KeywordIndex:
         bounds = sorted(r.bound for r in self.spark.read.schema("bound string").parquet(f"{self.path}/bounds").collect())
         named = papers.where("paperId IS NOT NULL AND (title IS NOT NULL OR abstract IS NOT NULL)").select(
             "paperId", _bucket(F.col("paperId"), bounds).alias("bucket"), "title", "abstract")
+        with shuffles_removed(self.spark):
+            named.select("paperId").distinct().write.mode("overwrite").parquet(f"{self.path}/papers/segment={segment}")
         spoken = named.select("paperId", "bucket", F.inline(F.concat(_words_of("title", TITLE), _words_of("abstract", ABSTRACT))))
         self._store(spoken, segment)
 
     def _store(self, postings: DataFrame, segment: int) -> None:
         """Store rows ``(word, paperId, bucket, fields)`` as a segment, one for each word of each paper."""
         target = f"{self.path}/postings/segment={segment}"
-        _dealt(postings).sortWithinPartitions("word", "paperId").write.mode("overwrite").parquet(target)
+        with shuffles_removed(self.spark), sorted_groups(self.spark):
+            _dealt(postings).sortWithinPartitions("word", "paperId").write.mode("overwrite").parquet(target)
         stored = self.spark.read.schema(_POSTINGS).parquet(target)
         blocks = stored.groupBy("word", "bucket").agg(
             F.count(F.lit(1)).alias("n"), F.min("paperId").alias("first_id"), F.lit(1).alias("top"))
-        blocks.repartitionByRange("word", "bucket").sortWithinPartitions("word", "bucket").write.mode("overwrite").parquet(
-            f"{self.path}/blocks/segment={segment}")
+        with shuffles_removed(self.spark):
+            blocks.repartitionByRange("word", "bucket").sortWithinPartitions("word", "bucket").write.mode("overwrite").parquet(
+                f"{self.path}/blocks/segment={segment}")
 
     # --- reading ----------------------------------------------------------------
 

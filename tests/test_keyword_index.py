@@ -131,3 +131,20 @@ def test_postings_are_shuffled_once(spark):
     ids = spark.createDataFrame([(x,) for x in "abcdefxyz"] + [("d1",), ("d2",), ("",)], "id string")
     found = ids.select("id", keyword_index._bucket(F.col("id"), bounds).alias("n")).collect()
     assert {r.id: r.n for r in found} == {r.id: sum(b <= r.id for b in bounds) for r in found}
+
+
+def test_superseded_ids_come_from_the_list_of_papers(spark, tmp_path):
+    """An update reads no postings, and each word of a paper is stored once, in order."""
+    index = KeywordIndex(spark, str(tmp_path / "index")).build(spark.createDataFrame(random_papers(5, 40), SCHEMA), buckets=4)
+    read = []
+    table = index._table
+    index._table = lambda name, schema: read.append(name) or table(name, schema)
+    again = spark.createDataFrame([("p0003", "graph graph", "graph"), ("p0003", None, "new"), ("p0900", "new", None)], SCHEMA)
+    index.update(again, 1)
+    assert "postings" not in read
+    del index._table
+    assert ordered(index.search("new")) == [("p0003", 1), ("p0900", 1)]
+    assert [r.word for r in index._live().where("paperId = 'p0003'").orderBy("word").collect()] == ["graph", "new"]
+    for part in (tmp_path / "index" / "postings" / "segment=1").glob("*.parquet"):
+        stored = [(r.word, r.paperId) for r in spark.read.parquet(str(part)).collect()]
+        assert stored == sorted(stored) and len(set(stored)) == len(stored)
